@@ -26,11 +26,16 @@ def base_times(df: DataFrame) -> DataFrame:
 
 def categories(df: DataFrame, columns: Sequence[str], limit: int = MAX_CATEGORIES) -> dict[str, list]:
     """Sorted distinct values of each column, found in one pass; too many values are an error."""
-    found = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
-    if any(found[c] > limit for c in columns):
-        raise ValueError(f"more than {limit} categories: {found.asDict()}")
-    sets = df.agg(*[F.collect_set(c).alias(c) for c in columns]).first()
-    return {c: sorted(sets[c]) for c in columns}
+    sets = df.groupingSets([[c] for c in columns], *columns).agg(F.grouping_id().alias("__set"))
+    rows = sets.limit(limit * len(columns) + 1).collect()
+    found: dict[str, list] = {c: [] for c in columns}
+    for r in rows:
+        own = max(columns, key=lambda c: not (r["__set"] >> (len(columns) - 1 - columns.index(c))) & 1)
+        if r[own] is not None:
+            found[own].append(r[own])
+    if any(len(v) > limit for v in found.values()) or len(rows) > limit * len(columns):
+        raise ValueError(f"more than {limit} categories in one of {list(columns)}")
+    return {c: sorted(v) for c, v in found.items()}
 
 
 def entity_rates(df: DataFrame, entity: str, values: dict[str, list], label: str = "result",

@@ -80,20 +80,21 @@ def profile_base(df: DataFrame, profiles: Sequence[Profile], seed: int) -> DataF
     return hash_ranks(base, "result", "raceid", seed, "rank")
 
 
-def profile_matrix(base: DataFrame, profile: Profile) -> DataFrame:
+def profile_matrix(base: DataFrame, profile: Profile, values: dict[str, list] | None = None) -> DataFrame:
     """Entity × category rates and means, written out, as the components' input."""
-    values = categories(base, profile.categories)
+    values = {c: values[c] for c in profile.categories} if values else categories(base, profile.categories)
     return materialize(entity_rates(base, profile.entity, values, means=profile.means, digits=profile.digits,
                                     prefix=profile.prefix), "matrix")
 
 
-def entity_profile(base: DataFrame, profile: Profile, components: bool = True) -> DataFrame:
+def entity_profile(base: DataFrame, profile: Profile, components: bool = True,
+                   values: dict[str, list] | None = None) -> DataFrame:
     """One row per entity: averaged out-of-fold encoding and component scores, three digits."""
     folded = base.withColumn("fold", ((F.col("rank") - 1) % profile.folds).cast("int"))
     encoding = entity_encoding(folded, profile.entity, "result", profile.encoding)
     if not components:
         return encoding
-    scores = principal_components(profile_matrix(base, profile), profile.entity, profile.component_names())
+    scores = principal_components(profile_matrix(base, profile, values), profile.entity, profile.component_names())
     return encoding.join(scores, profile.entity, "left")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from furlong import config as C
 from furlong.functions import racing
 from furlong.functions.numeric import ratio_or_zero, rnd, square
-from furlong.operators import encode, filters, history, joins, values
+from furlong.operators import aggregates, encode, filters, history, values
 from furlong.plans.clean import clean_entries, with_indices
 from furlong.session import materialize, shared_dir
 from furlong.sources.files import checkpoint_path, saved_or_built
@@ -21,15 +22,23 @@ def labelled(df: DataFrame, name: str = "flag") -> DataFrame:
 
 
 def profile_tables(entries: DataFrame, config: C.RaceConfig = C.PRODUCTION, components: bool = True) -> list[DataFrame]:
-    """One profile table per configured entity, all from rows before the cut date, numbered once."""
+    """One profile table per configured entity, all from rows before the cut date, numbered once.
+
+    The profiles do not depend on each other, so their jobs are submitted together.
+    """
     past = filters.before(entries, "days", config.history_before)
     base = materialize(encode.profile_base(past, config.profiles, config.seed), "profile")
-    return [encode.entity_profile(base, p, components) for p in config.profiles]
+    used = list(dict.fromkeys(c for p in config.profiles for c in p.categories))
+    values = aggregates.categories(base, used) if components else None
+    with ThreadPoolExecutor(len(config.profiles)) as pool:
+        return list(pool.map(lambda p: materialize(encode.entity_profile(base, p, components, values), "lookup"),
+                             config.profiles))
 
 
 def with_profiles(df: DataFrame, tables: Sequence[DataFrame], profiles: Sequence[C.Profile]) -> DataFrame:
+    """Left-join written profile tables; each is broadcast only if its files are small enough."""
     for table, p in zip(tables, profiles, strict=True):
-        df = joins.lookup(df, table, [p.entity])
+        df = df.join(table, p.entity, "left")
     return df
 
 
