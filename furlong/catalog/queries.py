@@ -43,6 +43,8 @@ def past(spark: SparkSession, sf: str) -> DataFrame:
 
 def ranked(spark: SparkSession, sf: str) -> DataFrame:
     df = filters.before(clean(spark, sf), "days", CONFIG.history_before)
+    used = dict.fromkeys(c for p in CONFIG.profiles for c in (p.entity, *p.categories, *p.means))
+    df = materialize(df.select("raceid", *used, "result"), "entries")
     return materialize(encode.profile_base(df, CONFIG.profiles, CONFIG.seed), "profile")
 
 
@@ -461,7 +463,8 @@ register("union_histories", _union_histories, f"SELECT raceid, horsename, {S.LAG
 # ---- Encoding and sampling --------------------------------------------------------------------------
 
 register("stratified_folds",
-         lambda spark, sf: encode.stratified_folds(past(spark, sf).select("raceid", "result"), "result", "raceid", 5),
+         lambda spark, sf: encode.stratified_folds(
+             materialize(past(spark, sf).select("raceid", "result"), "past"), "result", "raceid", 5),
          "SELECT raceid, result, CAST((rank - 1) % 5 AS INTEGER) AS fold FROM ranked", "ranked")
 for _p in S.PROFILES:
     register(f"oof_{_p.prefix}",
@@ -511,7 +514,8 @@ def _train(spark, sf) -> DataFrame:
 
 TRAIN = f"(SELECT raceid, {S.LABEL} AS flag, horsecount, pop, odds FROM clean WHERE result IS DISTINCT FROM 999)"
 register("split_stratified",
-         lambda spark, sf: sampling.split_stratified(_train(spark, sf), "flag", "raceid").select("raceid", "flag", "is_test"),
+         lambda spark, sf: sampling.split_stratified(
+             materialize(_train(spark, sf), "train"), "flag", "raceid").select("raceid", "flag", "is_test"),
          f"""SELECT raceid, flag, row_number() OVER (PARTITION BY flag ORDER BY md5('0:' || raceid), raceid)
              <= floor(count(*) OVER (PARTITION BY flag) * 0.3::DOUBLE) AS is_test FROM {TRAIN}""", "clean")
 register("split_random3",

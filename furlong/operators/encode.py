@@ -18,6 +18,8 @@ from furlong.operators.joins import lookup
 from furlong.operators.ordering import HOT_ROWS, grouped_numbers, hash_ranks
 from furlong.session import materialize
 
+MAX_BROADCAST_CODES = 100_000
+
 
 def stratified_folds(df: DataFrame, label: str, key: str, folds: int, seed: int = 42, name: str = "fold") -> DataFrame:
     """Fold 0..folds-1 per row, equal in size within each label up to one row; null labels are dropped."""
@@ -108,11 +110,18 @@ def label_codes(df: DataFrame, columns: Sequence[str], hot_rows: int = HOT_ROWS)
 
 
 def label_encoded(df: DataFrame, columns: Sequence[str], codes: DataFrame | None = None) -> DataFrame:
-    """Replace each column by its code; null stays null. The column order is kept."""
-    codes = materialize(label_codes(df, columns), "codes") if codes is None else codes
+    """Replace each column by its code; null stays null. The column order is kept.
+
+    Columns with at most ``MAX_BROADCAST_CODES`` values are looked up in a broadcast table, the others by
+    a shuffled join, whose skewed partitions AQE splits.
+    """
+    codes = materialize(label_codes(df, columns) if codes is None else codes, "codes")
+    sizes = {r["column"]: r["n"] for r in codes.groupBy("column").agg(F.count("*").alias("n")).collect()}
     out = df
     for c in columns:
         own = codes.filter(F.col("column") == c).select(F.col("value").alias(f"__v_{c}"), F.col("code").alias(f"__c_{c}"))
+        if sizes.get(c, 0) <= MAX_BROADCAST_CODES:
+            own = F.broadcast(own)
         out = out.join(own, F.col(c).cast("string") == F.col(f"__v_{c}"), "left")
     return out.select(*[F.col(f"__c_{c}").alias(c) if c in columns else F.col(f"`{c}`") for c in df.columns])
 

@@ -23,6 +23,8 @@ class Rolling:
 
     def over(self, frame: WindowSpec, min_count: int) -> Column:
         value = getattr(F, self.how)(self.column).over(frame)
+        if min_count <= 1:
+            return value                # an aggregate of no values is null already
         return F.when(F.count(self.column).over(frame) >= min_count, value)
 
 

@@ -145,25 +145,54 @@ def preceding_windows(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     return plain(cold).unionByName(done.drop("__rn", "__home", "__piece"))
 
 
-def hash_ranks(df: DataFrame, stratum: str, key: str, seed: int, name: str, hex_digits: int = 4) -> DataFrame:
-    """Number the rows of each stratum from 1 in a seeded random order; rows without stratum are dropped.
+def _bucketed(df: DataFrame, stratum: str, key: str, seed: int, hex_digits: int) -> tuple[DataFrame, DataFrame]:
+    """Rows with hash and bucket, and the number of rows in all earlier buckets of the stratum.
 
-    Two levels replace one sort per stratum: rows are numbered inside buckets of the hash's first hex
-    digits, and each bucket starts where the earlier ones end. The hash of a unique key spreads evenly,
-    so buckets are small whatever the strata are. The bucket table has at most ``16 ** hex_digits``
-    rows per stratum, and strata are labels, hence the broadcast.
+    A bucket holds the hashes with the same first hex digits. The hash of a unique key spreads evenly, so
+    buckets are small whatever the strata are. The second table has at most ``16 ** hex_digits`` rows per
+    stratum, and strata are labels.
     """
     hashed = df.filter(F.col(stratum).isNotNull()).withColumn("__hash", keyed_hash(key, seed))
     hashed = hashed.withColumn("__bucket", F.substring("__hash", 1, hex_digits))
     before = Window.partitionBy(stratum).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     sizes = hashed.groupBy(stratum, "__bucket").agg(F.count("*").alias("__n"))
-    starts = sizes.select(stratum, "__bucket", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    return hashed, sizes.withColumn("__start", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+
+
+def hash_ranks(df: DataFrame, stratum: str, key: str, seed: int, name: str, hex_digits: int = 4) -> DataFrame:
+    """Number the rows of each stratum from 1 in a seeded random order; rows without stratum are dropped.
+
+    Two levels replace one sort per stratum: rows are numbered inside hash buckets, and each bucket starts
+    where the earlier ones end. The input is read twice: pass a written table.
+    """
+    hashed, starts = _bucketed(df, stratum, key, seed, hex_digits)
     inside = Window.partitionBy(stratum, "__bucket").orderBy("__hash", key)
     ranked = hashed.withColumn("__in", F.row_number().over(inside))
-    return ranked.join(F.broadcast(starts), [stratum, "__bucket"]).withColumn(
+    return ranked.join(F.broadcast(starts.drop("__n")), [stratum, "__bucket"]).withColumn(
         name, F.col("__start") + F.col("__in")).drop("__hash", "__bucket", "__in", "__start")
 
 
+def mark_first_share(df: DataFrame, stratum: str, key: str, share: float, seed: int, name: str,
+                     hex_digits: int = 4) -> DataFrame:
+    """Mark the first ``floor(share * n)`` rows of each stratum in the order of :func:`hash_ranks`.
+
+    Rows are only compared with the last hash to be marked, so they are not shuffled. That hash lies in one
+    bucket per stratum, and only this bucket is sorted; the hashes found are written, one row per stratum.
+    The input is read three times: pass a written table.
+    """
+    hashed, starts = _bucketed(df, stratum, key, seed, hex_digits)
+    sizes = Window.partitionBy(stratum)
+    cut = starts.withColumn("__want", F.floor(F.sum("__n").over(sizes) * share) - F.col("__start"))
+    cut = cut.filter((F.col("__want") > 0) & (F.col("__want") <= F.col("__n"))).select(stratum, "__bucket", "__want")
+    at = hashed.select(stratum, "__bucket", "__hash", key).join(F.broadcast(cut), [stratum, "__bucket"])
+    rank = F.row_number().over(Window.partitionBy(stratum).orderBy("__hash", key))
+    last = at.withColumn("__rank", rank).filter(F.col("__rank") == F.col("__want")).select(
+        stratum, F.struct(F.col("__hash"), F.col(key)).alias("__last"))
+    marked = hashed.join(F.broadcast(materialize(last, "cut")), stratum, "left")
+    here = F.struct(F.col("__hash"), F.col(key))
+    return marked.withColumn(name, F.coalesce(here <= F.col("__last"), F.lit(False))).drop("__hash", "__bucket", "__last")
+
+
 def values_at_ranks(df: DataFrame, columns: Sequence[str],
                     ranks: dict[str, Callable[[Column], Column]]) -> DataFrame:
     """Values of many numeric columns at given ranks: rows ``(feature, rank, value)``.

@@ -6,21 +6,20 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from furlong.functions.numeric import keyed_hash
-from furlong.operators.ordering import hash_ranks, number_rows
+from furlong.operators.ordering import mark_first_share, number_rows
 
 
 def split_stratified(df: DataFrame, label: str, key: str, test_share: float = 0.3, seed: int = 0,
                      name: str = "is_test") -> DataFrame:
     """Mark the test rows: the given share of every label, rounded down; null labels are dropped."""
-    ranked = hash_ranks(df, label, key, seed, "__rank")
-    sizes = ranked.groupBy(label).agg(F.floor(F.count("*") * test_share).alias("__tests"))
-    marked = ranked.join(F.broadcast(sizes), label)      # one row per label
-    return marked.withColumn(name, F.col("__rank") <= F.col("__tests")).drop("__rank", "__tests")
+    return mark_first_share(df, label, key, test_share, seed, name)
 
 
 def split_random(df: DataFrame, key: str, test_share: float = 0.2, valid_share: float = 0.2, seed: int = 0,
@@ -63,16 +62,14 @@ def balanced_by_copies(df: DataFrame, label: str, key: str) -> DataFrame:
     return df.withColumn("__copy", F.explode(F.sequence(F.lit(1), copies))).drop("__copy")
 
 
-def _projection(df: DataFrame, columns: Sequence[str], seed: int):
+def _projection(df: DataFrame, columns: Sequence[str], seed: int) -> Column:
     """A fixed random direction through the standardised columns; near points have near values."""
-    stats = df.agg(*[F.avg(c).alias(f"m_{c}") for c in columns], *[F.stddev_pop(c).alias(f"s_{c}") for c in columns]).first()
+    vectors = VectorAssembler(inputCols=list(columns), outputCol="__v").transform(df.select(*columns))
+    stats = vectors.select(Summarizer.metrics("mean", "std").summary(F.col("__v")).alias("s")).first()["s"]
     weights = np.random.default_rng(seed).normal(size=len(columns))
-    out = F.lit(0.0)
-    for c, w in zip(columns, weights):
-        mean, sd = stats[f"m_{c}"], stats[f"s_{c}"]
-        if sd:
-            out = out + (F.col(c).cast("double") - float(mean)) * float(w / sd)
-    return out
+    slopes = [float(w / sd) if sd > 0 else 0.0 for w, sd in zip(weights, stats["std"])]
+    terms = F.array(*[(F.col(c) - float(m)) * k for c, m, k in zip(columns, stats["mean"], slopes) if k])
+    return F.aggregate(terms, F.lit(0.0), lambda total, term: total + term)
 
 
 def smote(df: DataFrame, label: str, key: str, numeric: Sequence[str], carried: Sequence[str] = (),
@@ -96,10 +93,10 @@ def smote(df: DataFrame, label: str, key: str, numeric: Sequence[str], carried:
     n, missing = sizes[minority], max(sizes.values()) - min(sizes.values())
     few = df.filter(F.col(label) == minority).select(key, *[
         F.col(c).cast("double").alias(c) for c in (*numeric, *carried)])
-    few = hash_ranks(few.withColumn("__one", F.lit(1)), "__one", key, seed, "__rank").drop("__one")
-    whole, part = divmod(missing, n)
-    few = few.withColumn("__new", F.lit(whole) + (F.col("__rank") <= part).cast("int")).drop("__rank")
     few = number_rows(few.withColumn("__along", _projection(few, numeric, seed)), ["__along", key], "__rn")
+    # New rows are spread evenly: the first i rows make floor(i * missing / n) of them.
+    upto = [F.floor(F.lit(missing).cast("decimal(19,0)") * i / n) for i in (F.col("__rn"), F.col("__rn") - 1)]
+    few = few.withColumn("__new", (upto[0] - upto[1]).cast("int"))
     last = max(n // block_rows - 1, 0)
     few = few.withColumn("__block", F.least(F.floor((F.col("__rn") - 1) / block_rows), F.lit(last)))
     names, near = [*numeric, *carried], len(numeric)
@@ -113,9 +110,8 @@ def smote(df: DataFrame, label: str, key: str, numeric: Sequence[str], carried:
         distance = squares[:, None] + squares[None, :] - 2 * xs @ xs.T
         np.fill_diagonal(distance, np.inf)
         k = min(neighbours, len(xs) - 1)
-        order = np.argsort(distance, axis=1, kind="stable")[:, :k] if k else np.zeros((len(xs), 1), dtype=int)
-        if not k:
-            order[:, 0] = np.arange(len(xs))
+        # With a single point there is no neighbour; it is then copied.
+        order = np.argpartition(distance, k - 1, axis=1)[:, :k] if k else np.arange(len(xs))[:, None]
         rng = np.random.default_rng([seed, int(block["__block"].iloc[0])])
         source = np.repeat(np.arange(len(xs)), block["__new"].to_numpy(dtype=int))
         partner = order[source, rng.integers(0, max(k, 1), size=len(source))]

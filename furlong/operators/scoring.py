@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier
+from pyspark.ml.classification import (
+    GBTClassificationModel, GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier)
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -26,41 +26,48 @@ def numeric_columns(df: DataFrame, exclude: Sequence[str]) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, T.NumericType) and f.name not in exclude]
 
 
-def with_nominal(df: DataFrame, columns: Sequence[str], limit: int = MAX_NOMINAL) -> tuple[DataFrame, int]:
-    """Mark code columns as categories for tree learners; also returns the largest number of codes.
+def code_sizes(df: DataFrame, columns: Sequence[str], limit: int = MAX_NOMINAL) -> dict[str, int]:
+    """Number of codes of each code column that tree learners shall treat as a category.
 
-    A column with more than ``limit`` codes stays a number, since tree learners bin categories singly.
+    A column with more than ``limit`` codes is left out and stays a number, since categories are binned singly.
     """
     if not columns:
-        return df, 0
+        return {}
     top = df.agg(*[F.max(c).alias(c) for c in columns]).first()
-    sizes = {c: int(top[c]) + 1 for c in columns if top[c] is not None and top[c] < limit}
-    for c, n in sizes.items():
+    return {c: int(top[c]) + 1 for c in columns if top[c] is not None and top[c] < limit}
+
+
+def with_nominal(df: DataFrame, sizes: dict[str, int]) -> DataFrame:
+    """Mark code columns as categories."""
+    def marked(c: str, n: int):
         meta = {"ml_attr": {"type": "nominal", "num_vals": n, "name": c}}
-        df = df.withColumn(c, F.col(c).cast("double").alias(c, metadata=meta))
-    return df, max(sizes.values(), default=0)
+        return F.col(c).cast("double").alias(c, metadata=meta)
+    return df.withColumns({c: marked(c, n) for c, n in sizes.items()})
 
 
-def assembled(columns: Sequence[str], learner) -> Pipeline:
-    return Pipeline(stages=[VectorAssembler(inputCols=list(columns), outputCol="features"), learner])
+def assembled(df: DataFrame, features: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """The kept columns and one vector of all features."""
+    return VectorAssembler(inputCols=list(features), outputCol="features").transform(df).select(*keep, "features")
 
 
-def scores(model, df: DataFrame, name: str, key: str = "raceid") -> DataFrame:
+def scores(model, df: DataFrame, features: Sequence[str], name: str, key: str = "raceid") -> DataFrame:
     """``(key, probability of class 1)``."""
-    return model.transform(df).select(key, vector_to_array("probability")[1].alias(name))
+    return model.transform(assembled(df, features, [key])).select(key, vector_to_array("probability")[1].alias(name))
 
 
 def gbt_training_set(train: DataFrame, features: Sequence[str], categorical: Sequence[str], label: str = "flag",
                      key: str = "raceid", seed: int = 0) -> DataFrame:
-    """Stratified 70/30 split; the 70 are balanced with synthetic rows, the 30 marked ``is_test``."""
-    split = materialize(split_stratified(train, label, key, 0.3, seed), "split")
+    """Stratified 70/30 split; the 70 are balanced with synthetic rows, the 30 marked ``is_test``.
+
+    The input is read several times: pass a written table.
+    """
+    split = split_stratified(train, label, key, 0.3, seed)
     numeric = [c for c in features if c not in categorical]
     grown = smote(split.filter(~F.col("is_test")), label, key, numeric, categorical, seed=seed)
     kept = split.filter("is_test").select(*[F.col(c).cast(grown.schema[c].dataType).alias(c)
                                             for c in grown.columns if c != "synthetic"])
-    both = grown.drop("synthetic").withColumn("is_test", F.lit(False)).unionByName(
+    return grown.drop("synthetic").withColumn("is_test", F.lit(False)).unionByName(
         kept.withColumn("is_test", F.lit(True)))
-    return materialize(both, "train")
 
 
 def _gbt(label: str, rounds: int, bins: int, seed: int, depth: int = 5) -> GBTClassifier:
@@ -68,31 +75,38 @@ def _gbt(label: str, rounds: int, bins: int, seed: int, depth: int = 5) -> GBTCl
                          maxBins=max(32, bins), seed=seed, validationIndicatorCol="is_test", validationTol=0.001)
 
 
-def fit_gbt(train: DataFrame, features: Sequence[str], categorical: Sequence[str] = (), label: str = "flag",
-            rounds: int = 100, seed: int = 0, depth: int = 5) -> PipelineModel:
-    """Boosted trees; boosting stops early when the ``is_test`` rows no longer improve."""
-    marked, bins = with_nominal(train, [c for c in categorical if c in features])
-    return assembled(features, _gbt(label, rounds, bins, seed, depth)).fit(marked)
+def fit_gbt(train: DataFrame, features: Sequence[str], sizes: dict[str, int] | None = None, label: str = "flag",
+            rounds: int = 100, seed: int = 0, depth: int = 5) -> GBTClassificationModel:
+    """Boosted trees; boosting stops early when the ``is_test`` rows no longer improve.
+
+    The learner reads its input several times, so the assembled vectors are written first. ``sizes`` are
+    the code columns to be treated as categories, with their numbers of codes.
+    """
+    sizes = sizes or {}
+    data = materialize(assembled(with_nominal(train, sizes), features, [label, "is_test"]), "vectors")
+    return _gbt(label, rounds, max(sizes.values(), default=0), seed, depth).fit(data)
 
 
 def score_gbt(train: DataFrame, pred: DataFrame, features: Sequence[str], categorical: Sequence[str] = (),
               label: str = "flag", key: str = "raceid", rounds: int = 100, seed: int = 0) -> DataFrame:
     """Train on labelled rows and return ``(key, gbm_pred)`` for the others."""
+    sizes = code_sizes(train, [c for c in categorical if c in features])
     data = gbt_training_set(train, features, categorical, label, key, seed)
-    return scores(fit_gbt(data, features, categorical, label, rounds, seed), pred, "gbm_pred", key)
+    return scores(fit_gbt(data, features, sizes, label, rounds, seed), pred, features, "gbm_pred", key)
 
 
 def tune_gbt(train: DataFrame, features: Sequence[str], categorical: Sequence[str] = (), label: str = "flag",
              rounds: int = 20, depths: Sequence[int] = (3, 5), rates: Sequence[float] = (0.1, 0.3),
              seed: int = 0, parallelism: int = 4) -> tuple[TrainValidationSplitModel, DataFrame]:
     """Search depth and step size by area under ROC; also returns ``(depth, rate, score)`` per setting."""
-    marked, bins = with_nominal(train, [c for c in categorical if c in features])
-    learner = GBTClassifier(labelCol=label, featuresCol="features", maxIter=rounds, maxBins=max(32, bins), seed=seed)
+    sizes = code_sizes(train, [c for c in categorical if c in features])
+    learner = GBTClassifier(labelCol=label, featuresCol="features", maxIter=rounds, seed=seed,
+                            maxBins=max(32, max(sizes.values(), default=0)))
     grid = ParamGridBuilder().addGrid(learner.maxDepth, list(depths)).addGrid(learner.stepSize, list(rates)).build()
     search = TrainValidationSplit(
-        estimator=assembled(features, learner), estimatorParamMaps=grid, trainRatio=0.7, seed=seed,
+        estimator=learner, estimatorParamMaps=grid, trainRatio=0.7, seed=seed,
         evaluator=BinaryClassificationEvaluator(labelCol=label), parallelism=parallelism)
-    model = search.fit(marked)
+    model = search.fit(materialize(assembled(with_nominal(train, sizes), features, [label]), "vectors"))
     rows = [(int(p[learner.maxDepth]), float(p[learner.stepSize]), float(m))
             for p, m in zip(grid, model.validationMetrics)]
     return model, train.sparkSession.createDataFrame(rows, "depth int, rate double, score double")
@@ -100,18 +114,19 @@ def tune_gbt(train: DataFrame, features: Sequence[str], categorical: Sequence[st
 
 def fit_network(train: DataFrame, features: Sequence[str], label: str = "flag", key: str = "raceid",
                 layers: Sequence[int] = (32, 16), iterations: int = 100, seed: int = 0,
-                linear: bool = False) -> PipelineModel:
+                linear: bool = False):
     """A dense network on class-balanced rows, or a class-weighted logistic regression.
 
     The network learner takes no weights, so the smaller class is repeated instead.
     """
     if linear:
-        weighted = with_class_weight(train, label)
+        weighted = assembled(with_class_weight(train, label), features, [label, "weight"])
         learner = LogisticRegression(labelCol=label, featuresCol="features", weightCol="weight", maxIter=iterations)
-        return assembled(features, learner).fit(weighted)
+        return learner.fit(materialize(weighted, "vectors"))
     learner = MultilayerPerceptronClassifier(labelCol=label, featuresCol="features", maxIter=iterations, seed=seed,
                                              layers=[len(features), *layers, 2], blockSize=256)
-    return assembled(features, learner).fit(balanced_by_copies(train, label, key))
+    balanced = balanced_by_copies(assembled(train, features, [key, label]), label, key)
+    return learner.fit(materialize(balanced, "vectors"))
 
 
 def score_network(train: DataFrame, pred: DataFrame, features: Sequence[str], label: str = "flag",
@@ -121,4 +136,4 @@ def score_network(train: DataFrame, pred: DataFrame, features: Sequence[str], la
     narrow = split_random(train, key, seed=seed).filter(F.col("part") == "train").select(key, label, *features)
     data = materialize(clip(narrow, features), "train")
     model = fit_network(data, features, label, key, layers, iterations, seed, linear)
-    return scores(model, clip(pred, features), "tf_pred", key)
+    return scores(model, clip(pred, features), features, "tf_pred", key)

@@ -88,6 +88,7 @@ class ForestScorer:
                  depth: int = 5, seed: int = 0, parallelism: int = 4):
         narrow = df.select(key, F.col(label).cast("double").alias(label), *[
             F.col(c).cast("double").alias(c) for c in features]).dropna("any")
+        narrow = materialize(narrow, "candidates")
         self.data = materialize(stratified_folds(narrow, label, key, folds, seed), "folds")
         self.label, self.folds, self.parallelism = label, folds, parallelism
         self.forest = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=trees, maxDepth=depth,
@@ -96,11 +97,14 @@ class ForestScorer:
 
     def fit(self, features: Sequence[str], without_fold: int | None = None):
         rows = self.data if without_fold is None else self.data.filter(F.col("fold") != without_fold)
-        return assembled(features, self.forest).fit(rows)
+        return self.forest.fit(assembled(rows, features, [self.label]))
 
-    def fold_score(self, features: Sequence[str], fold: int) -> tuple[float, object]:
-        model = self.fit(features, fold)
-        return self.evaluator.evaluate(model.transform(self.data.filter(F.col("fold") == fold))), model
+    def evaluate(self, model, features: Sequence[str], fold: int) -> float:
+        rows = self.data.filter(F.col("fold") == fold)
+        return self.evaluator.evaluate(model.transform(assembled(rows, features, [self.label])))
+
+    def fold_score(self, features: Sequence[str], fold: int) -> float:
+        return self.evaluate(self.fit(features, fold), features, fold)
 
     def run(self, function, items: Sequence) -> list:
         with ThreadPoolExecutor(self.parallelism) as pool:
@@ -109,12 +113,12 @@ class ForestScorer:
     def subsets(self, subsets: Sequence[Sequence[str]]) -> list[float]:
         """Mean accuracy over the folds for each subset."""
         jobs = [(s, f) for s in subsets for f in range(self.folds)]
-        got = self.run(lambda job: self.fold_score(*job)[0], jobs)
+        got = self.run(lambda job: self.fold_score(*job), jobs)
         return [sum(got[i * self.folds:(i + 1) * self.folds]) / self.folds for i in range(len(subsets))]
 
 
 def importances(model, features: Sequence[str]) -> dict[str, float]:
-    return dict(zip(features, model.stages[-1].featureImportances.toArray().tolist()))
+    return dict(zip(features, model.featureImportances.toArray().tolist()))
 
 
 def forward_selection(scorer: ForestScorer, features: Sequence[str], select: int) -> DataFrame:
@@ -166,7 +170,7 @@ def recursive_elimination(scorer: ForestScorer, features: Sequence[str], least:
         found: dict[int, float] = {}
 
         def visit(left, model):
-            found[len(left)] = scorer.evaluator.evaluate(model.transform(scorer.data.filter(F.col("fold") == fold)))
+            found[len(left)] = scorer.evaluate(model, left, fold)
         _eliminate(features, lambda left: scorer.fit(left, fold), least, visit)
         return found
     per_fold = scorer.run(one_fold, range(scorer.folds))

@@ -20,6 +20,9 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, **conf:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        # The JVM never compiles methods above 8,000 bytes of code. Very wide projections and aggregates
+        # are then faster without whole-stage code than with one such method.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
