@@ -438,16 +438,20 @@ register("sort_report",
          f"SELECT * FROM ({_variance_sql('clean', VARIANCES)}) ORDER BY variance", "clean", ("variance",))
 
 
-def _with_copies(df: DataFrame) -> DataFrame:
-    """Every line of the order table's parts as its own row, so that entries occur more than once."""
-    return df.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("raceid") % 3 + 1)))
+def _lines(spark, sf) -> DataFrame:
+    """Order lines before repeated parts are merged: the copies of an entry differ in supplier or price."""
+    return table(spark, sf, "lineitem").select(
+        (F.col("l_orderkey") * 1000000 + F.col("l_partkey")).alias("raceid"),
+        F.concat(F.lit("H"), F.col("l_partkey").cast("string")).alias("horsename"),
+        F.col("l_suppkey").alias("sid"), F.col("l_quantity").alias("qty"), F.col("l_extendedprice").alias("price"))
 
 
 register("dedupe_entries",
-         lambda spark, sf: aggregates.first_per_key(
-             _with_copies(race_entries(spark, sf).select("raceid", "horsename", "place", "odds")),
-             ["raceid", "horsename"], ["copy"]),
-         "SELECT raceid, horsename, place, odds, 1::BIGINT AS copy FROM race_entries", "race_entries", ("odds",))
+         lambda spark, sf: aggregates.first_per_key(_lines(spark, sf), ["raceid", "horsename"], ["sid", "qty", "price"]),
+         """SELECT l_orderkey * 1000000 + l_partkey AS raceid, 'H' || l_partkey AS horsename, l_suppkey AS sid,
+              l_quantity AS qty, l_extendedprice AS price FROM lineitem
+            QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_partkey ORDER BY l_suppkey, l_quantity, l_extendedprice) = 1""",
+         (), ("qty", "price"))
 
 
 def _union_histories(spark, sf):

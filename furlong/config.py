@@ -5,7 +5,7 @@ Operators take column names as arguments; only the composite plans read these da
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime
 
 # --- Fixed values: they must be equal to the source data's own labels for results to agree. ---------
@@ -133,7 +133,9 @@ class RaceConfig:
 
 
 PRODUCTION = RaceConfig()
-EXPERIMENT = RaceConfig(distances=FLAT_DISTANCES_WITH_1150, drop_nulls_after=True, gbm_weight=0.55,
+# The experimental variant also profiles entities by their mean label.
+EXPERIMENT_PROFILES = tuple(replace(p, means=(*p.means, "result")) for p in (JOCKEY, FATHER, FATHERMON))
+EXPERIMENT = RaceConfig(profiles=EXPERIMENT_PROFILES, distances=FLAT_DISTANCES_WITH_1150, drop_nulls_after=True, gbm_weight=0.55,
                         tf_weight=0.45, gbm_rounds=50)
 
 

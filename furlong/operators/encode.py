@@ -78,6 +78,7 @@ def profile_base(df: DataFrame, profiles: Sequence[Profile], seed: int) -> DataF
     One numbering serves every fold count. Only the columns the profiles read are kept.
     """
     needed = dict.fromkeys(c for p in profiles for c in (p.entity, *p.categories, *p.means))
+    needed.pop("result", None)
     base = df.select("raceid", *needed, binarized(F.col("result")).alias("result"))
     return hash_ranks(base, "result", "raceid", seed, "rank")
 

@@ -194,3 +194,13 @@ def test_metrics_by_hand(spark):
     pairs = [(p > n) + 0.5 * (p == n) for yp, p in rows if yp for yn, n in rows if not yn]
     assert (a.tp, a.fp, a.tn, a.fn) == (2, 1, 2, 1)
     assert a.roc_auc == pytest.approx(sum(pairs) / len(pairs))
+
+
+def test_predictions_and_reports_are_written(spark, tmp_path):
+    df = spark.createDataFrame([(30, 0.1), (10, 0.2), (20, 0.3)], "raceid long, gbm_pred double").repartition(3)
+    numbered = files.numbered_predictions(df)
+    files.write_predictions_csv(numbered, str(tmp_path / "p"))
+    back = spark.read.option("header", True).csv(str(tmp_path / "p"))
+    assert sorted((int(r.row), int(r.raceid)) for r in back.collect()) == [(0, 10), (1, 20), (2, 30)]
+    files.write_report(spark.createDataFrame([("a", True, 0.5)], "feature string, kept boolean, score double"), str(tmp_path / "r"))
+    assert spark.read.option("header", True).csv(str(tmp_path / "r")).count() == 1
