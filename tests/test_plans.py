@@ -24,7 +24,7 @@ def raw(spark):
             ahead = h == 5 and n == 6
             rows.append((race, race, datetime(2020, 1, 1) + timedelta(days=7 * (n - (n == 3))), f"h{h}", f"j{h % 2}", "t",
                          f"f{h % 3}", f"g{h % 2}", None, "m", PLACES[race % 3], 1600 if race % 2 else 1200, "芝", "良", "晴",
-                         "1勝", "牡", None, 8, 1, 1 + race % 5, 2.0 + race % 7, 55.0 + h, 999 if ahead else 1 + race % 6,
+                         "1勝", "牡", None, 8, 1, 1 + race % 5, 2.0 + race % 7, 55.0 + h, 999 if ahead else 1 + race % 5,
                          999.0 if ahead else 90.0 + race % 4, 999.0 if ahead else 34.0 + race % 3, 999 if ahead else 2,
                          999 if ahead else 3))
     schema = ", ".join(f"`{c}` {t}" for c, t in files.ENTRY_TYPES.items())
