@@ -127,6 +127,7 @@ class RaceConfig:
     gbm_weight: float = 0.45
     tf_weight: float = 0.55
     gbm_rounds: int = 100
+    gbm_search: bool = False            # search depth and step size before the final fit
     network_layers: tuple[int, ...] = (32, 16)
     network_iterations: int = 100
     id_cols: tuple[str, ...] = field(default=("raceid", "days", "horsename"))

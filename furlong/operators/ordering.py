@@ -150,13 +150,14 @@ def _bucketed(df: DataFrame, stratum: str, key: str, seed: int, hex_digits: int)
 
     A bucket holds the hashes with the same first hex digits. The hash of a unique key spreads evenly, so
     buckets are small whatever the strata are. The second table has at most ``16 ** hex_digits`` rows per
-    stratum, and strata are labels.
+    stratum and is written, so that it is broadcast only if it is as small as that is with few strata.
     """
     hashed = df.filter(F.col(stratum).isNotNull()).withColumn("__hash", keyed_hash(key, seed))
     hashed = hashed.withColumn("__bucket", F.substring("__hash", 1, hex_digits))
     before = Window.partitionBy(stratum).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     sizes = hashed.groupBy(stratum, "__bucket").agg(F.count("*").alias("__n"))
-    return hashed, sizes.withColumn("__start", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+    starts = sizes.withColumn("__start", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+    return hashed, materialize(starts, "buckets")
 
 
 def hash_ranks(df: DataFrame, stratum: str, key: str, seed: int, name: str, hex_digits: int = 4) -> DataFrame:
@@ -168,7 +169,7 @@ def hash_ranks(df: DataFrame, stratum: str, key: str, seed: int, name: str, hex_
     hashed, starts = _bucketed(df, stratum, key, seed, hex_digits)
     inside = Window.partitionBy(stratum, "__bucket").orderBy("__hash", key)
     ranked = hashed.withColumn("__in", F.row_number().over(inside))
-    return ranked.join(F.broadcast(starts.drop("__n")), [stratum, "__bucket"]).withColumn(
+    return ranked.join(starts.drop("__n"), [stratum, "__bucket"]).withColumn(
         name, F.col("__start") + F.col("__in")).drop("__hash", "__bucket", "__in", "__start")
 
 
@@ -184,7 +185,7 @@ def mark_first_share(df: DataFrame, stratum: str, key: str, share: float, seed:
     sizes = Window.partitionBy(stratum)
     cut = starts.withColumn("__want", F.floor(F.sum("__n").over(sizes) * share) - F.col("__start"))
     cut = cut.filter((F.col("__want") > 0) & (F.col("__want") <= F.col("__n"))).select(stratum, "__bucket", "__want")
-    at = hashed.select(stratum, "__bucket", "__hash", key).join(F.broadcast(cut), [stratum, "__bucket"])
+    at = hashed.select(stratum, "__bucket", "__hash", key).join(cut, [stratum, "__bucket"])
     rank = F.row_number().over(Window.partitionBy(stratum).orderBy("__hash", key))
     last = at.withColumn("__rank", rank).filter(F.col("__rank") == F.col("__want")).select(
         stratum, F.struct(F.col("__hash"), F.col(key)).alias("__last"))

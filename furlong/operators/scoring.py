@@ -70,13 +70,13 @@ def gbt_training_set(train: DataFrame, features: Sequence[str], categorical: Seq
         kept.withColumn("is_test", F.lit(True)))
 
 
-def _gbt(label: str, rounds: int, bins: int, seed: int, depth: int = 5) -> GBTClassifier:
-    return GBTClassifier(labelCol=label, featuresCol="features", maxIter=rounds, maxDepth=depth, stepSize=0.1,
+def _gbt(label: str, rounds: int, bins: int, seed: int, depth: int, rate: float) -> GBTClassifier:
+    return GBTClassifier(labelCol=label, featuresCol="features", maxIter=rounds, maxDepth=depth, stepSize=rate,
                          maxBins=max(32, bins), seed=seed, validationIndicatorCol="is_test", validationTol=0.001)
 
 
 def fit_gbt(train: DataFrame, features: Sequence[str], sizes: dict[str, int] | None = None, label: str = "flag",
-            rounds: int = 100, seed: int = 0, depth: int = 5) -> GBTClassificationModel:
+            rounds: int = 100, seed: int = 0, depth: int = 5, rate: float = 0.1) -> GBTClassificationModel:
     """Boosted trees; boosting stops early when the ``is_test`` rows no longer improve.
 
     The learner reads its input several times, so the assembled vectors are written first. ``sizes`` are
@@ -84,15 +84,16 @@ def fit_gbt(train: DataFrame, features: Sequence[str], sizes: dict[str, int] | N
     """
     sizes = sizes or {}
     data = materialize(assembled(with_nominal(train, sizes), features, [label, "is_test"]), "vectors")
-    return _gbt(label, rounds, max(sizes.values(), default=0), seed, depth).fit(data)
+    return _gbt(label, rounds, max(sizes.values(), default=0), seed, depth, rate).fit(data)
 
 
 def score_gbt(train: DataFrame, pred: DataFrame, features: Sequence[str], categorical: Sequence[str] = (),
-              label: str = "flag", key: str = "raceid", rounds: int = 100, seed: int = 0) -> DataFrame:
+              label: str = "flag", key: str = "raceid", rounds: int = 100, seed: int = 0, depth: int = 5,
+              rate: float = 0.1) -> DataFrame:
     """Train on labelled rows and return ``(key, gbm_pred)`` for the others."""
     sizes = code_sizes(train, [c for c in categorical if c in features])
     data = gbt_training_set(train, features, categorical, label, key, seed)
-    return scores(fit_gbt(data, features, sizes, label, rounds, seed), pred, features, "gbm_pred", key)
+    return scores(fit_gbt(data, features, sizes, label, rounds, seed, depth, rate), pred, features, "gbm_pred", key)
 
 
 def tune_gbt(train: DataFrame, features: Sequence[str], categorical: Sequence[str] = (), label: str = "flag",

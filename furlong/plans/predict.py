@@ -39,8 +39,13 @@ def model_columns(df: DataFrame, exclude: Sequence[str] = KEYS) -> list[str]:
 
 def gbm_scores(features: DataFrame, config: C.RaceConfig = C.PRODUCTION) -> DataFrame:
     data = materialize(prep_gbm(features), "gbm")
-    return scoring.score_gbt(filters.to_train(data), filters.to_predict(data), model_columns(data),
-                             C.GBM_CATEGORICALS, rounds=config.gbm_rounds)
+    train, used = filters.to_train(data), model_columns(data)
+    found = {}
+    if config.gbm_search:
+        table = scoring.tune_gbt(train, used, C.GBM_CATEGORICALS)[1]
+        best = table.orderBy(F.desc("score"), "depth", "rate").first()
+        found = {"depth": best["depth"], "rate": best["rate"]}
+    return scoring.score_gbt(train, filters.to_predict(data), used, C.GBM_CATEGORICALS, rounds=config.gbm_rounds, **found)
 
 
 def network_scores(features: DataFrame, config: C.RaceConfig = C.PRODUCTION, linear: bool = False) -> DataFrame:

@@ -69,3 +69,15 @@ def test_resume_reads_the_feature_table_of_the_same_settings(spark, raw, tmp_pat
     assert sorted(map(str, first.collect())) == sorted(map(str, again.collect()))
     with pytest.raises(Exception):
         feature_table(spark, raw, config, str(tmp_path), "b", resume=True)
+
+
+def test_search_settings_reach_the_final_fit(monkeypatch, spark):
+    from furlong.plans import predict
+    seen = {}
+    table = spark.createDataFrame([(3, 0.1, 0.6), (5, 0.3, 0.7)], "depth int, rate double, score double")
+    monkeypatch.setattr(predict, "prep_gbm", lambda f: f)
+    monkeypatch.setattr(predict.scoring, "tune_gbt", lambda *a, **k: (None, table))
+    monkeypatch.setattr(predict.scoring, "score_gbt", lambda *a, **k: seen.update(k))
+    rows = spark.createDataFrame([(1, 999, 0, 1.0), (2, 1, 1, 2.0)], "raceid long, result int, flag int, x double")
+    predict.gbm_scores(rows, replace(C.PRODUCTION, gbm_search=True))
+    assert (seen["depth"], seen["rate"], seen["rounds"]) == (5, 0.3, 100)
