@@ -1,7 +1,9 @@
-"""Rounding, division and hashing expressions."""
+"""Rounding, division, hashing and date literals."""
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -46,3 +48,8 @@ def finite_or_null(value: Column) -> Column:
 def clipped(value: Column, low: float, high: float) -> Column:
     """Limit to ``[low, high]``; null stays null (``greatest`` and ``least`` alone would drop it)."""
     return F.when(value.isNotNull(), F.greatest(F.least(value, F.lit(high)), F.lit(low)))
+
+
+def moment(at: datetime) -> Column:
+    """A timestamp literal without time zone, the same whatever the zones of the driver and the session are."""
+    return F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from furlong import config as C
+from furlong.functions.numeric import moment
 
 
 def in_closed_set(df: DataFrame, column: str, values: Sequence) -> DataFrame:
@@ -30,11 +31,11 @@ def complete(df: DataFrame) -> DataFrame:
 
 
 def before(df: DataFrame, column: str, cut: datetime) -> DataFrame:
-    return df.filter(F.col(column) < F.lit(cut))
+    return df.filter(F.col(column) < moment(cut))
 
 
 def since(df: DataFrame, column: str, cut: datetime) -> DataFrame:
-    return df.filter(F.col(column) >= F.lit(cut))
+    return df.filter(F.col(column) >= moment(cut))
 
 
 def to_predict(df: DataFrame) -> DataFrame:

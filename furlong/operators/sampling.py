@@ -14,6 +14,7 @@ from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from furlong.functions.numeric import keyed_hash
 from furlong.operators.ordering import mark_first_share, number_rows
+from furlong.session import materialize
 
 
 def split_stratified(df: DataFrame, label: str, key: str, test_share: float = 0.3, seed: int = 0,
@@ -42,7 +43,7 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 def with_class_weight(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
     weights = class_weights(df, label).withColumnRenamed("weight", name)
-    return df.join(F.broadcast(weights), label)          # one row per class
+    return df.join(materialize(weights, "weights"), label)
 
 
 def of_class(df: DataFrame, label: str, value: int) -> DataFrame:

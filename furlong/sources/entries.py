@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from furlong.functions.numeric import moment
 from furlong.operators.ordering import grouped_numbers, hot_keys
 
 PREDICT_FROM = datetime(2001, 7, 1)
@@ -58,7 +59,7 @@ def race_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
                                            "fav": [F.desc("qty"), F.col("hid")]},
                         count="horsecount", hot=lambda: _hot(spark, sf_dir))
     race, hid, pos, fav = F.col("race"), F.col("hid"), F.col("pos").cast("int"), F.col("fav").cast("int")
-    ahead = F.col("days") >= F.lit(PREDICT_FROM).cast("timestamp_ntz")
+    ahead = F.col("days") >= moment(PREDICT_FROM)
 
     def label(letter: str, number: Column) -> Column:
         return F.concat(F.lit(letter), number.cast("string"))

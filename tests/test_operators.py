@@ -204,3 +204,14 @@ def test_predictions_and_reports_are_written(spark, tmp_path):
     assert sorted((int(r.row), int(r.raceid)) for r in back.collect()) == [(0, 10), (1, 20), (2, 30)]
     files.write_report(spark.createDataFrame([("a", True, 0.5)], "feature string, kept boolean, score double"), str(tmp_path / "r"))
     assert spark.read.option("header", True).csv(str(tmp_path / "r")).count() == 1
+
+
+def test_date_cuts_do_not_depend_on_the_session_zone(spark):
+    df = spark.createDataFrame([(1, datetime(2020, 12, 31, 23)), (2, datetime(2021, 1, 1))], "id int, days timestamp_ntz")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        assert col(filters.before(df, "days", datetime(2021, 1, 1)), "id") == [1]
+        assert col(filters.since(df, "days", datetime(2021, 1, 1)), "id") == [2]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
