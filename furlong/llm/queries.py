@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furlong.llm import counts, topk
+from furlong.llm import contain, counts, crf, topk
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -49,3 +49,21 @@ def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_section_tokens")
 def op6_section_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.section_tokens(documents(spark, sf_dir), RANKS)
+
+
+@query("op8_contained_items")
+def op8_contained_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contain.contained_items(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def bucket_of(key: str, n: int):
+    return F.crc32(F.encode(F.col(key).cast("string"), "UTF-8")) % n
+
+
+@query("op9_language")
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = crf.fit(crf.training_sample(docs, bucket_of("doc_id", 5) != 0))
+    held = F.coalesce(bucket_of("doc_id", 5) == 0, F.lit(False)).alias("held_out")
+    labelled = crf.with_language(docs.select("doc_id", "text", held), model)
+    return labelled.select("doc_id", "held_out", "lang_pred", "score")
