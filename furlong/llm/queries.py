@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furlong.llm import contain, counts, crf, topk
+from furlong.llm import contain, counts, crf, packing, topk, warc
+from furlong.llm.ship import ship_package
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -18,7 +19,11 @@ ORACLES: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def add(f):
-        QUERIES[name] = f
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return f(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql:
             ORACLES[name] = sql
         return f
@@ -67,3 +72,24 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = F.coalesce(bucket_of("doc_id", 5) == 0, F.lit(False)).alias("held_out")
     labelled = crf.with_language(docs.select("doc_id", "text", held), model)
     return labelled.select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query("op4_packed")
+def op4_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(documents(spark, sf_dir), RANKS)
+
+
+@query("op7_archived_pages", """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h,
+         max(page_id) OVER (PARTITION BY coalesce(html, '')) AS keeper
+  FROM pages)
+SELECT page_id, payload_bytes,
+       list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+         (CAST('0x' || substr(h, CAST(1 + 5 * (i // 4) AS BIGINT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31
+         AS BIGINT), 1)), 'string_agg', '') AS payload_digest,
+       CASE WHEN page_id IS NOT DISTINCT FROM keeper THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM keeper THEN keeper END AS refers_to
+FROM p""")
+def op7_archived_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
