@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furlong.llm import contain, counts, crf, packing, topk, warc
+from furlong.llm import contain, counts, crf, jaccard, packing, topk, warc
 from furlong.llm.ship import ship_package
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -93,3 +93,8 @@ SELECT page_id, payload_bytes,
 FROM p""")
 def op7_archived_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+@query("op10_near_duplicates")
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(documents(spark, sf_dir))
