@@ -16,7 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from furlong.session import materialize, scratch_path
+from furlong.llm.blocks import released, written
+from furlong.session import scratch_path
 
 #: Parts of the public WARC 1.1 format.
 MAGIC = "WARC/1.1\r\n"
@@ -46,12 +47,16 @@ def payload_groups(pages: DataFrame, key: str, payload: str, url: str, least: in
     last = rows.filter(F.col("size") >= least).groupBy(
         F.col("digest").alias("d2"), F.col("size").alias("size2")).agg(F.max("id").alias("keeper"))
     same = (F.col("digest") == F.col("d2")) & (F.col("size") == F.col("size2"))
-    return rows.join(materialize(last, "keepers"), same, "left").drop("d2", "size2")
+    return rows.join(written(last, "keepers"), same, "left").drop("d2", "size2")
 
 
 def write_archives(pages: DataFrame, path: str, key: str = "page_id", payload: str = "html", url: str = "url",
-                   least: int = 0) -> None:
-    """Write one record per page as WARC files into the folder ``path``."""
+                   least: int = 0, compression: str = "gzip", records_per_file: int = 20_000) -> None:
+    """Write one record per page as WARC files into the folder ``path``.
+
+    A compressed file is read by one task and so has a bounded number of records; ``none`` leaves files as
+    they are, which are then read in splits.
+    """
     rows = payload_groups(pages, key, payload, url, least)
     revisit = F.col("keeper").isNotNull() & ~F.col("id").eqNullSafe(F.col("keeper"))
     name = F.concat(F.lit("<urn:page:"), F.coalesce(F.col("id").cast("string"), F.lit("null")), F.lit(">"))
@@ -62,16 +67,20 @@ def write_archives(pages: DataFrame, path: str, key: str = "page_id", payload: s
         F.lit("WARC-Date: 1970-01-01T00:00:00Z"), F.concat(F.lit("WARC-Payload-Digest: sha1:"), F.col("digest")),
         F.when(revisit, F.concat(F.lit("WARC-Refers-To: <urn:page:"), F.col("keeper").cast("string"), F.lit(">"))),
         F.concat(F.lit("Content-Length: "), F.octet_length(kept).cast("string")))
-    rows.select(F.concat(head, F.lit(RECORD_END), kept).alias("value")).write.option(
-        "lineSep", RECORD_END).text(path)
+    out = rows.select(F.concat(head, F.lit(RECORD_END), kept).alias("value"))
+    with released(pages.sparkSession):
+        out.write.option("lineSep", RECORD_END).option("compression", compression).option(
+            "maxRecordsPerFile", records_per_file).text(path)
 
 
-def _pieces(df: DataFrame) -> DataFrame:
-    """Pieces between magics with file, split, order in the split and size in bytes, magic included."""
-    return df.select(
+def _pieces(spark, path: str) -> DataFrame:
+    """Pieces between magics with file, split and a number that gives their order.
+
+    The number is the same in every read of the same archives, since splits are cut alike.
+    """
+    return spark.read.option("lineSep", MAGIC).text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("no"), "value",
-        (F.octet_length("value") + len(MAGIC)).cast("long").alias("size"))
+        F.monotonically_increasing_id().alias("no"), "value")
 
 
 def _header(value: Column, name: str) -> Column:
@@ -79,23 +88,25 @@ def _header(value: Column, name: str) -> Column:
 
 
 def candidates(spark, path: str) -> DataFrame:
-    """A written table ``file, block, at, next, value``: each piece, its offset and its successor's offset.
+    """A table ``file, block, no, at, next``: each piece, its offset and its successor's offset.
 
     ``at`` is where the piece's magic stands; ``next`` is null if the piece has no usable header.
     """
-    found = materialize(_pieces(spark.read.option("lineSep", MAGIC).text(path)), "pieces")
+    length = _header(F.col("value"), "Content-Length")
+    found = _pieces(spark, path).select(
+        "file", "block", "no", (F.octet_length("value") + len(MAGIC)).cast("long").alias("size"), length.alias("length"),
+        F.when(F.contains("value", F.lit(RECORD_END)),
+               F.octet_length(F.substring_index("value", RECORD_END, 1))).alias("head"))
+    found = written(found.withColumn("length", F.expr("try_cast(length AS BIGINT)")), "pieces")
     inside = Window.partitionBy("file", "block").orderBy("no").rowsBetween(Window.unboundedPreceding, -1)
     files = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     starts = found.groupBy("file", "block").agg(F.sum("size").alias("sum")).select(
         "file", "block", F.coalesce(F.sum("sum").over(files), F.lit(0)).alias("start"))
-    at = F.col("start") + F.coalesce(F.sum("size").over(inside), F.lit(0)) - len(MAGIC)
-    placed = found.join(starts, ["file", "block"]).withColumn("at", at)
-    head = F.substring_index("value", RECORD_END, 1)
-    length = F.expr("try_cast(__length AS BIGINT)")
-    placed = placed.withColumn("__length", _header(F.col("value"), "Content-Length")).withColumn("length", length)
-    usable = (F.col("length") >= 0) & (F.col("value").contains(RECORD_END))
-    after = F.col("at") + len(MAGIC) + F.octet_length(head) + len(RECORD_END) + F.col("length") + len(RECORD_END)
-    return placed.filter("at >= 0").select("file", "block", "at", F.when(usable, after).alias("next"), "value")
+    placed = found.withColumn("sum", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(
+        starts, ["file", "block"]).withColumn("at", F.col("start") + F.col("sum") - len(MAGIC))
+    after = F.col("at") + len(MAGIC) + F.col("head") + len(RECORD_END) + F.col("length") + len(RECORD_END)
+    return placed.filter("at >= 0").select(
+        "file", "block", "no", "at", F.when(F.col("length") >= 0, after).alias("next"))
 
 
 def reachable(links: DataFrame) -> DataFrame:
@@ -105,7 +116,7 @@ def reachable(links: DataFrame) -> DataFrame:
     its first offset outside of the split. Offsets at which a chain enters a split are the nodes of the
     pointer jumping, in which the marked nodes double with every round.
     """
-    links = materialize(links.select("file", "block", "at", "next"), "links")
+    links = written(links.select("file", "block", "at", "next"), "links")
 
     def leave(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("at", ignore_index=True)
@@ -118,24 +129,24 @@ def reachable(links: DataFrame) -> DataFrame:
                 out[i] = out[place[i]]
         return pd.DataFrame({"file": frame["file"], "block": frame["block"], "at": at, "out": out})
 
-    exits = materialize(links.groupBy("file", "block").applyInPandas(
+    exits = written(links.groupBy("file", "block").applyInPandas(
         leave, "file string, block long, at long, out long"), "exits")
     # Nodes: file starts and every candidate that some chain enters from another split.
     targets = exits.groupBy("file", F.col("out").alias("at")).agg(F.lit(True).alias("entered"))
     nodes = exits.join(targets, ["file", "at"], "left").filter("entered OR at = 0").select("file", "at", "out")
-    jumps = materialize(nodes, "jumps")
-    marked = materialize(jumps.filter("at = 0").select("file", "at"), "marked")
+    jumps = written(nodes, "jumps")
+    marked = written(jumps.filter("at = 0").select("file", "at"), "marked")
     count = marked.count()
     while True:
         ahead = marked.join(jumps, ["file", "at"]).select("file", F.col("out").alias("at"))
         real = ahead.join(jumps.select("file", "at"), ["file", "at"], "left_semi")
-        grown = materialize(marked.unionByName(real).distinct(), "marked")
+        grown = written(marked.unionByName(real).distinct(), "marked")
         now = grown.count()
         if now == count:
             break
         marked, count = grown, now
         far = jumps.select("file", F.col("at").alias("out"), F.col("out").alias("far"))
-        jumps = materialize(jumps.join(far, ["file", "out"], "left").select(
+        jumps = written(jumps.join(far, ["file", "out"], "left").select(
             "file", "at", F.coalesce("far", "out").alias("out")), "jumps")
 
     def follow(frame: pd.DataFrame) -> pd.DataFrame:
@@ -158,9 +169,9 @@ def read_archives(spark, path: str) -> DataFrame:
 
     The magic may stand in payloads, also followed by a whole forged header. Empty files give no record.
     """
-    pieces = materialize(candidates(spark, path), "candidates")
-    real = reachable(pieces).withColumn("real", F.lit(True))
-    marked = materialize(pieces.select("file", "block", "at", "value").join(real, ["file", "at"], "left"), "marked")
+    links = written(candidates(spark, path), "links")
+    real = reachable(links).withColumn("real", F.lit(True))
+    marked = written(links.select("file", "block", "no", "at").join(real, ["file", "at"], "left"), "marked")
     # A piece belongs to the last real record at or before it, which may start in an earlier split.
     inside = Window.partitionBy("file", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     files = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
@@ -168,10 +179,16 @@ def read_archives(spark, path: str) -> DataFrame:
         "file", "block", F.max("last").over(files).alias("carried"))
     here = F.max(F.when(F.col("real"), F.col("at"))).over(inside)
     owned = marked.withColumn("here", here).join(last, ["file", "block"]).withColumn(
-        "record", F.coalesce("here", "carried")).filter(F.col("record").isNotNull())
+        "record", F.coalesce("here", "carried")).filter(F.col("record").isNotNull()).select("file", "no", "at", "record")
+    split = owned.groupBy("file", "record").agg(F.count("*").alias("parts")).filter("parts > 1")
+    owned = written(owned.join(split, ["file", "record"], "left"), "owned")
+    # Records of one piece are whole; only those with the magic in their payload are put together.
+    texts = _pieces(spark, path).select("file", "no", "value")
+    alone = texts.join(owned.filter("parts IS NULL"), ["file", "no"]).select("file", F.col("record").alias("at"), F.col("value").alias("v"))
     parts = F.array_sort(F.collect_list(F.struct("at", "value")))
-    whole = owned.groupBy("file", "record").agg(parts.alias("parts")).select(
-        "file", F.col("record").alias("at"), F.array_join(F.transform("parts", lambda p: p["value"]), MAGIC).alias("v"))
+    whole = texts.join(owned.filter("parts > 1"), ["file", "no"]).groupBy("file", "record").agg(parts.alias("p")).select(
+        "file", F.col("record").alias("at"), F.array_join(F.transform("p", lambda x: x["value"]), MAGIC).alias("v"))
+    whole = alone.unionByName(whole)
     length = _header(F.col("v"), "Content-Length").cast("long")
     data = F.expr(f"substring(cast(v AS binary), octet_length(substring_index(v, '\\r\\n\\r\\n', 1)) + {len(RECORD_END) + 1}, "
                   "cast(length AS int))")
@@ -184,7 +201,7 @@ def read_archives(spark, path: str) -> DataFrame:
 
 
 def archived_pages(pages: DataFrame, key: str = "page_id", payload: str = "html", url: str = "url",
-                   least: int = 0, path: str | None = None) -> DataFrame:
+                   least: int = 0, path: str | None = None, compression: str = "gzip") -> DataFrame:
     """Write ``pages`` as archives, read them back: ``key, payload_bytes, payload_digest, record_type, refers_to``.
 
     Of equal payloads of ``least`` bytes or more, the pages with the largest key are responses and all others
@@ -195,13 +212,13 @@ def archived_pages(pages: DataFrame, key: str = "page_id", payload: str = "html"
     """
     spark = pages.sparkSession
     path = path or scratch_path(spark, "warc")
-    write_archives(pages, path, key, payload, url, least)
+    write_archives(pages, path, key, payload, url, least, compression)
     number = F.expr("try_cast(regexp_extract(record_id, '<urn:page:(.*)>', 1) AS BIGINT)")
     target = F.expr("try_cast(regexp_extract(refers_to, '<urn:page:(.*)>', 1) AS BIGINT)")
     read = read_archives(spark, path).select(
         number.alias("id"), "type", target.alias("target"), F.col("length").alias("size"),
         F.when(F.col("type") == "response", base32_sha1(F.col("payload"))).otherwise(F.col("digest")).alias("digest"))
-    read = materialize(read, "records")
+    read = written(read, "records")
     sizes = read.filter("type = 'response'").groupBy(F.col("digest").alias("d2")).agg(F.max("size").alias("full"))
     revisits = read.filter("type = 'revisit'").join(sizes, F.col("digest") == F.col("d2"), "left")
     shape = lambda df, size, to: df.select(

@@ -137,16 +137,17 @@ def expected(rows):
     return sorted(map(str, out))
 
 
-@pytest.mark.parametrize("split", ["128m", "4k"])
-def test_archives_round_trip(spark, tmp_path, split):
+@pytest.mark.parametrize("split,compression", [("128m", "gzip"), ("4k", "none")])
+def test_archives_round_trip(spark, tmp_path, split, compression):
     before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", split)
     spark.conf.set("spark.sql.files.openCostInBytes", "1k")
     try:
         df = spark.createDataFrame(pages(), "page_id long, url string, html string").withColumn("size", F.lit(1)).repartition(2)
-        got = warc.archived_pages(df, path=str(tmp_path / "w")).collect()
+        got = warc.archived_pages(df, path=str(tmp_path / "w"), compression=compression).collect()
         assert sorted(str(tuple(r)) for r in got) == expected(pages())
-        assert any(os.path.getsize(tmp_path / "w" / f) > 100_000 for f in os.listdir(tmp_path / "w"))
+        if compression == "none":
+            assert any(os.path.getsize(tmp_path / "w" / f) > 100_000 for f in os.listdir(tmp_path / "w"))
         payloads = {r["record_id"]: bytes(r["payload"]).decode() for r in warc.read_archives(spark, str(tmp_path / "w")).collect()
                     if r["type"] == "response"}
         assert payloads["<urn:page:203>"] == FORGED + FORGED and payloads["<urn:page:205>"].startswith("éé")
