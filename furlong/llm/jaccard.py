@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from furlong.llm import text as T
-from furlong.session import materialize
+from furlong.llm.blocks import written
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -112,7 +112,7 @@ def signed(docs: DataFrame, key: str, text: str, threshold: float, words: int, r
     ddl = "k long, set long, n long, " + ", ".join(
         f"p{i + 1} array<struct<id: long, parent: long>>" for i in range(depth))
     rows = docs.select(F.col(key).cast("long").alias("k"), F.col(text).cast("string").alias("t"))
-    return materialize(rows.mapInArrow(sign, ddl), "signed")
+    return written(rows.mapInArrow(sign, ddl), "signed")
 
 
 def buckets(sets: DataFrame, small: int, depth: int) -> DataFrame:
@@ -124,7 +124,7 @@ def buckets(sets: DataFrame, small: int, depth: int) -> DataFrame:
         if crowded is not None:
             rows = rows.join(crowded, "parent", "left_semi")
         rows = rows.drop("parent")
-        sizes = materialize(rows.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1"), "sizes")
+        sizes = written(rows.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1"), "sizes")
         done = sizes if level == depth else sizes.filter(F.col("size") <= small)
         parts.append(rows.join(done, "bucket"))
         if level < depth:
@@ -139,11 +139,11 @@ def buckets(sets: DataFrame, small: int, depth: int) -> DataFrame:
 
 def without_twins(members: DataFrame) -> DataFrame:
     """Of buckets with the same members the first alone, found by sums over two hashes of the members."""
-    members = materialize(members, "members")
+    members = written(members, "members")
     prints = members.groupBy("bucket").agg(
         F.first("size").alias("size"), F.bit_xor("set").alias("x"), F.bit_xor(F.xxhash64("set")).alias("y"))
     first = prints.groupBy("size", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket")
-    return materialize(members.join(first, "bucket", "left_semi"), "members")
+    return written(members.join(first, "bucket", "left_semi"), "members")
 
 
 def _matched(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -250,17 +250,17 @@ def components(edges: DataFrame) -> DataFrame:
 
     Labels spread along edges and then jump to their label's label, so long chains shorten quickly.
     """
-    both = materialize(edges.select("a", "b").unionByName(
+    both = written(edges.select("a", "b").unionByName(
         edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    labels = materialize(both.groupBy(F.col("a").alias("node")).agg(
+    labels = written(both.groupBy(F.col("a").alias("node")).agg(
         F.least(F.min("b"), F.col("node")).alias("label")), "labels")
     while True:
         seen = both.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("label").alias("near"))
         spread = labels.join(seen, F.col("node") == F.col("a")).select(
             "node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        spread = materialize(spread, "labels")
+        spread = written(spread, "labels")
         far = spread.select(F.col("node").alias("label"), F.col("label").alias("far"))
-        jumped = materialize(spread.join(far, "label", "left").select(
+        jumped = written(spread.join(far, "label", "left").select(
             "node", "old", F.least("label", F.coalesce("far", "label")).alias("label")), "labels")
         labels = jumped.select("node", "label")
         if jumped.filter("label <> old").isEmpty():
@@ -282,11 +282,11 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, words: int =
     runs = runs_needed(threshold, recall, depth)
     table = signed(docs, key, text, threshold, words, runs, depth)
     paths = [f"p{i + 1}" for i in range(depth)]
-    sets = materialize(table.filter("set IS NOT NULL").groupBy("set").agg(
+    sets = written(table.filter("set IS NOT NULL").groupBy("set").agg(
         F.min("k").alias("first"), F.count("*").alias("copies"), *[F.first(p).alias(p) for p in paths]), "sets")
     members = without_twins(buckets(sets, small, depth))
     wanted = members.select("set").distinct().join(sets.select("set", "first", "copies"), "set")
-    wanted = materialize(wanted, "wanted")
+    wanted = written(wanted, "wanted")
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -306,7 +306,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, words: int =
     texts = docs.select(F.col(key).cast("long").alias("k"), F.col(text).cast("string").alias("t"))
     shingles = texts.join(wanted, F.col("k").eqNullSafe(F.col("first"))).select("t", "set", "copies")
     shingles = shingles.mapInArrow(cut, "set long, copies long, tokens binary").dropDuplicates(["set"])
-    found = materialize(verified(members, materialize(shingles, "shingles"), threshold, block), "found")
+    found = written(verified(members, written(shingles, "shingles"), threshold, block), "found")
     links = found.groupBy("set").agg(F.sum("links").alias("links"))
     parts = components(found.filter("set <> root").select(F.col("set").alias("a"), F.col("root").alias("b")))
     named = sets.select("set", "first", "copies").join(parts.withColumnRenamed("node", "set"), "set", "left")
@@ -314,7 +314,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, words: int =
     class_ids = named.groupBy("label").agg(F.min("first").alias("class_id"))
     named = named.join(class_ids, "label").select(
         "set", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    out = table.select("k", "set").join(materialize(named, "named"), "set", "left")
+    out = table.select("k", "set").join(written(named, "named"), "set", "left")
     alone = F.col("set").isNull()
     return out.select(F.col("k").alias(key), F.when(alone, F.col("k")).otherwise(F.col("class_id")).alias("class_id"),
                       F.coalesce("n_links", F.lit(0)).alias("n_links"))
