@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furlong.llm import contain, counts, crf, jaccard, packing, topk, warc
+from furlong.llm import contain, counts, crf, jaccard, lpf, packing, substring, topk, warc
 from furlong.llm.ship import ship_package
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -98,3 +98,43 @@ def op7_archived_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_near_duplicates")
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(documents(spark, sf_dir))
+
+
+@query("op2_without_repeats", r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+n AS (SELECT rid, w, unnest(range(1, greatest(len(w) - 33, 1))) AS i FROM d),
+win AS (SELECT rid, i, md5(array_to_string(w[i:i+34], ' ')) AS s FROM n),
+hit AS (SELECT rid, i FROM win WHERE s IN (SELECT s FROM win GROUP BY s HAVING count(*) > 1)),
+gone AS (SELECT DISTINCT rid, i + j AS pos FROM hit, (SELECT unnest(range(0, 35)) AS j)),
+p AS (SELECT rid, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS pos FROM d),
+k AS (
+  SELECT rid, string_agg(word, ' ' ORDER BY pos) AS kept, count(*) AS n_kept
+  FROM p ANTI JOIN gone USING (rid, pos) GROUP BY rid)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n_kept, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (rid)""")
+def op2_without_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.without_repeats(documents(spark, sf_dir))
+
+
+@query("op5_without_later_copies", """
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+b AS (SELECT rid, doc_id, h, unnest(range(0, greatest(n - 49, 0))) AS i FROM d),
+win AS (SELECT rid, doc_id, i, hash(substr(h, 2 * i + 1, 100)) AS s FROM b),
+hit AS (SELECT rid, i FROM win JOIN (SELECT s, min(doc_id) AS least FROM win GROUP BY s) USING (s) WHERE doc_id > least),
+run AS (
+  SELECT rid, min(i) AS a, max(i) + 50 AS z FROM (
+    SELECT rid, i, sum(fresh) OVER (PARTITION BY rid ORDER BY i) AS g FROM (
+      SELECT rid, i, CASE WHEN i - lag(i) OVER (PARTITION BY rid ORDER BY i) <= 50 THEN 0 ELSE 1 END AS fresh FROM hit))
+  GROUP BY rid, g),
+cut AS (
+  SELECT rid, count(*) AS n_spans, sum(z - a) AS n_removed, list(a ORDER BY a) AS starts, list(z ORDER BY a) AS ends FROM run GROUP BY rid)
+SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(CASE WHEN starts IS NULL THEN h ELSE array_to_string(list_transform(range(0, len(starts) + 1), lambda x:
+         substr(h, CASE WHEN x = 0 THEN 1 ELSE 2 * ends[x] + 1 END,
+                2 * ((CASE WHEN x = len(starts) THEN n ELSE starts[x + 1] END) - (CASE WHEN x = 0 THEN 0 ELSE ends[x] END)))), '') END
+       )) AS kept_sha256
+FROM d LEFT JOIN cut USING (rid)""")
+def op5_without_later_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lpf.without_later_copies(documents(spark, sf_dir))
