@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furlong.llm import contain, counts, crf, jaccard, lpf, packing, substring, topk, warc
+from furlong.llm import brown, contain, counts, crf, jaccard, lpf, packing, substring, topk, warc
 from furlong.llm.ship import ship_package
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -138,3 +138,11 @@ SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed
 FROM d LEFT JOIN cut USING (rid)""")
 def op5_without_later_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lpf.without_later_copies(documents(spark, sf_dir))
+
+
+@query("op3_scored")
+def op3_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", (bucket_of("doc_id", 10) != 0).alias("learn"))
+    out = brown.scored(docs, "learn")
+    return out.withColumn("held_out", ~F.col("learn") & F.col("doc_id").isNotNull()).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
