@@ -21,6 +21,7 @@ from furlong.llm.repeats import Parts, Rule, covered, document_keys, repeats
 
 LENGTH = 50
 GRAM = 16
+BLOCK_BYTES = 2 << 20
 
 
 def _bytes(table: pa.Table):
@@ -48,6 +49,12 @@ def previous_smaller(values: np.ndarray, floor: np.ndarray) -> np.ndarray:
         at[go] = at[at[go]]
 
 
+def _eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from every position as one number."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    return np.ndarray((len(data),), "<u8", padded, 0, (1,))
+
+
 def earlier_match(data: np.ndarray, starts: np.ndarray, docs: np.ndarray, length: int) -> np.ndarray:
     """Whether the ``length`` bytes at each start also stand at a start of a smaller document.
 
@@ -55,26 +62,29 @@ def earlier_match(data: np.ndarray, starts: np.ndarray, docs: np.ndarray, length
     neighbours agree in all of them exactly if their longest common prefix is that long.
     """
     out = np.zeros(len(starts), bool)
-    # A window whose hash no other has has no match of this length: it needs no place in the order.
-    prefix = T.rolled(T.BYTE_VALUES[data])
-    _, place, counts = np.unique(T.spanned(prefix, starts, starts + length), return_inverse=True, return_counts=True)
-    rows = np.flatnonzero(counts[place] > 1)
+    # Equal windows share a place in the order, and one that is alone has no match: one of each set of equal
+    # ones is sorted, the others are compared with it byte by byte.
+    names = T.spanned(T.rolled(T.BYTE_VALUES[data]), starts, starts + length)
+    _, first, place, counts = np.unique(names, return_index=True, return_inverse=True, return_counts=True)
+    several = counts > 1
+    rows = np.flatnonzero(several[place])
     if not len(rows):
         return out
-    at, docs = starts[rows], docs[rows]
-    padded = np.concatenate([data, np.zeros(8, np.uint8)])
-    keys = []
-    for step in range(0, length, 8):
-        take = min(8, length - step)
-        key = np.zeros(len(at), np.uint64)
-        for i in range(take):
-            key = (key << np.uint64(8)) | padded[at + step + i]
-        keys.append(key)
-    order = np.lexsort(keys[::-1])
-    same = np.ones(len(order) - 1, bool)
-    for key in keys:
-        same &= key[order[1:]] == key[order[:-1]]
-    begins = np.flatnonzero(np.append(True, ~same))
+    heads = starts[first[several]]
+    text = np.lib.stride_tricks.sliding_window_view(data, length)[heads]
+    ranks = np.empty(len(heads), np.int64)
+    ranks[np.argsort(np.ascontiguousarray(text).view(f"S{length}").ravel(), kind="stable")] = np.arange(len(heads))
+    mine = (np.cumsum(several) - 1)[place[rows]]
+    at, head = starts[rows], heads[mine]
+    same = np.ones(len(rows), bool)
+    eight = _eights(data)
+    for step in [*range(0, length - 8, 8), max(0, length - 8)]:
+        same &= eight[at + step] == eight[head + step]
+    rows, mine = rows[same], mine[same]
+    docs = docs[rows]
+    order = np.argsort(ranks[mine], kind="stable")
+    rank = ranks[mine][order]
+    begins = np.flatnonzero(np.append(True, rank[1:] != rank[:-1]))
     floor = np.repeat(begins, np.diff(np.append(begins, len(order))))
     ceiling = np.repeat(np.append(begins[1:], len(order)), np.diff(np.append(begins, len(order))))
     value = docs[order]
@@ -96,7 +106,8 @@ def rule(length: int = LENGTH, gram: int = GRAM) -> Rule:
     return Rule(
         length, min(gram, length), "u1", "<i8", _bytes,
         lambda place, docs, table, n: smallest(place, document_keys(table)[docs], n), smallest,
-        _later(length), lambda flags, first, own: flags | (own > first))
+        _later(length), lambda flags, first, own: flags | (own > first), first_stays=True,
+        shards_per_block=0.5)
 
 
 def _finish(length: int, keep_bytes: bool):
@@ -131,6 +142,7 @@ def without_later_copies(docs: DataFrame, length: int = LENGTH, key: str = "doc_
     cross documents. Null texts are empty; shorter texts lose nothing. Rows with equal keys do not remove each
     other's bytes. A null key is larger than all others. Other columns are ignored; an empty table gives no rows.
     """
-    blocks = Blocks(docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("__text")), "__text", ["doc"])
+    blocks = Blocks(docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("__text")), "__text", ["doc"],
+                    BLOCK_BYTES)
     schema = "doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_bytes
     return repeats(blocks, rule(length), _finish(length, keep_bytes), schema).withColumnRenamed("doc", key)

@@ -23,11 +23,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from furlong.llm import text as T
-from furlong.llm.blocks import Blocks, flat_ranges, joined, shards, split_by, unpacked, written
+from furlong.llm.blocks import BLOCK_BYTES, Blocks, flat_ranges, joined, shards, split_by, unpacked, written
 
 HOT = 4096
-#: Names of single windows of hot anchors differ from those of regions that happen to be as short.
-SINGLE = np.uint64(0x5851F42D4C957F2D)
+ONE = np.uint64(1)
 
 
 @dataclass(frozen=True)
@@ -42,7 +41,9 @@ class Rule:
     combine: Callable  # (region of each entry, summaries, number of regions) -> summaries
     repeated: Callable  # (symbols, lengths, summaries) -> flag per window
     answer: Callable  # (flags, regions' summaries, the block's own summaries), per window -> flags
-    shards_per_block: int = 1
+    first_stays: bool
+    shards_per_block: float = 1
+    block_bytes: int = BLOCK_BYTES
 
 
 def sliding_min(x: np.ndarray, n: int) -> np.ndarray:
@@ -66,8 +67,14 @@ class Parts:
     start: np.ndarray
     count: np.ndarray
 
-    def hashes(self, start: np.ndarray, count: np.ndarray | int, length: int) -> np.ndarray:
-        return T.spanned(self.prefix, start, start + count + length - 1, T.STEP_INVERSE)
+    def names(self, start: np.ndarray, count: np.ndarray, length: int) -> np.ndarray:
+        """Names of regions, hashes that are even; those of single windows of hot anchors are odd."""
+        return T.spanned(self.prefix, start, start + count + length - 1, T.STEP_INVERSE) & ~ONE
+
+    def single_names(self, length: int) -> np.ndarray:
+        if not len(self.windows):
+            return np.zeros(0, np.uint64)
+        return T.spanned_all(self.prefix, length, T.STEP_INVERSE)[self.windows] | ONE
 
     def documents(self, at: np.ndarray) -> np.ndarray:
         return T.owners(self.offsets, at)
@@ -80,8 +87,7 @@ def regions(table: pa.Table, rule: Rule) -> Parts:
     if not len(windows):
         none = np.zeros(0, np.int64)
         return Parts(sent, offsets, more, windows, prefix, np.zeros(0, np.uint64), none, none)
-    at = np.arange(len(hashed) - rule.gram + 1)
-    grams = T.spanned(prefix, at, at + rule.gram, T.STEP_INVERSE)
+    grams = T.spanned_all(prefix, rule.gram, T.STEP_INVERSE)
     least = sliding_min(grams, rule.length - rule.gram + 1)[windows]
     first = np.ones(len(windows), bool)
     first[1:] = (least[1:] != least[:-1]) | (windows[1:] != windows[:-1] + 1)
@@ -101,20 +107,26 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return known, at[known]
 
 
-def _located(parts: Parts, wanted: np.ndarray, counts: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """(first window, place in the sorted ``wanted``, whether a single window) of all occurrences."""
-    known, at = _find(parts.hashes(parts.start, parts.count, length), wanted)
-    start, place, single = parts.start[known], at, np.zeros(len(known), bool)
-    if (counts == 1).any():
-        known, at = _find(parts.hashes(parts.windows, 1, length) ^ SINGLE, wanted)
-        start, place = np.append(start, parts.windows[known]), np.append(place, at)
-        single = np.append(single, np.ones(len(known), bool))
-    return start, place, single
+def _located(parts: Parts, wanted: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """(first window, windows, place in the sorted ``wanted``, whether single) of all occurrences."""
+    known, place = _find(parts.names(parts.start, parts.count, length), wanted)
+    start, count, single = parts.start[known], parts.count[known], np.zeros(len(known), bool)
+    hot = np.flatnonzero(wanted & ONE)
+    if len(hot):
+        names = parts.single_names(length)
+        likely = np.zeros(1 << 20, bool)
+        likely[(wanted[hot] >> np.uint64(44)).astype(np.int64)] = True
+        near = np.flatnonzero(likely[(names >> np.uint64(44)).astype(np.int64)])
+        known, at = _find(names[near], wanted[hot])
+        start = np.append(start, parts.windows[near[known]])
+        count = np.append(count, np.ones(len(known), np.int64))
+        place, single = np.append(place, hot[at]), np.append(single, np.ones(len(known), bool))
+    return start, count, place, single
 
 
 def repeats(blocks: Blocks, rule: Rule, finish: Callable, schema: str) -> DataFrame:
     """``finish(rows, parts, repeated windows' starts)`` per block, as a table of the given schema."""
-    n_shards, length = blocks.count * rule.shards_per_block, rule.length
+    n_shards, length = max(1, int(blocks.count * rule.shards_per_block)), rule.length
 
     def send_anchors(block: int, table: pa.Table) -> pa.Table:
         keys, counts = np.unique(regions(table, rule).anchor, return_counts=True)
@@ -148,8 +160,8 @@ def repeats(blocks: Blocks, rule: Rule, finish: Callable, schema: str) -> DataFr
         single = flat_ranges(parts.start[many], parts.count[many])
         start = np.concatenate([parts.start[cold], single])
         count = np.concatenate([parts.count[cold], np.ones(len(single), np.int64)])
-        name = parts.hashes(start, count, length)
-        name[len(cold):] ^= SINGLE
+        name = parts.names(start, count, length)
+        name[len(cold):] |= ONE
         route = np.concatenate([parts.anchor[cold], name[len(cold):]])
         names, first, place = np.unique(name, return_index=True, return_inverse=True)
         own = rule.summarise(place, parts.documents(start), table, len(names)).astype(rule.summary)
@@ -178,14 +190,10 @@ def repeats(blocks: Blocks, rule: Rule, finish: Callable, schema: str) -> DataFr
         target = np.repeat(np.array(mail.column("shard").to_pylist(), np.int64), [len(x) for x in lists])
         order = np.argsort(wanted)
         wanted, target = wanted[order], target[order]
-        # A name stands for one content, so any occurrence will do; whole regions are looked up first.
-        start, count = np.full(len(wanted), -1), np.zeros(len(wanted), np.int64)
-        known, at = _find(parts.hashes(parts.start, parts.count, length), wanted)
-        start[at], count[at] = parts.start[known], parts.count[known]
-        if (start < 0).any():
-            known, at = _find(parts.hashes(parts.windows, 1, length) ^ SINGLE, wanted)
-            left = start[at] < 0
-            start[at[left]], count[at[left]] = parts.windows[known[left]], 1
+        # A name stands for one content, so any occurrence will do.
+        found, windows, place, _ = _located(parts, wanted, length)
+        start, count = np.zeros(len(wanted), np.int64), np.zeros(len(wanted), np.int64)
+        start[place], count[place] = found, windows
         order, cuts = split_by(target)
         start, sizes, wanted = start[order], count[order] + length - 1, wanted[order]
         out = []
@@ -214,7 +222,7 @@ def repeats(blocks: Blocks, rule: Rule, finish: Callable, schema: str) -> DataFr
             at += len(mine)
             per = np.repeat(np.arange(len(here)), count[here])
             marked = rule.answer(flags[flat_ranges(begins[here], count[here])], summary[here][per], sums[per])
-            tell = (np.bincount(per, marked, len(here)) > 0) | (count[here] == 1)
+            tell = (np.bincount(per, marked, len(here)) > 0) | ((mine & ONE) > 0)
             if tell.any():
                 bits = np.packbits(marked[tell[per]])
                 out.append((block, mine[tell].tobytes(), count[here][tell].astype("<u4").tobytes(), bits.tobytes()))
@@ -231,20 +239,19 @@ def repeats(blocks: Blocks, rule: Rule, finish: Callable, schema: str) -> DataFr
         begins = np.cumsum(counts) - counts
         order = np.argsort(names)
         names, counts, begins = names[order], counts[order], begins[order]
-        start, place, single = _located(parts, names, counts, length)
-        n = counts[place]
+        start, n, place, single = _located(parts, names, length)
+        marked = np.zeros(len(parts.prefix), bool)
         window, flag = flat_ranges(start, n), flags[flat_ranges(begins[place], n)]
-        found = [window[flag]]
-        if rule.summary == "<i8":
+        marked[window[flag]] = True
+        if rule.first_stays:
             # Copies within the block: only the smallest document's one is left to the shard's answer.
-            for s, c in ((parts.start, parts.count), (start[single], np.ones(int(single.sum()), np.int64))):
-                name = parts.hashes(s, c, length)
-                _, group = np.unique(name, return_inverse=True)
+            for s, c in ((parts.start, parts.count), (start[single], n[single])):
+                _, group = np.unique(parts.names(s, c, length), return_inverse=True)
                 docs = parts.documents(s)
                 own = rule.summarise(group, docs, table, int(group.max(initial=-1)) + 1)
                 later = document_keys(table)[docs] > own[group]
-                found.append(flat_ranges(s[later], c[later]))
-        return finish(block, table, parts, np.unique(np.concatenate(found)))
+                marked[flat_ranges(s[later], c[later])] = True
+        return finish(block, table, parts, np.flatnonzero(marked))
 
     mail = "shard int, block int, "
     anchors = blocks.each(send_anchors, mail + "keys binary, counts binary", "anchors")

@@ -12,6 +12,7 @@ in the task of its shard, and the regions that can match in it come there.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -116,7 +117,7 @@ def rule(length: int = LENGTH, gram: int = GRAM) -> Rule:
         length, min(gram, length), "<u8", "<u4", _words,
         lambda place, docs, table, n: np.bincount(place, minlength=n),
         lambda place, sums, n: np.bincount(place, sums, n).astype(np.int64),
-        _again(length), lambda flags, all_copies, own: flags, shards_per_block=4)
+        _again(length), lambda flags, all_copies, own: flags, first_stays=False, shards_per_block=4)
 
 
 def _kept_words(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, per: np.ndarray,
@@ -139,7 +140,7 @@ def _kept_words(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, per: np.n
     return memoryview(out[inside].tobytes()), np.append(0, np.cumsum(per_doc))
 
 
-def _finish(length: int, keep_text: bool):
+def _finish(length: int, keep_text: bool, carry: bool):
     def finish(block: int, table: pa.Table, parts: Parts, starts_of: np.ndarray) -> pa.Table:
         raw, offsets, starts, ends = parts.more
         per, docs = parts.offsets, table.num_rows
@@ -150,6 +151,8 @@ def _finish(length: int, keep_text: bool):
         digests = [hashlib.sha256(kept[a:b]).hexdigest() for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
         out = {"doc": table.column("doc"), "n_words": pa.array(np.diff(per)), "n_removed": pa.array(n_removed),
                "kept_sha256": pa.array(digests, pa.string())}
+        if carry:
+            out["carried"] = table.column("carried")
         if keep_text:
             # A removed word goes with the space up to the next word; all else stays as it is.
             follow = np.append(starts[1:], len(raw))
@@ -168,15 +171,23 @@ def _finish(length: int, keep_text: bool):
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, key: str = "doc_id", text: str = "text",
-                    keep_text: bool = False) -> DataFrame:
+                    keep_text: bool = False, carry: Sequence[str] = ()) -> DataFrame:
     """One row per document: ``key, n_words, n_removed, kept_sha256``, and the remaining text if asked for.
 
+    Columns named in ``carry`` come along in a struct ``carried``.
+
     A word is a run of characters other than space and 0x09-0x0D. It is removed if it lies in a run of
     ``length`` consecutive words that also starts anywhere else in the corpus, the same document included;
     overlapping runs count, and runs are judged on the input. All copies go. Null and empty texts have no
     words and stay; shorter texts lose nothing. Repeated rows are copies of each other; null keys stay null.
     Other columns are ignored; an empty table gives no rows. Words are compared by 64-bit hashes.
     """
-    blocks = Blocks(docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("__text")), "__text", ["doc"])
-    schema = "doc long, n_words long, n_removed long, kept_sha256 string" + ", text string" * keep_text
-    return repeats(blocks, rule(length), _finish(length, keep_text), schema).withColumnRenamed("doc", key)
+    columns = [F.col(key).cast("long").alias("doc"), F.col(text).alias("__text")]
+    if carry:
+        columns.append(F.struct(*carry).alias("carried"))
+    rows = docs.select(*columns)
+    blocks = Blocks(rows, "__text", ["doc", "carried"] if carry else ["doc"])
+    schema = "doc long, n_words long, n_removed long, kept_sha256 string"
+    schema += f", carried {rows.schema['carried'].dataType.simpleString()}" if carry else ""
+    schema += ", text string" if keep_text else ""
+    return repeats(blocks, rule(length), _finish(length, keep_text, bool(carry)), schema).withColumnRenamed("doc", key)

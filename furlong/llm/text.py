@@ -22,9 +22,12 @@ STEP_INVERSE = U64(pow(0xD1342543DE82EF95, -1, 1 << 64))
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijective mixing of 64-bit values (the finaliser of the public splitmix64 generator)."""
     with np.errstate(over="ignore"):
-        x = (x ^ (x >> U64(30))) * U64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> U64(27))) * U64(0x94D049BB133111EB)
-        return x ^ (x >> U64(31))
+        x = x ^ (x >> U64(30))
+        x *= U64(0xBF58476D1CE4E5B9)
+        x ^= x >> U64(27)
+        x *= U64(0x94D049BB133111EB)
+        x ^= x >> U64(31)
+        return x
 
 
 BYTE_VALUES = mixed(np.arange(1, 257, dtype=U64) * BASE)
@@ -62,6 +65,14 @@ def spanned(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray,
         return mixed((prefix[ends] - prefix[starts]) * powers(inverse, len(prefix))[starts])
 
 
+def spanned_all(prefix: np.ndarray, n: int, inverse: np.uint64 = BASE_INVERSE) -> np.ndarray:
+    """Hashes of all runs of ``n`` values, at every position."""
+    with np.errstate(over="ignore"):
+        out = prefix[n:] - prefix[:-n]
+        out *= powers(inverse, len(out))
+        return mixed(out)
+
+
 def buffer_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a text column; null is an empty text."""
     texts = texts.cast(pa.large_string()).fill_null("")
@@ -109,8 +120,7 @@ def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     """Hashes of all runs of ``n`` words, also those that cross documents; empty if there are fewer words."""
     if len(words) < n:
         return np.zeros(0, U64)
-    at = np.arange(len(words) - n + 1)
-    return spanned(rolled(words, STEP), at, at + n, STEP_INVERSE)
+    return spanned_all(rolled(words, STEP), n, STEP_INVERSE)
 
 
 def inside(word_offsets: np.ndarray, n: int) -> np.ndarray:
