@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from furlong.plans import features as feature_plan
 from furlong.plans import predict as predict_plan
 from furlong.session import materialize, scratch_path
 from furlong.sources import files
-from furlong.sources.entries import race_entries, table
+from furlong.sources.entries import entry_key, race_entries, table
 
 CONFIG = replace(C.PRODUCTION, history_before=datetime(2001, 1, 1), recent_from=datetime(2001, 3, 1),
                  gbm_rounds=5, network_layers=(16,), network_iterations=20)
@@ -82,8 +83,14 @@ FINISHED_DOUBLES = (
 # ---- Sources and sinks ------------------------------------------------------------------------------
 
 def _csv_round_trip(spark, sf):
+    """Columns stand in another order than the reader's, one is unknown to it, and dates have several forms."""
     path = scratch_path(spark, "entries-csv")
-    files.write_entries_csv(race_entries(spark, sf).select(*files.ENTRY_TYPES), path)
+    rows = race_entries(spark, sf).select(F.lit("x").alias("remark"), *reversed(files.ENTRY_TYPES))
+    forms = ("yyyy-MM-dd", "yyyy/M/d", "yyyyMMdd", "yyyy'年'M'月'd'日'")
+    text = F.date_format("days", "yyyy-MM-dd HH:mm:ss")
+    for i, form in enumerate(forms):
+        text = F.when(F.col("racenum") % 5 == i, F.date_format("days", form)).otherwise(text)
+    files.write_entries_csv(rows.withColumn("days", text), path)
     return files.read_entries_csv(spark, path)
 
 
@@ -110,9 +117,15 @@ register("ckpt_roundtrip", _table_round_trip, "SELECT * FROM clean", "clean", EN
 register("parse_days", _parse_days, """
     SELECT o_orderkey, CASE WHEN o_orderkey % 11 <> 0 THEN date_trunc('day', o_orderdate)::TIMESTAMP END AS days
     FROM orders""")
-register("sink_predictions",
-         lambda spark, sf: files.numbered_predictions(given_scores(filters.to_predict(clean(spark, sf))).select(
-             "raceid", "horsename", "gbm_pred", "tf_pred")),
+def _prediction_file(spark, sf):
+    rows = files.numbered_predictions(given_scores(filters.to_predict(clean(spark, sf))).select(
+        "raceid", "horsename", "gbm_pred", "tf_pred"))
+    path = scratch_path(spark, "predictions")
+    files.write_predictions_csv(rows, path)
+    return files.read_predictions_csv(spark, path, rows.schema)
+
+
+register("sink_predictions", _prediction_file,
          f"""SELECT row_number() OVER (ORDER BY raceid) - 1 AS "row", raceid, horsename, {GIVEN}
              FROM clean WHERE result = 999""", "clean", ("gbm_pred", "tf_pred"))
 register("clean_leading_marks",
@@ -434,30 +447,34 @@ def _variance_sql(source: str, features) -> str:
 
 
 register("sort_report",
-         lambda spark, sf: selection.sorted_report(selection.variance_report(clean(spark, sf), VARIANCES), "variance"),
-         f"SELECT * FROM ({_variance_sql('clean', VARIANCES)}) ORDER BY variance", "clean", ("variance",))
+         lambda spark, sf: selection.sorted_report(selection.variance_report(clean(spark, sf), VARIANCES), "variance").withColumn(
+             "place", F.monotonically_increasing_id()),
+         f"""SELECT *, row_number() OVER (ORDER BY variance, feature) - 1 AS place
+             FROM ({_variance_sql('clean', VARIANCES)})""", "clean", ("variance",))
 
 
 def _lines(spark, sf) -> DataFrame:
     """Order lines before repeated parts are merged: the copies of an entry differ in supplier or price."""
     return table(spark, sf, "lineitem").select(
-        (F.col("l_orderkey") * 1000000 + F.col("l_partkey")).alias("raceid"),
+        entry_key(F.col("l_orderkey"), F.col("l_partkey")).alias("raceid"),
         F.concat(F.lit("H"), F.col("l_partkey").cast("string")).alias("horsename"),
         F.col("l_suppkey").alias("sid"), F.col("l_quantity").alias("qty"), F.col("l_extendedprice").alias("price"))
 
 
 register("dedupe_entries",
          lambda spark, sf: aggregates.first_per_key(_lines(spark, sf), ["raceid", "horsename"], ["sid", "qty", "price"]),
-         """SELECT l_orderkey * 1000000 + l_partkey AS raceid, 'H' || l_partkey AS horsename, l_suppkey AS sid,
+         """SELECT l_orderkey * 1000000000 + l_partkey AS raceid, 'H' || l_partkey AS horsename, l_suppkey AS sid,
               l_quantity AS qty, l_extendedprice AS price FROM lineitem
             QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_partkey ORDER BY l_suppkey, l_quantity, l_extendedprice) = 1""",
          (), ("qty", "price"))
 
 
 def _union_histories(spark, sf):
+    """The histories of every value's rows, and of the rows without one, put together."""
     rows = materialize(indices(spark, sf), "indices")
-    parts = [_lagged(rows.filter(F.col("sex") == s)) for s in ("牡", "牝", "セ")]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    found = aggregates.categories(rows, ["sex"])["sex"]
+    parts = [_lagged(rows.filter(F.col("sex") == s)) for s in found] + [_lagged(rows.filter(F.col("sex").isNull()))]
+    return reduce(DataFrame.unionByName, parts)
 
 
 register("union_histories", _union_histories, f"SELECT raceid, horsename, {S.LAGS} FROM indices {S.WINDOW}", "indices",
@@ -551,12 +568,13 @@ def _gbm_input(spark, sf):
 
 def _score_gbt(spark, sf):
     train, pred, features = _gbm_input(spark, sf)
-    return scoring.score_gbt(train, pred, features, C.GBM_CATEGORICALS, rounds=CONFIG.gbm_rounds)
+    return scoring.score_gbt(train, pred, features, C.GBM_CATEGORICALS, rounds=CONFIG.gbm_rounds, counted=C.GBM_COUNTED)
 
 
 def _tune_gbt(spark, sf):
     train, _, features = _gbm_input(spark, sf)
-    return scoring.tune_gbt(train, features, C.GBM_CATEGORICALS, rounds=3, depths=(2, 4), rates=(0.1, 0.3))[1]
+    return scoring.tune_gbt(train, features, C.GBM_CATEGORICALS, rounds=3, depths=(2, 4), rates=(0.1, 0.3),
+                            counted=C.GBM_COUNTED)[1]
 
 
 register("score_gbt", _score_gbt)
@@ -600,7 +618,7 @@ register("prediction_marks",
 
 
 def _report(spark, sf):
-    rows = materialize(_history(spark, sf), "history")
+    rows = materialize(filters.to_predict(_history(spark, sf)).select("result", *C.REPORT_COLUMNS), "history")
     given = given_scores(rows)
     return report.prediction_report(rows, given.select("raceid", "gbm_pred"), given.select("raceid", "tf_pred"))
 

@@ -37,7 +37,7 @@ race_entries AS (
            CAST(row_number() OVER (PARTITION BY race ORDER BY qty DESC, hid) AS INTEGER) AS fav,
            count(*) OVER (PARTITION BY race) AS horsecount
     FROM e JOIN orders ON race = o_orderkey JOIN part ON hid = p_partkey)
-  SELECT race * 1000000 + hid AS raceid, race AS racenum, days,
+  SELECT race * 1000000000 + hid AS raceid, race AS racenum, days,
     'H' || hid AS horsename, 'J' || sid AS jocky, 'T' || (sid % 20) AS trainer, p_brand AS father, p_type AS fathermon,
     CASE WHEN p_size % 5 <> 0 THEN 'FT' || (p_size % 5) END AS fathertype, 'M' || (hid % 50) AS mother,
     CASE cid % 10 WHEN 0 THEN '中京' WHEN 1 THEN '中山' WHEN 2 THEN '京都' WHEN 3 THEN '函館' WHEN 4 THEN '小倉'

@@ -160,6 +160,8 @@ LAGGED = {
 }
 ROLLED = {"pop": "pop", "odds": "odds", "3ftime": "3ftime", "speedindex": "speed"}
 
+# Codes of many values: trees get their frequency instead of splitting them by value.
+GBM_COUNTED = ("horsename", "trainer")
 POST_RACE_COLUMNS = ("rank3", "rank4", "3ftime", "time")
 GBM_CATEGORICALS = ("place", "turf", "distance", "weather", "condition", "sex", "horsename", "trainer",
                     "pre_place", "pre_turf", "pre_distance")

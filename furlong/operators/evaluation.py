@@ -38,8 +38,9 @@ def area_metrics(df: DataFrame, label: str, score: str, threshold: float = 0.5)
     earlier = F.coalesce(ratio(tp - p, tp - p + fp - n), precision)
     sums = cum.agg(F.sum(n * (tp - p + p / 2)).alias("__roc"), F.sum(p * (precision + earlier) / 2).alias("__pr"))
     cells = df.agg(*_confusion(label, score, threshold))
-    one = F.lit(1).alias("__one")
-    joined = cells.select("*", one).join(sums.select("*", one), "__one").join(totals.select("*", one), "__one")
-    return joined.select("tp", "fp", "tn", "fn",
-                         ratio(F.col("__roc"), F.col("__P").cast("double") * F.col("__N")).alias("roc_auc"),
-                         ratio(F.col("__pr"), F.col("__P")).alias("pr_auc"))
+    # One-row tables are read as scalar subqueries, so nothing is joined.
+    def at(df: DataFrame, name: str):
+        return df.select(name).scalar()
+
+    roc = ratio(at(sums, "__roc"), at(totals, "__P").cast("double") * at(totals, "__N"))
+    return cells.select("tp", "fp", "tn", "fn", roc.alias("roc_auc"), ratio(at(sums, "__pr"), at(totals, "__P")).alias("pr_auc"))

@@ -11,36 +11,28 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from furlong.functions.numeric import keyed_hash, rnd
 from furlong.session import materialize
 
 HOT_ROWS = 1_000_000
-MAX_HOT_KEYS = 10_000
+BUCKET_ROWS = 100_000
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
-    """Keys with more than ``hot_rows`` rows, or None.
-
-    At most the 10,000 largest are returned, so the result may be broadcast. A key that is left out
-    holds less than a ten-thousandth of the table and is fit for an ordinary window.
-    """
+    """A written table of all keys with more than ``hot_rows`` rows, or None if there are none."""
     counts = df.groupBy(*keys).agg(F.count("*").alias("__n")).filter(F.col("__n") > hot_rows)
-    rows = counts.orderBy(F.desc("__n")).limit(MAX_HOT_KEYS).collect()
-    if not rows:
-        return None
-    schema = StructType([counts.schema[k] for k in keys])
-    return df.sparkSession.createDataFrame([tuple(r[k] for k in keys) for r in rows], schema)
+    found = materialize(counts.select(*keys), "hot")
+    return None if found.isEmpty() else found
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """Join to a broadcast side of bounded size on keys that may be null; the left keys are kept."""
+    """Join on keys that may be null; the left keys are kept. A written right side is broadcast if it is small."""
     renamed = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
     condition = F.lit(True)
     for k in keys:
         condition = condition & F.col(k).eqNullSafe(F.col(f"__r_{k}"))
-    out = left.join(F.broadcast(renamed), condition, how)
+    out = left.join(renamed, condition, how)
     return out.drop(*[f"__r_{k}" for k in keys])
 
 
@@ -145,13 +137,22 @@ def preceding_windows(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     return plain(cold).unionByName(done.drop("__rn", "__home", "__piece"))
 
 
-def _bucketed(df: DataFrame, stratum: str, key: str, seed: int, hex_digits: int) -> tuple[DataFrame, DataFrame]:
+def bucket_digits(rows: int, bucket_rows: int = BUCKET_ROWS) -> int:
+    """Hex digits of a hash that cut this many rows into buckets of about ``bucket_rows`` or fewer."""
+    digits = 1
+    while 16 ** digits * bucket_rows < rows:
+        digits += 1
+    return digits
+
+
+def _bucketed(df: DataFrame, stratum: str, key: str, seed: int, hex_digits: int | None) -> tuple[DataFrame, DataFrame]:
     """Rows with hash and bucket, and the number of rows in all earlier buckets of the stratum.
 
     A bucket holds the hashes with the same first hex digits. The hash of a unique key spreads evenly, so
-    buckets are small whatever the strata are. The second table has at most ``16 ** hex_digits`` rows per
-    stratum and is written, so that it is broadcast only if it is as small as that is with few strata.
+    buckets are small whatever the strata are; their number follows the number of rows. The second table is
+    written, so that it is broadcast only if it is small.
     """
+    hex_digits = hex_digits or bucket_digits(df.count())
     hashed = df.filter(F.col(stratum).isNotNull()).withColumn("__hash", keyed_hash(key, seed))
     hashed = hashed.withColumn("__bucket", F.substring("__hash", 1, hex_digits))
     before = Window.partitionBy(stratum).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -160,7 +161,8 @@ def _bucketed(df: DataFrame, stratum: str, key: str, seed: int, hex_digits: int)
     return hashed, materialize(starts, "buckets")
 
 
-def hash_ranks(df: DataFrame, stratum: str, key: str, seed: int, name: str, hex_digits: int = 4) -> DataFrame:
+def hash_ranks(df: DataFrame, stratum: str, key: str, seed: int, name: str,
+               hex_digits: int | None = None) -> DataFrame:
     """Number the rows of each stratum from 1 in a seeded random order; rows without stratum are dropped.
 
     Two levels replace one sort per stratum: rows are numbered inside hash buckets, and each bucket starts
@@ -174,7 +176,7 @@ def hash_ranks(df: DataFrame, stratum: str, key: str, seed: int, name: str, hex_
 
 
 def mark_first_share(df: DataFrame, stratum: str, key: str, share: float, seed: int, name: str,
-                     hex_digits: int = 4) -> DataFrame:
+                     hex_digits: int | None = None) -> DataFrame:
     """Mark the first ``floor(share * n)`` rows of each stratum in the order of :func:`hash_ranks`.
 
     Rows are only compared with the last hash to be marked, so they are not shuffled. That hash lies in one
@@ -189,7 +191,7 @@ def mark_first_share(df: DataFrame, stratum: str, key: str, share: float, seed:
     rank = F.row_number().over(Window.partitionBy(stratum).orderBy("__hash", key))
     last = at.withColumn("__rank", rank).filter(F.col("__rank") == F.col("__want")).select(
         stratum, F.struct(F.col("__hash"), F.col(key)).alias("__last"))
-    marked = hashed.join(F.broadcast(materialize(last, "cut")), stratum, "left")
+    marked = hashed.join(materialize(last, "cut"), stratum, "left")
     here = F.struct(F.col("__hash"), F.col(key))
     return marked.withColumn(name, F.coalesce(here <= F.col("__last"), F.lit(False))).drop("__hash", "__bucket", "__last")
 

@@ -34,9 +34,16 @@ def marked(df: DataFrame, gbm_weight: float = 0.45, tf_weight: float = 0.55, thr
 
 def prediction_report(features: DataFrame, gbm: DataFrame, tf: DataFrame, gbm_weight: float = 0.45,
                       tf_weight: float = 0.55) -> DataFrame:
-    """The rows to predict with both scores, their blend and marks, one row per entry."""
+    """The rows to predict with both scores, their blend and marks, one row per entry.
+
+    Of the copies of an entry one with both scores comes first, then the one with the larger scores.
+    """
     rows = filters.to_predict(features).select(*C.REPORT_COLUMNS)
     scored = with_scores(rows, gbm, tf)
     scored = scored.withColumn("tf_pred", F.col("tf_pred").cast("double"))
     out = marked(blended(scored, gbm_weight, tf_weight), gbm_weight, tf_weight)
-    return aggregates.first_per_key(out, ["raceid", "horsename"], ["gbm_pred", "tf_pred"])
+    unscored = F.col("gbm_pred").isNull().cast("int") + F.col("tf_pred").isNull().cast("int")
+    # The first in order is the smallest: unscored copies last, then falling scores.
+    ranked = out.withColumns({"__unscored": unscored, "__gbm": -F.col("gbm_pred"), "__tf": -F.col("tf_pred")})
+    kept = aggregates.first_per_key(ranked, ["raceid", "horsename"], ["__unscored", "__gbm", "__tf"])
+    return kept.select(*out.columns)

@@ -3,19 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
-import pandas as pd
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from furlong.functions.numeric import keyed_hash
 from furlong.operators.ordering import mark_first_share, number_rows
 from furlong.session import materialize
 
+CHUNK = 1_000
+
 
 def split_stratified(df: DataFrame, label: str, key: str, test_share: float = 0.3, seed: int = 0,
                      name: str = "is_test") -> DataFrame:
@@ -50,83 +49,130 @@ def of_class(df: DataFrame, label: str, value: int) -> DataFrame:
     return df.filter(F.col(label) == value)
 
 
+def _uniform(*parts: Column | str) -> Column:
+    """A number from 0 to below 1 that depends on the given values only."""
+    text = F.concat_ws(":", *[(F.lit(p) if isinstance(p, str) else p.cast("string")) for p in parts])
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / F.lit(2.0 ** 32)
+
+
+def repeated(df: DataFrame, copies: Column, most: int, name: str, chunk: int = CHUNK) -> DataFrame:
+    """Every row ``copies`` times, numbered from 0 in ``name``; rows without copies are dropped.
+
+    Copies are made in chunks that are dealt over all tasks if a row has more than one of them; ``most`` is
+    the largest number of copies.
+    """
+    out = df.withColumn("__copies", copies.cast("long")).filter(F.col("__copies") > 0)
+    if most > chunk:
+        out = out.withColumn("__chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("__copies") - 1) / chunk))))
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        out = out.repartition(parts, F.xxhash64(*df.columns), "__chunk")
+    else:
+        out = out.withColumn("__chunk", F.lit(0).cast("long"))
+    first = F.col("__chunk") * chunk
+    last = F.least(first + chunk, F.col("__copies")) - 1
+    return out.withColumn(name, F.explode(F.sequence(first, last))).drop("__copies", "__chunk")
+
+
 def balanced_by_copies(df: DataFrame, label: str, key: str) -> DataFrame:
     """Repeat rows of the smaller classes until all have the size of the largest, up to one copy per row."""
-    sizes = {r[label]: r["n"] for r in df.filter(F.col(label).isNotNull()).groupBy(label)
-             .agg(F.count("*").alias("n")).collect()}
-    largest = max(sizes.values(), default=0)
-    draw = F.conv(F.substring(keyed_hash(key, "copies"), 1, 8), 16, 10).cast("double") / F.lit(2.0 ** 32)
-    copies = F.lit(1)
-    for value, n in sizes.items():
-        whole, part = divmod(largest, n)
-        copies = F.when(F.col(label) == value, F.lit(whole) + (draw < part / n).cast("int")).otherwise(copies)
-    return df.withColumn("__copy", F.explode(F.sequence(F.lit(1), copies))).drop("__copy")
-
-
-def _projection(df: DataFrame, columns: Sequence[str], seed: int) -> Column:
-    """A fixed random direction through the standardised columns; near points have near values."""
-    vectors = VectorAssembler(inputCols=list(columns), outputCol="__v").transform(df.select(*columns))
-    stats = vectors.select(Summarizer.metrics("mean", "std").summary(F.col("__v")).alias("s")).first()["s"]
-    weights = np.random.default_rng(seed).normal(size=len(columns))
-    slopes = [float(w / sd) if sd > 0 else 0.0 for w, sd in zip(weights, stats["std"])]
-    terms = F.array(*[(F.col(c) - float(m)) * k for c, m, k in zip(columns, stats["mean"], slopes) if k])
-    return F.aggregate(terms, F.lit(0.0), lambda total, term: total + term)
+    sizes = materialize(df.filter(F.col(label).isNotNull()).groupBy(F.col(label).alias("__label")).agg(
+        F.count("*").alias("__n")), "sizes")
+    ends = sizes.agg(F.max("__n"), F.min("__n")).first()
+    largest, smallest = ends[0] or 0, ends[1] or 1
+    share = F.lit(largest) / F.col("__n")
+    draw = _uniform("copies", F.col(key))
+    joined = df.join(sizes, F.col(label) == F.col("__label"), "left")
+    whole = F.coalesce(F.floor(share) + (draw < share - F.floor(share)).cast("int"), F.lit(1))
+    return repeated(joined.select(*df.columns, whole.alias("__whole")), F.col("__whole"), -(-largest // smallest),
+                    "__copy").select(*df.columns)
+
+
+def projections(df: DataFrame, columns: Sequence[str], number: int, seed: int) -> list[Column]:
+    """Fixed random directions through the standardised columns; near points have near values.
+
+    Means and deviations are rounded, so that values do not depend on the order of summation.
+    """
+    stats = df.agg(*[f(F.col(c).cast("double")) for c in columns for f in (F.avg, F.stddev_pop)]).first()
+    out = []
+    for p in range(number):
+        weights = np.random.default_rng([seed, p]).normal(size=len(columns)).round(3)
+        total = F.lit(0.0)
+        for i, c in enumerate(columns):
+            mean, spread = round(stats[2 * i] or 0.0, 6), round(stats[2 * i + 1] or 0.0, 6)
+            if spread > 0:
+                total = total + (F.col(c).cast("double") - F.lit(mean)) / F.lit(spread) * F.lit(float(weights[i]))
+        out.append(F.round(total, 6))
+    return out
+
+
+def nearest_rows(df: DataFrame, key: str, columns: Sequence[str], neighbours: int = 5, reach: int = 10,
+                 directions: int = 4, piece_rows: int = 10_000, seed: int = 0) -> DataFrame:
+    """``key, near``: the keys of each row's nearest other rows, nearest first.
+
+    Candidates are the ``reach`` rows before and after a row along each of several random directions; they are
+    ranked by their distance in standardised columns, ties by key. The rule is the same at every size; with
+    more rows than candidates a neighbour may be missed, and more directions miss fewer. Every row meets
+    ``2 * reach * directions`` others, and windows run on pieces of fixed size that overlap by ``reach`` rows.
+    """
+    stats = df.agg(*[F.stddev_pop(F.col(c).cast("double")) for c in columns]).first()
+    scale = [1.0 / round(s, 6) if s and round(s, 6) > 0 else 0.0 for s in stats]
+    points = df.select(F.col(key).alias("__key"), *columns, F.array(*[
+        F.col(c).cast("double") * F.lit(k) for c, k in zip(columns, scale)]).alias("__point"))
+    piece = F.floor((F.col("__rn") - 1) / piece_rows)
+    met = []
+    for i, along in enumerate(projections(df, columns, directions, seed)):
+        row = number_rows(points.select("__key", "__point", along.alias("__along")), ["__along", "__key"], "__rn")
+        low, high = (F.greatest(F.floor((F.col("__rn") - 1 + d) / piece_rows), F.lit(0)) for d in (-reach, reach))
+        row = row.withColumn("__home", piece).withColumn("__piece", F.explode(F.sequence(low, high)))
+        near = Window.partitionBy("__piece").orderBy("__rn").rowsBetween(-reach, reach)
+        row = row.withColumn("__met", F.collect_list(F.struct("__key", "__point")).over(near))
+        met.append(row.filter(F.col("__piece") == F.col("__home")).select("__key", "__point", "__met"))
+    every = reduce(DataFrame.unionByName, met).groupBy("__key").agg(
+        F.first("__point").alias("__point"), F.array_distinct(F.flatten(F.collect_list("__met"))).alias("__met"))
+
+    def apart(other: Column) -> Column:
+        return F.aggregate(F.zip_with(F.col("__point"), other, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda t, d: t + d)
+
+    others = F.filter("__met", lambda m: m["__key"] != F.col("__key"))
+    ranked = F.array_sort(F.transform(others, lambda m: F.struct(F.round(apart(m["__point"]), 9).alias("d"), m["__key"].alias("k"))))
+    return every.select(F.col("__key").alias(key), F.transform(F.slice(ranked, 1, neighbours), lambda m: m["k"]).alias("near"))
 
 
 def smote(df: DataFrame, label: str, key: str, numeric: Sequence[str], carried: Sequence[str] = (),
-          neighbours: int = 5, block_rows: int = 512, seed: int = 0) -> DataFrame:
-    """Add synthetic minority rows until both classes are equally large.
-
-    Each new row lies between a minority row and one of its nearest minority neighbours. Neighbours are
-    sought within blocks of ``block_rows`` to ``2 * block_rows`` rows that are consecutive along a random
-    projection of the standardised columns: exact when the minority fits into one block, otherwise the
-    nearest within the block. Work grows with rows times block size; no task sees more than a block.
-    ``carried`` columns (codes of categories) take the neighbour's value. Numeric columns must not be null.
-    New rows have a null key and ``synthetic`` 1.
+          neighbours: int = 5, seed: int = 0, reach: int = 10, directions: int = 4) -> DataFrame:
+    """Add synthetic minority rows until both classes are equally large; there must be two classes.
+
+    Each new row lies between a minority row and one of its nearest minority rows (:func:`nearest_rows`).
+    New rows are spread evenly over the minority; partner and distance follow hashes of key and copy.
+    ``carried`` columns (codes of categories) take the neighbour's value; a minority of one row is copied.
+    Numeric columns must not be null, keys must be unique. New rows have a null key and ``synthetic`` 1.
+    Everything runs in the JVM, and the copies of a row are dealt over all tasks in chunks.
     """
-    sizes = {r[label]: r["n"] for r in df.filter(F.col(label).isNotNull()).groupBy(label)
-             .agg(F.count("*").alias("n")).collect()}
+    counts = df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("n")).orderBy("n", label).limit(3).collect()
+    if len(counts) != 2:
+        raise ValueError(f"two values of {label} are needed, there are {'more' if len(counts) > 2 else len(counts)}")
     columns = [label, *numeric, *carried]
-    own = df.select(key, *[F.col(c) for c in columns]).withColumn("synthetic", F.lit(0))
-    if len(sizes) != 2 or len(set(sizes.values())) == 1:
+    own = df.select(key, label, *[F.col(c).cast("double").alias(c) for c in numeric], *carried, F.lit(0).alias("synthetic"))
+    (minority, n), (_, most) = counts
+    missing = most - n
+    if not missing:
         return own
-    minority = min(sizes, key=sizes.get)
-    n, missing = sizes[minority], max(sizes.values()) - min(sizes.values())
-    few = df.filter(F.col(label) == minority).select(key, *[
-        F.col(c).cast("double").alias(c) for c in (*numeric, *carried)])
-    few = number_rows(few.withColumn("__along", _projection(few, numeric, seed)), ["__along", key], "__rn")
-    # New rows are spread evenly: the first i rows make floor(i * missing / n) of them.
+    few = materialize(df.filter(F.col(label) == minority).select(
+        F.col(key).alias("__key"), *[F.col(c).cast("double").alias(c) for c in numeric], *carried), "minority")
+    near = nearest_rows(few, "__key", numeric, neighbours, reach, directions, seed=seed)
+    # The i-th row in the order of a hash makes floor(i * missing / n) - floor((i - 1) * missing / n) new rows.
+    order = few.select("__key", F.md5(F.concat(F.lit(f"{seed}:"), F.col("__key").cast("string"))).alias("__hash"))
+    numbered = number_rows(order, ["__hash", "__key"], "__rn")
     upto = [F.floor(F.lit(missing).cast("decimal(19,0)") * i / n) for i in (F.col("__rn"), F.col("__rn") - 1)]
-    few = few.withColumn("__new", (upto[0] - upto[1]).cast("int"))
-    last = max(n // block_rows - 1, 0)
-    few = few.withColumn("__block", F.least(F.floor((F.col("__rn") - 1) / block_rows), F.lit(last)))
-    names, near = [*numeric, *carried], len(numeric)
-    schema = StructType([StructField("__new", IntegerType())] + [StructField(c, DoubleType()) for c in names])
-
-    def between(block: pd.DataFrame) -> pd.DataFrame:
-        block = block.sort_values("__rn")
-        points = block[names].to_numpy(dtype=float)
-        xs = points[:, :near]
-        squares = (xs ** 2).sum(axis=1)
-        distance = squares[:, None] + squares[None, :] - 2 * xs @ xs.T
-        np.fill_diagonal(distance, np.inf)
-        k = min(neighbours, len(xs) - 1)
-        # With a single point there is no neighbour; it is then copied.
-        order = np.argpartition(distance, k - 1, axis=1)[:, :k] if k else np.arange(len(xs))[:, None]
-        rng = np.random.default_rng([seed, int(block["__block"].iloc[0])])
-        source = np.repeat(np.arange(len(xs)), block["__new"].to_numpy(dtype=int))
-        partner = order[source, rng.integers(0, max(k, 1), size=len(source))]
-        made = points[partner].copy()
-        gap = rng.random(size=(len(source), 1))
-        made[:, :near] = xs[source] + gap * (xs[partner] - xs[source])
-        out = pd.DataFrame(made, columns=names)
-        out.insert(0, "__new", np.ones(len(out), dtype="int32"))
-        return out
-
-    made = few.groupBy("__block").applyInPandas(between, schema)
-    types = {f.name: f.dataType for f in own.schema}
-    made = made.select(F.lit(None).cast(types[key]).alias(key), F.lit(minority).cast(types[label]).alias(label),
-                       *[F.col(c) if c in numeric else F.col(c).cast(types[c]).alias(c) for c in names],
-                       F.lit(1).alias("synthetic"))
-    own = own.withColumns({c: F.col(c).cast("double") for c in numeric})
-    return own.unionByName(made)
+    wanted = numbered.select("__key", (upto[0] - upto[1]).cast("long").alias("__new"))
+    makers = repeated(near.join(wanted, "__key").filter(F.col("__new") > 0), F.col("__new"), -(-missing // n), "__copy")
+    choice = _uniform(f"p{seed}", F.col("__key"), F.col("__copy")) * F.size("near")
+    makers = makers.select("__key", "__copy", F.coalesce(F.try_element_at("near", F.floor(choice).cast("int") + 1),
+                                                         F.col("__key")).alias("__other"))
+    partner = few.select(F.col("__key").alias("__other"), *[F.col(c).alias(f"__o_{c}") for c in (*numeric, *carried)])
+    gap = _uniform(f"g{seed}", F.col("__key"), F.col("__copy"))
+    made = makers.join(few.select("__key", *numeric), "__key").join(partner, "__other").select(
+        F.lit(None).cast(df.schema[key].dataType).alias(key), F.lit(minority).cast(df.schema[label].dataType).alias(label),
+        *[(F.col(c) + gap * (F.col(f"__o_{c}") - F.col(c))).alias(c) for c in numeric],
+        *[F.col(f"__o_{c}").alias(c) for c in carried], F.lit(1).alias("synthetic"))
+    return own.unionByName(made).select(key, *columns, "synthetic")

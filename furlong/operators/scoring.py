@@ -18,23 +18,28 @@ from furlong.operators.sampling import balanced_by_copies, smote, split_random,
 from furlong.operators.values import clip
 from furlong.session import materialize
 
-MAX_NOMINAL = 256
-
 
 def numeric_columns(df: DataFrame, exclude: Sequence[str]) -> list[str]:
     """Names of the numeric columns, without the excluded ones."""
     return [f.name for f in df.schema if isinstance(f.dataType, T.NumericType) and f.name not in exclude]
 
 
-def code_sizes(df: DataFrame, columns: Sequence[str], limit: int = MAX_NOMINAL) -> dict[str, int]:
-    """Number of codes of each code column that tree learners shall treat as a category.
-
-    A column with more than ``limit`` codes is left out and stays a number, since categories are binned singly.
-    """
+def code_sizes(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
+    """Number of codes of each code column; the learner gets as many bins as the largest has."""
     if not columns:
         return {}
     top = df.agg(*[F.max(c).alias(c) for c in columns]).first()
-    return {c: int(top[c]) + 1 for c in columns if top[c] is not None and top[c] < limit}
+    return {c: int(top[c]) + 1 for c in columns if top[c] is not None}
+
+
+def with_frequencies(df: DataFrame, columns: Sequence[str], counted: DataFrame) -> DataFrame:
+    """Replace codes by their number of rows in ``counted``, 0 if there are none; the column order is kept."""
+    for c in columns:
+        table = counted.filter(F.col(c).isNotNull()).groupBy(F.col(c).alias("__code")).agg(F.count("*").alias("__n"))
+        joined = df.join(materialize(table, "frequencies"), F.col(c) == F.col("__code"), "left")
+        df = joined.select(*[F.coalesce(F.col("__n"), F.lit(0)).cast("double").alias(c) if x == c else F.col(f"`{x}`")
+                             for x in df.columns])
+    return df
 
 
 def with_nominal(df: DataFrame, sizes: dict[str, int]) -> DataFrame:
@@ -59,9 +64,9 @@ def gbt_training_set(train: DataFrame, features: Sequence[str], categorical: Seq
                      key: str = "raceid", seed: int = 0) -> DataFrame:
     """Stratified 70/30 split; the 70 are balanced with synthetic rows, the 30 marked ``is_test``.
 
-    The input is read several times: pass a written table.
+    The narrowed split is written, since it is read several times.
     """
-    split = split_stratified(train, label, key, 0.3, seed)
+    split = materialize(split_stratified(train.select(key, label, *features), label, key, 0.3, seed), "split")
     numeric = [c for c in features if c not in categorical]
     grown = smote(split.filter(~F.col("is_test")), label, key, numeric, categorical, seed=seed)
     kept = split.filter("is_test").select(*[F.col(c).cast(grown.schema[c].dataType).alias(c)
@@ -89,18 +94,27 @@ def fit_gbt(train: DataFrame, features: Sequence[str], sizes: dict[str, int] | N
 
 def score_gbt(train: DataFrame, pred: DataFrame, features: Sequence[str], categorical: Sequence[str] = (),
               label: str = "flag", key: str = "raceid", rounds: int = 100, seed: int = 0, depth: int = 5,
-              rate: float = 0.1) -> DataFrame:
-    """Train on labelled rows and return ``(key, gbm_pred)`` for the others."""
-    sizes = code_sizes(train, [c for c in categorical if c in features])
+              rate: float = 0.1, counted: Sequence[str] = ()) -> DataFrame:
+    """Train on labelled rows and return ``(key, gbm_pred)`` for the others.
+
+    ``categorical`` are code columns with few values, which are split by category; ``counted`` code columns of
+    many values, which enter as their number of training rows. Which is which does not depend on the data.
+    """
+    counted = [c for c in counted if c in features]
+    categorical = [c for c in categorical if c in features and c not in counted]
+    train, pred = with_frequencies(train, counted, train), with_frequencies(pred, counted, train)
+    sizes = code_sizes(train, categorical)
     data = gbt_training_set(train, features, categorical, label, key, seed)
     return scores(fit_gbt(data, features, sizes, label, rounds, seed, depth, rate), pred, features, "gbm_pred", key)
 
 
 def tune_gbt(train: DataFrame, features: Sequence[str], categorical: Sequence[str] = (), label: str = "flag",
              rounds: int = 20, depths: Sequence[int] = (3, 5), rates: Sequence[float] = (0.1, 0.3),
-             seed: int = 0, parallelism: int = 4) -> tuple[TrainValidationSplitModel, DataFrame]:
+             seed: int = 0, parallelism: int = 4, counted: Sequence[str] = ()) -> tuple[TrainValidationSplitModel, DataFrame]:
     """Search depth and step size by area under ROC; also returns ``(depth, rate, score)`` per setting."""
-    sizes = code_sizes(train, [c for c in categorical if c in features])
+    counted = [c for c in counted if c in features]
+    train = with_frequencies(train, counted, train)
+    sizes = code_sizes(train, [c for c in categorical if c in features and c not in counted])
     learner = GBTClassifier(labelCol=label, featuresCol="features", maxIter=rounds, seed=seed,
                             maxBins=max(32, max(sizes.values(), default=0)))
     grid = ParamGridBuilder().addGrid(learner.maxDepth, list(depths)).addGrid(learner.stepSize, list(rates)).build()

@@ -42,10 +42,11 @@ def gbm_scores(features: DataFrame, config: C.RaceConfig = C.PRODUCTION) -> Data
     train, used = filters.to_train(data), model_columns(data)
     found = {}
     if config.gbm_search:
-        table = scoring.tune_gbt(train, used, C.GBM_CATEGORICALS)[1]
+        table = scoring.tune_gbt(train, used, C.GBM_CATEGORICALS, counted=C.GBM_COUNTED)[1]
         best = table.orderBy(F.desc("score"), "depth", "rate").first()
         found = {"depth": best["depth"], "rate": best["rate"]}
-    return scoring.score_gbt(train, filters.to_predict(data), used, C.GBM_CATEGORICALS, rounds=config.gbm_rounds, **found)
+    return scoring.score_gbt(train, filters.to_predict(data), used, C.GBM_CATEGORICALS, rounds=config.gbm_rounds,
+                             counted=C.GBM_COUNTED, **found)
 
 
 def network_scores(features: DataFrame, config: C.RaceConfig = C.PRODUCTION, linear: bool = False) -> DataFrame:

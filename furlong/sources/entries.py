@@ -18,20 +18,19 @@ WEATHERS = ("晴", "曇", "雨", "小雨", "雪")
 CLASSES = ("新馬", "未勝利", "1勝", "2勝", "オープン")
 SEXES = ("牡", "牝", "セ")
 
-_hot_races: dict[tuple[str, str], DataFrame | None] = {}
+#: Entry keys are ``race * RUNNERS + runner``; runner keys must be smaller.
+RUNNERS = 10**9
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _hot(spark: SparkSession, sf_dir: str) -> DataFrame | None:
-    """Races with very many runners, looked up once per application and data folder."""
-    at = (spark.sparkContext.applicationId, sf_dir)
-    if at not in _hot_races:
-        lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("race"))
-        _hot_races[at] = hot_keys(lines, ["race"])
-    return _hot_races[at]
+def entry_key(race: Column, runner: Column) -> Column:
+    """A key that no other pair of race and runner has; a runner key out of range is an error."""
+    fits = (runner >= 0) & (runner < RUNNERS)
+    return F.when(fits, race * RUNNERS + runner).otherwise(
+        F.raise_error(F.lit(f"runner keys must be from 0 to {RUNNERS - 1}")).cast("bigint"))
 
 
 def _pick(position: Column, values: tuple) -> Column:
@@ -54,10 +53,13 @@ def race_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").alias("race"), F.col("o_orderdate").alias("days"),
         F.col("o_custkey").alias("cid"), F.col("o_orderpriority").alias("pri"))
     part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("hid"), "p_brand", "p_type", "p_size")
-    joined = lines.join(orders, "race").join(part, "hid")
+    # Part first: the rows are then dealt by race once, for the join with orders and for the numbering.
+    joined = lines.join(part, "hid").join(orders, "race")
     r = grouped_numbers(joined, ["race"], {"pos": [F.desc("price"), F.col("hid")],
                                            "fav": [F.desc("qty"), F.col("hid")]},
-                        count="horsecount", hot=lambda: _hot(spark, sf_dir))
+                        count="horsecount",
+                        hot=lambda: hot_keys(
+                            table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("race")), ["race"]))
     race, hid, pos, fav = F.col("race"), F.col("hid"), F.col("pos").cast("int"), F.col("fav").cast("int")
     ahead = F.col("days") >= moment(PREDICT_FROM)
 
@@ -68,7 +70,7 @@ def race_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.when(ahead, F.lit(unknown)).otherwise(value)
 
     return r.select(
-        (race * 1000000 + hid).alias("raceid"), race.alias("racenum"), "days",
+        entry_key(race, hid).alias("raceid"), race.alias("racenum"), "days",
         label("H", hid).alias("horsename"), label("J", F.col("sid")).alias("jocky"),
         label("T", F.col("sid") % 20).alias("trainer"),
         F.col("p_brand").alias("father"), F.col("p_type").alias("fathermon"),

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from furlong.operators.ordering import number_rows
 
@@ -26,15 +28,51 @@ def _allow_java_charsets(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.legacy.javaCharsets", "true")
 
 
-def read_entries_csv(spark: SparkSession, path: str, types: dict[str, str] | None = None,
-                     encoding: str = SHIFT_JIS) -> DataFrame:
-    """Entries from CSV with a header; NaN in a double column is read as null."""
+#: Forms of a date that are tried in turn; the first that fits the whole text counts.
+DATE_PATTERNS = ("yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss[.SSS]", "yyyy-MM-dd'T'HH:mm:ss[.SSS]", "yyyy/M/d", "yyyy/M/d H:mm:ss",
+                 "yyyy.M.d", "yyyyMMdd", "yyyy'年'M'月'd'日'")
+
+
+def read_text_csv(spark: SparkSession, path: str, encoding: str = SHIFT_JIS) -> DataFrame:
+    """CSV with a header as text columns in file order. Files with different headers are an error."""
     _allow_java_charsets(spark)
+    return spark.read.option("header", True).option("encoding", encoding).option("enforceSchema", False).csv(path)
+
+
+def read_entries_csv(spark: SparkSession, path: str, types: dict[str, str] | None = None,
+                     encoding: str = SHIFT_JIS, date_patterns: Sequence[str] = DATE_PATTERNS) -> DataFrame:
+    """Entries from CSV, found by the names in the header; further columns are ignored.
+
+    A missing column is an error. Values that are no number of their column's type become null, as does NaN
+    in a double column; a whole number may be written with a decimal point. Timestamps may have any of
+    ``date_patterns``; see :func:`unparsed_days` for those that have none.
+    """
     types = types or ENTRY_TYPES
-    schema = ", ".join(f"`{c}` {t}" for c, t in types.items())
-    df = spark.read.schema(schema).option("header", True).option("encoding", encoding).csv(path)
-    doubles = [c for c, t in types.items() if t == "double"]
-    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in doubles})
+    text = read_text_csv(spark, path, encoding)
+    names = {c.strip().lstrip("\ufeff"): c for c in text.columns}
+    missing = [c for c in types if c not in names]
+    if missing:
+        raise ValueError(f"columns missing in {path}: {missing}")
+
+    def typed(name: str, kind: str) -> Column:
+        value = F.col(f"`{names[name]}`")
+        if kind == "string":
+            return value
+        if kind.startswith("timestamp"):
+            return parsed_days(names[name], *date_patterns)
+        number = F.trim(value)
+        if kind == "double":
+            read = number.try_cast("double")
+            return F.when(~F.isnan(read), read)
+        return F.coalesce(number.try_cast(kind), number.try_cast("double").try_cast(kind))
+
+    return text.select(*[typed(c, t).alias(c) for c, t in types.items()])
+
+
+def unparsed_days(text: DataFrame, column: str = "days", date_patterns: Sequence[str] = DATE_PATTERNS) -> DataFrame:
+    """``(column, n)``: texts of dates that fit no pattern, with the number of their rows."""
+    lost = F.col(column).isNotNull() & parsed_days(column, *date_patterns).isNull()
+    return text.filter(lost).groupBy(column).agg(F.count("*").alias("n"))
 
 
 def write_entries_csv(df: DataFrame, path: str, encoding: str = SHIFT_JIS) -> None:
@@ -42,9 +80,10 @@ def write_entries_csv(df: DataFrame, path: str, encoding: str = SHIFT_JIS) -> No
     df.write.option("header", True).option("encoding", encoding).csv(path)
 
 
-def parsed_days(column: str, pattern: str = "yyyy-MM-dd") -> Column:
-    """Text to timestamp without time zone; text that does not parse becomes null."""
-    return F.try_to_timestamp(F.col(column), F.lit(pattern)).cast("timestamp_ntz")
+def parsed_days(column: str, *patterns: str) -> Column:
+    """Text to timestamp without time zone; text that fits none of the patterns becomes null."""
+    tried = [F.try_to_timestamp(F.trim(F.col(f"`{column}`")), F.lit(p)) for p in patterns or ("yyyy-MM-dd",)]
+    return F.coalesce(*tried).cast("timestamp_ntz")
 
 
 def checkpoint_path(root: str, *settings: object) -> str:
@@ -75,9 +114,16 @@ def numbered_predictions(df: DataFrame, key: str = "raceid") -> DataFrame:
 
 
 def write_predictions_csv(df: DataFrame, path: str) -> None:
+    """The prediction file: numbered predictions with a header."""
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
+def read_predictions_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A prediction file with the columns of ``schema``, found by their names."""
+    text = spark.read.option("header", True).option("enforceSchema", False).csv(path)
+    return text.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema])
+
+
 def write_report(df: DataFrame, path: str) -> None:
     """A feature report ``(feature, kept, score)``: one small file."""
     df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)

@@ -69,18 +69,18 @@ def test_class_weights(spark):
     assert {r.y: r["count"] for r in copies.groupBy("y").count().collect()} == {0: 6, 1: 6}
 
 
-@pytest.mark.parametrize("block_rows", [512, 10])
-def test_synthetic_rows_balance_and_stay_on_the_line(spark, block_rows):
+@pytest.mark.parametrize("reach", [40, 3])
+def test_synthetic_rows_balance_and_stay_on_the_line(spark, reach):
     rows = [(i, 0, float(i), 0.0, 7) for i in range(120)] + [(1000 + i, 1, float(i), 2.0 * i, i % 3) for i in range(35)]
     df = spark.createDataFrame(rows, "id long, y int, a double, b double, c int")
-    out = sampling.smote(df, "y", "id", ["a", "b"], ["c"], block_rows=block_rows)
+    out = sampling.smote(df, "y", "id", ["a", "b"], ["c"], reach=reach)
     data = out.collect()
     assert sum(r.y == 0 for r in data) == sum(r.y == 1 for r in data) == 120
     made = [r for r in data if r.synthetic]
     assert len(made) == 85 and all(r.id is None and r.y == 1 and r.c in (0, 1, 2) for r in made)
     assert all(r.b == pytest.approx(2 * r.a) and 0 <= r.a <= 34 for r in made)
     assert sorted(tuple(r)[:5] for r in data if not r.synthetic) == sorted(rows)
-    again = sampling.smote(df.repartition(7), "y", "id", ["a", "b"], ["c"], block_rows=block_rows)
+    again = sampling.smote(df.repartition(7), "y", "id", ["a", "b"], ["c"], reach=reach)
     assert sorted(r.a for r in again.filter("synthetic = 1").collect()) == sorted(r.a for r in made)
 
 
@@ -94,6 +94,34 @@ def test_synthetic_neighbours_are_among_the_nearest(spark):
         assert any(lo <= r.a <= hi for lo, hi in spans)
 
 
+def test_rare_class_spreads_over_all_tasks(spark):
+    rows = spark.range(2000).select(F.col("id"), (F.col("id") < 4).cast("int").alias("y"), F.col("id").cast("double").alias("a"))
+    few = rows.filter("y = 1").select("id", F.lit(1000).alias("n"))
+    out = sampling.repeated(few, F.col("n"), 1000, "copy", chunk=10)
+    assert out.count() == 4000 and out.select(F.spark_partition_id().alias("p")).distinct().count() > 1
+    made = sampling.smote(rows, "y", "id", ["a"])
+    assert made.filter("synthetic = 1").count() == 1992 and made.filter("synthetic = 1 AND a BETWEEN 0 AND 3").count() == 1992
+
+
+def test_two_labels_are_needed(spark):
+    with pytest.raises(ValueError, match="two values"):
+        sampling.smote(spark.createDataFrame([(1, 0, 1.0)], "id long, y int, a double"), "y", "id", ["a"])
+    single = spark.createDataFrame([(1, 0, 1.0), (2, 0, 2.0), (3, 1, 5.0)], "id long, y int, a double")
+    assert [r.a for r in sampling.smote(single, "y", "id", ["a"]).filter("synthetic = 1").collect()] == [5.0]
+
+
+def test_neighbours_are_found_at_any_size(spark):
+    """Recall of exact neighbours with pieces and reach far below the number of rows."""
+    points = np.random.default_rng(2).normal(size=(600, 3)).round(4)
+    df = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(points)], "id long, a double, b double, c double").repartition(4)
+    near = {r.id: r.near for r in sampling.nearest_rows(df, "id", ["a", "b", "c"], 5, reach=25, directions=6, piece_rows=100).collect()}
+    z = points / points.std(0)
+    apart = ((z[:, None] - z[None]) ** 2).sum(2)
+    np.fill_diagonal(apart, np.inf)
+    hits = sum(len(set(near[i]) & set(np.argsort(apart[i])[:5].tolist())) for i in range(600))
+    assert len(near) == 600 and hits / 3000 >= 0.9
+
+
 @pytest.fixture(scope="module")
 def planted(spark):
     """``good`` decides the label, ``half`` helps, the rest is noise."""

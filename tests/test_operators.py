@@ -13,6 +13,7 @@ from furlong.operators import aggregates, columns, evaluation, filters, report,
 from furlong.plans.clean import clean_entries, with_last_race_index, with_speed_index
 from furlong.plans.features import derived, labelled
 from furlong.sources import files
+from furlong.sources.entries import entry_key
 
 
 def col(df, name):
@@ -178,6 +179,52 @@ def test_csv_round_trip_and_dates(spark, tmp_path):
     assert col(text.select(files.parsed_days("t").alias("d")), "d") == [datetime(2021, 11, 20), None, None]
 
 
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    head = list(reversed(files.ENTRY_TYPES))
+    values = {"raceid": "7", "odds": "9.5", "pop": "3.0", "days": "2021/11/5", "weight": "NaN", "time": "x", "place": "中京"}
+    lines = [",".join([*head, "remark"]), ",".join([*(values.get(c, "1") for c in head), "note"])]
+    (tmp_path / "e.csv").write_bytes(("\r\n".join(lines) + "\r\n").encode("cp932"))
+    r = files.read_entries_csv(spark, str(tmp_path / "e.csv")).first()
+    assert list(r.asDict()) == list(files.ENTRY_TYPES)
+    assert (r.raceid, r.odds, r["pop"], r.days, r.weight, r.time, r.place) == (7, 9.5, 3, datetime(2021, 11, 5), None, None, "中京")
+
+
+def test_csv_without_a_column_or_with_two_headers_is_refused(spark, tmp_path):
+    types = {"a": "int", "b": "double"}
+    (tmp_path / "x").mkdir()
+    (tmp_path / "x" / "1.csv").write_text("b,a\n1.5,2\n")
+    assert files.read_entries_csv(spark, str(tmp_path / "x"), types).collect() == [(2, 1.5)]
+    with pytest.raises(ValueError, match="missing"):
+        files.read_entries_csv(spark, str(tmp_path / "x"), types | {"c": "int"})
+    (tmp_path / "x" / "2.csv").write_text("a,b\n3,4.5\n")
+    with pytest.raises(Exception):
+        files.read_entries_csv(spark, str(tmp_path / "x"), types).collect()
+
+
+def test_date_forms_and_texts_without_one(spark):
+    text = ["2021-11-05", "2021/11/5", "20211105", "2021年11月5日", "2021-11-05 00:00:00", "2021/13/40", "soon", None]
+    df = spark.createDataFrame([(t,) for t in text], "days string")
+    assert col(df.select(files.parsed_days("days", *files.DATE_PATTERNS).alias("d")), "d") == [datetime(2021, 11, 5)] * 5 + [None] * 3
+    assert sorted(map(tuple, files.unparsed_days(df).collect())) == [("2021/13/40", 1), ("soon", 1)]
+
+
+def test_entry_keys_of_large_tables_differ(spark):
+    df = spark.createDataFrame([(1, 1_000_005), (2, 5), (250_000_000, 999_999_999)], "race long, hid long")
+    keys = col(df.select(entry_key(F.col("race"), F.col("hid")).alias("k")), "k")
+    assert len(set(keys)) == 3
+    with pytest.raises(Exception, match="runner keys"):
+        spark.createDataFrame([(1, 10**9)], "race long, hid long").select(entry_key(F.col("race"), F.col("hid"))).collect()
+
+
+def test_report_keeps_the_scored_copy(spark):
+    rows = [(1, "H", 0.2, None), (1, "H", 0.1, 0.9), (1, "H", 0.8, 0.9), (2, "I", None, None)]
+    df = spark.createDataFrame(rows, "raceid long, horsename string, gbm_pred double, tf_pred double")
+    features = df.select("raceid", "horsename", F.lit(999).alias("result"), *[
+        F.lit("x").alias(c) for c in C.REPORT_COLUMNS if c not in ("raceid", "horsename")]).distinct()
+    out = report.prediction_report(features, df.select("raceid", "gbm_pred"), df.select("raceid", "tf_pred"))
+    assert sorted((r.raceid, r.gbm_pred, r.tf_pred) for r in out.collect()) == [(1, 0.8, 0.9), (2, None, None)]
+
+
 def test_resume_reads_the_saved_table(spark, tmp_path):
     path = files.checkpoint_path(str(tmp_path), C.PRODUCTION, "a")
     assert path != files.checkpoint_path(str(tmp_path), C.EXPERIMENT, "a")
