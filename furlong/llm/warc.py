@@ -11,8 +11,12 @@ each file. Only records that the chain reaches are real, pieces between two of t
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,6 +28,8 @@ MAGIC = "WARC/1.1\r\n"
 RECORD_END = "\r\n\r\n"
 HEX_DIGITS, BASE32_DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
+MOST_SPLITS = 1_000_000
+
 
 def base32_sha1(data: Column) -> Column:
     """Bare upper-case base32 of a SHA-1: four digits for every five hexadecimal ones."""
@@ -47,7 +53,8 @@ def payload_groups(pages: DataFrame, key: str, payload: str, url: str, least: in
     last = rows.filter(F.col("size") >= least).groupBy(
         F.col("digest").alias("d2"), F.col("size").alias("size2")).agg(F.max("id").alias("keeper"))
     same = (F.col("digest") == F.col("d2")) & (F.col("size") == F.col("size2"))
-    return rows.join(written(last, "keepers"), same, "left").drop("d2", "size2")
+    # Payloads move once at every size of the table; a hot one is split by the adaptive plan.
+    return rows.join(last.hint("merge"), same, "left").drop("d2", "size2")
 
 
 def write_archives(pages: DataFrame, path: str, key: str = "page_id", payload: str = "html", url: str = "url",
@@ -88,9 +95,10 @@ def _header(value: Column, name: str) -> Column:
 
 
 def candidates(spark, path: str) -> DataFrame:
-    """A table ``file, block, no, at, next``: each piece, its offset and its successor's offset.
+    """A table ``file, block, at, next``: each piece, its offset and its successor's offset.
 
-    ``at`` is where the piece's magic stands; ``next`` is null if the piece has no usable header.
+    ``at`` is where the piece's magic stands, before 0 for what precedes a file's first one; ``next`` is null
+    if the piece has no usable header.
     """
     length = _header(F.col("value"), "Content-Length")
     found = _pieces(spark, path).select(
@@ -105,8 +113,7 @@ def candidates(spark, path: str) -> DataFrame:
     placed = found.withColumn("sum", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(
         starts, ["file", "block"]).withColumn("at", F.col("start") + F.col("sum") - len(MAGIC))
     after = F.col("at") + len(MAGIC) + F.col("head") + len(RECORD_END) + F.col("length") + len(RECORD_END)
-    return placed.filter("at >= 0").select(
-        "file", "block", "no", "at", F.when(F.col("length") >= 0, after).alias("next"))
+    return placed.select("file", "block", "at", F.when((F.col("length") >= 0) & (F.col("at") >= 0), after).alias("next"))
 
 
 def reachable(links: DataFrame) -> DataFrame:
@@ -164,31 +171,79 @@ def reachable(links: DataFrame) -> DataFrame:
     return entries.groupBy("file", "block").applyInPandas(follow, "file string, at long")
 
 
+def _assembled(rows: DataFrame) -> DataFrame:
+    """``file, record, at, v, whole`` from pieces in the order of their splits.
+
+    ``rows`` has ``file, block, value`` with the split's ``first`` offset, its first real record (``entry``) and
+    the last one before it (``carried``). A record that lies in one split is put together here; what crosses a
+    split's ends comes in parts.
+    """
+    magic, end = MAGIC.encode(), RECORD_END.encode()
+    length_of = re.compile(rb"(?m)^Content-Length: (\d+)\r?$")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split = None
+        for batch in batches:
+            out: list[tuple] = []
+            for file, block, value, first, entry, carried in zip(*[batch.column(c).to_pylist() for c in (
+                    "file", "block", "value", "first", "entry", "carried")], strict=True):
+                if (file, block) != split:
+                    if split and parts:
+                        # It may go on in the next split, unless it ends with this one or with the file.
+                        out.append((split[0], record, begun, magic.join(parts), record == begun and due in (at, at - len(magic))))
+                    split, at, due, record, begun, parts = (file, block), first, entry, carried, None, []
+                if at == due:
+                    if parts:
+                        out.append((file, record, begun, magic.join(parts), record == begun))
+                    record, begun, parts = at, at, [value]
+                    head = value.find(end)
+                    size = length_of.search(value[:head]) if head >= 0 else None
+                    due = at + len(magic) + head + 2 * len(end) + int(size[1]) if size else None
+                elif record is not None:
+                    begun = at if begun is None else begun
+                    parts.append(value)
+                at += len(value) + len(magic)
+            if out:
+                yield table(out)
+        if split and parts:
+            yield table([(split[0], record, begun, magic.join(parts), record == begun and due in (at, at - len(magic)))])
+
+    def table(out: list) -> pa.RecordBatch:
+        f, r, a, v, w = zip(*out, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(f), pa.array(r, pa.int64()), pa.array(a, pa.int64()),
+                                           pa.array(v, pa.binary()), pa.array(w)], ["file", "record", "at", "v", "whole"])
+
+    return rows.mapInArrow(run, "file string, record long, at long, v binary, whole boolean")
+
+
 def read_archives(spark, path: str) -> DataFrame:
     """The real records below ``path``: ``file, at, type, record_id, refers_to, uri, digest, length, payload``.
 
-    The magic may stand in payloads, also followed by a whole forged header. Empty files give no record.
+    The magic may stand in payloads, also followed by a whole forged header. Empty files give no record, and
+    neither does what follows a record without a usable length, nor a record that its file cuts off.
     """
     links = written(candidates(spark, path), "links")
-    real = reachable(links).withColumn("real", F.lit(True))
-    marked = written(links.select("file", "block", "no", "at").join(real, ["file", "at"], "left"), "marked")
-    # A piece belongs to the last real record at or before it, which may start in an earlier split.
-    inside = Window.partitionBy("file", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    real = reachable(links.filter("at >= 0")).withColumn("real", F.lit(True))
+    # Per split: where it begins, its first real record and the last one before it. A record goes on until the
+    # next one begins, over as many splits as that takes.
     files = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    last = marked.groupBy("file", "block").agg(F.max(F.when(F.col("real"), F.col("at"))).alias("last")).select(
-        "file", "block", F.max("last").over(files).alias("carried"))
-    here = F.max(F.when(F.col("real"), F.col("at"))).over(inside)
-    owned = marked.withColumn("here", here).join(last, ["file", "block"]).withColumn(
-        "record", F.coalesce("here", "carried")).filter(F.col("record").isNotNull()).select("file", "no", "at", "record")
-    split = owned.groupBy("file", "record").agg(F.count("*").alias("parts")).filter("parts > 1")
-    owned = written(owned.join(split, ["file", "record"], "left"), "owned")
-    # Records of one piece are whole; only those with the magic in their payload are put together.
-    texts = _pieces(spark, path).select("file", "no", "value")
-    alone = texts.join(owned.filter("parts IS NULL"), ["file", "no"]).select("file", F.col("record").alias("at"), F.col("value").alias("v"))
-    parts = F.array_sort(F.collect_list(F.struct("at", "value")))
-    whole = texts.join(owned.filter("parts > 1"), ["file", "no"]).groupBy("file", "record").agg(parts.alias("p")).select(
-        "file", F.col("record").alias("at"), F.array_join(F.transform("p", lambda x: x["value"]), MAGIC).alias("v"))
-    whole = alone.unionByName(whole)
+    here = F.when(F.col("real"), F.col("at"))
+    splits = links.select("file", "block", "at").join(real, ["file", "at"], "left").groupBy("file", "block").agg(
+        F.min("at").alias("first"), F.min(here).alias("entry"), F.max(here).alias("last"))
+    splits = written(splits.withColumn("carried", F.max("last").over(files)).drop("last"), "splits")
+    texts = _pieces(spark, path).withColumn("value", F.col("value").cast("binary"))
+    # A few numbers per split are sent along with the pieces, which then stay where they are read.
+    if splits.count() <= MOST_SPLITS:
+        texts = texts.join(F.broadcast(splits), ["file", "block"])
+    else:
+        texts = texts.join(splits, ["file", "block"]).repartition("file", "block").sortWithinPartitions("file", "block", "no")
+    pieces = _assembled(texts)
+    whole = pieces.filter("whole").select("file", F.col("record").alias("at"), F.col("v").cast("string").alias("v"))
+    if not splits.groupBy("file").count().filter("count > 1").isEmpty():
+        parts = F.array_sort(F.collect_list(F.struct("at", F.col("v").cast("string").alias("v"))))
+        crossing = pieces.filter("not whole").groupBy("file", "record").agg(parts.alias("p")).select(
+            "file", F.col("record").alias("at"), F.array_join(F.transform("p", lambda x: x["v"]), MAGIC).alias("v"))
+        whole = whole.unionByName(crossing)
     length = _header(F.col("v"), "Content-Length").cast("long")
     data = F.expr(f"substring(cast(v AS binary), octet_length(substring_index(v, '\\r\\n\\r\\n', 1)) + {len(RECORD_END) + 1}, "
                   "cast(length AS int))")
@@ -197,7 +252,7 @@ def read_archives(spark, path: str) -> DataFrame:
         _header(F.col("v"), "WARC-Record-ID").alias("record_id"),
         _header(F.col("v"), "WARC-Refers-To").alias("refers_to"), _header(F.col("v"), "WARC-Target-URI").alias("uri"),
         F.regexp_replace(_header(F.col("v"), "WARC-Payload-Digest"), "^sha1:", "").alias("digest"), "length",
-        data.alias("payload"))
+        data.alias("payload")).filter(F.octet_length("payload") == F.col("length"))
 
 
 def archived_pages(pages: DataFrame, key: str = "page_id", payload: str = "html", url: str = "url",

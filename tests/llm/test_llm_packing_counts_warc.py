@@ -164,3 +164,12 @@ def test_small_payloads_are_all_responses(spark):
     df = spark.createDataFrame([(1, "u", "a"), (2, "u", "a"), (3, "u", "abcdef"), (4, "u", "abcdef")], "page_id long, url string, html string")
     got = {r["page_id"]: r["record_type"] for r in warc.archived_pages(df, least=5).collect()}
     assert got == {1: "response", 2: "response", 3: "revisit", 4: "response"}
+
+
+def test_broken_archives_give_their_sound_records(spark, tmp_path):
+    record = "WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:%d>\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n"
+    (tmp_path / "cut.warc").write_text(record % (1, 3, "abc") + record % (2, 900, "cut"), newline="")
+    (tmp_path / "lost.warc").write_text(record % (3, 2, "xy") + "WARC/1.1\r\nno header\r\n\r\n" + record % (4, 1, "z"), newline="")
+    (tmp_path / "none.warc").write_text("", newline="")
+    got = warc.read_archives(spark, str(tmp_path)).collect()
+    assert sorted((r["record_id"], bytes(r["payload"])) for r in got) == [("<urn:page:1>", b"abc"), ("<urn:page:3>", b"xy")]
