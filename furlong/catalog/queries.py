@@ -23,10 +23,9 @@ from furlong.session import materialize, scratch_path
 from furlong.sources import files
 from furlong.sources.entries import entry_key, race_entries, table
 
-CONFIG = replace(C.PRODUCTION, history_before=datetime(2001, 1, 1), recent_from=datetime(2001, 3, 1),
-                 gbm_rounds=5, network_layers=(16,), network_iterations=20)
-
-_finished: dict[tuple[str, str], DataFrame] = {}
+CONFIG = replace(C.PRODUCTION, history_before=datetime(2001, 1, 1), recent_from=datetime(2001, 3, 1))
+CURRENT = replace(CONFIG, include_current=True)
+COMPONENTS = tuple(c for p in CONFIG.profiles for c in p.component_names())
 
 
 def clean(spark: SparkSession, sf: str) -> DataFrame:
@@ -53,13 +52,13 @@ def folded(spark: SparkSession, sf: str, p: C.Profile) -> DataFrame:
     return ranked(spark, sf).withColumn("fold", ((F.col("rank") - 1) % p.folds).cast("int"))
 
 
-def finished(spark: SparkSession, sf: str) -> DataFrame:
-    """The finished feature table without components. The model queries of one application share it."""
-    at = (spark.sparkContext.applicationId, sf)
-    if at not in _finished:
-        built = materialize(feature_plan.build_features(race_entries(spark, sf), CONFIG, components=False), "features")
-        _finished[at] = materialize(feature_plan.finish_features(built, CONFIG), "finished")
-    return _finished[at]
+def features(spark: SparkSession, sf: str, config: C.RaceConfig = CONFIG) -> DataFrame:
+    return materialize(feature_plan.build_features(race_entries(spark, sf), config), "features")
+
+
+def finished(spark: SparkSession, sf: str, config: C.RaceConfig = CONFIG) -> DataFrame:
+    """The finished feature table, built anew for each query."""
+    return materialize(feature_plan.finish_features(features(spark, sf, config), config), "finished")
 
 
 def given_scores(df: DataFrame) -> DataFrame:
@@ -212,13 +211,11 @@ register("column_range",
          lambda spark, sf: columns.column_range(_history(spark, sf), "popmean", "speedmin"),
          "SELECT " + ", ".join(f'"{s.name}"' for s in history.rolled_stats(C.ROLLED)) + " FROM history", "history",
          ROLLED_DOUBLES)
-GROUP = [c for c in C.FEATURE_GROUPS["numeric"] if c in {
-    "horsenum", *C.LAGGED.values(), "speedindex", *[s.name for s in history.rolled_stats(C.ROLLED)], "resultmean"}
-    and c not in ("pre_speedindex", "pre_last_race_index")]
+GROUP = ("horsecount", "horsenum", "weight", *C.FEATURE_GROUPS["previous_race"], *C.FEATURE_GROUPS["rolling"])
 register("feature_group",
          lambda spark, sf: columns.feature_group(_history(spark, sf), C.FEATURE_GROUPS["numeric"], ["raceid"]),
          "SELECT raceid, " + ", ".join(f'"{c}"' for c in GROUP) + " FROM history", "history",
-         [c for c in GROUP if c in (*ROLLED_DOUBLES, *LAGGED_DOUBLES, "speedindex", "resultmean")])
+         [c for c in GROUP if c in (*ROLLED_DOUBLES, *LAGGED_DOUBLES, "speedindex", "last_race_index", "resultmean", "weight")])
 register("unpivot_report",
          lambda spark, sf: columns.to_rows(clean(spark, sf).groupBy("place").agg(
              *[F.avg(c).alias(c) for c in ("pop", "odds", "weight")]), ["place"], ["pop", "odds", "weight"], "measure", "mean"),
@@ -498,6 +495,9 @@ for _p in S.PROFILES:
              lambda spark, sf, p=_p: encode.principal_components(
                  encode.profile_matrix(ranked(spark, sf), p), p.entity, p.component_names()))
     register(f"entity_profile_{_p.prefix}", lambda spark, sf, p=_p: encode.entity_profile(ranked(spark, sf), p))
+    register(f"profile_encoding_{_p.prefix}",
+             lambda spark, sf, p=_p: encode.entity_profile(ranked(spark, sf), p).select(p.entity, p.encoding),
+             f"SELECT * FROM {S.encoding(_p)}", "ranked", (_p.encoding,))
 register("oof_entity_mean",
          lambda spark, sf: encode.entity_encoding(folded(spark, sf, C.FATHER), "father", "result", C.FATHER.encoding),
          f"SELECT * FROM {S.encoding(C.FATHER)}", "ranked", (C.FATHER.encoding,))
@@ -567,13 +567,13 @@ def _gbm_input(spark, sf):
 
 
 def _score_gbt(spark, sf):
-    train, pred, features = _gbm_input(spark, sf)
-    return scoring.score_gbt(train, pred, features, C.GBM_CATEGORICALS, rounds=CONFIG.gbm_rounds, counted=C.GBM_COUNTED)
+    train, pred, used = _gbm_input(spark, sf)
+    return scoring.score_gbt(train, pred, used, C.GBM_CATEGORICALS, rounds=CONFIG.gbm_rounds, counted=C.GBM_COUNTED)
 
 
 def _tune_gbt(spark, sf):
-    train, _, features = _gbm_input(spark, sf)
-    return scoring.tune_gbt(train, features, C.GBM_CATEGORICALS, rounds=3, depths=(2, 4), rates=(0.1, 0.3),
+    train, _, used = _gbm_input(spark, sf)
+    return scoring.tune_gbt(train, used, C.GBM_CATEGORICALS, rounds=3, depths=(2, 4), rates=(0.1, 0.3),
                             counted=C.GBM_COUNTED)[1]
 
 
@@ -632,25 +632,43 @@ register("prediction_report", _report,
 
 # ---- Feature selection ------------------------------------------------------------------------------
 
-CANDIDATES = ("horsecount", "horsenum", "odds", "pop", "weight")
+CANDIDATES = tuple(c for c in C.FEATURE_GROUPS["numeric"] if c not in COMPONENTS)
+CHOSEN = 10
 
 
 def _candidates(spark, sf) -> DataFrame:
-    rows = filters.to_train(filters.since(clean(spark, sf), "days", CONFIG.recent_from))
-    return feature_plan.labelled(rows).select("raceid", "flag", *CANDIDATES).dropna("any")
+    """The finished table's recent rows with all numeric features, rounded so that equal values are equal anywhere."""
+    rows = filters.to_train(filters.since(finished(spark, sf), "days", CONFIG.recent_from))
+    return values.rounded(rows.select("raceid", "flag", *[F.col(c).cast("double").alias(c) for c in CANDIDATES]), CANDIDATES, 6)
+
+
+def _mutual_information(spark, sf) -> DataFrame:
+    return selection.mutual_information(materialize(_candidates(spark, sf), "candidates"), CANDIDATES, "flag", k=CHOSEN)
+
 
+def _report_file(spark, sf) -> DataFrame:
+    """The best features, written as a report and read back."""
+    report_ = selection.top_features(_mutual_information(spark, sf), CHOSEN)
+    path = scratch_path(spark, "report")
+    files.write_report(report_, path)
+    return files.read_predictions_csv(spark, path, report_.schema)
 
-def _scorer(spark, sf) -> selection.ForestScorer:
-    return selection.ForestScorer(_candidates(spark, sf), CANDIDATES, "flag", "raceid", folds=2, trees=4, depth=3,
-                                  parallelism=8)
 
+def _scorer(spark, sf, folds: int = 5) -> tuple[selection.ForestScorer, list[str]]:
+    """Wrapper searches take the features that vary, the most informative ones of them."""
+    rows = materialize(_candidates(spark, sf), "candidates")
+    varying = [r["feature"] for r in selection.variance_report(rows, CANDIDATES).filter("kept AND NOT low").collect()]
+    best = selection.top_features(selection.mutual_information(rows, sorted(varying), "flag"), 5).collect()
+    names = [r["feature"] for r in best]
+    return selection.ForestScorer(rows, names, "flag", "raceid", folds=folds, trees=10, depth=4, parallelism=8), names
 
-CANDIDATE_SQL = f"""(SELECT raceid, {S.LABEL} AS flag, {', '.join(CANDIDATES)} FROM clean
-    WHERE result IS DISTINCT FROM 999 AND days >= {S.RECENT} AND weight IS NOT NULL)"""
+
+CANDIDATE_SQL = f"""(SELECT raceid, flag, {', '.join(f'{S.rnd(f"{chr(34)}{c}{chr(34)}::DOUBLE", 6)} AS "{c}"' for c in CANDIDATES)}
+    FROM finished WHERE result IS DISTINCT FROM 999 AND days >= {S.RECENT})"""
 _mi_bins = " UNION ALL ".join(
-    f"""SELECT '{c}' AS feature, {c}::DOUBLE AS v, flag FROM {CANDIDATE_SQL}""" for c in CANDIDATES)
+    f"""SELECT '{c}' AS feature, "{c}" AS v, flag FROM candidates""" for c in CANDIDATES)
 MI_SQL = f"""
-    WITH long AS ({_mi_bins}),
+    WITH candidates AS {CANDIDATE_SQL}, long AS ({_mi_bins}),
     cum AS (SELECT feature, v, count(*) AS c, sum(count(*)) OVER (PARTITION BY feature ORDER BY v) AS upto,
               sum(count(*)) OVER (PARTITION BY feature) AS size FROM long GROUP BY feature, v),
     edges AS (SELECT DISTINCT feature, v AS edge FROM cum, range(1, 10) AS s(i)
@@ -661,16 +679,25 @@ MI_SQL = f"""
     parts AS (SELECT feature, n, sum(n) OVER (PARTITION BY feature) AS total, sum(n) OVER (PARTITION BY feature, bin) AS nb,
                 sum(n) OVER (PARTITION BY feature, flag) AS nl FROM cells),
     scored AS (SELECT feature, sum(n / total * ln(n * total / (nb * nl))) AS score FROM parts GROUP BY feature)
-    SELECT feature, row_number() OVER (ORDER BY round(score, 9) DESC, feature) <= 2 AS kept, score FROM scored"""
+    SELECT feature, row_number() OVER (ORDER BY round(score, 9) DESC, feature) <= {CHOSEN} AS kept, score FROM scored"""
 register("fs_variance", lambda spark, sf: selection.variance_report(_candidates(spark, sf), CANDIDATES),
-         _variance_sql(CANDIDATE_SQL, CANDIDATES), "clean", ("variance",))
-register("fs_mutual_info",
-         lambda spark, sf: selection.mutual_information(materialize(_candidates(spark, sf), "candidates"), CANDIDATES, "flag"),
-         MI_SQL, "clean", ("score",))
-register("fs_forward", lambda spark, sf: selection.forward_selection(_scorer(spark, sf), CANDIDATES, 2))
-register("fs_backward", lambda spark, sf: selection.backward_selection(_scorer(spark, sf), CANDIDATES, 3))
-register("fs_rfe", lambda spark, sf: selection.recursive_elimination(_scorer(spark, sf), CANDIDATES, 2))
-register("fs_subsets", lambda spark, sf: selection.subset_search(_scorer(spark, sf), CANDIDATES, 3, 4))
+         f"WITH candidates AS {CANDIDATE_SQL} {_variance_sql('candidates', CANDIDATES)}", "finished", ("variance",))
+register("fs_mutual_info", _mutual_information, MI_SQL, "finished", ("score",))
+register("fs_top_k", _report_file, f"SELECT * FROM ({MI_SQL}) ORDER BY round(score, 9) DESC, feature LIMIT {CHOSEN}",
+         "finished", ("score",))
+
+
+def _wrapped(search, *settings, folds: int = 5):
+    def run(spark, sf):
+        scorer, names = _scorer(spark, sf, folds)
+        return search(scorer, names, *settings)
+    return run
+
+
+register("fs_forward", _wrapped(selection.forward_selection, 2))
+register("fs_backward", _wrapped(selection.backward_selection, 3))
+register("fs_rfe", _wrapped(selection.recursive_elimination, 2, folds=10))
+register("fs_subsets", _wrapped(selection.subset_search, 3, 4))
 
 
 # ---- Composite jobs ---------------------------------------------------------------------------------
@@ -682,20 +709,19 @@ register("speed_index_full",
 register("last_race_index_full",
          lambda spark, sf: clean_plan.with_last_race_index(clean(spark, sf)).select(*KEYS, "last_race_index"),
          f"SELECT {', '.join(KEYS)}, last_race_index FROM indices", "indices", ("last_race_index",))
-register("build_features", lambda spark, sf: feature_plan.build_features(race_entries(spark, sf), CONFIG))
-register("finish_features",
-         lambda spark, sf: feature_plan.finish_features(materialize(
-             feature_plan.build_features(race_entries(spark, sf), CONFIG, components=False), "features"), CONFIG),
-         "SELECT * FROM finished", "finished", FINISHED_DOUBLES)
+register("build_features", lambda spark, sf: features(spark, sf).drop(*COMPONENTS), "SELECT * FROM features", "features",
+         ("odds", "weight", "speedindex", "last_race_index", "pre_odds", "pre_3ftime", *ROLLED_DOUBLES, "resultmean", *ENCODINGS))
+register("finish_features", lambda spark, sf: finished(spark, sf).drop(*COMPONENTS), "SELECT * FROM finished", "finished",
+         FINISHED_DOUBLES)
 GBM_LEFT = [c for c in FINISHED_DOUBLES if c != "weight"]
-register("prep_gbm", lambda spark, sf: predict_plan.prep_gbm(finished(spark, sf)),
+register("prep_gbm", lambda spark, sf: predict_plan.prep_gbm(finished(spark, sf)).drop(*COMPONENTS),
          f"SELECT * EXCLUDE ({', '.join(C.GBM_UNUSED)}) REPLACE ({_codes_sql(C.GBM_CATEGORICALS)}) FROM finished",
          "finished", GBM_LEFT)
 MLP_LEVELS = {c: LEVELS[c] for c in ("place", "class", "turf", "weather", "condition", "sex")}
 MLP_LEVELS |= {"pre_place": LEVELS["place"], "pre_turf": LEVELS["turf"]}
 _band_flags = ", ".join(f"""CAST(({BAND_SQL.format(c)}) = '{b}' AS INTEGER) AS "{c}_{b}" """
                         for c in ("distance", "pre_distance") for b in C.DISTANCE_BANDS)
-register("prep_mlp", lambda spark, sf: predict_plan.prep_mlp(finished(spark, sf)),
+register("prep_mlp", lambda spark, sf: predict_plan.prep_mlp(finished(spark, sf)).drop(*COMPONENTS),
          f"""SELECT * EXCLUDE ({', '.join(dict.fromkeys((*C.MLP_CATEGORICALS, *C.MLP_UNUSED)))}),
              {_one_hot_sql(MLP_LEVELS)}, {_band_flags} FROM finished""", "finished", FINISHED_DOUBLES)
 register("predict_end_to_end",

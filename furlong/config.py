@@ -47,6 +47,25 @@ PLACE_LATIN = {
 BAND_LATIN = {"マイル": "mile", "中距離": "tyukyori", "短距離": "tankyori", "長距離": "tyoukyori"}
 SURFACE_LATIN = {"ダ": "d", "芝": "t", "不": "cf", "稍": "cy", "良": "cg", "重": "co"}
 
+# Columns and the names of what is derived from them.
+LAGGED = {
+    "place": "pre_place", "turf": "pre_turf", "distance": "pre_distance", "pop": "pre_pop", "odds": "pre_odds",
+    "rank3": "pre_rank3", "rank4": "pre_rank4", "3ftime": "pre_3ftime", "result": "pre_result",
+    "speedindex": "pre_speedindex", "last_race_index": "pre_last_race_index",
+}
+ROLLED = {"pop": "pop", "odds": "odds", "3ftime": "3ftime", "speedindex": "speed"}
+
+POST_RACE_COLUMNS = ("rank3", "rank4", "3ftime", "time")
+GBM_CATEGORICALS = ("place", "turf", "distance", "weather", "condition", "sex", "horsename", "trainer",
+                    "pre_place", "pre_turf", "pre_distance")
+GBM_UNUSED = ("days", "racenum", "class", "jocky", "horsecount", "weight", "father", "mother",
+              "fathertype", "legtype", "fathermon")
+MLP_CATEGORICALS = ("place", "class", "turf", "weather", "distance", "condition", "sex",
+                    "pre_place", "pre_turf", "pre_distance")
+MLP_UNUSED = ("father", "mother", "fathermon", "fathertype", "legtype", "jocky", "trainer", "days", "horsename")
+REPORT_COLUMNS = ("raceid", "place", "class", "distance", "horsename", "jocky", "racenum", "horsecount",
+                  "speedindex", "last_race_index")
+
 # --- End of fixed values. ---------------------------------------------------------------------------
 
 
@@ -59,33 +78,8 @@ def pivot_latin_names() -> dict[str, str]:
     return names
 
 
-def _pivot_features(*values: dict[str, str]) -> list[str]:
-    latin = [v for group in values for v in group.values()]
-    return [f"jockey_{v}" for v in PLACE_LATIN.values()] + [
-        f"{entity}_{v}" for entity in ("father", "fathertype") for v in latin]
-
-
-# Named groups of numeric features; a group is used by selecting those of its columns that are present.
-_HISTORY = ["pre_pop", "pre_odds", "pre_rank3", "pre_rank4", "pre_3ftime", "pre_result", "speedindex",
-            "speedmean", "speedmax", "speedmin", "popmean", "oddsmean", "3ftimemean"]
-_CHANGES = ["re_odds_hi", "re_3_to_4time", "re_pop_now_pop", "re_odds_now_odds", "re_result_to_pop", "odds_hi"]
-FEATURE_GROUPS: dict[str, list[str]] = {
-    "numeric": [
-        "horsenum", *_HISTORY, "resultmean", *_pivot_features(PLACE_LATIN, BAND_LATIN, SURFACE_LATIN),
-        "father_3ftime", "fathertype_3ftime",
-        "place_odds", "place_pop", "place_rank3", "place_rank4", "place_3ftime",
-        "distance_odds", "distance_pop", "distance_time", "distance_rank3", "distance_rank4", "distance_3ftime",
-        "father_3f_to_my", "fathertype_3f_to_my", *_CHANGES,
-    ],
-    "numeric_by_distance": [
-        "horsenum", "odds", *_HISTORY, *_pivot_features(PLACE_LATIN, SURFACE_LATIN),
-        "father_3ftime", "fathertype_3ftime",
-        *[f"{entity}_{d}" for entity in ("father", "fathertype") for d in FLAT_DISTANCES],
-        "oddsmax_oddsmin", "3ftimemax_3ftimemin", "speedmax_speedmin",
-        "oddsmax", "oddsmin", "3ftimemax", "3ftimemin", *_CHANGES,
-    ],
-}
-
+# Codes of many values: trees get their frequency instead of splitting them by value.
+GBM_COUNTED = ("horsename", "trainer")
 
 @dataclass(frozen=True)
 class Profile:
@@ -140,6 +134,22 @@ EXPERIMENT = RaceConfig(profiles=EXPERIMENT_PROFILES, distances=FLAT_DISTANCES_W
                         tf_weight=0.45, gbm_rounds=50)
 
 
+DERIVED = ("flag_konkan", "flag_pre_konkan", "odds_hi", "re_odds_hi", "odds_hi_sq", "re_odds_hi_sq", "re_3_to_4time",
+           "re_3_to_4time_hi_sq", "re_pop_now_pop", "re_odds_now_odds", "re_result_to_pop", "popmax_popmin",
+           "oddsmax_oddsmin", "rentai_ritu")
+
+# Named groups of numeric features, all of them columns of the finished feature table. A group is used by
+# selecting those of its columns that are present.
+_TEXT_LAGS = ("pre_place", "pre_turf", "pre_speedindex", "pre_last_race_index")
+FEATURE_GROUPS: dict[str, tuple[str, ...]] = {
+    "previous_race": (*(c for c in LAGGED.values() if c not in _TEXT_LAGS), "speedindex", "last_race_index"),
+    "rolling": (*(f"{short}{stat}" for short in ROLLED.values() for stat in ("mean", "max", "min")), "resultmean"),
+    "profiles": tuple(c for p in PRODUCTION.profiles for c in (p.encoding, *p.component_names())),
+    "derived": DERIVED,
+}
+FEATURE_GROUPS["numeric"] = ("horsecount", "horsenum", "weight", *(c for group in FEATURE_GROUPS.values() for c in group))
+
+
 @dataclass(frozen=True)
 class EventConfig:
     """The same operators over a table of user events."""
@@ -152,23 +162,3 @@ class EventConfig:
 
 
 EVENTS = EventConfig()
-
-LAGGED = {
-    "place": "pre_place", "turf": "pre_turf", "distance": "pre_distance", "pop": "pre_pop", "odds": "pre_odds",
-    "rank3": "pre_rank3", "rank4": "pre_rank4", "3ftime": "pre_3ftime", "result": "pre_result",
-    "speedindex": "pre_speedindex", "last_race_index": "pre_last_race_index",
-}
-ROLLED = {"pop": "pop", "odds": "odds", "3ftime": "3ftime", "speedindex": "speed"}
-
-# Codes of many values: trees get their frequency instead of splitting them by value.
-GBM_COUNTED = ("horsename", "trainer")
-POST_RACE_COLUMNS = ("rank3", "rank4", "3ftime", "time")
-GBM_CATEGORICALS = ("place", "turf", "distance", "weather", "condition", "sex", "horsename", "trainer",
-                    "pre_place", "pre_turf", "pre_distance")
-GBM_UNUSED = ("days", "racenum", "class", "jocky", "horsecount", "weight", "father", "mother",
-              "fathertype", "legtype", "fathermon")
-MLP_CATEGORICALS = ("place", "class", "turf", "weather", "distance", "condition", "sex",
-                    "pre_place", "pre_turf", "pre_distance")
-MLP_UNUSED = ("father", "mother", "fathermon", "fathertype", "legtype", "jocky", "trainer", "days", "horsename")
-REPORT_COLUMNS = ("raceid", "place", "class", "distance", "horsename", "jocky", "racenum", "horsecount",
-                  "speedindex", "last_race_index")
