@@ -17,6 +17,7 @@ from furlong.functions.numeric import ratio, ratio_or_zero, rnd
 from furlong.operators import (
     aggregates, columns, encode, evaluation, filters, history, joins, report, sampling, scoring, selection, values)
 from furlong.plans import clean as clean_plan
+from furlong.plans import experiment as experiment_plan
 from furlong.plans import features as feature_plan
 from furlong.plans import predict as predict_plan
 from furlong.session import materialize, scratch_path
@@ -25,6 +26,7 @@ from furlong.sources.entries import entry_key, race_entries, table
 
 CONFIG = replace(C.PRODUCTION, history_before=datetime(2001, 1, 1), recent_from=datetime(2001, 3, 1))
 CURRENT = replace(CONFIG, include_current=True)
+EXPERIMENT = replace(C.EXPERIMENT, history_before=CONFIG.history_before, recent_from=CONFIG.recent_from)
 COMPONENTS = tuple(c for p in CONFIG.profiles for c in p.component_names())
 
 
@@ -713,6 +715,12 @@ register("build_features", lambda spark, sf: features(spark, sf).drop(*COMPONENT
          ("odds", "weight", "speedindex", "last_race_index", "pre_odds", "pre_3ftime", *ROLLED_DOUBLES, "resultmean", *ENCODINGS))
 register("finish_features", lambda spark, sf: finished(spark, sf).drop(*COMPONENTS), "SELECT * FROM finished", "finished",
          FINISHED_DOUBLES)
+register("finish_features_current", lambda spark, sf: finished(spark, sf, CURRENT).drop(*COMPONENTS),
+         "SELECT * FROM finished_current", "finished_current",
+         [c for c in FINISHED_DOUBLES if c not in ("resultmean", "rentai_ritu")])
+register("finish_features_experiment", lambda spark, sf: finished(spark, sf, EXPERIMENT).drop(*COMPONENTS),
+         "SELECT * FROM finished_experiment", "finished_experiment", (*FINISHED_DOUBLES, "popmax", "popmin"))
+register("experiment_metrics", lambda spark, sf: experiment_plan.experiment_metrics(finished(spark, sf, EXPERIMENT), EXPERIMENT))
 GBM_LEFT = [c for c in FINISHED_DOUBLES if c != "weight"]
 register("prep_gbm", lambda spark, sf: predict_plan.prep_gbm(finished(spark, sf)).drop(*COMPONENTS),
          f"SELECT * EXCLUDE ({', '.join(C.GBM_UNUSED)}) REPLACE ({_codes_sql(C.GBM_CATEGORICALS)}) FROM finished",
@@ -726,7 +734,8 @@ register("prep_mlp", lambda spark, sf: predict_plan.prep_mlp(finished(spark, sf)
              {_one_hot_sql(MLP_LEVELS)}, {_band_flags} FROM finished""", "finished", FINISHED_DOUBLES)
 register("predict_end_to_end",
          lambda spark, sf: predict_plan.predict_end_to_end(spark, race_entries(spark, sf), CONFIG,
-                                                           root=scratch_path(spark, "run"), source=sf))
+                                                           root=scratch_path(spark, "run"), source=sf,
+                                                           output=scratch_path(spark, "predictions")))
 
 
 # ---- The second configuration: user events ----------------------------------------------------------

@@ -175,11 +175,29 @@ finished AS (
   SELECT * EXCLUDE (odds, pop, rentai5sum, count5sum, "count", rentai), {DERIVED}
   FROM filled WHERE COLUMNS(*) IS NOT NULL)"""
 
-STEPS = {"race_entries": ENTRIES, "clean": CLEAN, "base": BASE, "indices": INDICES, "history": HISTORY, "past": PAST,
+# The variant whose rolling frame holds the current race.
+HISTORY_CURRENT = HISTORY.replace("history AS", "history_current AS").replace(
+    rolled("p", 1, True), rolled("p", 2, False)).replace(PREV5, INCL5)
+FEATURES_CURRENT = FEATURES.replace("features AS", "features_current AS").replace(
+    "SELECT history.*", "SELECT history_current.*").replace("FROM history ", "FROM history_current ")
+FINISHED_CURRENT = FINISHED.replace("filled", "filled_current").replace("FROM features", "FROM features_current").replace(
+    "finished AS", "finished_current AS").replace("rentai5sum, count5sum, ", "").replace(
+    DERIVED, DERIVED[:DERIVED.rindex("coalesce(oddsmax - oddsmin, 0.0) AS oddsmax_oddsmin")]
+    + "coalesce(oddsmax - oddsmin, 0.0) AS oddsmax_oddsmin")
+# The experimental variant: derive first, fill rolling columns with their means, then drop incomplete rows.
+_ROLLED_FILL = ", ".join(f'coalesce("{s.name}", (SELECT avg("{s.name}") FROM wide)) AS "{s.name}"' for s in rolled_stats(C.ROLLED))
+FINISHED_EXPERIMENT = FINISHED[:FINISHED.index("finished AS")] + f"""wide AS (SELECT *, {DERIVED} FROM filled),
+finished_experiment AS (
+  SELECT * EXCLUDE (odds, pop, rentai5sum, count5sum, "count", rentai)
+  FROM (SELECT * REPLACE ({_ROLLED_FILL}) FROM wide) WHERE COLUMNS(*) IS NOT NULL)"""
+
+STEPS = {"history_current": HISTORY_CURRENT, "features_current": FEATURES_CURRENT, "finished_current": FINISHED_CURRENT,
+         "finished_experiment": FINISHED_EXPERIMENT, "race_entries": ENTRIES, "clean": CLEAN, "base": BASE, "indices": INDICES, "history": HISTORY, "past": PAST,
          "ranked": RANKED, "features": FEATURES, "finished": FINISHED}
 NEEDS = {"race_entries": (), "clean": ("race_entries",), "base": ("clean",), "indices": ("base",),
          "history": ("indices",), "past": ("clean",), "ranked": ("past",), "features": ("history", "ranked"),
-         "finished": ("features",)}
+         "finished": ("features",), "history_current": ("indices",), "features_current": ("history_current", "ranked"),
+         "finished_current": ("features_current",), "finished_experiment": ("features",)}
 
 
 def with_tables(last: tuple[str, ...] | str, body: str) -> str:

@@ -100,12 +100,20 @@ def score_gbt(train: DataFrame, pred: DataFrame, features: Sequence[str], catego
     ``categorical`` are code columns with few values, which are split by category; ``counted`` code columns of
     many values, which enter as their number of training rows. Which is which does not depend on the data.
     """
+    model, _, used, counts = trained_gbt(train, features, categorical, label, key, rounds, seed, depth, rate, counted)
+    return scores(model, with_frequencies(pred, counts, train), used, "gbm_pred", key)
+
+
+def trained_gbt(train: DataFrame, features: Sequence[str], categorical: Sequence[str] = (), label: str = "flag",
+                key: str = "raceid", rounds: int = 100, seed: int = 0, depth: int = 5, rate: float = 0.1,
+                counted: Sequence[str] = ()) -> tuple[GBTClassificationModel, DataFrame, list[str], list[str]]:
+    """(trees, the balanced rows with the held-out ones marked ``is_test``, the features, the counted ones)."""
     counted = [c for c in counted if c in features]
     categorical = [c for c in categorical if c in features and c not in counted]
-    train, pred = with_frequencies(train, counted, train), with_frequencies(pred, counted, train)
-    sizes = code_sizes(train, categorical)
-    data = gbt_training_set(train, features, categorical, label, key, seed)
-    return scores(fit_gbt(data, features, sizes, label, rounds, seed, depth, rate), pred, features, "gbm_pred", key)
+    own = with_frequencies(train, counted, train)
+    sizes = code_sizes(own, categorical)
+    data = materialize(gbt_training_set(own, features, categorical, label, key, seed), "balanced")
+    return fit_gbt(data, features, sizes, label, rounds, seed, depth, rate), data, list(features), counted
 
 
 def tune_gbt(train: DataFrame, features: Sequence[str], categorical: Sequence[str] = (), label: str = "flag",
@@ -144,11 +152,32 @@ def fit_network(train: DataFrame, features: Sequence[str], label: str = "flag",
     return learner.fit(materialize(balanced, "vectors"))
 
 
+def network_parts(train: DataFrame, features: Sequence[str], label: str = "flag", key: str = "raceid",
+                  seed: int = 0) -> DataFrame:
+    """Labelled rows with features limited to [-5, 5] and their part: 20 % test, 16 % valid, the rest train."""
+    narrow = split_random(train, key, seed=seed).select(key, label, "part", *features)
+    return materialize(clip(narrow, features), "parts")
+
+
+def chosen_network(parts: DataFrame, features: Sequence[str], label: str = "flag", key: str = "raceid",
+                   layers: Sequence[int] = (32, 16), iterations: int = 100, seed: int = 0):
+    """The network or the linear model, whichever has the larger precision-recall area on the valid rows."""
+    train, valid = parts.filter("part = 'train'"), assembled(parts.filter("part = 'valid'"), features, [label])
+    judge = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderPR")
+    fitted = [fit_network(train, features, label, key, layers, iterations, seed, linear) for linear in (False, True)]
+    return max(fitted, key=lambda m: judge.evaluate(m.transform(valid)))
+
+
 def score_network(train: DataFrame, pred: DataFrame, features: Sequence[str], label: str = "flag",
                   key: str = "raceid", layers: Sequence[int] = (32, 16), iterations: int = 100, seed: int = 0,
-                  linear: bool = False) -> DataFrame:
-    """Train on 64 % of the labelled rows, features limited to [-5, 5]; returns ``(key, tf_pred)``."""
-    narrow = split_random(train, key, seed=seed).filter(F.col("part") == "train").select(key, label, *features)
-    data = materialize(clip(narrow, features), "train")
-    model = fit_network(data, features, label, key, layers, iterations, seed, linear)
+                  linear: bool | None = None) -> DataFrame:
+    """Train on 64 % of the labelled rows; returns ``(key, tf_pred)``.
+
+    ``linear`` fixes the kind of model; by default the valid rows choose it.
+    """
+    parts = network_parts(train, features, label, key, seed)
+    if linear is None:
+        model = chosen_network(parts, features, label, key, layers, iterations, seed)
+    else:
+        model = fit_network(parts.filter("part = 'train'"), features, label, key, layers, iterations, seed, linear)
     return scores(model, clip(pred, features), features, "tf_pred", key)

@@ -13,6 +13,7 @@ from furlong.operators import encode, filters, scoring
 from furlong.operators.report import prediction_report
 from furlong.plans.features import feature_table
 from furlong.session import materialize
+from furlong.sources.files import numbered_predictions, read_predictions_csv, write_predictions_csv
 
 KEYS = ("raceid", "result", "flag")
 
@@ -49,15 +50,21 @@ def gbm_scores(features: DataFrame, config: C.RaceConfig = C.PRODUCTION) -> Data
                              counted=C.GBM_COUNTED, **found)
 
 
-def network_scores(features: DataFrame, config: C.RaceConfig = C.PRODUCTION, linear: bool = False) -> DataFrame:
+def network_scores(features: DataFrame, config: C.RaceConfig = C.PRODUCTION, linear: bool | None = None) -> DataFrame:
     data = materialize(prep_mlp(features), "mlp")
     return scoring.score_network(filters.to_train(data), filters.to_predict(data), model_columns(data),
                                  layers=config.network_layers, iterations=config.network_iterations, linear=linear)
 
 
 def predict_end_to_end(spark: SparkSession, raw: DataFrame, config: C.RaceConfig = C.PRODUCTION,
-                       root: str | None = None, source: str = "", resume: bool = False) -> DataFrame:
-    """Raw entries to the prediction report."""
+                       root: str | None = None, source: str = "", resume: bool = False,
+                       output: str | None = None) -> DataFrame:
+    """Raw entries to the prediction report; with ``output`` it is also written there as a numbered CSV file."""
     features = materialize(feature_table(spark, raw, config, root, source, resume), "finished")
-    return prediction_report(features, gbm_scores(features, config), network_scores(features, config),
-                             config.gbm_weight, config.tf_weight)
+    report = prediction_report(features, gbm_scores(features, config), network_scores(features, config),
+                               config.gbm_weight, config.tf_weight)
+    if output is None:
+        return report
+    numbered = numbered_predictions(materialize(report, "report"))
+    write_predictions_csv(numbered, output)
+    return read_predictions_csv(spark, output, numbered.schema)
