@@ -738,6 +738,14 @@ register("predict_end_to_end",
                                                            output=scratch_path(spark, "predictions")))
 
 
+def _narrowed(spark, sf):
+    rows = materialize(clean(spark, sf).select("raceid", "racenum", "horsecount", "horsenum", "pop", "result", "distance"), "entries")
+    return values.narrowed(rows, values.profile_numeric(rows))
+
+
+register("narrow_numeric", _narrowed, "SELECT raceid, racenum, horsecount, horsenum, pop, result, distance FROM clean", "clean")
+
+
 # ---- The second configuration: user events ----------------------------------------------------------
 
 EV = C.EVENTS

@@ -143,8 +143,8 @@ def fit_network(train: DataFrame, features: Sequence[str], label: str = "flag",
     The network learner takes no weights, so the smaller class is repeated instead.
     """
     if linear:
-        weighted = assembled(with_class_weight(train, label), features, [label, "weight"])
-        learner = LogisticRegression(labelCol=label, featuresCol="features", weightCol="weight", maxIter=iterations)
+        weighted = assembled(with_class_weight(train, label, "class_weight"), features, [label, "class_weight"])
+        learner = LogisticRegression(labelCol=label, featuresCol="features", weightCol="class_weight", maxIter=iterations)
         return learner.fit(materialize(weighted, "vectors"))
     learner = MultilayerPerceptronClassifier(labelCol=label, featuresCol="features", maxIter=iterations, seed=seed,
                                              layers=[len(features), *layers, 2], blockSize=256)
