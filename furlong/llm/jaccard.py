@@ -15,7 +15,7 @@ connected part. A pair that shares several buckets is counted in the first of th
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -28,10 +28,15 @@ from furlong.llm.blocks import written
 WORDS = 5
 THRESHOLD = 0.8
 RECALL = 0.999
-DEPTH = 3
-SMALL = 128
+DEPTH = 2
+SMALL = 1024
 BLOCK = 1024
 CELLS = 4_000_000
+OPEN = 1_000_000
+#: Shingles of a block of a bucket, at most, unless a single set has more.
+BLOCK_SHINGLES = 1_000_000
+BINS = 64
+LIKELY = 0.5
 
 
 def runs_needed(threshold: float, recall: float, depth: int) -> int:
@@ -79,15 +84,24 @@ def chosen_paths(tokens: np.ndarray, threshold: float, runs: int, depth: int) ->
     return out
 
 
+def sketch_of(tokens: np.ndarray) -> bytes:
+    """One byte of the smallest token of each of ``BINS`` bins, 0 for an empty bin."""
+    out = np.zeros(BINS, np.uint8)
+    high = tokens[::-1]  # sorted: the smallest token of a bin is written last
+    out[(high & T.U64(BINS - 1)).astype(np.int64)] = ((high >> T.U64(8)) % T.U64(255)).astype(np.uint8) + 1
+    return out.tobytes()
+
+
 def signed(docs: DataFrame, key: str, text: str, threshold: float, words: int, runs: int, depth: int) -> DataFrame:
-    """``k, set, n, p1 .. p<depth>``: the set's hash and size, and its path ids per level, last id and parent."""
+    """``k, set, n, sketch, p1 ..``: the set's hash, size and sketch, and its path ids and parents per level."""
     def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = pa.list_(pa.struct([("id", pa.int64()), ("parent", pa.int64())]))
         for whole in batches:
             for a, b in T.pieces(whole.column("t")):
-                ids, sizes, levels = [], [], [[] for _ in range(depth)]
+                ids, sizes, sketches, levels = [], [], [], [[] for _ in range(depth)]
                 for tokens in shingle_sets(whole.column("t").slice(a, b - a), words):
                     sizes.append(len(tokens))
+                    sketches.append(sketch_of(tokens))
                     if not len(tokens):
                         ids.append(None)
                         for column in levels:
@@ -106,27 +120,34 @@ def signed(docs: DataFrame, key: str, text: str, threshold: float, words: int, r
                     items = pa.StructArray.from_arrays([pa.array(flat[:, 0]), pa.array(flat[:, 1])], ["id", "parent"])
                     arrays.append(pa.ListArray.from_arrays(pa.array(cuts), items).cast(level))
                 yield pa.RecordBatch.from_arrays(
-                    [whole.column("k").slice(a, b - a), pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), *arrays],
-                    ["k", "set", "n", *[f"p{i + 1}" for i in range(depth)]])
+                    [whole.column("k").slice(a, b - a), pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()),
+                     pa.array(sketches, pa.binary()), *arrays],
+                    ["k", "set", "n", "sketch", *[f"p{i + 1}" for i in range(depth)]])
 
-    ddl = "k long, set long, n long, " + ", ".join(
+    ddl = "k long, set long, n long, sketch binary, " + ", ".join(
         f"p{i + 1} array<struct<id: long, parent: long>>" for i in range(depth))
     rows = docs.select(F.col(key).cast("long").alias("k"), F.col(text).cast("string").alias("t"))
     return written(rows.mapInArrow(sign, ddl), "signed")
 
 
-def buckets(sets: DataFrame, small: int, depth: int) -> DataFrame:
+def merged(left: DataFrame, right: DataFrame, on: str, how: str = "inner") -> DataFrame:
+    """A join of two tables that both grow with the corpus: sorted and merged at every size, skew is split."""
+    return left.join(right.hint("merge"), on, how)
+
+
+def buckets(table: DataFrame, small: int, depth: int) -> DataFrame:
     """``bucket, set, size`` of all buckets with at least two members; a crowded bucket gives way to its children."""
     parts, crowded = [], None
     for level in range(1, depth + 1):
-        rows = sets.select("set", F.explode(f"p{level}").alias("p")).select(
+        # Copies of a set have the same paths and fall together before the shuffle.
+        rows = table.select("set", F.explode(f"p{level}").alias("p")).select(
             "set", F.col("p.id").alias("bucket"), F.col("p.parent").alias("parent")).distinct()
         if crowded is not None:
-            rows = rows.join(crowded, "parent", "left_semi")
+            rows = rows.join(crowded, "parent", "left_semi")  # few buckets are crowded
         rows = rows.drop("parent")
         sizes = written(rows.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1"), "sizes")
         done = sizes if level == depth else sizes.filter(F.col("size") <= small)
-        parts.append(rows.join(done, "bucket"))
+        parts.append(merged(rows, done, "bucket"))
         if level < depth:
             crowded = sizes.filter(F.col("size") > small).select(F.col("bucket").alias("parent"))
             if crowded.isEmpty():
@@ -143,29 +164,35 @@ def without_twins(members: DataFrame) -> DataFrame:
     prints = members.groupBy("bucket").agg(
         F.first("size").alias("size"), F.bit_xor("set").alias("x"), F.bit_xor(F.xxhash64("set")).alias("y"))
     first = prints.groupBy("size", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket")
-    return written(members.join(first, "bucket", "left_semi"), "members")
+    return written(merged(members, first, "bucket", "left_semi"), "members")
 
 
 def _matched(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Common elements of each pair from ``left`` and ``right`` (indices into ``sets``)."""
+    """Common elements of each pair from ``left`` and ``right`` (indices into ``sets``).
+
+    The sorted sets are walked through in ranges of values, so that few of their elements are open at a time.
+    """
     both = np.unique(np.concatenate([left, right]))
-    at = {int(i): row for row, i in enumerate(both)}
-    rows = np.repeat(np.arange(len(both)), [len(sets[i]) for i in both])
-    values, column, counts = np.unique(np.concatenate([sets[i] for i in both]), return_inverse=True, return_counts=True)
-    shared = np.flatnonzero(counts[column] > 1)
-    rows, column = rows[shared], column[shared]
-    keep = np.cumsum(counts > 1) - 1
-    column = keep[column]
-    width = max(1, CELLS // len(both))
-    order = np.argsort(column, kind="stable")
-    rows, column = rows[order], column[order]
-    li, ri = [at[int(i)] for i in left], [at[int(i)] for i in right]
+    li, ri = np.searchsorted(both, left), np.searchsorted(both, right)
     out = np.zeros((len(left), len(right)), np.float64)
-    for start in range(0, int(counts[counts > 1].size), width):
-        a, b = np.searchsorted(column, [start, start + width])
-        block = np.zeros((len(both), int(min(width, column[b - 1] + 1 - start)) if b > a else 1), np.float32)
-        block[rows[a:b], column[a:b] - start] = 1
-        out += block[li] @ block[ri].T
+    ranges = max(1, -(-sum(len(sets[i]) for i in both) // OPEN))
+    edges = np.array([min(k * (2**64 // ranges), 2**64 - 1) for k in range(1, ranges)], np.uint64)
+    cuts = [np.concatenate([[0], np.searchsorted(sets[i], edges), [len(sets[i])]]) for i in both]
+    for k in range(ranges):
+        parts = [sets[i][c[k]:c[k + 1]] for i, c in zip(both, cuts, strict=True)]
+        rows = np.repeat(np.arange(len(both)), [len(x) for x in parts])
+        _, column, counts = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
+        shared = np.flatnonzero(counts[column] > 1)
+        rows, column = rows[shared], (np.cumsum(counts > 1) - 1)[column[shared]]
+        order = np.argsort(column, kind="stable")
+        rows, column = rows[order], column[order]
+        width = max(1, CELLS // len(both))
+        for start in range(0, int((counts > 1).sum()), width):
+            a, b = np.searchsorted(column, [start, start + width])
+            block = np.zeros((len(both), width), np.float32)
+            block[rows[a:b], column[a:b] - start] = 1
+            block = block[:, :int(column[b - 1]) + 1 - start]
+            out += block[li] @ block[ri].T
     return out
 
 
@@ -202,47 +229,93 @@ def _compare(bucket: int, sets: list[np.ndarray], weights: np.ndarray, others: l
     return links, ids[by_rank[label]]
 
 
-def verified(members: DataFrame, shingles: DataFrame, threshold: float, block: int) -> DataFrame:
-    """Rows ``set, root, links``: per bucket the member's links counted there and its part's first member."""
-    lists = members.groupBy("set").agg(F.array_sort(F.collect_set("bucket")).alias("buckets"))
-    whole = shingles.join(lists, "set")
-    n_blocks = F.ceil(F.col("size") / block).cast("int")
+def in_buckets(members: DataFrame, attached: DataFrame, columns: Sequence[str], compare: Callable, schema: str) -> DataFrame:
+    """``compare(bucket, column lists, left rows, right rows)`` for every bucket, or pair of blocks of a large one.
+
+    ``attached`` gives ``columns`` per set. Members of a large bucket are dealt into as many ``blocks`` as their
+    row says, and each pair of blocks is a unit of work of its own, so any bucket is spread over all tasks.
+    """
     mine = F.pmod(F.xxhash64("set", "bucket"), F.col("blocks")).cast("int")
-    dealt = members.withColumn("blocks", n_blocks).withColumn("mine", mine)
+    dealt = members.withColumn("mine", mine)
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("set", "bucket", "mine", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
-    rows = dealt.join(whole, "set").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    rows = merged(dealt, attached.select("set", *columns), "set").repartition("bucket", "i", "j").sortWithinPartitions(
+        "bucket", "i", "j")
 
     def done(held: list, at: tuple) -> Iterator[pa.RecordBatch]:
         bucket, i, j = at
-        mine = np.array([h[0] for h in held])
-        ids = np.array([h[1] for h in held], np.int64)
-        sets = [np.frombuffer(h[4], np.uint64) for h in held]
+        lists = list(zip(*held, strict=True))
+        mine = np.array(lists[0])
         left = np.flatnonzero(mine == i)
         right = left if i == j else np.flatnonzero(mine == j)
-        if not len(left) or not len(right):
-            return
-        links, root = _compare(bucket, sets, np.array([h[2] for h in held], np.float64),
-                               [np.array(h[3], np.int64) for h in held], ids, left, right, threshold)
-        take = np.flatnonzero((links > 0) | (root != ids))
-        if len(take):
-            yield pa.RecordBatch.from_arrays([pa.array(ids[take]), pa.array(root[take]),
-                                              pa.array(links[take].astype(np.int64))], ["set", "root", "links"])
+        if len(left) and len(right):
+            yield from compare(bucket, lists[1:], left, right)
 
     def grouped(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, at = [], None
         for batch in batches:
-            for row in zip(*[batch.column(c).to_pylist() for c in (
-                    "bucket", "i", "j", "mine", "set", "copies", "buckets", "tokens")], strict=True):
-                if row[:3] != at:
-                    if held:
-                        yield from done(held, at)
-                    held, at = [], row[:3]
-                held.append(row[3:])
+            for cut in range(0, batch.num_rows, 256):
+                part = batch.slice(cut, 256)
+                for row in zip(*[part.column(c).to_pylist() for c in ("bucket", "i", "j", "mine", "set", *columns)], strict=True):
+                    if row[:3] != at:
+                        if held:
+                            yield from done(held, at)
+                        held, at = [], row[:3]
+                    held.append(row[3:])
         if held:
             yield from done(held, at)
 
-    return rows.mapInArrow(grouped, "set long, root long, links long")
+    return rows.mapInArrow(grouped, schema)
+
+
+def likely_members(members: DataFrame, sets: DataFrame, threshold: float, block: int) -> DataFrame:
+    """Members that have a partner in their bucket by size and by their sketches.
+
+    Sketches of sets above the threshold of 0.8 agree in 0.8 of 64 bins with a deviation of 0.05; they are kept
+    from 0.5 on, so what is lost is below one in a million. Sets that only share a passage stay behind here.
+    """
+    def compare(bucket: int, lists: list, left: np.ndarray, right: np.ndarray) -> Iterator[pa.RecordBatch]:
+        ids, sizes = np.array(lists[0], np.int64), np.array(lists[1], np.float64)
+        marks = np.frombuffer(b"".join(lists[2]), np.uint8).reshape(len(ids), BINS)
+        keep = np.zeros(len(ids), bool)
+        least = min(LIKELY, threshold - 0.3)
+        for at in range(0, len(left), 256):
+            a = left[at:at + 256]
+            x, y = marks[a][:, None, :], marks[right][None, :, :]
+            alike = ((x == y) & (x > 0)).sum(2)
+            used = BINS - ((x == 0) & (y == 0)).sum(2)
+            small, large = np.minimum.outer(sizes[a], sizes[right]), np.maximum.outer(sizes[a], sizes[right])
+            good = (alike >= least * used) & (small >= threshold * large - 1e-9) & (a[:, None] != right[None, :])
+            keep[a] |= good.any(1)
+            keep[right] |= good.any(0)
+        if keep.any():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(int(keep.sum()), bucket)), pa.array(ids[keep]), pa.array(sizes[keep].astype(np.int64))],
+                ["bucket", "set", "n"])
+
+    members = members.withColumn("blocks", F.ceil(F.col("size") / block).cast("int"))
+    kept = in_buckets(members, sets, ["n", "sketch"], compare, "bucket long, set long, n long").distinct()
+    kept = written(kept, "likely")
+    blocks = F.greatest(F.ceil(F.count("*") / block), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    sizes = kept.groupBy("bucket").agg(F.count("*").alias("size"), blocks.alias("blocks"))
+    return merged(kept.drop("n"), sizes, "bucket")
+
+
+def verified(members: DataFrame, shingles: DataFrame, threshold: float) -> DataFrame:
+    """Rows ``set, root, links``: per bucket the member's links counted there and its part's first member."""
+    lists = members.groupBy("set").agg(F.array_sort(F.collect_set("bucket")).alias("buckets"))
+
+    def compare(bucket: int, lists: list, left: np.ndarray, right: np.ndarray) -> Iterator[pa.RecordBatch]:
+        ids = np.array(lists[0], np.int64)
+        links, root = _compare(bucket, [np.frombuffer(x, np.uint64) for x in lists[3]], np.array(lists[1], np.float64),
+                               [np.array(x, np.int64) for x in lists[2]], ids, left, right, threshold)
+        take = np.flatnonzero((links > 0) | (root != ids))
+        if len(take):
+            yield pa.RecordBatch.from_arrays([pa.array(ids[take]), pa.array(root[take]),
+                                              pa.array(links[take].astype(np.int64))], ["set", "root", "links"])
+
+    return in_buckets(members, merged(shingles, lists, "set"), ["copies", "buckets", "tokens"], compare,
+                      "set long, root long, links long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -281,11 +354,12 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, words: int =
     """
     runs = runs_needed(threshold, recall, depth)
     table = signed(docs, key, text, threshold, words, runs, depth)
-    paths = [f"p{i + 1}" for i in range(depth)]
     sets = written(table.filter("set IS NOT NULL").groupBy("set").agg(
-        F.min("k").alias("first"), F.count("*").alias("copies"), *[F.first(p).alias(p) for p in paths]), "sets")
-    members = without_twins(buckets(sets, small, depth))
-    wanted = members.select("set").distinct().join(sets.select("set", "first", "copies"), "set")
+        F.min("k").alias("first"), F.count("*").alias("copies"), F.first("n").alias("n"),
+        F.first("sketch").alias("sketch")), "sets")
+    found = written(buckets(table.filter("set IS NOT NULL"), small, depth), "members")
+    members = without_twins(likely_members(found, sets, threshold, block))
+    wanted = merged(sets.select("set", "first", "copies"), members.select("set").distinct(), "set")
     wanted = written(wanted, "wanted")
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -304,17 +378,17 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, words: int =
                 yield out.filter(same)
 
     texts = docs.select(F.col(key).cast("long").alias("k"), F.col(text).cast("string").alias("t"))
-    shingles = texts.join(wanted, F.col("k").eqNullSafe(F.col("first"))).select("t", "set", "copies")
+    shingles = texts.join(wanted.hint("merge"), F.col("k").eqNullSafe(F.col("first"))).select("t", "set", "copies")
     shingles = shingles.mapInArrow(cut, "set long, copies long, tokens binary").dropDuplicates(["set"])
-    found = written(verified(members, written(shingles, "shingles"), threshold, block), "found")
+    found = written(verified(members, written(shingles, "shingles"), threshold), "found")
     links = found.groupBy("set").agg(F.sum("links").alias("links"))
     parts = components(found.filter("set <> root").select(F.col("set").alias("a"), F.col("root").alias("b")))
-    named = sets.select("set", "first", "copies").join(parts.withColumnRenamed("node", "set"), "set", "left")
-    named = named.join(links, "set", "left").withColumn("label", F.coalesce("label", "set"))
+    named = merged(sets.select("set", "first", "copies"), parts.withColumnRenamed("node", "set"), "set", "left")
+    named = merged(named, links, "set", "left").withColumn("label", F.coalesce("label", "set"))
     class_ids = named.groupBy("label").agg(F.min("first").alias("class_id"))
-    named = named.join(class_ids, "label").select(
+    named = merged(named, class_ids, "label").select(
         "set", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    out = table.select("k", "set").join(written(named, "named"), "set", "left")
+    out = merged(table.select("k", "set"), written(named, "named"), "set", "left")
     alone = F.col("set").isNull()
     return out.select(F.col("k").alias(key), F.when(alone, F.col("k")).otherwise(F.col("class_id")).alias("class_id"),
                       F.coalesce("n_links", F.lit(0)).alias("n_links"))
