@@ -43,11 +43,20 @@ def past(spark: SparkSession, sf: str) -> DataFrame:
     return df.withColumn("result", racing.binarized(F.col("result")))
 
 
-def ranked(spark: SparkSession, sf: str) -> DataFrame:
+def before_cut(spark: SparkSession, sf: str) -> DataFrame:
     df = filters.before(clean(spark, sf), "days", CONFIG.history_before)
     used = dict.fromkeys(c for p in CONFIG.profiles for c in (p.entity, *p.categories, *p.means))
-    df = materialize(df.select("raceid", *used, "result"), "entries")
-    return materialize(encode.profile_base(df, CONFIG.profiles, CONFIG.seed), "profile")
+    return materialize(df.select("raceid", *used, "result"), "entries")
+
+
+def ranked(spark: SparkSession, sf: str) -> DataFrame:
+    return materialize(encode.profile_base(before_cut(spark, sf), CONFIG.profiles, CONFIG.seed), "profile")
+
+
+def profiled(spark: SparkSession, sf: str, p: C.Profile) -> DataFrame:
+    rows = before_cut(spark, sf)
+    base = materialize(encode.profile_base(rows, [p], CONFIG.seed), "profile")
+    return encode.entity_profile(base, p, encode.profile_rows(rows, [p]))
 
 
 def folded(spark: SparkSession, sf: str, p: C.Profile) -> DataFrame:
@@ -495,10 +504,10 @@ for _p in S.PROFILES:
                  JOIN {S.folded(_p)} AS t USING ({_p.entity}, fold)""", "ranked", (_p.encoding,))
     register(f"pca_{_p.prefix}",
              lambda spark, sf, p=_p: encode.principal_components(
-                 encode.profile_matrix(ranked(spark, sf), p), p.entity, p.component_names()))
-    register(f"entity_profile_{_p.prefix}", lambda spark, sf, p=_p: encode.entity_profile(ranked(spark, sf), p))
+                 encode.profile_matrix(encode.profile_rows(before_cut(spark, sf), [p]), p), p.entity, p.component_names()))
+    register(f"entity_profile_{_p.prefix}", lambda spark, sf, p=_p: profiled(spark, sf, p))
     register(f"profile_encoding_{_p.prefix}",
-             lambda spark, sf, p=_p: encode.entity_profile(ranked(spark, sf), p).select(p.entity, p.encoding),
+             lambda spark, sf, p=_p: profiled(spark, sf, p).select(p.entity, p.encoding),
              f"SELECT * FROM {S.encoding(_p)}", "ranked", (_p.encoding,))
 register("oof_entity_mean",
          lambda spark, sf: encode.entity_encoding(folded(spark, sf, C.FATHER), "father", "result", C.FATHER.encoding),

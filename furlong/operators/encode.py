@@ -73,31 +73,36 @@ def principal_components(matrix: DataFrame, entity: str, names: Sequence[str], d
 
 
 def profile_base(df: DataFrame, profiles: Sequence[Profile], seed: int) -> DataFrame:
-    """Rows all profiles are computed from: binarised result and its seeded rank within each class.
+    """Rows the encodings are computed from: binarised result and its seeded rank within each class.
 
-    One numbering serves every fold count. Only the columns the profiles read are kept.
+    One numbering serves every fold count. Only the key and the entities are kept.
     """
+    entities = dict.fromkeys(p.entity for p in profiles)
+    return hash_ranks(df.select("raceid", *entities, binarized(F.col("result")).alias("result")), "result", "raceid", seed, "rank")
+
+
+def profile_rows(df: DataFrame, profiles: Sequence[Profile]) -> DataFrame:
+    """Rows the rates are computed from, with the binarised result; no numbering is needed for them."""
     needed = dict.fromkeys(c for p in profiles for c in (p.entity, *p.categories, *p.means))
     needed.pop("result", None)
-    base = df.select("raceid", *needed, binarized(F.col("result")).alias("result"))
-    return hash_ranks(base, "result", "raceid", seed, "rank")
+    return df.select(*needed, binarized(F.col("result")).alias("result")).filter(F.col("result").isNotNull())
 
 
-def profile_matrix(base: DataFrame, profile: Profile, values: dict[str, list] | None = None) -> DataFrame:
+def profile_matrix(rows: DataFrame, profile: Profile, values: dict[str, list] | None = None) -> DataFrame:
     """Entity × category rates and means, written out, as the components' input."""
-    values = {c: values[c] for c in profile.categories} if values else categories(base, profile.categories)
-    return materialize(entity_rates(base, profile.entity, values, means=profile.means, digits=profile.digits,
+    values = {c: values[c] for c in profile.categories} if values else categories(rows, profile.categories)
+    return materialize(entity_rates(rows, profile.entity, values, means=profile.means, digits=profile.digits,
                                     prefix=profile.prefix), "matrix")
 
 
-def entity_profile(base: DataFrame, profile: Profile, components: bool = True,
+def entity_profile(base: DataFrame, profile: Profile, rows: DataFrame | None = None,
                    values: dict[str, list] | None = None) -> DataFrame:
-    """One row per entity: averaged out-of-fold encoding and component scores, three digits."""
+    """One row per entity: averaged out-of-fold encoding and, with ``rows``, component scores; three digits."""
     folded = base.withColumn("fold", ((F.col("rank") - 1) % profile.folds).cast("int"))
     encoding = entity_encoding(folded, profile.entity, "result", profile.encoding)
-    if not components:
+    if rows is None:
         return encoding
-    scores = principal_components(profile_matrix(base, profile, values), profile.entity, profile.component_names())
+    scores = principal_components(profile_matrix(rows, profile, values), profile.entity, profile.component_names())
     return encoding.join(scores, profile.entity, "left")
 
 

@@ -36,12 +36,13 @@ def rolled_stats(names: dict[str, str]) -> list[Rolling]:
 
 def with_history(df: DataFrame, entity: str, order: Sequence[str], lags: dict[str, str] | None = None,
                  rolling: Sequence[Rolling] = (), rows: int = 5, include_current: bool = False,
-                 hot_rows: int = HOT_ROWS, piece_rows: int = 500_000) -> DataFrame:
+                 hot_rows: int = HOT_ROWS, piece_rows: int = 500_000, keys_from: DataFrame | None = None) -> DataFrame:
     """Add lagged and rolling columns; all of them share one shuffle and one sort.
 
     ``include_current=False`` looks at the ``rows`` rows strictly before the current one and needs one
     value; ``True`` has the current row as the last of the frame and needs two values.
-    The order must be total within an entity.
+    The order must be total within an entity. Rows per entity are counted in ``keys_from``, a written table with
+    at least the rows of ``df``, if it is given, so that ``df`` is not computed for that.
     """
     lo, hi, min_count = (-(rows - 1), 0, 2) if include_current else (-rows, -1, 1)
 
@@ -51,11 +52,12 @@ def with_history(df: DataFrame, entity: str, order: Sequence[str], lags: dict[st
         return out | {r.name: r.over(frame, min_count) for r in rolling}
 
     known = df.filter(F.col(entity).isNotNull())
-    return preceding_windows(known, [entity], order, build, reach=rows, hot_rows=hot_rows, piece_rows=piece_rows)
+    return preceding_windows(known, [entity], order, build, reach=rows, hot_rows=hot_rows, piece_rows=piece_rows,
+                             keys_from=keys_from)
 
 
 def race_history(df: DataFrame, include_current: bool = False, hot_rows: int = HOT_ROWS,
-                 piece_rows: int = 500_000) -> DataFrame:
+                 piece_rows: int = 500_000, keys_from: DataFrame | None = None) -> DataFrame:
     """The whole history step of the racing configuration, from rows that carry both indices.
 
     The previous race's ``speedindex`` and ``last_race_index`` replace the current ones under the plain
@@ -67,7 +69,7 @@ def race_history(df: DataFrame, include_current: bool = False, hot_rows: int = H
                     Rolling("rentai5sum", "rentai", "sum")]
     marked = df.withColumns({"count": F.lit(1), "rentai": placed(F.col("result"))})
     out = with_history(marked, "horsename", ["days", "raceid"], C.LAGGED, rolling,
-                       include_current=include_current, hot_rows=hot_rows, piece_rows=piece_rows)
+                       include_current=include_current, hot_rows=hot_rows, piece_rows=piece_rows, keys_from=keys_from)
     indices = ("speedindex", "last_race_index")
     return out.withColumns({c: F.col(f"pre_{c}") for c in indices}).filter(F.col("speedindex").isNotNull())
 

@@ -112,13 +112,14 @@ def grouped_numbers(df: DataFrame, keys: Sequence[str], orders: dict[str, Sequen
 
 def preceding_windows(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                       build: Callable[[WindowSpec], dict[str, Column]], reach: int,
-                      hot_rows: int = HOT_ROWS, piece_rows: int = 500_000) -> DataFrame:
+                      hot_rows: int = HOT_ROWS, piece_rows: int = 500_000,
+                      keys_from: DataFrame | None = None) -> DataFrame:
     """Add window columns whose frames reach at most ``reach`` rows back, in a total order per key.
 
     Rows of a hot key are numbered in order and cut into pieces; the last ``reach`` rows of a piece are
     also sent to the next one, where they feed the frames and are then removed.
     """
-    hot = hot_keys(df, keys, hot_rows)
+    hot = hot_keys((df if keys_from is None else keys_from).select(*keys), keys, hot_rows)
 
     def plain(part: DataFrame) -> DataFrame:
         return part.withColumns(build(Window.partitionBy(*keys).orderBy(*order)))

@@ -24,14 +24,16 @@ def labelled(df: DataFrame, name: str = "flag") -> DataFrame:
 def profile_tables(entries: DataFrame, config: C.RaceConfig = C.PRODUCTION, components: bool = True) -> list[DataFrame]:
     """One profile table per configured entity, all from rows before the cut date, numbered once.
 
+    Pass written entries: rates read them directly, only the encodings need the numbered rows.
     The profiles do not depend on each other, so their jobs are submitted together.
     """
     past = filters.before(entries, "days", config.history_before)
     base = materialize(encode.profile_base(past, config.profiles, config.seed), "profile")
+    rows = encode.profile_rows(past, config.profiles) if components else None
     used = list(dict.fromkeys(c for p in config.profiles for c in p.categories))
-    values = aggregates.categories(base, used) if components else None
+    values = aggregates.categories(rows, used) if components else None
     with ThreadPoolExecutor(len(config.profiles)) as pool:
-        return list(pool.map(lambda p: materialize(encode.entity_profile(base, p, components, values), "lookup"),
+        return list(pool.map(lambda p: materialize(encode.entity_profile(base, p, rows, values), "lookup"),
                              config.profiles))
 
 
@@ -48,7 +50,7 @@ def build_features(raw: DataFrame, config: C.RaceConfig = C.PRODUCTION, componen
     The cleaned entries are written once; base times, history and profiles all read that table.
     """
     entries = materialize(clean_entries(raw, config), "entries")
-    rows = history.race_history(with_indices(entries, config), config.include_current)
+    rows = history.race_history(with_indices(entries, config), config.include_current, keys_from=entries)
     rows = labelled(rows).drop(*C.POST_RACE_COLUMNS, "pre_speedindex", "pre_last_race_index")
     return with_profiles(rows, profile_tables(entries, config, components), config.profiles)
 
