@@ -1,15 +1,23 @@
 """The two variants of the feature plan on hand-made entries."""
 
+import contextlib
+import io
+import re
 from dataclasses import replace
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from furlong import config as C
+from furlong.catalog import queries
+from furlong.operators import evaluation, scoring
+from furlong.plans import features as feature_plan
 from furlong.plans.features import build_features, feature_table, finish_features
 from furlong.session import materialize
 from furlong.sources import files
+from furlong.sources.entries import race_entries
 
 PLACES = ("東京", "中山", "阪神")
 
@@ -81,3 +89,45 @@ def test_search_settings_reach_the_final_fit(monkeypatch, spark):
     rows = spark.createDataFrame([(1, 999, 0, 1.0), (2, 1, 1, 2.0)], "raceid long, result int, flag int, x double")
     predict.gbm_scores(rows, replace(C.PRODUCTION, gbm_search=True))
     assert (seen["depth"], seen["rate"], seen["rounds"]) == (5, 0.3, 100)
+
+
+def explained(df):
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.explain()
+    return text.getvalue()
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_areas_join_nothing(spark, no_broadcast):
+    df = spark.createDataFrame([(1, 0.9), (0, 0.1)], "y int, s double")
+    plan = explained(evaluation.area_metrics(df, "y", "s"))
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_entries_are_dealt_by_race_once(spark, no_broadcast):
+    plan = explained(race_entries(spark, "/root/testdata/sf0.001"))
+    # One exchange of the rows and one of the orders; the numbering uses the partitioning of their join.
+    assert len(re.findall(r"Exchange hashpartitioning\(race#\d+L?, \d", plan)) == 2
+
+
+def test_every_feature_of_a_group_is_produced(spark):
+    built = feature_plan.build_features(race_entries(spark, "/root/testdata/sf0.001"), queries.CONFIG)
+    assert set(C.FEATURE_GROUPS["numeric"]) <= set(feature_plan.finish_features(built, queries.CONFIG).columns)
+
+
+def test_trees_take_codes_alike_at_any_cardinality(spark):
+    for n in (200, 300):
+        rows = spark.range(600).select(F.col("id").alias("raceid"), (F.col("id") % n).cast("int").alias("trainer"),
+                                       (F.col("id") % 2).cast("int").alias("place"))
+        counted = scoring.with_frequencies(rows, ["trainer"], rows)
+        assert counted.columns == rows.columns and dict(counted.dtypes)["trainer"] == "double"
+        assert counted.agg(F.sum("trainer")).first()[0] == sum(c * c for c in np.bincount(np.arange(600) % n))
+        assert scoring.code_sizes(rows, ["place", "trainer"]) == {"place": 2, "trainer": n}
