@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from furlong.session import scratch_path
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 3 << 20
 RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 

@@ -64,7 +64,7 @@ def corpus():
     return rows
 
 
-@pytest.fixture(scope="module", params=[(8 << 20, 4096), (6000, 4096), (6000, 3)])
+@pytest.fixture(scope="module", params=[(3 << 20, 4096), (6000, 4096), (6000, 3)])
 def setting(request):
     from furlong.llm import blocks
     size, hot = request.param
