@@ -18,8 +18,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from furlong.llm import text as T
+from furlong.llm.blocks import written
 
 DOCS_PER_LANG = 400
 MAX_BYTES = 20_000
@@ -100,8 +102,8 @@ def forward_backward(scores: np.ndarray, offsets: np.ndarray, transitions: np.nd
     counts = np.diff(offsets)
     chunks = -(-counts // CHUNK)
     owner = np.repeat(np.arange(len(counts)), chunks)
-    if not len(owner):
-        return np.zeros((0, k))
+    if not len(owner) or not k:
+        return np.zeros((n, k))
     place = _flat(chunks)
     at = offsets[:-1][owner] + place * CHUNK
     length = np.minimum(offsets[1:][owner] - at, CHUNK)
@@ -255,9 +257,15 @@ def training_sample(docs: DataFrame, learn: Column, text: str = "text", lang: st
     """
     rows = docs.filter(learn & F.col(text).isNotNull() & F.col(lang).isNotNull() & (F.octet_length(text) <= max_bytes))
     rows = rows.filter(F.col(text).rlike("\\p{L}"))
-    order = Window.partitionBy("__lang").orderBy("__hash", "__text")
     rows = rows.select(F.col(lang).cast("string").alias("__lang"), F.col(text).cast("string").alias("__text"),
-                       F.xxhash64(key).alias("__hash")).withColumn("__at", F.row_number().over(order))
+                       F.xxhash64(key).alias("__hash"))
+    # Only about four times as many rows as wanted are moved, however many a language has. The counts are
+    # written, so that Catalyst knows their size and sends them to the rows.
+    counts = written(rows.groupBy(F.col("__lang").alias("__l")).agg(F.count("*").alias("__n")), "langs")
+    share = F.pmod("__hash", F.lit(1 << 30)) / float(1 << 30)
+    few = rows.join(counts, F.col("__lang") == F.col("__l")).filter(share * F.col("__n") <= 4 * per_lang)
+    order = Window.partitionBy("__lang").orderBy("__hash", "__text")
+    rows = few.withColumn("__at", F.row_number().over(order))
     picked = rows.filter(F.col("__at") <= per_lang).collect()
     return [(r["__text"], r["__lang"]) for r in sorted(picked, key=lambda r: (r["__lang"], r["__at"]))]
 
@@ -295,5 +303,5 @@ def with_language(docs: DataFrame, model: Model, text: str = "text", pred: str =
                     names=[*part.schema.names[:extra], pred, score])
 
     out = docs.withColumn("__lettered", F.col(text).rlike("\\p{L}"))
-    schema = docs.schema.add(pred, "string").add(score, "double")
+    schema = StructType([*docs.schema.fields, StructField(pred, StringType()), StructField(score, DoubleType())])
     return out.mapInArrow(label, schema)
