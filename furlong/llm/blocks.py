@@ -65,11 +65,11 @@ class Blocks:
                 "path", scratch_path(spark, "blocks")).option("compression", "zstd").saveAsTable(name)
         self.table = spark.table(name)
 
-    def each(self, make: Callable[[int, pa.Table], pa.Table], schema: str, tag: str) -> DataFrame:
-        """``make(block, rows)`` for every block; rows come in the same order each time."""
+    def each(self, make: Callable[[int, pa.Table], pa.Table], schema: str) -> DataFrame:
+        """``make(block, rows)`` for every block; rows come in the same order each time. Not written yet."""
         def run(table: pa.Table) -> pa.Table:
             return make(*_ordered(table))
-        return written(self.table.groupBy("block").applyInArrow(run, schema), tag)
+        return self.table.groupBy("block").applyInArrow(run, schema)
 
     def each_with(self, mail: DataFrame, make: Callable[[int, pa.Table, pa.Table], pa.Table],
                   schema: str) -> DataFrame:

@@ -254,7 +254,7 @@ def repeats(blocks: Blocks, rule: Rule, finish: Callable, schema: str) -> DataFr
         return finish(block, table, parts, np.flatnonzero(marked))
 
     mail = "shard int, block int, "
-    anchors = blocks.each(send_anchors, mail + "keys binary, counts binary", "anchors")
+    anchors = blocks.each(send_anchors, mail + "keys binary, counts binary")
     known = shards(anchors, keep_repeated, "block int, keys binary, hot binary", "repeated")
     sent = written(blocks.each_with(known, send_regions, mail + "names binary, own binary"), "regions")
     asked = shards(sent, ask_for_symbols, "block int, shard int, names binary", "asked")
