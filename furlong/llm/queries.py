@@ -56,7 +56,20 @@ def op6_section_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.section_tokens(documents(spark, sf_dir), RANKS)
 
 
-@query("op8_contained_items")
+def _shingles_sql(table: str, key: str) -> str:
+    """``(row, key, shingle)`` of all distinct shingles of five words, A-Z lower-cased."""
+    return f"""
+  SELECT DISTINCT row, {key}, array_to_string(w[i:i+4], ' ') AS s FROM (
+    SELECT row, {key}, w, unnest(range(1, greatest(len(w) - 3, 1))) AS i FROM (
+      SELECT row_number() OVER () AS row, {key}, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM {table}))"""
+
+
+@query("op8_contained_items", f"""
+WITH d AS ({_shingles_sql('documents', 'doc_id')}),
+b AS (SELECT row AS item, item_id, s, count(*) OVER (PARTITION BY row) AS n_shingles FROM ({_shingles_sql('benchmark', 'item_id')}))
+SELECT doc_id, item_id, count(*) AS n_shared, n_shingles, count(*)::DOUBLE / n_shingles AS containment
+FROM d JOIN b USING (s) GROUP BY d.row, doc_id, item, item_id, n_shingles HAVING count(*) >= 0.8::DOUBLE * n_shingles""")
 def op8_contained_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contain.contained_items(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
