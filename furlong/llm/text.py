@@ -83,7 +83,7 @@ def buffer_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def pieces(column: pa.Array, limit: int = 2 << 20) -> Iterator[tuple[int, int]]:
+def pieces(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Row ranges of a text column of about ``limit`` bytes each; a longer text is a range of its own."""
     sizes = np.zeros(len(column) + 1, np.int64)
     _, offsets = buffer_of(column)
