@@ -106,8 +106,8 @@ def rule(length: int = LENGTH, gram: int = GRAM) -> Rule:
     return Rule(
         length, min(gram, length), "u1", "<i8", _bytes,
         lambda place, docs, table, n: smallest(place, document_keys(table)[docs], n), smallest,
-        _later(length), lambda flags, first, own: flags | (own > first), first_stays=True,
-        shards_per_block=0.5)
+        _later(length), lambda flags, first, own: flags | (own > first), lonely=lambda first, n_blocks: n_blocks == 1,
+        first_stays=True, shards_per_block=0.5)
 
 
 def _finish(length: int, keep_bytes: bool):

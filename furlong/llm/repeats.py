@@ -41,6 +41,7 @@ class Rule:
     combine: Callable  # (region of each entry, summaries, number of regions) -> summaries
     repeated: Callable  # (symbols, lengths, summaries) -> flag per window
     answer: Callable  # (flags, regions' summaries, the block's own summaries), per window -> flags
+    lonely: Callable  # (summaries, number of blocks that have the region) -> whether it has no copy elsewhere
     first_stays: bool
     shards_per_block: float = 1
     block_bytes: int = BLOCK_BYTES
@@ -172,12 +173,16 @@ def repeats(blocks: Blocks, rule: Rule, finish: Callable, schema: str) -> DataFr
                          "own": pa.array([own[c].tobytes() for _, c in cuts], pa.binary())})
 
     def ask_for_symbols(shard: int, mail: pa.Table) -> pa.Table:
-        lists = unpacked(mail.column("names"), "<u8")
+        lists, own = unpacked(mail.column("names"), "<u8"), unpacked(mail.column("own"), rule.summary)
         senders = np.array(mail.column("block").to_pylist(), np.int64)
         order = np.argsort(senders, kind="stable")
         everyone = joined([lists[i] for i in order], "<u8")
         sender = np.repeat(senders[order], [len(lists[i]) for i in order])
-        names, first = np.unique(everyone, return_index=True)
+        names, first, place, n_blocks = np.unique(everyone, return_index=True, return_inverse=True, return_counts=True)
+        # A single window is all of its region: one without a copy cannot match anything, and there are many.
+        summary = rule.combine(place, joined([own[i] for i in order], rule.summary), len(names))
+        asked = ~(rule.lonely(summary, n_blocks) & ((names & ONE) > 0))
+        names, first = names[asked], first[asked]
         order, cuts = split_by(sender[first])
         names = names[order]
         return pa.table({"block": pa.array([b for b, _ in cuts], pa.int32()), "shard": pa.array([shard] * len(cuts), pa.int32()),
@@ -207,22 +212,22 @@ def repeats(blocks: Blocks, rule: Rule, finish: Callable, schema: str) -> DataFr
         names, sizes = joined(unpacked(texts.column("names"), "<u8"), "<u8"), joined(
             unpacked(texts.column("sizes"), "<u4"), "<u4").astype(np.int64)
         data = joined(unpacked(texts.column("data"), rule.unit), rule.unit)
-        order = np.argsort(names)
-        data = data[flat_ranges((np.cumsum(sizes) - sizes)[order], sizes[order])]
-        names, sizes = names[order], sizes[order]
         lists, own = unpacked(mail.column("names"), "<u8"), unpacked(mail.column("own"), rule.summary)
-        place = np.searchsorted(names, joined(lists, "<u8"))
-        summary = rule.combine(place, joined(own, rule.summary), len(names))
-        flags = rule.repeated(data, sizes, summary)
-        count = sizes - length + 1
+        every, place = np.unique(joined(lists, "<u8"), return_inverse=True)
+        summary = rule.combine(place, joined(own, rule.summary), len(every))
+        at = np.searchsorted(every, names)
+        count = np.ones(len(every), np.int64)
+        count[at] = sizes - length + 1
         begins = np.cumsum(count) - count
+        flags = np.zeros(int(count.sum()), bool)
+        flags[flat_ranges(begins[at], count[at])] = rule.repeated(data, sizes, summary[at])
         out, at = [], 0
         for block, mine, sums in zip(mail.column("block").to_pylist(), lists, own, strict=True):
             here = place[at:at + len(mine)]
             at += len(mine)
             per = np.repeat(np.arange(len(here)), count[here])
             marked = rule.answer(flags[flat_ranges(begins[here], count[here])], summary[here][per], sums[per])
-            tell = (np.bincount(per, marked, len(here)) > 0) | ((mine & ONE) > 0)
+            tell = (np.bincount(per, marked, len(here)) > 0) | (rule.first_stays & ((mine & ONE) > 0))
             if tell.any():
                 bits = np.packbits(marked[tell[per]])
                 out.append((block, mine[tell].tobytes(), count[here][tell].astype("<u4").tobytes(), bits.tobytes()))

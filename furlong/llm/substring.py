@@ -117,7 +117,8 @@ def rule(length: int = LENGTH, gram: int = GRAM) -> Rule:
         length, min(gram, length), "<u8", "<u4", _words,
         lambda place, docs, table, n: np.bincount(place, minlength=n),
         lambda place, sums, n: np.bincount(place, sums, n).astype(np.int64),
-        _again(length), lambda flags, all_copies, own: flags, first_stays=False, shards_per_block=1.5)
+        _again(length), lambda flags, all_copies, own: flags,
+        lonely=lambda copies, n_blocks: copies == 1, first_stays=False, shards_per_block=1.5)
 
 
 def _kept_words(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, per: np.ndarray,
