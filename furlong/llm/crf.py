@@ -30,6 +30,7 @@ GRAMS = (2, 3, 4)
 AFFIXES = (1, 2, 3, 4)
 CHUNK = 64
 STRETCH = 128
+PIECE_BYTES = 512 << 10
 UNKNOWN = "und"
 LETTER = np.zeros(256, bool)
 LETTER[97:123] = LETTER[128:] = True
@@ -283,7 +284,7 @@ def with_language(docs: DataFrame, model: Model, text: str = "text", pred: str =
     def label(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
         for whole in batches:
-            for a, b in T.pieces(whole.column(place)):
+            for a, b in T.pieces(whole.column(place), PIECE_BYTES):
                 part = whole.slice(a, b - a)
                 p, weight, per = label_words(model, part.column(place).cast(pa.large_string()))
                 lettered = np.array(part.column(extra).fill_null(False))

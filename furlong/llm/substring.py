@@ -25,6 +25,7 @@ from furlong.llm.repeats import Parts, Rule, covered, repeats
 
 LENGTH = 35
 GRAM = 12
+BLOCK_BYTES = 2 << 20
 
 
 class Automaton:
@@ -118,7 +119,7 @@ def rule(length: int = LENGTH, gram: int = GRAM) -> Rule:
         lambda place, docs, table, n: np.bincount(place, minlength=n),
         lambda place, sums, n: np.bincount(place, sums, n).astype(np.int64),
         _again(length), lambda flags, all_copies, own: flags,
-        lonely=lambda copies, n_blocks: copies == 1, first_stays=False, shards_per_block=1.5)
+        lonely=lambda copies, n_blocks: copies == 1, first_stays=False, shards_per_block=1)
 
 
 def _kept_words(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, per: np.ndarray,
@@ -187,7 +188,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, key: str = "doc_id",
     if carry:
         columns.append(F.struct(*carry).alias("carried"))
     rows = docs.select(*columns)
-    blocks = Blocks(rows, "__text", ["doc", "carried"] if carry else ["doc"])
+    blocks = Blocks(rows, "__text", ["doc", "carried"] if carry else ["doc"], BLOCK_BYTES)
     schema = "doc long, n_words long, n_removed long, kept_sha256 string"
     schema += f", carried {rows.schema['carried'].dataType.simpleString()}" if carry else ""
     schema += ", text string" if keep_text else ""

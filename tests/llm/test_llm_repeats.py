@@ -66,10 +66,10 @@ def corpus():
 
 @pytest.fixture(scope="module", params=[(3 << 20, 4096), (6000, 4096), (6000, 3)])
 def setting(request):
-    from furlong.llm import blocks
     size, hot = request.param
     patch = pytest.MonkeyPatch()
-    patch.setattr(blocks.Blocks.__init__, "__defaults__", ((), size))
+    patch.setattr(substring, "BLOCK_BYTES", size)
+    patch.setattr(lpf, "BLOCK_BYTES", size)
     patch.setattr(repeats, "HOT", hot)
     yield
     patch.undo()
