@@ -18,7 +18,7 @@ from furlong.llm import contain, crf, jaccard, packing, substring
 from furlong.llm.ship import ship_package
 from furlong.session import scratch_path
 
-RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 #: Texts in which no language reaches this mean probability are rejected. A text that switches between two
 #: languages has about one half.
 LEAST_LANGUAGE_SCORE = 0.3
@@ -72,7 +72,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of 1024 tokens with the sources' shares in every stretch."""
     ship_package(spark)
-    return packing.packed(docs, RANKS)
+    return packing.packed(docs, TOKENIZER)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from furlong.llm.text import buffer_of, pieces
-from furlong.llm.tokens import encoder, token_lengths
+from furlong.llm.tokens import ids_of, token_lengths
 
 NEWLINE = 10
 
@@ -57,7 +57,7 @@ def attributed(lengths: np.ndarray, starts: np.ndarray, end: int) -> np.ndarray:
 def section_tokens(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per line of every text: ``key, section (from 0), start_byte, n_bytes, n_tokens, doc_tokens``.
 
-    ``tokenizer`` is the path of a byte-level BPE rank file on the workers. A null or empty text is one
+    ``tokenizer`` is the path of a byte-level BPE file on the workers (``tokens.py``). A null or empty text is one
     section without tokens. Lines keep their order, repeated documents and keys are each counted for
     themselves, null keys stay null, other columns are ignored. An empty table gives no rows.
     """
@@ -65,7 +65,7 @@ def section_tokens(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: s
                         ("n_bytes", pa.int64()), ("n_tokens", pa.int64()), ("doc_tokens", pa.int64())])
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool, sizes = encoder(tokenizer), token_lengths(tokenizer)
+        sizes = token_lengths(tokenizer)
         for whole in batches:
             for a, b in pieces(whole.column("t")):
                 batch = whole.slice(a, b - a)
@@ -75,7 +75,7 @@ def section_tokens(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: s
                 n_tokens, totals = np.zeros(len(starts), np.int64), np.zeros(len(offsets) - 1, np.int64)
                 for i, value in enumerate(batch.column("t").to_pylist()):
                     if value:
-                        ids = np.array(tool.encode_ordinary(value), np.int64)
+                        ids = np.array(ids_of(tokenizer, value), np.int64)
                         mine = slice(cuts[i], cuts[i + 1])
                         base = offsets[i]
                         n_tokens[mine] = attributed(sizes[ids], starts[mine] - base, offsets[i + 1] - base)

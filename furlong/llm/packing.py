@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from furlong.llm.text import pieces
-from furlong.llm.tokens import encoder
+from furlong.llm.tokens import encoder, ids_of
 from furlong.operators.ordering import running_sums
 from furlong.session import materialize, scratch_path
 
@@ -43,7 +43,7 @@ def encoded(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "t
         for whole in batches:
             for a, b in pieces(whole.column("t")):
                 part = whole.slice(a, b - a)
-                out = [np.array([*tool.encode_ordinary(t or ""), END_ID], kind) for t in part.column("t").to_pylist()]
+                out = [np.array([*ids_of(tokenizer, t or ""), END_ID], kind) for t in part.column("t").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("k"), part.column("s"), pa.array([x.tobytes() for x in out], pa.binary()),
                      pa.array([len(x) for x in out], pa.int64()),

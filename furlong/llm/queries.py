@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from furlong.llm import brown, contain, counts, crf, jaccard, lpf, packing, substring, topk, warc
 from furlong.llm.ship import ship_package
 
-RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -53,7 +53,7 @@ def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op6_section_tokens")
 def op6_section_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return counts.section_tokens(documents(spark, sf_dir), RANKS)
+    return counts.section_tokens(documents(spark, sf_dir), TOKENIZER)
 
 
 def _shingles_sql(table: str, key: str) -> str:
@@ -89,7 +89,7 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op4_packed")
 def op4_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.packed(documents(spark, sf_dir), RANKS)
+    return packing.packed(documents(spark, sf_dir), TOKENIZER)
 
 
 @query("op7_archived_pages", """

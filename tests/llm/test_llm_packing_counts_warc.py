@@ -173,3 +173,18 @@ def test_broken_archives_give_their_sound_records(spark, tmp_path):
     (tmp_path / "none.warc").write_text("", newline="")
     got = warc.read_archives(spark, str(tmp_path)).collect()
     assert sorted((r["record_id"], bytes(r["payload"])) for r in got) == [("<urn:page:1>", b"abc"), ("<urn:page:3>", b"xy")]
+
+
+def test_queries_match_added_tokens_as_the_unchanged_tokenizer_does(spark, tmp_path):
+    from furlong.llm import queries
+
+    unchanged = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert unchanged.encode("a<|endoftext|>b", add_special_tokens=False).ids == [64, 50256, 65]
+    rows = [*texts(), (200, "s0", "a<|endoftext|>b"), (201, "s1", "a  <|endoftext|><|endoftext|>\n\n b <|endoftext|"),
+            (202, "s2", "<|endoftext|>"), (203, "s0", "line\n  <|endoftext|>\n" * 40)]
+    spark.createDataFrame(rows, "doc_id long, source string, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    check_packing(unchanged, rows, queries.QUERIES["op4_packed"](spark, str(tmp_path)).collect(), packing.SEQUENCE)
+    counted = {(r["doc_id"], r["doc_tokens"]) for r in queries.QUERIES["op6_section_tokens"](spark, str(tmp_path)).collect()}
+    assert counted == {(i, len(unchanged.encode(t or "", add_special_tokens=False).ids)) for i, _, t in rows}
+    sections = queries.QUERIES["op6_section_tokens"](spark, str(tmp_path)).filter("doc_id = 203").orderBy("section").collect()
+    assert sum(r["n_tokens"] for r in sections) == sections[0]["doc_tokens"]
