@@ -14,6 +14,9 @@ from furlong.operators.ordering import mark_first_share, number_rows
 from furlong.session import materialize
 
 CHUNK = 1_000
+#: Rows in a cell of the neighbour search at most, and parts into which a level cuts a node.
+CELL_ROWS = 256
+FAN = 16
 
 
 def split_stratified(df: DataFrame, label: str, key: str, test_share: float = 0.3, seed: int = 0,
@@ -105,37 +108,100 @@ def projections(df: DataFrame, columns: Sequence[str], number: int, seed: int) -
     return out
 
 
-def nearest_rows(df: DataFrame, key: str, columns: Sequence[str], neighbours: int = 5, reach: int = 10,
-                 directions: int = 4, piece_rows: int = 10_000, seed: int = 0) -> DataFrame:
-    """``key, near``: the keys of each row's nearest other rows, nearest first.
+def _apart(one: Column, other: Column, n: int) -> Column:
+    """Squared distance of two arrays in steps of 1e-9, so that sums that differ by rounding alone are equal."""
+    return F.rint(reduce(lambda t, i: t + (one[i] - other[i]) * (one[i] - other[i]), range(n), F.lit(0.0)) * 1e9)
+
+
+def _distance_bounds(spots: DataFrame, alongs: Sequence[Column], n: int, neighbours: int, reach: int,
+                     piece_rows: int) -> DataFrame:
+    """``__spot, __bound``: at least ``neighbours`` other spots are within the bound; null if too few were met.
 
-    Candidates are the ``reach`` rows before and after a row along each of several random directions; they are
-    ranked by their distance in standardised columns, ties by key. The rule is the same at every size; with
-    more rows than candidates a neighbour may be missed, and more directions miss fewer. Every row meets
-    ``2 * reach * directions`` others, and windows run on pieces of fixed size that overlap by ``reach`` rows.
+    Met are the ``reach`` spots before and after along each direction. Windows run on pieces of fixed size that
+    overlap by ``reach`` rows.
     """
-    stats = df.agg(*[F.stddev_pop(F.col(c).cast("double")) for c in columns]).first()
-    scale = [1.0 / round(s, 6) if s and round(s, 6) > 0 else 0.0 for s in stats]
-    points = df.select(F.col(key).alias("__key"), *columns, F.array(*[
-        F.col(c).cast("double") * F.lit(k) for c, k in zip(columns, scale)]).alias("__point"))
     piece = F.floor((F.col("__rn") - 1) / piece_rows)
     met = []
-    for i, along in enumerate(projections(df, columns, directions, seed)):
-        row = number_rows(points.select("__key", "__point", along.alias("__along")), ["__along", "__key"], "__rn")
+    for along in alongs:
+        row = number_rows(spots.select("__spot", "__point", along.alias("__along")), ["__along", "__spot"], "__rn")
         low, high = (F.greatest(F.floor((F.col("__rn") - 1 + d) / piece_rows), F.lit(0)) for d in (-reach, reach))
         row = row.withColumn("__home", piece).withColumn("__piece", F.explode(F.sequence(low, high)))
         near = Window.partitionBy("__piece").orderBy("__rn").rowsBetween(-reach, reach)
-        row = row.withColumn("__met", F.collect_list(F.struct("__key", "__point")).over(near))
-        met.append(row.filter(F.col("__piece") == F.col("__home")).select("__key", "__point", "__met"))
-    every = reduce(DataFrame.unionByName, met).groupBy("__key").agg(
+        row = row.withColumn("__met", F.collect_list(F.struct("__spot", "__point")).over(near))
+        met.append(row.filter(F.col("__piece") == F.col("__home")).select("__spot", "__point", "__met"))
+    every = reduce(DataFrame.unionByName, met).groupBy("__spot").agg(
         F.first("__point").alias("__point"), F.array_distinct(F.flatten(F.collect_list("__met"))).alias("__met"))
+    others = F.filter("__met", lambda m: m["__spot"] != F.col("__spot"))
+    ranked = F.array_sort(F.transform(others, lambda m: _apart(F.col("__point"), m["__point"], n)))
+    return every.select("__spot", F.try_element_at(ranked, F.lit(neighbours)).alias("__bound"))
+
+
+def _cells(spots: DataFrame, n: int) -> tuple[DataFrame, list[DataFrame]]:
+    """(spots with their ``__cell`` of at most ``CELL_ROWS`` rows, the boxes of the nodes above, top first).
 
-    def apart(other: Column) -> Column:
-        return F.aggregate(F.zip_with(F.col("__point"), other, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda t, d: t + d)
+    Each level cuts every node into ``FAN`` parts of equal size along the column in which it is widest.
+    """
+    at, size, boxes = spots.withColumn("__cell", F.lit(0).cast("long")), spots.count(), []
+    ends = [(F.min(F.col("__point")[i]), F.max(F.col("__point")[i])) for i in range(n)]
+    while True:
+        box = materialize(at.groupBy("__cell").agg(
+            F.array(*[low for low, _ in ends]).alias("__low"), F.array(*[high for _, high in ends]).alias("__high"),
+            F.count("*").alias("__n")), "boxes")
+        boxes.append(box)
+        if size <= CELL_ROWS:
+            return at, boxes
+        wide = F.array(*[F.col("__high")[i] - F.col("__low")[i] for i in range(n)])
+        widest = box.select("__cell", "__n", (F.array_position(wide, F.array_max(wide)) - 1).cast("int").alias("__wide"))
+        row = at.join(widest, "__cell").withColumn("__value", F.element_at("__point", F.col("__wide") + 1))
+        row = materialize(number_rows(row, ["__cell", "__value", "__spot"], "__rn"), "numbered")
+        first = row.groupBy("__cell").agg(F.min("__rn").alias("__first"))
+        part = F.floor((F.col("__rn") - F.col("__first")) * FAN / F.col("__n"))
+        at = materialize(row.join(materialize(first, "firsts"), "__cell").withColumn(
+            "__cell", F.col("__cell") * FAN + part).select(*spots.columns, "__cell"), "cells")
+        size = -(-size // FAN)
+
+
+def nearest_rows(df: DataFrame, key: str, columns: Sequence[str], neighbours: int = 5, reach: int = 10,
+                 directions: int = 4, piece_rows: int = 10_000, seed: int = 0) -> DataFrame:
+    """``key, near``: the keys of each row's nearest other rows, nearest first; exact at every size.
 
-    others = F.filter("__met", lambda m: m["__key"] != F.col("__key"))
-    ranked = F.array_sort(F.transform(others, lambda m: F.struct(F.round(apart(m["__point"]), 9).alias("d"), m["__key"].alias("k"))))
-    return every.select(F.col("__key").alias(key), F.transform(F.slice(ranked, 1, neighbours), lambda m: m["k"]).alias("near"))
+    Rows are ranked by their distance in standardised columns, ties by key; columns must be finite. Equal rows
+    are one spot with its first keys. The ``reach`` spots before and after along each of several random
+    directions bound the distance; ``reach`` and ``directions`` change the work, not the result. Every cell of
+    bounded fill whose box the bound reaches is then searched. The work grows little faster than the rows in few
+    columns; the more columns, the more cells are reached, up to all of them.
+    """
+    n = len(columns)
+    stats = df.agg(*[F.stddev_pop(F.col(c).cast("double")) for c in columns]).first()
+    scale = [1.0 / round(s, 6) if s and round(s, 6) > 0 else 0.0 for s in stats]
+    rows = materialize(df.select(F.col(key).alias("__key"), *columns, F.array(*[
+        F.col(c).cast("double") * F.lit(k) for c, k in zip(columns, scale)]).alias("__point")), "points")
+    order = F.row_number().over(Window.partitionBy("__point").orderBy("__key"))
+    firsts = rows.withColumn("__no", order).filter(F.col("__no") <= neighbours + 1).groupBy("__point").agg(
+        F.array_sort(F.collect_list("__key")).alias("__keys"), *[F.min_by(c, "__key").alias(c) for c in columns])
+    spots = materialize(firsts.withColumn("__spot", F.monotonically_increasing_id()), "spots")
+    alongs = projections(df, columns, directions, seed)
+    bounds = _distance_bounds(spots, alongs, n, neighbours, reach, piece_rows)
+    cells, boxes = _cells(spots.select("__spot", "__point", "__keys"), n)
+    asking = materialize(spots.select("__spot", "__point").join(bounds, "__spot").withColumn(
+        "__bound", F.coalesce("__bound", F.lit(float("inf")))), "asking")
+    x = F.col("__point")
+    gaps = F.array(*[F.greatest(F.col("__low")[i] - x[i], x[i] - F.col("__high")[i], F.lit(0.0)) for i in range(n)])
+    asked = asking.withColumn("__cell", F.lit(0).cast("long"))
+    for box in boxes[1:]:
+        child = box.select(F.col("__cell").alias("__child"), F.floor(F.col("__cell") / FAN).alias("__cell"), "__low", "__high")
+        asked = asked.join(child, "__cell").withColumn("__gaps", gaps).filter(
+            _apart(F.col("__gaps"), F.array(*[F.lit(0.0)] * n), n) <= F.col("__bound"))
+        asked = asked.select("__spot", "__point", "__bound", F.col("__child").alias("__cell"))
+    there = cells.select("__cell", F.col("__point").alias("__there"), "__keys")
+    found = asked.join(there, "__cell").withColumn("__d", _apart(x, F.col("__there"), n)).filter("__d <= __bound")
+    found = found.select("__spot", "__d", F.explode("__keys").alias("k"))
+    best = F.row_number().over(Window.partitionBy("__spot").orderBy("__d", "k"))
+    lists = found.withColumn("__no", best).filter(F.col("__no") <= neighbours + 1).groupBy("__spot").agg(
+        F.array_sort(F.collect_list(F.struct("__d", "k"))).alias("__best"))
+    lists = materialize(lists.join(spots.select("__spot", "__point"), "__spot").select("__point", "__best"), "nearest")
+    others = F.filter(F.transform("__best", lambda m: m["k"]), lambda k: k != F.col("__key"))
+    return rows.join(lists, "__point").select(F.col("__key").alias(key), F.slice(others, 1, neighbours).alias("near"))
 
 
 def smote(df: DataFrame, label: str, key: str, numeric: Sequence[str], carried: Sequence[str] = (),

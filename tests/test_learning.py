@@ -173,3 +173,21 @@ def test_searches_keep_the_planted_feature(planted):
     assert "good" in best.features
     with pytest.raises(ValueError):
         selection.subset_search(scorer, [str(i) for i in range(12)], 1, 12)
+
+
+@pytest.mark.parametrize("rows,columns", [(200, 2), (6_000, 2), (6_000, 6)])
+def test_neighbours_are_exact_with_default_parameters(spark, rows, columns):
+    """Two sizes 30 times apart; a tenth of the rows lies on one spot."""
+    points = np.random.default_rng(3).normal(size=(rows, columns)).round(4)
+    points[: rows // 10] = points[0]
+    names = [f"c{i}" for i in range(columns)]
+    df = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(points)], f"id long, {', '.join(f'{c} double' for c in names)}")
+    near = {r.id: r.near for r in sampling.nearest_rows(df.repartition(4), "id", names).collect()}
+    assert len(near) == rows
+    z = points / points.std(0).round(6)
+    for i in range(0, rows, max(1, rows // 400)):
+        apart = np.rint(((z[i] - z) ** 2).sum(1) * 1e7)
+        apart[i] = np.inf
+        want = np.sort(apart)[:5]
+        assert i not in near[i] and len(set(near[i])) == 5 and np.abs(apart[near[i]] - want).max() <= 1
+    assert near[3] == [0, 1, 2, 4, 5]
