@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from furlong.llm import contain, crf, jaccard, packing, substring
+from furlong.llm.blocks import written
 from furlong.llm.ship import ship_package
 from furlong.session import scratch_path
 
@@ -45,7 +46,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each group that word 5-gram Jaccard similarities of 0.8 or more connect."""
     ship_package(spark)
-    numbered = with_row_number(docs)
+    # The number depends on how the scan is cut, so all steps below read one written copy.
+    numbered = written(with_row_number(docs), "numbered")
     classes = jaccard.near_duplicates(numbered, key="__row")
     first = classes.filter(F.col("__row") == F.col("class_id")).select("__row")
     return numbered.join(first, "__row", "left_semi").select(*docs.columns)

@@ -112,3 +112,23 @@ def test_empty_documents_pass_all_stages(spark, tmp_path):
     empty.write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([(1, "a b c d e")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     assert pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_near_duplicates_keep_the_right_rows_if_the_scan_is_cut_anew(spark, tmp_path):
+    """Executors come and go between the jobs of a stage, which changes the splits of a scan."""
+    rng = np.random.default_rng(4)
+    rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 5000, 60 + i)), "xx", "s") for i in range(24)]
+    rows += [(100 + i, rows[i][1], "xx", "s") for i in range(0, 24, 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    docs.repartition(6).write.parquet(str(tmp_path / "documents.parquet"))
+    names = ("spark.sql.files.minPartitionNum", "spark.sql.files.openCostInBytes")
+    try:
+        spark.conf.set(names[0], "6")
+        kept = pipeline.near_duplicates(spark, spark.read.parquet(str(tmp_path / "documents.parquet")), str(tmp_path))
+        spark.conf.set(names[0], "1")
+        spark.conf.set(names[1], "1")
+        texts = [r["text"] for r in kept.collect()]
+    finally:
+        for name in names:
+            spark.conf.unset(name)
+    assert len(texts) == 24 and set(texts) == {r[1] for r in rows}
