@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furlong.llm import brown, contain, counts, crf, jaccard, lpf, packing, substring, topk, warc
+from furlong.llm import ann, brown, contain, counts, crf, jaccard, lpf, packing, substring, topk, warc
 from furlong.llm.ship import ship_package
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -51,6 +51,13 @@ def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_topk(vectors.filter(F.col("id") % 100 == 0), vectors, k=10)
 
 
+@query("op13_nearest")
+def op13_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(
+        F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    return ann.nearest(vectors.filter(F.col("id") % 20 == 0), vectors, k=20)
+
+
 @query("op6_section_tokens")
 def op6_section_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.section_tokens(documents(spark, sf_dir), TOKENIZER)

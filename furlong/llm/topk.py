@@ -5,37 +5,40 @@ Every vector is cut into 1, 2, 4, … segments. With the mean ``m`` and deviatio
 inner products, the score is at most ``sum l * (m1 * m2 + s1 * s2)``. Bounds are taken coarse to fine, a pair
 leaves as soon as its bound is below the k-th score found so far, and survivors get their exact score.
 
-Queries come in groups of bounded size that are broadcast one after another; candidates stream past them in
-Arrow batches and each task keeps only k rows per query.
+Blocks of queries meet blocks of candidates as units of work that are dealt over all tasks. The first block of
+candidates is searched before the others, and its k-th scores are where the others begin.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from furlong.session import materialize
+from furlong.llm.blocks import written
+from furlong.llm.vectors import (
+    BLOCK_ROWS, FOUND, answered, asked, blocks_of, classes, first_of, longs, matrix, met)
 
-LARGEST = 1 << 26
-GROUP_ROWS = 20_000
 LEVELS = (1, 2, 4, 8, 16)
-NONE = -(2**63) + 1
+#: Queries and candidates compared at once inside a block.
+STRIPE, TILE = 512, 2048
+LOWEST, HIGHEST = -(2**63), 2**63 - 1
 
 
 def scaled(vector: Column | str, factor: int = 1024) -> Column:
-    """``floor(factor * x)`` of every component, or null.
+    """``floor(factor * x)`` of every component as a double without a fraction, or null.
 
-    Null if the vector is null or has a null or non-finite component, or one of 2**26 or more after scaling,
-    whose scores might not fit a long.
+    Null if the vector is null or has a null or non-finite component (also after scaling). For factors that are
+    powers of two the result is exact at any size.
     """
     v = F.col(vector) if isinstance(vector, str) else vector
     v = F.transform(v, lambda x: x.cast("double") * factor)
-    fits = F.forall(v, lambda x: F.coalesce(F.abs(x) < LARGEST, F.lit(False)) & ~F.isnan(x))
-    return F.when(fits, F.transform(v, lambda x: F.floor(x).cast("long")))
+    finite = F.forall(v, lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False)) & ~F.isnan(x))
+    whole = F.transform(v, lambda x: F.when(F.abs(x) < 2.0 ** 53, F.floor(x).cast("double")).otherwise(x))
+    return F.when(finite, whole)
 
 
 def _sketch(x: np.ndarray, segments: int) -> np.ndarray:
@@ -50,118 +53,112 @@ def _sketch(x: np.ndarray, segments: int) -> np.ndarray:
 
 
 class _Searcher:
-    """The k best candidates seen so far for queries of one length."""
+    """The k best candidate classes seen so far for queries of one length; ``floors`` are scores known to be reached."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int, levels: Sequence[int]):
-        self.ids, self.vectors, self.k = ids, vectors, k
+    def __init__(self, vectors: np.ndarray, floors: np.ndarray, k: int, levels: Sequence[int]):
+        self.vectors, self.floors, self.k = vectors, floors.astype(np.float64), k
         self.levels = [s for s in levels if s < vectors.shape[1]]
         self.sketches = [_sketch(vectors, s) for s in self.levels]
-        self.scores = np.full((len(ids), k), NONE, np.int64)
-        self.found = np.full((len(ids), k), np.iinfo(np.int64).max, np.int64)
+        # Slack for rounding, relative to the sizes that go into a bound.
+        self.norms = np.sqrt((vectors * vectors).sum(1))
+        self.best = [np.zeros(0, np.int64)] * 3 + [np.zeros(0, np.int64)]    # query, class, least, score
 
-    def add(self, ids: np.ndarray, x: np.ndarray) -> None:
+    def add(self, names: np.ndarray, least: np.ndarray, x: np.ndarray) -> None:
         sketches = [_sketch(x, s) for s in self.levels]
-        whole = max(np.abs(x).max(initial=0), np.abs(self.vectors).max(initial=0)) ** 2 * max(x.shape[1], 1) >= 2**53
-        for at in range(0, len(self.ids), 512):
-            rows = slice(at, at + 512)
-            least = self.scores[rows, -1].astype(np.float64)
-            alive = self.ids[rows, None] != ids[None, :]
-            q, c = np.nonzero(alive)
-            for mine, theirs in zip(self.sketches, sketches, strict=True):
-                if len(q) * 4 > alive.size:
-                    bound = (mine[rows] @ theirs.T)[q, c]
+        norms = np.sqrt((x * x).sum(1))
+        size = max(x.shape[1], 1)
+        tops, own_tops = (np.abs(m).max(1, initial=0.0) for m in (x, self.vectors))
+        for at in range(0, len(self.vectors), STRIPE):
+            rows = slice(at, at + STRIPE)
+            mine = self.vectors[rows]
+            q, c = np.divmod(np.arange(len(mine) * len(x)), len(x))
+            for own, theirs in zip(self.sketches, sketches, strict=True):
+                if len(q) * 4 > len(mine) * len(x):
+                    bound = (own[rows] @ theirs.T)[q, c]
                 else:
-                    bound = np.einsum("ij,ij->i", mine[rows][q], theirs[c])
-                keep = bound * (1 + 1e-9) + 0.5 >= least[q]
+                    bound = np.einsum("ij,ij->i", own[rows][q], theirs[c])
+                slack = 0.5 + self.norms[rows][q] * norms[c] * (size * 1e-15 + 1e-12)
+                keep = bound + slack >= self.floors[rows][q]
                 q, c = q[keep], c[keep]
-                if not len(q):
-                    break
             if not len(q):
                 continue
-            if whole:
-                exact = np.einsum("ij,ij->i", self.vectors[rows][q].astype(np.int64), x[c].astype(np.int64))
-            elif len(q) * 4 > alive.size:
-                exact = (self.vectors[rows] @ x.T)[q, c].astype(np.int64)
-            else:
-                exact = np.einsum("ij,ij->i", self.vectors[rows][q], x[c]).astype(np.int64)
-            keep = exact >= self.scores[rows, -1][q]
-            self._merge(rows, q[keep], exact[keep], ids[c[keep]])
-
-    def _merge(self, rows: slice, q: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
-        n = len(self.ids[rows])
-        old = np.repeat(np.arange(n), self.k)
-        q = np.concatenate([old, q])
-        scores = np.concatenate([self.scores[rows].ravel(), scores])
-        ids = np.concatenate([self.found[rows].ravel(), ids])
-        order = np.lexsort((ids, -scores, q))
-        q, scores, ids = q[order], scores[order], ids[order]
-        first = np.searchsorted(q, np.arange(n))
-        take = (first[:, None] + np.arange(self.k)).ravel()
-        self.scores[rows] = scores[take].reshape(n, self.k)
-        self.found[rows] = ids[take].reshape(n, self.k)
-
-
-def _best(candidates: DataFrame, group: pd.DataFrame, k: int, levels: Sequence[int]) -> DataFrame:
-    sent = candidates.sparkSession.sparkContext.broadcast(group)
-
-    def search(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        queries = sent.value
-        lengths = queries["vector"].map(len).to_numpy(np.int64)
-        searchers = {}
-        for n in np.unique(lengths):
-            at = np.flatnonzero(lengths == n)
-            x = np.array(queries["vector"].iloc[at].to_list(), np.float64).reshape(len(at), n)
-            searchers[int(n)] = (at, _Searcher(queries["id"].to_numpy(np.int64)[at], x, k, levels))
-        for frame in frames:
-            sizes = frame["vector"].map(len).to_numpy(np.int64)
-            for n, (_, searcher) in searchers.items():
-                same = np.flatnonzero(sizes == n)
-                for cut in range(0, len(same), 2048):
-                    at = same[cut:cut + 2048]
-                    x = np.array(frame["vector"].iloc[at].to_list(), np.float64).reshape(len(at), n)
-                    searcher.add(frame["id"].to_numpy(np.int64)[at], x)
-        for at, s in searchers.values():
-            q, place = np.nonzero(s.scores > NONE)
-            yield pd.DataFrame({"query_no": queries["no"].to_numpy(np.int64)[at][q], "query_id": s.ids[q],
-                                "vec_id": s.found[q, place], "score": s.scores[q, place]})
-
-    return candidates.mapInPandas(search, "query_no long, query_id long, vec_id long, score long")
-
-
-def exact_topk(queries: DataFrame, candidates: DataFrame, k: int = 10, group_rows: int = GROUP_ROWS,
+            large = own_tops[rows][q] * tops[c] * size >= 2.0 ** 53
+            value = (mine @ x.T)[q, c] if len(q) * 4 > len(mine) * len(x) else np.einsum("ij,ij->i", mine[q], x[c])
+            score = np.where(large, 0.0, value).astype(np.int64)
+            if large.any():
+                score[large] = _exact(mine, x, q[large], c[large])
+            keep = score >= np.floor(self.floors[rows][q] * (1 - np.sign(self.floors[rows][q]) * 1e-15))
+            self._merge(q[keep] + at, names[c[keep]], least[c[keep]], score[keep])
+
+    def _merge(self, q: np.ndarray, names: np.ndarray, least: np.ndarray, score: np.ndarray) -> None:
+        q, names, least, score = (np.concatenate(p) for p in zip(self.best, (q, names, least, score), strict=True))
+        # Scores are longs, whose negation may overflow; the complement turns their order as well.
+        kept = first_of(q, np.lexsort((least, ~score, q)), self.k)
+        self.best = [q[kept], names[kept], least[kept], score[kept]]
+        full, last = np.unique(self.best[0][::-1], return_index=True)
+        counts = np.bincount(self.best[0], minlength=len(self.vectors))[full]
+        lowest = self.best[3][::-1][last].astype(np.float64)
+        full, lowest = full[counts == self.k], lowest[counts == self.k]
+        self.floors[full] = np.maximum(self.floors[full], lowest)
+
+
+def _exact(a: np.ndarray, b: np.ndarray, q: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Inner products as whole numbers of any size, cut to the range of a long."""
+    rows = {int(i): [int(v) for v in a[i]] for i in np.unique(q)}
+    cols = {int(i): [int(v) for v in b[i]] for i in np.unique(c)}
+    out = [sum(map(int.__mul__, rows[i], cols[j])) for i, j in zip(q.tolist(), c.tolist(), strict=True)]
+    return np.array([min(max(v, LOWEST), HIGHEST) for v in out], np.int64)
+
+
+def _search(k: int, levels: Sequence[int]):
+    def search(queries: pa.Table, candidates: pa.Table) -> pa.Table:
+        out = [np.zeros(0, np.int64)] * 4
+        if queries.num_rows and candidates.num_rows:
+            floors = np.array([-np.inf if f is None else f for f in queries.column("floor").to_pylist()])
+            searcher = _Searcher(matrix(queries), floors, k, levels)
+            x, names, least = matrix(candidates), longs(candidates, "class"), longs(candidates, "least")
+            for cut in range(0, len(x), TILE):
+                part = slice(cut, cut + TILE)
+                searcher.add(names[part], least[part], x[part])
+            out = [longs(queries, "class")[searcher.best[0]], *searcher.best[1:]]
+        return pa.table(dict(zip(("query", "class", "least", "score"), out, strict=True)))
+    return search
+
+
+def exact_topk(queries: DataFrame, candidates: DataFrame, k: int = 10, block_rows: int = BLOCK_ROWS,
                levels: Sequence[int] = LEVELS) -> DataFrame:
     """The k candidates with the highest inner product for every query; ties go to the smaller id.
 
-    Both tables have ``id`` (long) and ``vector`` (array of longs below 2**26 in size); rows with a null in
-    either take no part. A candidate with the query's id is the query itself and is left out. Only vectors of
-    the same length are compared. Repeated query rows are answered each for itself, repeated candidates count
-    each. Fewer than k candidates give fewer rows; an empty table gives none.
+    Both tables have ``id`` (long) and ``vector`` (array of whole numbers of any size, as longs or doubles); rows
+    with a null in either take no part. A query row is not its own candidate; another row
+    with its id or vector is. Only vectors of the same length are compared. Repeated query rows are answered each
+    for itself, repeated candidates count each. Fewer than k candidates give fewer rows; an empty table gives none.
+    Scores are exact; one beyond a long is ranked and shown as the largest or smallest long.
 
     Returns ``query_id, rank, vec_id, score``.
     """
-    spark = candidates.sparkSession
-    usable = F.col("id").isNotNull() & F.col("vector").isNotNull()
-    vectors = F.col("vector").cast("array<long>").alias("vector")
-    queries = materialize(queries.filter(usable).select(F.col("id").cast("long").alias("id"), vectors), "queries")
-    candidates = candidates.filter(usable).select(F.col("id").cast("long").alias("id"), vectors)
-    groups = max(1, -(-queries.count() // (group_rows // 2)))
-    parts, number = [], 0
-    for g in range(groups):
-        # Hashing deals the queries out evenly. A group with many repeated ids is larger; it is cut again.
-        mine = queries.filter(F.pmod(F.xxhash64("id"), F.lit(groups)) == g)
-        sizes = 1 if groups == 1 else -(-mine.count() // group_rows)
-        for piece in range(sizes):
-            rows = mine if sizes == 1 else mine.filter(F.pmod(F.xxhash64("id", "vector"), F.lit(sizes)) == piece)
-            frame = rows.toPandas()
-            frame["no"] = np.arange(number, number + len(frame))
-            number += len(frame)
-            part = _best(candidates, frame, k, levels)
-            parts.append(part if groups * sizes == 1 else materialize(part, "topk"))
-    if not parts:
-        parts = [spark.createDataFrame([], "query_no long, query_id long, vec_id long, score long")]
-    found = parts[0]
-    for part in parts[1:]:
-        found = found.unionByName(part)
-    order = Window.partitionBy("query_no").orderBy(F.desc("score"), "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    queries, candidates = written(_usable(queries), "queries"), _usable(candidates)
+    known = classes(candidates, k + 1)
+    wanted = asked(queries, known)
+    lengths = sorted(r[0] for r in known.select(F.size("vector")).distinct().collect())
+    found, schema = None, FOUND.format(kind="long")
+    for n in lengths:
+        mine, theirs = (t.filter(F.size("vector") == n) for t in (wanted, known))
+        groups, pieces = blocks_of(mine.count(), block_rows), blocks_of(theirs.count(), block_rows)
+        theirs = theirs.select("class", "least", "vector")
+        head = F.pmod(F.xxhash64("class", F.lit(1)), F.lit(pieces)) == 0
+        start = written(met(mine.withColumn("floor", F.lit(None).cast("double")), theirs.filter(head),
+                            _search(k + 1, levels), schema, groups, 1), "topk")
+        floors = start.groupBy(F.col("query").alias("class")).agg(F.count("*").alias("n"), F.min("score").alias("low"))
+        floors = floors.select("class", F.when(F.col("n") == k + 1, F.col("low")).cast("double").alias("floor"))
+        rest = met(mine.join(floors, "class", "left"), theirs.filter(~head), _search(k + 1, levels), schema, groups, pieces)
+        part = start.unionByName(rest) if pieces > 1 else start
+        found = part if found is None else found.unionByName(part)
+    if found is None:
+        return queries.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    return answered(queries, wanted, found, known, k)
+
+
+def _usable(rows: DataFrame) -> DataFrame:
+    full = F.col("id").isNotNull() & F.forall("vector", lambda x: x.isNotNull())
+    return rows.filter(full).select(F.col("id").cast("long").alias("id"), F.col("vector").cast("array<double>").alias("vector"))

@@ -14,23 +14,38 @@ def brute_topk(rows, every, k):
     for q, (qid, qv) in enumerate(rows):
         if qid is None or qv is None or qid % every:
             continue
-        scored = [(-sum(a * b for a, b in zip(qv, v)), i) for i, v in rows
-                  if i is not None and v is not None and i != qid and len(v) == len(qv)]
+        scored = [(-sum(a * b for a, b in zip(qv, v)), i) for c, (i, v) in enumerate(rows)
+                  if i is not None and v is not None and c != q and len(v) == len(qv)]
         out += [(qid, r + 1, i, -s) for r, (s, i) in enumerate(sorted(scored)[:k])]
     return sorted(out)
 
 
-@pytest.mark.parametrize("group_rows", [20_000, 4])
-def test_topk_equals_brute_force(spark, group_rows):
+@pytest.mark.parametrize("block_rows", [8_192, 40])
+def test_topk_equals_brute_force(spark, block_rows):
     rng = np.random.default_rng(3)
     rows = [(i, rng.integers(-500, 500, 24).tolist()) for i in range(300)]
     rows += [(i, [7] * 24) for i in range(300, 340)]  # ties
-    rows += [(400, None), (None, [1] * 24), (404, [1, 2]), (405, [3, 4]), (410, []), (20, [1] * 24)]
+    rows += [(400, None), (None, [1] * 24), (404, [1, 2]), (405, [3, 4]), (410, []), (420, []), (20, [1] * 24), (30, rows[30][1])]
     df = spark.createDataFrame(rows, "id long, vector array<long>").withColumn("extra", F.lit(1)).repartition(5)
-    got = topk.exact_topk(df.filter("id % 10 = 0"), df, k=5, group_rows=group_rows).collect()
+    got = topk.exact_topk(df.filter("id % 10 = 0"), df, k=5, block_rows=block_rows).collect()
     assert sorted(map(tuple, got)) == brute_topk(rows, 10, 5)
 
 
+@pytest.mark.parametrize("block_rows", [8_192, 20])
+def test_topk_of_negative_and_large_vectors(spark, block_rows):
+    b, rng = 2 ** 18, np.random.default_rng(4)
+    rows = [(0, [b, b, 1, 1]), (1, [-b, -b, -2, -2]), (2, [-b, -b, -1, -1])]
+    got = topk.exact_topk(spark.createDataFrame(rows[:1], "id long, vector array<long>"),
+                          spark.createDataFrame(rows[1:], "id long, vector array<long>"), k=1).collect()
+    assert [tuple(r) for r in got] == [(0, 1, 2, -137438953474)]
+    rows = [(i, (-rng.integers(1, 1 << int(rng.integers(1, 30)), 9)).tolist()) for i in range(120)]
+    rows += [(i, rng.integers(1, 100_000, 9).tolist()) for i in range(120, 150)]
+    rows += [(i, rng.integers(-9, 9, 9).tolist()) for i in (0, 0, 10, 151)]
+    df = spark.createDataFrame(rows, "id long, vector array<long>").repartition(3)
+    got = topk.exact_topk(df.filter("id % 10 = 0"), df, k=4, block_rows=block_rows).collect()
+    assert sorted(map(tuple, got)) == brute_topk(rows, 10, 4)
+
+
 def test_topk_of_empty_tables(spark):
     empty = spark.createDataFrame([], "id long, vector array<long>")
     one = spark.createDataFrame([(1, [1])], "id long, vector array<long>")
@@ -48,9 +63,9 @@ def test_bounds_are_never_below_the_score():
 
 
 def test_scaled_rejects_null_and_non_finite(spark):
-    rows = [([1.0, -0.3],), ([1.0, None],), ([float("nan")],), ([float("inf")],), (None,), ([1e9],), ([],)]
+    rows = [([1.0, -0.3],), ([1.0, None],), ([float("nan")],), ([float("inf")],), (None,), ([1e9, -1e12],), ([],)]
     got = [r[0] for r in spark.createDataFrame(rows, "v array<double>").select(topk.scaled("v")).collect()]
-    assert got == [[1024, -308], None, None, None, None, None, []]
+    assert got == [[1024, -308], None, None, None, None, [1024e9, -1024e12], []]
 
 
 def shingles(text):
