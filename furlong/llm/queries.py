@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furlong.llm import ann, brown, contain, counts, crf, jaccard, lpf, packing, substring, topk, warc
+from furlong.llm import ann, brown, contain, counts, crf, jaccard, lpf, merkle, packing, substring, topk, warc
 from furlong.llm.ship import ship_package
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -51,6 +51,79 @@ def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_topk(vectors.filter(F.col("id") % 100 == 0), vectors, k=10)
 
 
+RECORD = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def _record_sql(**changed: str) -> str:
+    """The digest of a record; ``changed`` columns are taken from the given expressions."""
+    values = [f"CAST({changed.get(c, c)} AS VARCHAR)" for c in RECORD]
+    return "sha256(" + " || ".join(f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in values) + ")"
+
+
+def _crc32_sql(text: str) -> str:
+    """CRC-32 of a short text: bit by bit over its bytes, polynomial 0xEDB88320."""
+    step = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+    bits = f"list_reduce(range(0, 8), lambda c, x: {step}, xor(c, b))"
+    return f"xor(list_reduce(list_transform(string_split({text}, ''), lambda x: CAST(ascii(x) AS BIGINT)), lambda c, b: {bits}, 4294967295), 4294967295)"
+
+
+@query("op12_manifest", f"""
+WITH RECURSIVE l AS (
+  SELECT row_number() OVER () AS rid, doc_id, source, {_record_sql()} AS leaf,
+         CASE WHEN {_crc32_sql("CAST(doc_id AS VARCHAR)")} % 2 = 0 THEN {_record_sql(text="replace(text, chr(10), '')")}
+              ELSE {_record_sql()} END AS seen
+  FROM documents),
+s AS (SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS tree FROM (SELECT DISTINCT source FROM l)),
+p AS (
+  SELECT rid, doc_id, leaf, seen, tree, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+         count(*) OVER (PARTITION BY tree) AS size
+  FROM l JOIN s ON l.source IS NOT DISTINCT FROM s.source),
+t AS (
+  SELECT tree, 0 AS level, idx, size, leaf AS h FROM p
+  UNION ALL
+  SELECT tree, level + 1, idx // 3, (size + 2) // 3, sha256(string_agg(h, '' ORDER BY idx)) FROM t WHERE size > 1
+  GROUP BY tree, level, idx // 3, size),
+subroots AS (SELECT tree, h, level FROM t WHERE size = 1),
+u AS (
+  SELECT 0 AS level, tree AS idx, count(*) OVER () AS size, h FROM subroots
+  UNION ALL
+  SELECT level + 1, idx // 3, (size + 2) // 3, sha256(string_agg(h, '' ORDER BY idx)) FROM u WHERE size > 1
+  GROUP BY level, idx // 3, size),
+own AS (
+  SELECT rid, level AS step, t.tree, t.level, t.idx FROM p JOIN t ON t.tree = p.tree AND t.idx = p.idx // CAST(pow(3, t.level) AS BIGINT)
+  WHERE t.size > 1),
+own_up AS (
+  SELECT rid, r.level + u.level AS step, u.level, u.idx FROM p JOIN subroots r USING (tree)
+  JOIN u ON u.idx = p.tree // CAST(pow(3, u.level) AS BIGINT) WHERE u.size > 1),
+sib AS (
+  SELECT rid, step, coalesce(string_agg(t.h, '' ORDER BY t.idx) FILTER (t.idx < own.idx), '') AS a,
+         coalesce(string_agg(t.h, '' ORDER BY t.idx) FILTER (t.idx > own.idx), '') AS z
+  FROM own JOIN t ON t.tree = own.tree AND t.level = own.level AND t.idx // 3 = own.idx // 3 GROUP BY rid, step
+  UNION ALL
+  SELECT rid, step, coalesce(string_agg(u.h, '' ORDER BY u.idx) FILTER (u.idx < own_up.idx), ''),
+         coalesce(string_agg(u.h, '' ORDER BY u.idx) FILTER (u.idx > own_up.idx), '')
+  FROM own_up JOIN u ON u.level = own_up.level AND u.idx // 3 = own_up.idx // 3 GROUP BY rid, step),
+f AS (
+  SELECT rid, 0 AS step, seen AS h FROM p
+  UNION ALL
+  SELECT rid, f.step + 1, sha256(a || h || z) FROM f JOIN sib USING (rid, step)),
+proofs AS (SELECT rid, string_agg(a || z, '' ORDER BY step) AS text, count(*) AS steps FROM sib GROUP BY rid),
+root AS (SELECT h AS root FROM u WHERE size = 1)
+SELECT p.doc_id, p.leaf, r.h AS subroot, root, sha256(coalesce(q.text, '')) AS proof_sha256, f.h AS folded_root, f.h = root AS verified
+FROM p JOIN subroots r USING (tree) CROSS JOIN root LEFT JOIN proofs q USING (rid)
+JOIN f ON f.rid = p.rid AND f.step = coalesce(q.steps, 0)""")
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    leaf = merkle.digest(*[merkle.field(c) for c in RECORD])
+    without_lines = merkle.digest(*[merkle.field(F.replace("text", F.lit("\n"), F.lit("")) if c == "text" else c) for c in RECORD])
+    tampered = F.coalesce(bucket_of("doc_id", 2) == 0, F.lit(False))
+    rows = docs.select("doc_id", "source", leaf.alias("leaf"), F.when(tampered, without_lines).otherwise(leaf).alias("seen"))
+    found = merkle.manifest(rows, carry=["seen"])
+    return found.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest("proof").alias("proof_sha256"),
+                        merkle.folded("carried.seen", "proof").alias("folded_root")).withColumn(
+        "verified", F.col("folded_root") == F.col("root"))
+
+
 @query("op13_nearest")
 def op13_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(
