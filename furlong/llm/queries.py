@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furlong.llm import ann, brown, contain, counts, crf, jaccard, lpf, merkle, packing, substring, topk, warc
+from furlong.llm import ann, brown, contain, counts, crf, jaccard, lpf, merkle, packing, phrases, substring, topk, warc
 from furlong.llm.ship import ship_package
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -51,6 +51,34 @@ def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_topk(vectors.filter(F.col("id") % 100 == 0), vectors, k=10)
 
 
+@query("op11_collocations", r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w FROM documents),
+n AS (SELECT lang, sum(len(w)) AS n FROM p GROUP BY lang),
+g AS (
+  SELECT lang, m, array_to_string(w[i:i+m-1], ' ') AS phrase FROM (
+    SELECT lang, m, w, unnest(range(1, len(w) - m + 2)) AS i FROM p, (SELECT unnest(range(1, 6)) AS m) WHERE len(w) >= m)),
+f AS (SELECT lang, m, phrase, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 100),
+c AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE m >= 2),
+inner_ AS (
+  SELECT DISTINCT lang, array_to_string(w[i:i+k-1], ' ') AS phrase, a AS longer FROM (
+    SELECT *, unnest(range(1, m - k + 2)) AS i FROM (SELECT *, unnest(range(2, m)) AS k FROM c))),
+kept AS (SELECT * FROM c WHERE NOT EXISTS (SELECT 1 FROM inner_ i WHERE i.lang = c.lang AND i.phrase = c.phrase AND 100 * longer >= 100 * a)),
+cut AS (
+  SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS x, array_to_string(w[k+1:m], ' ') AS y
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM kept)),
+s AS (
+  SELECT cut.lang, cut.phrase, a, k, l.f AS l, r.f AS r, n.n,
+         CAST((1000::HUGEINT * a * n.n) // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+  FROM cut JOIN n USING (lang) JOIN f l ON l.lang = cut.lang AND l.phrase = x JOIN f r ON r.lang = cut.lang AND r.phrase = y),
+b AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS no FROM s),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM b WHERE no = 1)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score FROM o WHERE rank <= 2000""")
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(documents(spark, sf_dir)).drop("cut")
+
+
 RECORD = ("doc_id", "source", "lang", "n_chars", "text")
 
 

@@ -96,11 +96,12 @@ def pieces(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
         at = end
 
 
-def words_of(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word starts, word ends, word offsets per document)."""
+def words_of(raw: np.ndarray, offsets: np.ndarray,
+             between: np.ndarray = IS_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word starts, word ends, word offsets per document); ``between`` tells for each byte whether it parts words."""
     if not len(raw):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    inked = ~IS_SPACE[raw]
+    inked = ~between[raw]
     first = inked.copy()
     first[1:] &= ~inked[:-1]
     last = inked.copy()
