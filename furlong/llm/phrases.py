@@ -1,13 +1,16 @@
 """Phrases whose words occur together more often than apart, mined with Rabin-Karp fingerprints.
 
 Texts are split into pieces and words. Prefix polynomials give the fingerprint of any run of words at once. Level by
-level, from one word to the longest phrase, every block of documents sends its fingerprints with their counts and the
-place of their first occurrence in the block; a shuffle adds up the counts, and pointers of those that are frequent
-come back to their blocks. A run of n words is looked at only where both runs of n - 1 words inside are frequent.
+level, from one word to the longest phrase, every block of documents sends its fingerprints with their counts to the shards
+of the fingerprints' space; a shard adds up the counts of all blocks and points each block to those of its occurrences
+that are frequent. A run of n words is looked at only where both runs of n - 1 words inside are frequent.
 
-Fingerprints only say what may be frequent. A block holds the text of what a pointer names against the words of all
-occurrences with that fingerprint, tells apart those that differ, and materialises the phrases; counts are added up
+Fingerprints only say what may be frequent. A block holds the text of the first occurrence pointed to against the words
+of all others with that fingerprint, tells apart those that differ, and materialises the phrases; counts are added up
 again by the phrase itself. A collision can therefore cost work, but never changes a count.
+
+Only the bits of a fingerprint below those that name the shard are sent. There are about as many shards as blocks, so
+the space grows with the corpus and four bytes do at any size.
 """
 
 from __future__ import annotations
@@ -18,9 +21,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from furlong.llm import text as X
-from furlong.llm.blocks import Blocks, flat_ranges, texts_of, written
+from furlong.llm.blocks import Blocks, flat_ranges, joined, shards, split_by, texts_of, unpacked, written
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 #: Bytes of texts that are hashed at once.
 PART_BYTES = 1 << 20
 BREAKS = np.zeros(256, bool)
@@ -28,7 +31,9 @@ BREAKS[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 BETWEEN = BREAKS.copy()
 BETWEEN[[0x20, 0x09]] = True
 SEEN, PHRASE, TOTAL = 0, 1, 2
-SCHEMA = "kind int, block int, print long, place int, lang string, phrase string, n long"
+SCHEMA = "kind int, block int, shard int, prints binary, counts binary, lang string, phrase string, n long"
+#: Bits of a fingerprint that are sent; those above them say to which shard.
+BITS = 32
 
 
 class Words:
@@ -64,10 +69,13 @@ class Words:
     def __len__(self) -> int:
         return len(self.starts)
 
-    def prints(self, n: int, bits: int) -> np.ndarray:
-        """Fingerprints of the runs of n words at every position, also of those that leave their piece."""
+    def prints(self, n: int, shard_bits: int, bits: int) -> np.ndarray:
+        """Fingerprints of the runs of n words at every position, also of those that leave their piece.
+
+        The highest ``shard_bits`` bits are the shard, ``bits`` bits below them tell prints of a shard apart.
+        """
         found = X.gram_hashes(self.hashes, n)
-        return X.mixed(found ^ self.salts[self.lang[:len(found)]]) >> X.U64(64 - bits)
+        return X.mixed(found ^ self.salts[self.lang[:len(found)]]) >> X.U64(64 - shard_bits - bits)
 
     def whole(self, n: int) -> np.ndarray:
         """Whether the n words at a position lie in one piece."""
@@ -105,31 +113,54 @@ class Words:
             pa.string())
 
 
-def _rows(kind: int, block: int, n: np.ndarray, **columns) -> pa.Table:
-    size = len(n)
-    given = {"kind": pa.array(np.full(size, kind, np.int32)), "block": pa.array(np.full(size, block, np.int32)),
-             "n": pa.array(n, pa.int64())}
-    kinds = {"kind": pa.int32(), "block": pa.int32(), "print": pa.int64(), "place": pa.int32(), "lang": pa.string(),
-             "phrase": pa.string(), "n": pa.int64()}
-    given |= columns
-    return pa.table({c: pa.array(given[c], t) if c in given and not isinstance(given[c], pa.Array) else given.get(
-        c, pa.nulls(size, t)) for c, t in kinds.items()})
-
-
-def _materialised(words: Words, block: int, n: int, prints: np.ndarray, wanted: np.ndarray) -> pa.Table:
-    """Phrases of n words and their counts for the frequent fingerprints (sorted) of a block."""
-    at = np.flatnonzero(words.whole(n))
-    name = np.searchsorted(wanted, prints[at])
-    name = np.minimum(name, len(wanted) - 1)
-    hit = wanted[name] == prints[at]
-    at, name = at[hit], name[hit]
+def _rows(kind: int, block: int, size: int, **columns) -> pa.Table:
+    kinds = {"kind": pa.int32(), "block": pa.int32(), "shard": pa.int32(), "prints": pa.binary(), "counts": pa.binary(),
+             "lang": pa.string(), "phrase": pa.string(), "n": pa.int64()}
+    given = {"kind": np.full(size, kind, np.int32), "block": np.full(size, block, np.int32), **columns}
+    return pa.table({c: pa.nulls(size, t) if c not in given else given[c] if isinstance(given[c], pa.Array)
+                     else pa.array(given[c], t) for c, t in kinds.items()})
+
+
+def _messages(block: int, prints: np.ndarray, counts: np.ndarray, bits: int) -> pa.Table:
+    """Sorted fingerprints with their counts, one row per shard."""
+    shard = (prints >> X.U64(bits)).astype(np.int64)
+    _, cuts = split_by(shard)
+    low, counts = (prints & X.U64((1 << bits) - 1)).astype("<u4"), counts.astype("<u4")
+    return _rows(SEEN, block, len(cuts), shard=[s for s, _ in cuts], prints=[low[c].tobytes() for _, c in cuts],
+                 counts=[counts[c].tobytes() for _, c in cuts])
+
+
+def _frequent(least: int):
+    """What a shard returns to each block: those of its fingerprints that occur often enough in all blocks."""
+    def answer(shard: int, mail: pa.Table) -> pa.Table:
+        lists = unpacked(mail.column("prints"), "<u4")
+        every, counts = joined(lists, "<u4"), joined(unpacked(mail.column("counts"), "<u4"), "<u4")
+        order = np.argsort(every, kind="stable")
+        ranked = every[order]
+        starts = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1])) if len(ranked) else np.zeros(0, np.int64)
+        sums = np.add.reduceat(counts[order].astype(np.int64), starts) if len(starts) else np.zeros(0, np.int64)
+        keep = np.zeros(len(every), bool)
+        keep[order] = np.repeat(sums >= least, np.diff(np.append(starts, len(ranked))))
+        out, at = [], 0
+        for prints, block in zip(lists, mail.column("block").to_pylist(), strict=True):
+            mine = keep[at:at + len(prints)]
+            at += len(prints)
+            if mine.any():
+                out.append((block, prints[mine].tobytes()))
+        return pa.table({"block": pa.array([o[0] for o in out], pa.int32()), "shard": pa.array([shard] * len(out), pa.int32()),
+                         "prints": pa.array([o[1] for o in out], pa.binary())})
+    return answer
+
+
+def _materialised(words: Words, block: int, n: int, at: np.ndarray, name: np.ndarray, names: int) -> pa.Table:
+    """Phrases of n words and their counts; ``at`` are the positions whose fingerprint is frequent, ``name`` which."""
     # The first occurrence of each fingerprint stands for it; what is spelled otherwise is a phrase of its own.
-    first = np.full(len(wanted), len(words), np.int64)
+    first = np.full(names, len(words), np.int64)
     np.minimum.at(first, name, at)
     spelled, same = words.spelled(), words.lang[at] == words.lang[first[name]]
     for j in range(n):
         same &= spelled[at + j] == spelled[first[name] + j]
-    counts = np.bincount(name[same], minlength=len(wanted))
+    counts = np.bincount(name[same], minlength=names)
     places = first[counts > 0]
     counts = counts[counts > 0]
     if not same.all():
@@ -137,52 +168,55 @@ def _materialised(words: Words, block: int, n: int, prints: np.ndarray, wanted:
         _, model, more = np.unique(others, axis=0, return_index=True, return_counts=True)
         places, counts = np.concatenate([places, at[~same][model]]), np.concatenate([counts, more])
     langs = pa.array(words.names, pa.string()).take(pa.array(words.lang[places]))
-    return _rows(PHRASE, block, counts, lang=langs, phrase=words.phrases(places, n))
+    return _rows(PHRASE, block, len(places), lang=langs, phrase=words.phrases(places, n), n=counts)
 
 
-def _level(n: int, most: int, lang: str, bits: int):
+def _level(n: int, most: int, shard_bits: int, bits: int):
     """What a block sends at level n: fingerprints of runs of n words, and the phrases of n - 1 words."""
     def send(block: int, rows: pa.Table, mail: pa.Table | None = None) -> pa.Table:
-        out = [_rows(SEEN, block, np.zeros(0, np.int64))]
         if mail is not None and not mail.num_rows:
-            return out[0]
-        words = Words(rows, lang)
+            return _rows(SEEN, block, 0)
+        out, words = [], Words(rows, "of")
         whole = words.whole(n)
         if mail is None:
             sizes = np.bincount(words.lang, minlength=len(words.names))
-            out.append(_rows(TOTAL, block, sizes, lang=pa.array(words.names, pa.string())))
+            out.append(_rows(TOTAL, block, len(sizes), lang=pa.array(words.names, pa.string()), n=sizes))
         else:
-            before = words.prints(n - 1, bits)
-            wanted = np.unique(before[mail.column("place").to_numpy()])
-            out.append(_materialised(words, block, n - 1, before, wanted))
-            place = np.minimum(np.searchsorted(wanted, before), len(wanted) - 1)
-            alive = wanted[place] == before
+            before = words.prints(n - 1, shard_bits, bits)
+            lists = zip(mail.column("shard").to_pylist(), unpacked(mail.column("prints"), "<u4"), strict=True)
+            wanted = np.sort(np.concatenate([x.astype(np.uint64) | X.U64(s << bits) for s, x in lists]))
+            at = np.flatnonzero(words.whole(n - 1))
+            name = np.minimum(np.searchsorted(wanted, before[at]), len(wanted) - 1)
+            hit = wanted[name] == before[at]
+            at, name = at[hit], name[hit]
+            out.append(_materialised(words, block, n - 1, at, name, len(wanted)))
+            alive = np.zeros(len(before), bool)
+            alive[at] = True
             whole &= alive[:len(whole)] & alive[1:len(whole) + 1]
         if n <= most:
-            at = np.flatnonzero(whole)
-            prints, first, counts = np.unique(words.prints(n, bits)[at], return_index=True, return_counts=True)
-            out.append(_rows(SEEN, block, counts, print=prints.view(np.int64), place=at[first].astype(np.int32)))
+            prints, counts = np.unique(words.prints(n, shard_bits, bits)[np.flatnonzero(whole)], return_counts=True)
+            out.append(_messages(block, prints, counts, bits))
         return pa.concat_tables(out)
     return send
 
 
 def counted_phrases(docs: DataFrame, least: int = 100, most: int = 5, text: str = "text", lang: str = "lang",
-                    block_bytes: int = BLOCK_BYTES, bits: int = 64) -> tuple[DataFrame, DataFrame]:
+                    block_bytes: int = BLOCK_BYTES, bits: int = BITS) -> tuple[DataFrame, DataFrame]:
     """(``lang, words, phrase, f`` of all phrases of 1 to ``most`` words that occur ``least`` times, ``lang, total``).
 
-    ``bits`` narrows the fingerprints; fewer bits mean more collisions and more work, but the same result.
+    ``bits`` (up to 32) narrows the fingerprints of a shard; fewer bits mean more collisions and more work, but the same result.
     """
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("of"), F.col(text).alias("text"))
     blocks = Blocks(rows, "text", ["of"], block_bytes)
-    sent = written(blocks.each(_level(1, most, "of", bits), SCHEMA), "level")
+    # As many shards as blocks, or up to twice that, so that a shard gets about what a block sends.
+    shard_bits = (blocks.count - 1).bit_length()
+    sent = written(blocks.each(_level(1, most, shard_bits, bits), SCHEMA), "level")
     totals = sent.filter(F.col("kind") == TOTAL).groupBy("lang").agg(F.sum("n").alias("total"))
     phrases = []
     for n in range(2, most + 2):
-        # A fingerprint has one row per block at most, so no group is larger than the number of blocks.
-        sums = F.sum("n").over(Window.partitionBy("print"))
-        frequent = sent.filter(F.col("kind") == SEEN).select("print", "block", "place", "n").withColumn("all", sums)
-        mail = frequent.filter(F.col("all") >= least).select("block", "place")
-        sent = written(blocks.each_with(mail, _level(n, most, "of", bits), SCHEMA), "level")
+        seen = sent.filter(F.col("kind") == SEEN).select("block", "shard", "prints", "counts")
+        mail = shards(seen, _frequent(least), "block int, shard int, prints binary", "frequent")
+        sent = written(blocks.each_with(mail, _level(n, most, shard_bits, bits), SCHEMA), "level")
         found = sent.filter(F.col("kind") == PHRASE).groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
         phrases.append(found.filter(F.col("f") >= least).select("lang", F.lit(n - 1).alias("words"), "phrase", "f"))
     every = phrases[0]
@@ -191,12 +225,12 @@ def counted_phrases(docs: DataFrame, least: int = 100, most: int = 5, text: str
     return written(every, "phrases"), written(totals, "totals")
 
 
-def _joined(words: Column, start, length) -> Column:
+def _run(words: Column, start, length) -> Column:
     return F.array_join(F.slice(words, start, length), " ")
 
 
 def collocations(docs: DataFrame, least: int = 100, most: int = 5, top: int = 2000, text: str = "text",
-                 lang: str = "lang", block_bytes: int = BLOCK_BYTES, bits: int = 64) -> DataFrame:
+                 lang: str = "lang", block_bytes: int = BLOCK_BYTES, bits: int = BITS) -> DataFrame:
     """The ``top`` best phrases of 2 to ``most`` words per language: ``lang, rank, phrase, a, l, r, n, score, cut``.
 
     Texts (A-Z lower-cased, null: empty) are split at ``.,;:!?`` and the characters 0x0A-0x0D into pieces and those at
@@ -211,13 +245,13 @@ def collocations(docs: DataFrame, least: int = 100, most: int = 5, top: int = 20
     words = F.split("phrase", " ")
     candidates = counts.filter("words >= 2").withColumn("w", words)
     inner = candidates.filter("words >= 3").select("lang", F.col("f").alias("longer"), F.explode(F.array_distinct(F.array(
-        _joined(F.col("w"), 1, F.col("words") - 1), _joined(F.col("w"), 2, F.col("words") - 1)))).alias("phrase"))
+        _run(F.col("w"), 1, F.col("words") - 1), _run(F.col("w"), 2, F.col("words") - 1)))).alias("phrase"))
     inner = inner.groupBy("lang", "phrase").agg(F.max("longer").alias("longer"))
     own = candidates.join(inner, ["lang", "phrase"], "left").filter("longer IS NULL OR longer < f").join(totals, "lang")
     cut = own.withColumn("cut", F.explode(F.sequence(F.lit(1), F.col("words") - 1))).select(
         "lang", "phrase", F.col("f").alias("a"), F.col("total").alias("n"), "cut",
-        _joined(F.col("w"), 1, F.col("cut")).alias("first"),
-        _joined(F.col("w"), F.col("cut") + 1, F.col("words") - F.col("cut")).alias("rest"))
+        _run(F.col("w"), 1, F.col("cut")).alias("first"),
+        _run(F.col("w"), F.col("cut") + 1, F.col("words") - F.col("cut")).alias("rest"))
     left = counts.select("lang", F.col("phrase").alias("first"), F.col("f").alias("l"))
     right = counts.select("lang", F.col("phrase").alias("rest"), F.col("f").alias("r"))
     parts = cut.join(left, ["lang", "first"]).join(right, ["lang", "rest"])

@@ -58,7 +58,7 @@ def corpus(seed, docs=120, vocabulary=40):
     return rows
 
 
-@pytest.mark.parametrize("bits, block_bytes, top", [(64, 8 << 20, 2000), (64, 4_000, 7), (9, 4_000, 2000), (1, 3_000, 2000)])
+@pytest.mark.parametrize("bits, block_bytes, top", [(32, 8 << 20, 2000), (32, 4_000, 7), (6, 4_000, 2000), (1, 30_000, 2000)])
 def test_equals_brute_force_whatever_collides(spark, bits, block_bytes, top):
     rows = corpus(bits)
     df = spark.createDataFrame(rows, SCHEMA).repartition(5)
