@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from furlong import config as C
 from furlong.operators import evaluation, filters, scoring
 from furlong.plans.predict import model_columns, prep_gbm, prep_mlp
-from furlong.session import materialize
+from furlong.session import kept, materialize
 
 
 def held_out_trees(features: DataFrame, config: C.RaceConfig = C.EXPERIMENT, label: str = "flag") -> DataFrame:
@@ -35,7 +35,7 @@ def experiment_metrics(features: DataFrame, config: C.RaceConfig = C.EXPERIMENT,
     """One row per model: accuracy, precision, recall, F1, the confusion cells and both areas on held-out rows."""
     rows = []
     for name, scored in (("trees", held_out_trees), ("network", held_out_network)):
-        held = materialize(scored(features, config, label), "held")
+        held = kept(features.sparkSession, lambda scored=scored: scored(features, config, label), "held")
         cells = evaluation.area_metrics(held, label, "score")
         binary = evaluation.binary_metrics(held, label, "score")
         extra = {c: binary.select(c).scalar() for c in binary.columns}

@@ -12,7 +12,7 @@ from furlong.functions.racing import distance_band
 from furlong.operators import encode, filters, scoring
 from furlong.operators.report import prediction_report
 from furlong.plans.features import feature_table
-from furlong.session import materialize
+from furlong.session import kept, materialize
 from furlong.sources.files import numbered_predictions, read_predictions_csv, write_predictions_csv
 
 KEYS = ("raceid", "result", "flag")
@@ -60,11 +60,15 @@ def predict_end_to_end(spark: SparkSession, raw: DataFrame, config: C.RaceConfig
                        root: str | None = None, source: str = "", resume: bool = False,
                        output: str | None = None) -> DataFrame:
     """Raw entries to the prediction report; with ``output`` it is also written there as a numbered CSV file."""
-    features = materialize(feature_table(spark, raw, config, root, source, resume), "finished")
-    report = prediction_report(features, gbm_scores(features, config), network_scores(features, config),
-                               config.gbm_weight, config.tf_weight)
+    def report() -> DataFrame:
+        features = materialize(feature_table(spark, raw, config, root, source, resume), "finished")
+        return prediction_report(features, gbm_scores(features, config), network_scores(features, config),
+                                 config.gbm_weight, config.tf_weight)
+
+    # Tables and vectors of the run go with it; the report alone is kept.
+    done = kept(spark, report, "report")
     if output is None:
-        return report
-    numbered = numbered_predictions(materialize(report, "report"))
+        return done
+    numbered = numbered_predictions(done)
     write_predictions_csv(numbered, output)
     return read_predictions_csv(spark, output, numbered.schema)

@@ -2,12 +2,28 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dirs: dict[str, str] = {}
+_scopes: dict[str, list[Scratch]] = {}
+
+
+class Scratch:
+    """A folder below the shared one with the tables that lie in it; both go when its scope ends."""
+
+    def __init__(self, folder: str):
+        self.folder = folder
+        self.tables: list[str] = []
+
+    def path(self, tag: str) -> str:
+        return f"{self.folder}/{tag}-{uuid.uuid4().hex}"
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
@@ -42,12 +58,64 @@ def shared_dir(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     if app not in _local_dirs:
         _local_dirs[app] = tempfile.mkdtemp(prefix="furlong-")
+        atexit.register(shutil.rmtree, _local_dirs[app], ignore_errors=True)
     return _local_dirs[app]
 
 
+def _application(spark: SparkSession) -> Scratch:
+    return Scratch(f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
+
+
+def _open_scopes(spark: SparkSession) -> list[Scratch]:
+    return _scopes.setdefault(spark.sparkContext.applicationId, [])
+
+
 def scratch_path(spark: SparkSession, tag: str) -> str:
-    """A path below the shared folder that nothing else uses."""
-    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex}"
+    """A path below the shared folder that nothing else uses; it belongs to the innermost open scope, if any."""
+    scopes = _open_scopes(spark)
+    return (scopes[-1] if scopes else _application(spark)).path(tag)
+
+
+def own_table(spark: SparkSession, name: str) -> None:
+    """Have a table dropped when the innermost scope ends; without one it stays."""
+    if _open_scopes(spark):
+        _open_scopes(spark)[-1].tables.append(name)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, if it is there, in whatever file system it lies."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[Scratch]:
+    """Everything written to scratch inside is deleted at the end, also after a failure; scopes may be nested.
+
+    Tables read from scratch must not be used after their scope. What is to outlive it is written elsewhere before,
+    or returned through :func:`kept`.
+    """
+    scopes = _open_scopes(spark)
+    own = (scopes[-1] if scopes else _application(spark)).path("scope")
+    scope = Scratch(own)
+    scopes.append(scope)
+    try:
+        yield scope
+    finally:
+        scopes.remove(scope)
+        for name in scope.tables:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        delete_path(spark, scope.folder)
+
+
+def kept(spark: SparkSession, build: Callable[[], DataFrame], tag: str, compression: str = "zstd") -> DataFrame:
+    """``build()`` run in a scope of its own: the result is written to the scope around it, the rest is deleted."""
+    path = scratch_path(spark, tag)
+    with scratch_scope(spark):
+        result = build()
+        schema = result.schema
+        result.write.option("compression", compression).parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 def materialize(df: DataFrame, tag: str = "table") -> DataFrame:
