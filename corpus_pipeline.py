@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from furlong.llm import contain, crf, jaccard, packing, substring
 from furlong.llm.blocks import written
 from furlong.llm.ship import ship_package
-from furlong.session import scratch_path
+from furlong.session import delete_path, kept, scratch_path, scratch_scope
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 #: Texts in which no language reaches this mean probability are rejected. A text that switches between two
@@ -46,23 +46,31 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each group that word 5-gram Jaccard similarities of 0.8 or more connect."""
     ship_package(spark)
-    # The number depends on how the scan is cut, so all steps below read one written copy.
-    numbered = written(with_row_number(docs), "numbered")
-    classes = jaccard.near_duplicates(numbered, key="__row")
-    first = classes.filter(F.col("__row") == F.col("class_id")).select("__row")
-    return numbered.join(first, "__row", "left_semi").select(*docs.columns)
+
+    def first_ones() -> DataFrame:
+        # The number depends on how the scan is cut, so all steps below read one written copy.
+        numbered = written(with_row_number(docs), "numbered")
+        classes = jaccard.near_duplicates(numbered, key="__row")
+        first = classes.filter(F.col("__row") == F.col("class_id")).select("__row")
+        return numbered.join(first, "__row", "left_semi").select(*docs.columns)
+
+    return kept(spark, first_ones, "first-ones")
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without word sequences that occur more than once; other texts stay as they are, also null."""
     ship_package(spark)
-    cleaned = substring.without_repeats(with_row_number(docs), key="__row", keep_text=True, carry=docs.columns)
-    changed = F.col("n_removed") > 0
-    new = {"text": F.when(changed, F.col("text")).otherwise(F.col("carried.text"))}
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        new["n_chars"] = F.when(changed, F.char_length("text").cast(kind)).otherwise(F.col("carried.n_chars"))
-    return cleaned.select(*[new.get(c, F.col("carried")[c]).alias(c) for c in docs.columns])
+
+    def cleaned() -> DataFrame:
+        found = substring.without_repeats(with_row_number(docs), key="__row", keep_text=True, carry=docs.columns)
+        changed = F.col("n_removed") > 0
+        new = {"text": F.when(changed, F.col("text")).otherwise(F.col("carried.text"))}
+        if "n_chars" in docs.columns:
+            kind = docs.schema["n_chars"].dataType
+            new["n_chars"] = F.when(changed, F.char_length("text").cast(kind)).otherwise(F.col("carried.n_chars"))
+        return found.select(*[new.get(c, F.col("carried")[c]).alias(c) for c in docs.columns])
+
+    return kept(spark, cleaned, "cleaned")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -87,9 +95,13 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
+    """The rows of the last stage. A stage's scratch goes when its output is written, its input with it."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    for name, stage in STAGES:
         path = scratch_path(spark, name)
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
-    return STAGES[-1][1](spark, docs, sf_dir)
+        with scratch_scope(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before is not None:
+            delete_path(spark, before)
+        docs, before = spark.read.parquet(path), path
+    return docs

@@ -21,9 +21,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furlong.session import scratch_path
+from furlong.session import own_table, scratch_path
 
 BLOCK_BYTES = 3 << 20
+#: Bytes of texts that one task reads, about.
+BUCKET_BYTES = 64 << 20
 RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -56,13 +58,15 @@ class Blocks:
         size = rows.agg(F.sum(F.octet_length("t") + 64), F.count("*")).first()
         self.spark = spark
         self.count = max(1, -(-max(size[0] or 0, (size[1] or 0) * 64) // block_bytes))
-        buckets = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 100_000)
+        few, many = int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(size[0] or 0) // BUCKET_BYTES)
+        buckets = min(max(few, many), 100_000)
         rows = rows.withColumn("rid", F.monotonically_increasing_id())
         rows = rows.withColumn("block", F.pmod(F.xxhash64("rid"), F.lit(self.count)).cast("int"))
         name = f"blocks_{uuid.uuid4().hex}"
         with released(spark):
             rows.repartition(buckets, "block").write.bucketBy(buckets, "block").option(
                 "path", scratch_path(spark, "blocks")).option("compression", "zstd").saveAsTable(name)
+        own_table(spark, name)
         self.table = spark.table(name)
 
     def each(self, make: Callable[[int, pa.Table], pa.Table], schema: str) -> DataFrame:

@@ -1,5 +1,6 @@
 """The pipeline on a planted corpus: every decision takes effect and clean documents are left alone."""
 
+import os
 import re
 from collections import Counter
 
@@ -7,6 +8,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline as pipeline
+from furlong import session
 
 PARTS = {"xx": "ka ke ki ko ku sa se si so su ta te", "yy": "bra bre bri dro dru plo ple stra gle klo"}
 WORD = re.compile(r"[^\x20\x09-\x0d]+")
@@ -132,3 +134,17 @@ def test_near_duplicates_keep_the_right_rows_if_the_scan_is_cut_anew(spark, tmp_
         for name in names:
             spark.conf.unset(name)
     assert len(texts) == 24 and set(texts) == {r[1] for r in rows}
+
+
+def test_a_run_leaves_its_result_alone_in_scratch(spark, tmp_path, monkeypatch):
+    rows = [(i, f"some words of document number {i} that are not very many " * 3, "en", f"s{i % 2}", 9) for i in range(40)]
+    rows[7] = (7, rows[6][1], "en", "s0", 9)
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int").write.parquet(
+        str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, "a b c d e")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    tables = {t.name for t in spark.catalog.listTables()}
+    monkeypatch.setattr(session, "shared_dir", lambda spark: str(tmp_path / "scratch"))
+    assert pipeline.run(spark, str(tmp_path)).count() > 0
+    left = [os.path.relpath(d, tmp_path / "scratch") for d, _, names in os.walk(tmp_path / "scratch") if names]
+    assert len(left) == 1 and "/pack-" in left[0]
+    assert {t.name for t in spark.catalog.listTables()} == tables
