@@ -584,8 +584,7 @@ def _score_gbt(spark, sf):
 
 def _tune_gbt(spark, sf):
     train, _, used = _gbm_input(spark, sf)
-    return scoring.tune_gbt(train, used, C.GBM_CATEGORICALS, rounds=3, depths=(2, 4), rates=(0.1, 0.3),
-                            counted=C.GBM_COUNTED)[1]
+    return scoring.tune_gbt(train, used, C.GBM_CATEGORICALS, counted=C.GBM_COUNTED)[1]
 
 
 register("score_gbt", _score_gbt)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from furlong.functions.numeric import keyed_hash
+from furlong.operators.neighbours import near_rows
 from furlong.operators.ordering import mark_first_share, number_rows
 from furlong.session import materialize
 
@@ -17,6 +18,8 @@ CHUNK = 1_000
 #: Rows in a cell of the neighbour search at most, and parts into which a level cuts a node.
 CELL_ROWS = 256
 FAN = 16
+#: Columns up to which synthetic rows take exact neighbours; beyond, distance bounds reach most cells.
+EXACT_COLUMNS = 6
 
 
 def split_stratified(df: DataFrame, label: str, key: str, test_share: float = 0.3, seed: int = 0,
@@ -208,7 +211,9 @@ def smote(df: DataFrame, label: str, key: str, numeric: Sequence[str], carried:
           neighbours: int = 5, seed: int = 0, reach: int = 10, directions: int = 4) -> DataFrame:
     """Add synthetic minority rows until both classes are equally large; there must be two classes.
 
-    Each new row lies between a minority row and one of its nearest minority rows (:func:`nearest_rows`).
+    Each new row lies between a minority row and one of its nearest minority rows: the exact ones in up to
+    ``EXACT_COLUMNS`` numeric columns (:func:`nearest_rows`), those of a refined neighbour graph in more
+    (:func:`furlong.operators.neighbours.near_rows`).
     New rows are spread evenly over the minority; partner and distance follow hashes of key and copy.
     ``carried`` columns (codes of categories) take the neighbour's value; a minority of one row is copied.
     Numeric columns must not be null, keys must be unique. New rows have a null key and ``synthetic`` 1.
@@ -225,7 +230,10 @@ def smote(df: DataFrame, label: str, key: str, numeric: Sequence[str], carried:
         return own
     few = materialize(df.filter(F.col(label) == minority).select(
         F.col(key).alias("__key"), *[F.col(c).cast("double").alias(c) for c in numeric], *carried), "minority")
-    near = nearest_rows(few, "__key", numeric, neighbours, reach, directions, seed=seed)
+    if len(numeric) <= EXACT_COLUMNS:
+        near = nearest_rows(few, "__key", numeric, neighbours, reach, directions, seed=seed)
+    else:
+        near = near_rows(few, "__key", numeric, neighbours, seed=seed)
     # The i-th row in the order of a hash makes floor(i * missing / n) - floor((i - 1) * missing / n) new rows.
     order = few.select("__key", F.md5(F.concat(F.lit(f"{seed}:"), F.col("__key").cast("string"))).alias("__hash"))
     numbered = number_rows(order, ["__hash", "__key"], "__rn")

@@ -1,11 +1,12 @@
 """Encodings, components, sampling, models and searches on planted data."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
-from furlong.operators import encode, sampling, scoring, selection
+from furlong.operators import encode, neighbours, sampling, scoring, selection
 
 
 def test_folds_are_balanced_and_encoding_is_by_hand(spark):
@@ -191,3 +192,93 @@ def test_neighbours_are_exact_with_default_parameters(spark, rows, columns):
         want = np.sort(apart)[:5]
         assert i not in near[i] and len(set(near[i])) == 5 and np.abs(apart[near[i]] - want).max() <= 1
     assert near[3] == [0, 1, 2, 4, 5]
+
+
+@pytest.mark.parametrize("rows", [2_000, 60_000])
+def test_neighbours_in_sixty_columns(spark, rows):
+    """Two sizes 30 times apart, with the default parameters; 60 columns that vary in ten directions, with noise."""
+    rng = np.random.default_rng(1)
+    points = (rng.normal(size=(rows, 10)) @ rng.normal(size=(10, 60)) + 0.3 * rng.normal(size=(rows, 60))).round(4)
+    names = [f"c{i}" for i in range(60)]
+    df = spark.createDataFrame(pd.DataFrame(points, columns=names).assign(id=np.arange(rows))).repartition(6)
+    near = {r.id: r.near for r in neighbours.near_rows(df, "id", names).collect()}
+    z, hits, asked = points / points.std(0), 0, range(0, rows, max(1, rows // 400))
+    for i in asked:
+        apart = ((z[i] - z) ** 2).sum(1)
+        apart[i] = np.inf
+        assert i not in near[i] and len(set(near[i])) == 5
+        hits += len(set(near[i]) & set(np.argpartition(apart, 5)[:5].tolist()))
+    assert len(near) == rows and hits / 5 / len(asked) >= 0.95
+
+
+def test_neighbours_of_copies_ties_and_few_rows(spark):
+    rows = [(i, 1.0, 2.0) for i in range(40)] + [(100, 1.5, 2.0), (101, 0.5, 2.0), (102, 9.0, 9.0)]
+    df = spark.createDataFrame(rows, "id long, a double, b double").withColumn("spot", F.lit(1)).repartition(3)
+    near = {r.id: r.near for r in neighbours.near_rows(df, "id", ["a", "b"]).collect()}
+    assert len(near) == 43 and near[3] == [0, 1, 2, 4, 5] and near[100] == [0, 1, 2, 3, 4]
+    few = {r.id: r.near for r in neighbours.near_rows(df.filter("id >= 100"), "id", ["a", "b"]).collect()}
+    assert few == {100: [101, 102], 101: [100, 102], 102: [100, 101]}
+    one = neighbours.near_rows(df.filter("id = 102"), "id", ["a", "b"]).collect()
+    assert [(r.id, r.near) for r in one] == [(102, [])]
+
+
+def test_synthetic_rows_in_many_columns_stay_on_the_line(spark):
+    rng = np.random.default_rng(8)
+    names = [f"c{i}" for i in range(12)]
+    few = rng.normal(size=(60, 1)) @ rng.normal(size=(1, 12))
+    points = pd.DataFrame(np.vstack([few, rng.normal(size=(140, 12))]), columns=names).assign(id=np.arange(200), y=[1] * 60 + [0] * 140)
+    made = sampling.smote(spark.createDataFrame(points), "y", "id", names).filter("synthetic = 1").toPandas()
+    assert len(made) == 80 and np.linalg.matrix_rank(made[names].to_numpy(), tol=1e-6) == 1
+
+
+class Rounds:
+    def __init__(self, losses):
+        self.losses = losses
+
+    def evaluateEachIteration(self, valid):  # noqa: N802
+        return self.losses
+
+
+def test_boosting_goes_on_after_a_bad_round_and_ends_with_the_best(spark):
+    losses = [9.0, 8.0, 8.5, 8.4, 8.3, 8.2, 8.1, 7.0, *[7.5] * 40, 1.0]
+    assert scoring.best_round(losses, 10) == (7, True) and scoring.best_round(losses, 4) == (1, True)
+    tried = []
+
+    def fit(n):
+        tried.append(n)
+        return Rounds(losses[:n])
+    best = scoring.with_patience(fit, spark.range(1), 49, 6, cut=lambda model, n: n)
+    assert best == 8 and tried == [12, 24]
+    assert scoring.with_patience(fit, spark.range(0), 5, 6, cut=lambda model, n: n).losses == losses[:5]
+
+
+def test_trees_are_cut_at_a_round(planted):
+    vectors = scoring.assembled(planted, FEATURES, ["raceid", "flag"])
+    long, short = (scoring._gbt("flag", n, 0, 0, 3, 0.3).fit(vectors) for n in (8, 3))
+    cut = scoring.first_trees(long, 3)
+    assert cut.getNumTrees == 3 and long.evaluateEachIteration(vectors)[:3] == short.evaluateEachIteration(vectors)
+    one, other = ({r.raceid: r.probability[1] for r in m.transform(vectors).collect()} for m in (cut, short))
+    assert one == pytest.approx(other)
+
+
+def test_the_network_stops_before_it_learns_the_rows_by_heart(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, int(rng.random() < (0.8 if x[0] > 0 else 0.2)), *map(float, x)) for i, x in enumerate(rng.normal(size=(400, 8)))]
+    names = [f"x{i}" for i in range(8)]
+    df = spark.createDataFrame(rows, f"raceid long, flag int, {', '.join(f'{c} double' for c in names)}")
+    learn, held = df.filter("raceid < 120"), scoring.assembled(df.filter("raceid >= 120"), names, ["flag"])
+    kept = scoring.fit_network(learn, names, layers=(24,), iterations=400, valid=held, chunk=10, patience=2)
+    judge = BinaryClassificationEvaluator(labelCol="flag", metricName="areaUnderPR")
+    by_heart = scoring.fit_network(learn, names, layers=(24,), iterations=400)
+    assert judge.evaluate(kept.transform(held)) >= judge.evaluate(by_heart.transform(held))
+
+
+def test_halving_finds_the_planted_setting(spark):
+    """The label is whether two signs agree, which trees of depth 1 can't tell."""
+    rng = np.random.default_rng(7)
+    rows = [(i, int(x[0] * x[1] > 0), *map(float, x)) for i, x in enumerate(rng.choice([-1.0, 1.0], (900, 4)) + rng.normal(size=(900, 4)) * 0.05)]
+    df = spark.createDataFrame(rows, "raceid long, flag int, a double, b double, c double, d double")
+    found, table = scoring.tune_gbt(df, ["a", "b", "c", "d"], rounds=9, depths=(1, 5), rates=(0.05, 0.1, 0.3))
+    table = table.collect()
+    assert len(table) == 6 and found.depth == 5
+    assert max(r.rounds for r in table) == 9 and found.bestModel.getNumTrees == 9 and min(r.rounds for r in table) < 9
