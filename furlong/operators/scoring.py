@@ -114,18 +114,17 @@ def with_patience(fit: Callable[[int], GBTClassificationModel], valid: DataFrame
                   cut: Callable = first_trees) -> GBTClassificationModel:
     """The model of the best round on the valid rows; boosting ends ``patience`` rounds after it.
 
-    The learner can't go on with a model, but repeats the same first trees, so rounds are doubled until the loss
-    curve has ended. Without valid rows all rounds count.
+    The learner can't go on with a model, but repeats the same first trees: twice ``patience`` rounds are tried first,
+    then all. Without valid rows all rounds count.
     """
     if valid.isEmpty():
         return fit(rounds)
-    tried = min(rounds, 2 * patience)
-    while True:
+    for tried in sorted({min(rounds, 2 * patience), rounds}):
         model = fit(tried)
         best, ended = best_round(model.evaluateEachIteration(valid), patience)
-        if ended or tried == rounds:
-            return cut(model, best + 1)
-        tried = min(rounds, 2 * tried)
+        if ended:
+            break
+    return cut(model, best + 1)
 
 
 def fit_gbt(train: DataFrame, features: Sequence[str], sizes: dict[str, int] | None = None, label: str = "flag",
