@@ -101,12 +101,12 @@ def finish_features(features: DataFrame, config: C.RaceConfig = C.PRODUCTION) ->
 
 
 def feature_table(spark: SparkSession, raw: DataFrame, config: C.RaceConfig = C.PRODUCTION, root: str | None = None,
-                  source: str = "", resume: bool = False) -> DataFrame:
+                  source: str = "", resume: bool = False, inputs: str | None = None) -> DataFrame:
     """Build, or resume from, the saved feature table and finish it.
 
     The path depends on the configuration and on ``source``, a name for the input, so that runs with
-    different settings never read each other's table.
+    different settings never read each other's table. A table with another fingerprint than ``inputs`` is refused.
     """
     path = checkpoint_path(root or shared_dir(spark), config, source)
-    saved = saved_or_built(spark, path, lambda: build_features(raw, config), resume)
+    saved = saved_or_built(spark, path, lambda: build_features(raw, config), resume, inputs)
     return finish_features(saved, config)

@@ -13,7 +13,7 @@ from furlong.operators import encode, filters, scoring
 from furlong.operators.report import prediction_report
 from furlong.plans.features import feature_table
 from furlong.session import kept, materialize
-from furlong.sources.files import numbered_predictions, read_predictions_csv, write_predictions_csv
+from furlong.sources.files import input_fingerprint, numbered_predictions, read_predictions_csv, write_predictions_csv
 
 KEYS = ("raceid", "result", "flag")
 
@@ -59,9 +59,13 @@ def network_scores(features: DataFrame, config: C.RaceConfig = C.PRODUCTION, lin
 def predict_end_to_end(spark: SparkSession, raw: DataFrame, config: C.RaceConfig = C.PRODUCTION,
                        root: str | None = None, source: str = "", resume: bool = False,
                        output: str | None = None) -> DataFrame:
-    """Raw entries to the prediction report; with ``output`` it is also written there as a numbered CSV file."""
+    """Raw entries to the prediction report; with ``output`` it is also written there as a numbered CSV file.
+
+    ``resume`` reads the finished feature table of the same configuration, source and input files.
+    """
     def report() -> DataFrame:
-        features = materialize(feature_table(spark, raw, config, root, source, resume), "finished")
+        inputs = input_fingerprint(raw)
+        features = materialize(feature_table(spark, raw, config, root, source, resume, inputs), "finished")
         return prediction_report(features, gbm_scores(features, config), network_scores(features, config),
                                  config.gbm_weight, config.tf_weight)
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+import json
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -92,19 +94,71 @@ def checkpoint_path(root: str, *settings: object) -> str:
     return f"{root.rstrip('/')}/features-{digest}"
 
 
-def save_table(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+MARK = "mark.json"
 
 
-def load_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+class NotFinished(ValueError):
+    """There is no finished table, or it is not the one that was asked for."""
 
 
-def saved_or_built(spark: SparkSession, path: str, build, resume: bool) -> DataFrame:
-    """Read the table when resuming, else build it, write it and read it back."""
+def input_fingerprint(df: DataFrame) -> str:
+    """Names, sizes and times of all files that ``df`` reads; of a table without files its rows, in any order."""
+    spark, found = df.sparkSession, hashlib.sha256()
+    conf = spark._jsc.hadoopConfiguration()
+    names = sorted(df.inputFiles())
+    for name in names:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        status = path.getFileSystem(conf).getFileStatus(path)
+        found.update(f"{name}:{status.getLen()}:{status.getModificationTime()};".encode())
+    if not names:
+        rows = df.agg(F.count("*"), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))).first()
+        found.update(repr((df.columns, *rows)).encode())
+    return found.hexdigest()
+
+
+def save_table(df: DataFrame, path: str, inputs: str | None = None) -> None:
+    """Write a table aside, then publish it with a mark of its name, input fingerprint, folder and number of rows.
+
+    The mark is replaced last, so a run that dies before leaves the earlier table, or none.
+    """
+    spark, folder = df.sparkSession, f"data-{uuid.uuid4().hex}"
+    df.write.parquet(f"{path}/{folder}")
+    mark = {"name": path.rsplit("/", 1)[-1], "inputs": inputs, "folder": folder,
+            "rows": spark.read.schema(df.schema).parquet(f"{path}/{folder}").count()}
+    names = [spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{n}") for n in (f"{MARK}-{folder}", MARK, folder)]
+    system = names[0].getFileSystem(spark._jsc.hadoopConfiguration())
+    out = system.create(names[0], True)
+    out.write(bytearray(json.dumps(mark).encode()))
+    out.close()
+    system.delete(names[1], False)
+    if not system.rename(names[0], names[1]):
+        raise NotFinished(f"{path} could not be published")
+    for status in system.listStatus(names[1].getParent()):
+        if status.getPath().getName() not in (folder, MARK):
+            system.delete(status.getPath(), True)
+
+
+def load_table(spark: SparkSession, path: str, inputs: str | None = None) -> DataFrame:
+    """The published table; a missing or foreign mark, missing rows or another input are refused."""
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{MARK}")
+    if not mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark):
+        raise NotFinished(f"no finished table in {path}")
+    told = json.loads(spark.read.text(f"{path}/{MARK}", wholetext=True).first()[0])
+    if told["name"] != path.rsplit("/", 1)[-1]:
+        raise NotFinished(f"{path} holds a table of other settings")
+    if inputs is not None and told["inputs"] != inputs:
+        raise NotFinished(f"the table in {path} was built from another input")
+    table = spark.read.parquet(f"{path}/{told['folder']}")
+    if table.count() != told["rows"]:
+        raise NotFinished(f"the table in {path} has lost rows")
+    return table
+
+
+def saved_or_built(spark: SparkSession, path: str, build, resume: bool, inputs: str | None = None) -> DataFrame:
+    """Read the finished table when resuming, else build it, publish it and read it back."""
     if not resume:
-        save_table(build(), path)
-    return load_table(spark, path)
+        save_table(build(), path, inputs)
+    return load_table(spark, path, inputs)
 
 
 def numbered_predictions(df: DataFrame, key: str = "raceid") -> DataFrame:
