@@ -44,7 +44,9 @@ def gbm_scores(features: DataFrame, config: C.RaceConfig = C.PRODUCTION) -> Data
     found = {}
     if config.gbm_search:
         table = scoring.tune_gbt(train, used, C.GBM_CATEGORICALS, counted=C.GBM_COUNTED)[1]
-        best = table.orderBy(F.desc("rounds"), F.desc("score"), "depth", "rate").first()
+        # Scores after more rounds come first: only the best settings get there.
+        judged = [F.desc(c) for c in ("rounds", "score") if c in table.columns]
+        best = table.orderBy(*judged, "depth", "rate").first()
         found = {"depth": best["depth"], "rate": best["rate"]}
     return scoring.score_gbt(train, filters.to_predict(data), used, C.GBM_CATEGORICALS, rounds=config.gbm_rounds,
                              counted=C.GBM_COUNTED, **found)
