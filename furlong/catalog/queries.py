@@ -371,6 +371,16 @@ def _rates(spark, sf, p=C.FATHER):
                                    digits=p.digits, prefix=p.prefix)
 
 
+def _join_components(spark, sf):
+    """How many components each entry's entities brought along."""
+    entries = materialize(clean(spark, sf), "entries")
+    out = feature_plan.with_profiles(entries.select("raceid", "jocky", "father", "fathermon"),
+                                     feature_plan.profile_tables(entries, CONFIG), CONFIG.profiles)
+    return out.select("raceid", *[
+        sum((F.col(c).isNotNull().cast("int") for c in p.component_names()), F.lit(0)).alias(f"{p.prefix}_components")
+        for p in CONFIG.profiles])
+
+
 ENCODINGS = tuple(p.encoding for p in S.PROFILES)
 register("join_basetime", _join_base,
          "SELECT raceid, place, turf, distance, basetime FROM clean LEFT JOIN base USING (place, distance, turf)",
@@ -383,6 +393,11 @@ register("join_history", _join_history,
 register("join_entity_profiles", _join_profiles,
          f"SELECT raceid, jocky, father, fathermon, {', '.join(ENCODINGS)} FROM clean "
          + " ".join(f"LEFT JOIN {S.encoding(p)} USING ({p.entity})" for p in S.PROFILES), ("clean", "ranked"), ENCODINGS)
+register("join_entity_components", _join_components,
+         "SELECT raceid, " + ", ".join(
+             f"CASE WHEN {p.entity} IN (SELECT {p.entity} FROM past WHERE result IS NOT NULL AND {p.entity} IS NOT NULL) "
+             f"THEN {len(p.component_names())} ELSE 0 END AS {p.prefix}_components" for p in S.PROFILES)
+         + " FROM clean", ("clean", "past"))
 register("entity_profile_wide", _rates, _rate_sql(C.FATHER, C.FATHER.categories).replace(
     "SELECT father,", f"SELECT father, {S.rnd_mean('avg(' + chr(34) + '3ftime' + chr(34) + ')', 3)} AS father_3ftime,"), "past")
 register("join_predictions",
@@ -509,6 +524,27 @@ for _p in S.PROFILES:
     register(f"profile_encoding_{_p.prefix}",
              lambda spark, sf, p=_p: profiled(spark, sf, p).select(p.entity, p.encoding),
              f"SELECT * FROM {S.encoding(_p)}", "ranked", (_p.encoding,))
+
+
+def _invariant_sql(p: C.Profile) -> str:
+    """The same sums from the covariance table of the matrix itself."""
+    means = "".join(f""", {S.rnd_mean(f'avg("{c}")', p.digits)} AS "{p.prefix}_{c}" """ for c in p.means)
+    rates = _rate_sql(p, p.categories).replace(" FROM past", f"{means} FROM past")
+    cells = f"SELECT {p.entity} AS e, c, v FROM (UNPIVOT (SELECT {p.entity}, COLUMNS(* EXCLUDE {p.entity})::DOUBLE FROM ({rates})) ON * EXCLUDE {p.entity} INTO NAME c VALUE v)"
+    return f"""WITH cells AS ({cells}),
+        cov AS (SELECT x.c AS a, y.c AS b, covar_samp(x.v, y.v) AS s FROM cells AS x JOIN cells AS y ON x.e = y.e GROUP BY x.c, y.c)
+        SELECT 'entities' AS invariant, count(DISTINCT e)::DOUBLE AS value FROM cells
+        UNION ALL SELECT 'mean', 0.0::DOUBLE UNION ALL SELECT 'cross', 0.0::DOUBLE
+        UNION ALL SELECT 'trace', sum(s) FROM cov WHERE a = b
+        UNION ALL SELECT 'squares', sum(s * s) FROM cov
+        UNION ALL SELECT 'cubes', sum(x.s * y.s * z.s) FROM cov AS x JOIN cov AS y ON x.b = y.a JOIN cov AS z ON y.b = z.a AND z.b = x.a"""
+
+
+for _p in S.PROFILES:
+    register(f"pca_invariants_{_p.prefix}",
+             lambda spark, sf, p=_p: encode.component_invariants(
+                 encode.profile_matrix(encode.profile_rows(before_cut(spark, sf), [p]), p), p.entity),
+             _invariant_sql(_p), "past", ("value",))
 register("oof_entity_mean",
          lambda spark, sf: encode.entity_encoding(folded(spark, sf, C.FATHER), "father", "result", C.FATHER.encoding),
          f"SELECT * FROM {S.encoding(C.FATHER)}", "ranked", (C.FATHER.encoding,))
@@ -563,6 +599,9 @@ def _smote(spark, sf):
 
 
 register("smote_balance", _smote)
+register("smote_counts", lambda spark, sf: _smote(spark, sf).groupBy("flag").agg(F.count("*").alias("n")),
+         f"""SELECT flag, max(n) OVER () AS n FROM (SELECT flag, count(*) AS n FROM {TRAIN} WHERE flag IS NOT NULL GROUP BY flag)""",
+         "clean")
 register("class_weights", lambda spark, sf: sampling.class_weights(_train(spark, sf), "flag"),
          f"SELECT flag, (1 / n) * (sum(n) OVER () / 2) AS weight FROM (SELECT flag, count(*) AS n FROM {TRAIN} GROUP BY flag)",
          "clean", ("weight",))
@@ -664,13 +703,16 @@ def _report_file(spark, sf) -> DataFrame:
     return files.read_predictions_csv(spark, path, report_.schema)
 
 
-def _scorer(spark, sf, folds: int = 5) -> tuple[selection.ForestScorer, list[str]]:
-    """Wrapper searches take the features that vary, the most informative ones of them."""
-    rows = materialize(_candidates(spark, sf), "candidates")
-    varying = [r["feature"] for r in selection.variance_report(rows, CANDIDATES).filter("kept AND NOT low").collect()]
-    best = selection.top_features(selection.mutual_information(rows, sorted(varying), "flag"), 5).collect()
-    names = [r["feature"] for r in best]
-    return selection.ForestScorer(rows, names, "flag", "raceid", folds=folds, trees=10, depth=4, parallelism=8), names
+def _scorer(spark, sf, folds: int = 5, most: int | None = None) -> tuple[selection.ForestScorer, list[str]]:
+    """Wrapper searches take all numeric features that vary, components too; ``most`` keeps the most informative ones."""
+    names = C.FEATURE_GROUPS["numeric"]
+    rows = filters.to_train(filters.since(finished(spark, sf), "days", CONFIG.recent_from))
+    rows = materialize(rows.select("raceid", "flag", *[F.col(c).cast("double").alias(c) for c in names]), "candidates")
+    varying = [r["feature"] for r in selection.variance_report(rows, names).filter("kept AND NOT low").collect()]
+    if most:
+        best = selection.top_features(selection.mutual_information(rows, sorted(varying), "flag"), most).collect()
+        varying = [r["feature"] for r in best]
+    return selection.ForestScorer(rows, varying, "flag", "raceid", folds=folds, trees=10, depth=4, parallelism=8), varying
 
 
 CANDIDATE_SQL = f"""(SELECT raceid, flag, {', '.join(f'{S.rnd(f"{chr(34)}{c}{chr(34)}::DOUBLE", 6)} AS "{c}"' for c in CANDIDATES)}
@@ -693,21 +735,48 @@ MI_SQL = f"""
 register("fs_variance", lambda spark, sf: selection.variance_report(_candidates(spark, sf), CANDIDATES),
          f"WITH candidates AS {CANDIDATE_SQL} {_variance_sql('candidates', CANDIDATES)}", "finished", ("variance",))
 register("fs_mutual_info", _mutual_information, MI_SQL, "finished", ("score",))
+
+
+def _neighbour_information(spark, sf) -> DataFrame:
+    return selection.neighbour_information(materialize(_candidates(spark, sf), "candidates"), CANDIDATES, "flag", "raceid", CHOSEN)
+
+
+def _digamma_sql(n: str) -> str:
+    x = f"({n} + 6.0::DOUBLE)"
+    return (f"(ln({x}) - 1 / (2 * {x}) - 1 / (12 * {x} ** 2) + 1 / (120 * {x} ** 4) - 1 / (252 * {x} ** 6) + 1 / (240 * {x} ** 8) - "
+            + " - ".join(f"1.0::DOUBLE / ({n} + {i})" for i in range(6)) + ")")
+
+
+_apart = ", ".join([f"z - lag(z, {i}) OVER w" for i in (1, 2, 3)] + [f"lead(z, {i}) OVER w - z" for i in (1, 2, 3)])
+NEAR_SQL = f"""
+    WITH candidates AS {CANDIDATE_SQL}, long AS ({_mi_bins.replace("SELECT ", "SELECT raceid, ")}),
+    points AS (SELECT raceid, feature, flag, CAST(round(v * 1000000) AS BIGINT) * 65536
+                 + CAST('0x' || substr(md5('0:' || raceid), 1, 4) AS BIGINT) AS z, count(*) OVER (PARTITION BY feature, flag) AS nl
+               FROM long WHERE v IS NOT NULL AND flag IS NOT NULL QUALIFY nl > 1),
+    near AS (SELECT *, least(3, nl - 1) AS used, list_sort(list_filter([{_apart}], lambda d: d IS NOT NULL)) AS d
+             FROM points WINDOW w AS (PARTITION BY feature, flag ORDER BY z, raceid)),
+    reach AS (SELECT *, greatest(d[used] - 1, 0) AS reach FROM near),
+    counted AS (SELECT *, count(*) OVER (PARTITION BY feature) AS n,
+                  count(*) OVER (PARTITION BY feature ORDER BY z RANGE BETWEEN reach PRECEDING AND reach FOLLOWING) AS m FROM reach),
+    scored AS (SELECT feature, greatest({_digamma_sql("any_value(n)")} + avg({_digamma_sql("used")}) - avg({_digamma_sql("nl")})
+                 - avg({_digamma_sql("m")}), 0.0) AS score FROM counted GROUP BY feature)
+    SELECT feature, row_number() OVER (ORDER BY round(score, 9) DESC, feature) <= {CHOSEN} AS kept, score FROM scored"""
+register("fs_neighbour_info", _neighbour_information, NEAR_SQL, "finished", ("score",))
 register("fs_top_k", _report_file, f"SELECT * FROM ({MI_SQL}) ORDER BY round(score, 9) DESC, feature LIMIT {CHOSEN}",
          "finished", ("score",))
 
 
-def _wrapped(search, *settings, folds: int = 5):
+def _wrapped(search, *settings, folds: int = 5, most: int | None = None):
     def run(spark, sf):
-        scorer, names = _scorer(spark, sf, folds)
+        scorer, names = _scorer(spark, sf, folds, most)
         return search(scorer, names, *settings)
     return run
 
 
 register("fs_forward", _wrapped(selection.forward_selection, 2))
-register("fs_backward", _wrapped(selection.backward_selection, 3))
-register("fs_rfe", _wrapped(selection.recursive_elimination, 2, folds=10))
-register("fs_subsets", _wrapped(selection.subset_search, 3, 4))
+register("fs_backward", _wrapped(lambda scorer, names: selection.backward_selection(scorer, names, len(names) - 2)))
+register("fs_rfe", _wrapped(lambda scorer, names: selection.recursive_elimination(scorer, names, 2, share=0.2), folds=10))
+register("fs_subsets", _wrapped(selection.subset_search, 3, 4, most=5))     # the number of subsets is exponential
 
 
 # ---- Composite jobs ---------------------------------------------------------------------------------

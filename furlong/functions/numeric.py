@@ -40,6 +40,15 @@ def keyed_hash(key: str, seed: int | str) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
 
 
+def digamma(n: Column) -> Column:
+    """The digamma function at numbers from 1 on: its series at ``n + 6``, taken back by six steps."""
+    x = n.cast("double") + 6
+    series = F.log(x) - 1 / (2 * x) - 1 / (12 * x * x) + 1 / (120 * x ** 4) - 1 / (252 * x ** 6) + 1 / (240 * x ** 8)
+    for i in range(6):
+        series = series - 1 / (n + i)
+    return series
+
+
 def finite_or_null(value: Column) -> Column:
     """Infinite and NaN values become null."""
     return F.when(F.isnan(value) | (F.abs(value) == F.lit(float("inf"))), F.lit(None)).otherwise(value)

@@ -72,6 +72,33 @@ def principal_components(matrix: DataFrame, entity: str, names: Sequence[str], d
     return scores.select(entity, *[c.alias(n) for n, c in out.items()])
 
 
+def covariance_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(a, b, covariance)``: sample covariance of every pair of columns, by position, ``a <= b``."""
+    values = F.array(*[F.col(f"`{c}`").cast("double") for c in columns])
+    first = df.select(F.posexplode(values).alias("a", "x"), values.alias("v"))
+    pairs = first.select("a", "x", F.posexplode("v").alias("b", "y")).filter("a <= b")
+    return pairs.groupBy("a", "b").agg(F.covar_samp("x", "y").alias("covariance"))
+
+
+def component_invariants(matrix: DataFrame, entity: str) -> DataFrame:
+    """``(invariant, value)`` of all principal components of a matrix, as far as they don't depend on signs and order.
+
+    ``mean`` and ``cross`` are the largest mean and the largest covariance of two components, both 0 but for
+    rounding. ``trace``, ``squares`` and ``cubes`` add up the first three powers of the components' variances: the traces
+    of the powers of the matrix's covariance. ``entities`` counts rows.
+    """
+    names = [f"p{i}" for i in range(len(matrix.columns) - 1)]
+    scores = materialize(principal_components(matrix, entity, names, digits=None), "scores")
+    pairs = materialize(covariance_table(scores, names), "covariance")
+    largest = scores.agg(F.count("*").cast("double").alias("entities"),
+                         F.greatest(*[F.abs(F.avg(c)) for c in names], F.lit(0.0)).alias("mean"))
+    own, value = F.col("a") == F.col("b"), F.col("covariance")
+    sums = pairs.agg(F.coalesce(F.max(F.when(~own, F.abs(value))), F.lit(0.0)).alias("cross"), *[
+        F.sum(F.when(own, value ** power)).alias(name) for power, name in ((1, "trace"), (2, "squares"), (3, "cubes"))])
+    return largest.unpivot([], largest.columns, "invariant", "value").unionByName(
+        sums.unpivot([], sums.columns, "invariant", "value"))
+
+
 def profile_base(df: DataFrame, profiles: Sequence[Profile], seed: int) -> DataFrame:
     """Rows the encodings are computed from: binarised result and its seeded rank within each class.
 

@@ -113,11 +113,12 @@ def grouped_numbers(df: DataFrame, keys: Sequence[str], orders: dict[str, Sequen
 def preceding_windows(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                       build: Callable[[WindowSpec], dict[str, Column]], reach: int,
                       hot_rows: int = HOT_ROWS, piece_rows: int = 500_000,
-                      keys_from: DataFrame | None = None) -> DataFrame:
-    """Add window columns whose frames reach at most ``reach`` rows back, in a total order per key.
+                      keys_from: DataFrame | None = None, ahead: int = 0) -> DataFrame:
+    """Add window columns whose frames reach at most ``reach`` rows back and ``ahead`` on, in a total order per key.
 
     Rows of a hot key are numbered in order and cut into pieces; the last ``reach`` rows of a piece are
-    also sent to the next one, where they feed the frames and are then removed.
+    also sent to the next one, and its first ``ahead`` to the one before, where they feed the frames and are then
+    removed.
     """
     hot = hot_keys((df if keys_from is None else keys_from).select(*keys), keys, hot_rows)
 
@@ -126,13 +127,13 @@ def preceding_windows(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
     if hot is None:
         return plain(df)
-    piece_rows = max(piece_rows, reach)
+    piece_rows = max(piece_rows, reach, ahead)
     cold, warm = split_hot(df, keys, hot)
     home = F.floor((F.col("__rn") - 1) / piece_rows).cast("long")
     numbered = number_rows(warm, [*keys, *order], "__rn").withColumn("__home", home)
-    near_end = (F.col("__rn") - 1) % piece_rows >= piece_rows - reach
-    pieces = numbered.withColumn("__piece", F.explode(
-        F.when(near_end, F.array("__home", F.col("__home") + 1)).otherwise(F.array("__home"))))
+    at = (F.col("__rn") - 1) % piece_rows
+    near = [F.when(at >= piece_rows - reach, F.col("__home") + 1)] + [F.when(at < ahead, F.col("__home") - 1)] * bool(ahead)
+    pieces = numbered.withColumn("__piece", F.explode(F.array_compact(F.array("__home", *near))))
     spec = Window.partitionBy(*keys, "__piece").orderBy("__rn")
     done = pieces.withColumns(build(spec)).filter(F.col("__piece") == F.col("__home"))
     return plain(cold).unionByName(done.drop("__rn", "__home", "__piece"))

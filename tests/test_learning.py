@@ -282,3 +282,82 @@ def test_halving_finds_the_planted_setting(spark):
     table = table.collect()
     assert len(table) == 6 and found.depth == 5
     assert max(r.rounds for r in table) == 9 and found.bestModel.getNumTrees == 9 and min(r.rounds for r in table) < 9
+
+
+def test_racing_and_shares_choose_what_the_exact_searches_choose(spark):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(900, 9))
+    flag = (x[:, 4] + 0.8 * x[:, 7] > 0).astype(int)
+    names = [f"f{i}" for i in range(9)]
+    rows = [(i, int(flag[i]), *map(float, x[i])) for i in range(900)]
+    df = spark.createDataFrame(rows, "raceid long, flag int, " + ", ".join(f"{n} double" for n in names))
+    scorer = selection.ForestScorer(df, names, "flag", "raceid", folds=3, trees=5, depth=4, parallelism=8)
+    left = scorer.race([[n] for n in names])
+    assert left[4] is not None and sum(v is None for v in left) >= 6
+    kept = [[r.feature for r in selection.forward_selection(scorer, names, 2, racing).collect() if r.kept] for racing in (True, False)]
+    assert kept[0] == kept[1] == ["f4", "f7"]
+    few = [*names[3:6], "f7"]
+    kept = [[r.feature for r in selection.backward_selection(scorer, few, 2, racing).collect() if r.kept] for racing in (True, False)]
+    assert kept[0] == kept[1] == ["f4", "f7"]
+    rank = {r.feature: r.ranking for r in selection.recursive_elimination(scorer, names, 1, 0.4, 4).collect()}
+    assert rank["f4"] == rank["f7"] == 1
+    assert sorted(rank.values()).count(max(rank.values())) == 3     # the first step drops three of nine features at once
+
+
+def test_shares_go_down_to_the_single_phase_and_stop():
+    class Flat:
+        def __init__(self, n):
+            self.featureImportances = type("V", (), {"toArray": lambda _: np.arange(n, dtype=float)})()
+    sizes = []
+    steps = selection._eliminate([str(i) for i in range(20)], lambda left: Flat(len(left)), 3, 0.3, 6,
+                                 lambda left, _: sizes.append(len(left)))
+    assert sizes == [20, 14, 10, 7, 6, 5, 4, 3] and [len(s) for s in steps] == [6, 4, 3, 1, 1, 1, 1]
+
+
+def _information_by_brute_force(rows, neighbours=3):
+    """The estimate over all pairs, with the operator's whole-numbered places."""
+    import hashlib
+
+    def psi(n):
+        return sum(1 / i for i in range(1, n)) - 0.5772156649015329
+    points = [(int(np.rint(v * 1e6)) * 65536 + int(hashlib.md5(f"0:{k}".encode()).hexdigest()[:4], 16), y)
+              for k, y, v in rows if v is not None and np.isfinite(v) and y is not None]
+    sizes = {y: sum(q == y for _, q in points) for _, y in points}
+    points = [p for p in points if sizes[p[1]] > 1]
+    total = 0.0
+    for i, (z, y) in enumerate(points):
+        near = sorted(abs(z - w) for j, (w, q) in enumerate(points) if q == y and j != i)
+        k = min(neighbours, len(near))
+        reach = max(near[k - 1] - 1, 0)
+        total += psi(k) - psi(sizes[y]) - psi(sum(abs(z - w) <= reach for w, _ in points))
+    return max(psi(len(points)) + total / len(points), 0.0)
+
+
+@pytest.mark.parametrize("hot_rows", [10**6, 40])
+def test_neighbour_information_agrees_with_all_pairs(spark, hot_rows):
+    rng = np.random.default_rng(2)
+    rows = []
+    for i in range(300):
+        y = int(rng.integers(3))
+        tied = float(rng.integers(4) + y)
+        rows.append((i, y, float(rng.normal() + 2 * y), tied, float(rng.normal()),
+                     None if i % 5 == 0 else float("nan") if i % 7 == 0 else 1.0))
+    rows += [(300, 9, 0.5, 1.0, 0.1, 1.0), (301, None, 0.5, 1.0, 0.1, 1.0)]    # a label's only row, and one without a label
+    df = spark.createDataFrame(rows, "id long, y int, apart double, tied double, noise double, same double")
+    got = selection.neighbour_information(df, ["apart", "tied", "noise", "same", "y"], "y", "id", hot_rows=hot_rows)
+    found = {r.feature: r for r in got.collect()}
+    assert set(found) == {"apart", "tied", "noise", "same"} and {f for f, r in found.items() if r.kept} == {"apart", "tied"}
+    for place, name in enumerate(("apart", "tied", "noise", "same"), 2):
+        assert found[name].score == pytest.approx(_information_by_brute_force([(r[0], r[1], r[place]) for r in rows]), abs=1e-9)
+    assert selection.neighbour_information(df.limit(0), ["apart"], "y", "id").collect() == []
+
+
+def test_component_invariants_of_a_planted_matrix(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(50, 4)) @ rng.normal(size=(4, 4))
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "e int, a double, b double, c double, d double")
+    got = {r.invariant: r.value for r in encode.component_invariants(df, "e").collect()}
+    c = np.cov(x.T)
+    assert got["entities"] == 50 and got["mean"] < 1e-9 and got["cross"] < 1e-9
+    for name, power in (("trace", 1), ("squares", 2), ("cubes", 3)):
+        assert got[name] == pytest.approx(np.trace(np.linalg.matrix_power(c, power)))

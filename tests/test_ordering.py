@@ -118,3 +118,19 @@ def test_exact_quantiles_and_medians(skewed):
     n = len(values)
     want = {repr(s): min(v for v in values if sum(x <= v for x in values) >= s * n) for s in (0.1, 0.5, 0.9)}
     assert got == want
+
+
+@pytest.mark.parametrize("hot_rows,piece_rows", [(10**6, 500_000), (10, 7), (10, 2)])
+def test_windows_look_ahead_across_pieces(spark, hot_rows, piece_rows):
+    df = spark.range(100).select((F.col("id") % 20 == 0).cast("int").alias("k"), "id")
+
+    def build(w):
+        return {"before": F.lag("id", 2).over(w), "after": F.lead("id", 2).over(w)}
+    out = ordering.preceding_windows(df, ["k"], ["id"], build, 2, hot_rows, piece_rows, ahead=2).collect()
+    assert len(out) == 100
+    for k in (0, 1):
+        ids = sorted(r.id for r in out if r.k == k)
+        for r in out:
+            if r.k == k:
+                at = ids.index(r.id)
+                assert r.before == (ids[at - 2] if at >= 2 else None) and r.after == (ids[at + 2] if at + 2 < len(ids) else None)
