@@ -7,6 +7,7 @@ tasks and their windows run on pieces of a fixed number of rows. Both ways give
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -17,6 +18,7 @@ from furlong.session import materialize
 
 HOT_ROWS = 1_000_000
 BUCKET_ROWS = 100_000
+GRID = 500
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
@@ -202,21 +204,58 @@ def values_at_ranks(df: DataFrame, columns: Sequence[str],
                     ranks: dict[str, Callable[[Column], Column]]) -> DataFrame:
     """Values of many numeric columns at given ranks: rows ``(feature, rank, value)``.
 
-    Each entry of ``ranks`` maps the column's non-null count to a 1-based rank. Values are counted before
-    the sort, so repeated values cost nothing, and no task has to hold a whole column.
+    Each entry of ``ranks`` maps the column's non-null count to a 1-based rank. NaN is larger than any number.
+    Approximate quantiles give two edges around each rank. The rows between and at the edges are counted, which tells
+    exactly where each rank lies: at an edge, whose value is the answer, or between two of them, and only
+    the values there are sorted. The input is read three times: pass a written table. What reaches the driver
+    depends on the number of columns and ranks alone.
     """
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
-        [], list(columns), "feature", "value").filter(F.col("value").isNotNull())
-    counts = long.groupBy("feature", "value").agg(F.count("*").alias("__n"))
-    cum = running_sums(counts, ["feature", "value"], {"__cum": "__n"})
-    totals = cum.groupBy("feature").agg(F.max("__cum").alias("__last"), F.sum("__n").alias("__size"))
-    placed = cum.join(F.broadcast(totals), "feature").withColumn(
-        "__upto", F.col("__cum") - F.col("__last") + F.col("__size"))
-    wanted = F.explode(F.array(*[
-        F.struct(F.lit(n).alias("rank"), f(F.col("__size")).cast("long").alias("at")) for n, f in ranks.items()]))
-    asked = placed.select("feature", "value", "__n", "__upto", wanted.alias("w"))
+    spark = df.sparkSession
+    wide = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    numbers = {c: F.when(~F.isnan(c), F.col(c)) for c in columns}
+    grid = [i / GRID for i in range(GRID + 1)]
+    seen = wide.agg(*[F.struct(F.count(c).alias("size"), F.count(numbers[c]).alias("numbers"), F.percentile_approx(
+        numbers[c], grid, 10 * GRID).alias("grid")).alias(f"c{i}") for i, c in enumerate(columns)]).first()
+    sizes = spark.createDataFrame([(c, seen[i]["size"]) for i, c in enumerate(columns)], "feature string, size long")
+    places = [f(F.col("size")).cast("long").alias(f"r{i}") for i, f in enumerate(ranks.values())]
+    asked = {r["feature"]: dict(zip(ranks, r[2:])) for r in sizes.select("feature", "size", *places).collect()}
+    edges = []
+    for i, c in enumerate(columns):
+        around: set[float] = set()
+        for at in asked[c].values() if seen[i]["numbers"] else ():
+            share = GRID * at / seen[i]["numbers"]
+            around |= {seen[i]["grid"][min(max(g, 0), GRID)] for g in (math.floor(share) - 1, math.ceil(share) + 1)}
+        edges.append((c, sorted(around)))
+    # One short array per column.
+    table = F.broadcast(spark.createDataFrame(edges, "feature string, edges array<double>"))
+    long = wide.unpivot([], list(columns), "feature", "value").filter(F.col("value").isNotNull()).join(table, "feature")
+    below = F.size(F.filter("edges", lambda e: e < F.col("value")))
+    long = long.select("feature", "value", (2 * below + F.array_contains("edges", F.col("value")).cast("int")).alias("slot"))
+    counts: dict[str, list] = {c: [] for c in columns}
+    for r in long.groupBy("feature", "slot").agg(F.count("*").alias("n")).orderBy("feature", "slot").collect():
+        counts[r["feature"]].append((r["slot"], r["n"]))
+    known, open_slots = [], []
+    for c, own in edges:
+        before = 0
+        for slot, n in counts[c]:
+            here = [(name, at - before) for name, at in asked[c].items() if before < at <= before + n]
+            if here and slot % 2:
+                known += [(c, name, own[slot // 2]) for name, _ in here]
+            elif here:
+                open_slots.append((c, slot, here))
+            before += n
+    found = spark.createDataFrame(known, "feature string, rank string, value double")
+    if not open_slots:
+        return found
+    wanted = spark.createDataFrame(open_slots, "feature string, slot int, asks array<struct<rank: string, at: long>>")
+    inside = long.join(F.broadcast(wanted.select("feature", "slot")), ["feature", "slot"])
+    cum = running_sums(inside.groupBy("feature", "slot", "value").agg(F.count("*").alias("__n")),
+                       ["feature", "slot", "value"], {"__cum": "__n"})
+    totals = cum.groupBy("feature", "slot").agg((F.max("__cum") - F.sum("__n")).alias("__before"))
+    placed = cum.join(F.broadcast(totals.join(F.broadcast(wanted), ["feature", "slot"])), ["feature", "slot"])
+    hits = placed.select("feature", "value", "__n", (F.col("__cum") - F.col("__before")).alias("__upto"), F.explode("asks").alias("w"))
     hit = (F.col("w.at") <= F.col("__upto")) & (F.col("w.at") > F.col("__upto") - F.col("__n"))
-    return asked.filter(hit).select("feature", F.col("w.rank").alias("rank"), "value")
+    return found.unionByName(hits.filter(hit).select("feature", F.col("w.rank").alias("rank"), "value"))
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float]) -> DataFrame:

@@ -1,6 +1,7 @@
 """Balanced row numbers, windows and quantiles agree with plain Python on skewed keys."""
 
 import hashlib
+import math
 import random
 import statistics
 
@@ -134,3 +135,20 @@ def test_windows_look_ahead_across_pieces(spark, hot_rows, piece_rows):
             if r.k == k:
                 at = ids.index(r.id)
                 assert r.before == (ids[at - 2] if at >= 2 else None) and r.after == (ids[at + 2] if at + 2 < len(ids) else None)
+
+
+def test_values_at_ranks_with_ties_gaps_and_special_values(spark):
+    rng = random.Random(8)
+    rows = [(i, rng.gauss(0, 1), float(rng.randrange(3)), rng.choice([None, 5.0]), rng.expovariate(1) ** 9,
+             rng.choice([None, float("nan"), float("inf"), rng.random()]), None) for i in range(5000)]
+    names = ["id", "even", "tied", "half", "far", "odd", "none"]
+    df = spark.createDataFrame(rows, ", ".join(f"{n} {'long' if n == 'id' else 'double'}" for n in names))
+    shares = [0.0, 0.001, 0.25, 0.5, 0.999, 1.0]
+    got = {(r.feature, r["rank"]): r.value for r in ordering.exact_quantiles(df, names, shares).collect()}
+    for place, name in enumerate(names):
+        column = [r[place] for r in rows if r[place] is not None]
+        column = sorted(v for v in column if v == v) + [v for v in column if v != v]
+        for share in shares:
+            want = column[max(math.ceil(round(share * len(column), 6)), 1) - 1] if column else None
+            assert repr(got.get((name, repr(share)))) == repr(want if want is None else float(want)), (name, share)
+    assert ordering.exact_medians(df.limit(0), ["even"]).collect() == []
