@@ -4,9 +4,10 @@ Writing: one record per page, equal payloads stored once as a response and refer
 Spark's text writer makes the files, with the record end as line separator, so any store Spark writes will do.
 
 Reading: archives are split at every occurrence of the magic, also at those inside payloads. Each piece is a
-candidate record that points to its successor by its header's length. Within a split, chains are followed in
-the task; across splits, entry points jump over their exits in log2(splits) rounds, starting from the start of
-each file. Only records that the chain reaches are real, pieces between two of them are payload.
+candidate record that points to its successor by its header's length. Files are cut into sections of a fixed number
+of bytes (uncompressed), compressed ones too and whatever Spark's splits are. Within a section, chains are followed
+in the task; across sections, entry points jump over their exits in log2(sections of a file) rounds, starting from the
+start of each file. Only records that the chain reaches are real, pieces between two of them are payload.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ RECORD_END = "\r\n\r\n"
 HEX_DIGITS, BASE32_DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 MOST_SPLITS = 1_000_000
+SECTION_BYTES = 4 << 20
 
 
 def base32_sha1(data: Column) -> Column:
@@ -61,8 +63,8 @@ def write_archives(pages: DataFrame, path: str, key: str = "page_id", payload: s
                    least: int = 0, compression: str = "gzip", records_per_file: int = 20_000) -> None:
     """Write one record per page as WARC files into the folder ``path``.
 
-    A compressed file is read by one task and so has a bounded number of records; ``none`` leaves files as
-    they are, which are then read in splits.
+    A compressed file is read by one task, piece by piece, and so has a bounded number of records; ``none`` leaves files
+    as they are, which are then read in splits.
     """
     rows = payload_groups(pages, key, payload, url, least)
     revisit = F.col("keeper").isNotNull() & ~F.col("id").eqNullSafe(F.col("keeper"))
@@ -116,15 +118,13 @@ def candidates(spark, path: str) -> DataFrame:
     return placed.select("file", "block", "at", F.when((F.col("length") >= 0) & (F.col("at") >= 0), after).alias("next"))
 
 
-def reachable(links: DataFrame) -> DataFrame:
-    """``file, at`` of the records that the chain from offset 0 of their file reaches.
+def sectioned(links: DataFrame, section_bytes: int = SECTION_BYTES) -> DataFrame:
+    """``file, section, at, next``: candidates with the section their offset lies in."""
+    return links.select("file", F.floor(F.col("at") / section_bytes).cast("long").alias("section"), "at", "next")
 
-    ``links`` has ``file, block, at, next``. A split's own chains are followed in its task: each candidate gets
-    its first offset outside of the split. Offsets at which a chain enters a split are the nodes of the
-    pointer jumping, in which the marked nodes double with every round.
-    """
-    links = written(links.select("file", "block", "at", "next"), "links")
 
+def section_exits(links: DataFrame) -> DataFrame:
+    """``file, section, at, out``: the first offset outside of its section to which each candidate's chain leads."""
     def leave(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("at", ignore_index=True)
         at, to = frame["at"].to_numpy(), frame["next"].fillna(-1).to_numpy(np.int64)
@@ -134,13 +134,22 @@ def reachable(links: DataFrame) -> DataFrame:
         for i in range(len(at) - 1, -1, -1):
             if inner[i]:
                 out[i] = out[place[i]]
-        return pd.DataFrame({"file": frame["file"], "block": frame["block"], "at": at, "out": out})
+        return pd.DataFrame({"file": frame["file"], "section": frame["section"], "at": at, "out": out})
+
+    return links.groupBy("file", "section").applyInPandas(leave, "file string, section long, at long, out long")
+
 
-    exits = written(links.groupBy("file", "block").applyInPandas(
-        leave, "file string, block long, at long, out long"), "exits")
-    # Nodes: file starts and every candidate that some chain enters from another split.
+def entry_nodes(exits: DataFrame) -> DataFrame:
+    """``file, at, out`` of the nodes that are jumped: file starts and all that some chain enters from another section."""
     targets = exits.groupBy("file", F.col("out").alias("at")).agg(F.lit(True).alias("entered"))
-    nodes = exits.join(targets, ["file", "at"], "left").filter("entered OR at = 0").select("file", "at", "out")
+    return exits.join(targets, ["file", "at"], "left").filter("entered OR at = 0").select("file", "at", "out")
+
+
+def reached(nodes: DataFrame) -> DataFrame:
+    """``file, at`` of the nodes that can be reached from their file's start, by pointer jumping.
+
+    In every round a marked node marks the one its jump leads to, and all jumps double.
+    """
     jumps = written(nodes, "jumps")
     marked = written(jumps.filter("at = 0").select("file", "at"), "marked")
     count = marked.count()
@@ -150,12 +159,18 @@ def reachable(links: DataFrame) -> DataFrame:
         grown = written(marked.unionByName(real).distinct(), "marked")
         now = grown.count()
         if now == count:
-            break
+            return marked
         marked, count = grown, now
         far = jumps.select("file", F.col("at").alias("out"), F.col("out").alias("far"))
         jumps = written(jumps.join(far, ["file", "out"], "left").select(
             "file", "at", F.coalesce("far", "out").alias("out")), "jumps")
 
+
+def reachable(links: DataFrame, section_bytes: int = SECTION_BYTES) -> DataFrame:
+    """``file, at`` of the records that the chain from offset 0 of their file reaches; ``links`` has ``file, at, next``."""
+    links = written(sectioned(links, section_bytes), "links")
+    marked = reached(entry_nodes(written(section_exits(links), "exits")))
+
     def follow(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("at", ignore_index=True)
         at, to = frame["at"].to_numpy(), frame["next"].fillna(-1).to_numpy(np.int64)
@@ -168,7 +183,7 @@ def reachable(links: DataFrame) -> DataFrame:
 
     entries = links.join(marked.withColumn("entry", F.lit(True)), ["file", "at"], "left").withColumn(
         "entry", F.coalesce("entry", F.lit(False)))
-    return entries.groupBy("file", "block").applyInPandas(follow, "file string, at long")
+    return entries.groupBy("file", "section").applyInPandas(follow, "file string, at long")
 
 
 def _assembled(rows: DataFrame) -> DataFrame:
@@ -216,14 +231,14 @@ def _assembled(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "file string, record long, at long, v binary, whole boolean")
 
 
-def read_archives(spark, path: str) -> DataFrame:
+def read_archives(spark, path: str, section_bytes: int = SECTION_BYTES) -> DataFrame:
     """The real records below ``path``: ``file, at, type, record_id, refers_to, uri, digest, length, payload``.
 
     The magic may stand in payloads, also followed by a whole forged header. Empty files give no record, and
     neither does what follows a record without a usable length, nor a record that its file cuts off.
     """
     links = written(candidates(spark, path), "links")
-    real = reachable(links.filter("at >= 0")).withColumn("real", F.lit(True))
+    real = reachable(links.filter("at >= 0"), section_bytes).withColumn("real", F.lit(True))
     # Per split: where it begins, its first real record and the last one before it. A record goes on until the
     # next one begins, over as many splits as that takes.
     files = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)

@@ -156,6 +156,25 @@ def test_archives_round_trip(spark, tmp_path, split, compression):
         spark.conf.set("spark.sql.files.openCostInBytes", before[1])
 
 
+def test_pointers_jump_inside_compressed_files(spark, tmp_path):
+    df = spark.createDataFrame(pages(), "page_id long, url string, html string").coalesce(1)
+    warc.write_archives(df, str(tmp_path / "w"))
+    links = warc.candidates(spark, str(tmp_path / "w")).filter("at >= 0").cache()
+    assert links.select("file", "block").distinct().count() == 1
+    nodes = warc.entry_nodes(warc.section_exits(warc.sectioned(links, 4096)))
+    marked = {r["at"] for r in warc.reached(nodes).collect()}
+    assert nodes.count() >= len(marked) > 8
+    real, at, following = set(), 0, {r["at"]: r["next"] for r in links.collect()}
+    while at in following:
+        real.add(at)
+        at = following[at]
+    assert marked <= real and len(real) == len(pages()) < links.count()
+    for size in (1, 4096, 1 << 30):
+        assert {r["at"] for r in warc.reachable(links, size).collect()} == real
+    read = [sorted(r["record_id"] for r in warc.read_archives(spark, str(tmp_path / "w"), size).collect()) for size in (4096, 1 << 30)]
+    assert read[0] == read[1] and len(read[0]) == len(pages())
+
+
 def test_archives_of_an_empty_table(spark):
     assert warc.archived_pages(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
