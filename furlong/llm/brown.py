@@ -1,60 +1,48 @@
 """Brown class-based n-gram model: exchange clustering, class transitions and word emissions.
 
-*Units.* The most frequent training words are units of their own; every other word belongs to a unit for its
-ending and length, the end of a text to one of its own. Every token of the corpus has a unit.
-
-*Exchange clustering.* The counts of all pairs of neighbouring units over all training texts are gathered.
-In each round every unit is offered to every class, with the others where they are; it goes where the
-likelihood of the class bigrams gains most. Half of the units may move in a round, and a round that loses
+*Units* are where the exchange begins: the most frequent training words by themselves, every other word with those of
+its ending and length, the end of a text alone. The counts of all pairs of neighbouring units over all training
+texts are gathered. In each round every unit is offered to every class, with the others where they are; it goes where
+the likelihood of the class bigrams gains most. Half of the units may move in a round, and a round that loses
 likelihood is taken back. The end of a text keeps its class.
 
+*Words* (``words.py``) take the class of their unit and go on by themselves: all that occur in training more than
+once are exchanged over a sharded table of neighbour classes. Only rarer ones stay together by their endings.
+
 *Model.* ``p(w | history) = p(class | history) * p(w | class)``. Class transitions are trigrams interpolated with
 bigrams and unigrams by their number of observations (Witten-Bell), emissions are add-0.1 estimates over the
 class's words and one unknown word.
 
-Texts are dealt into blocks once; word counts are exchanged between blocks and shards of the word space, so a
-block learns the counts of its own words only and no vocabulary is ever in one place. The driver holds counts
-of unit pairs per class and the units themselves, whose number is a parameter.
+Texts are dealt into blocks once; words are exchanged between blocks and shards of the word space, so a
+block learns the counts and classes of its own words only and no vocabulary is ever in one place. The driver holds
+counts of unit pairs per class, class trigrams and the units themselves, whose number is a parameter.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from furlong.llm import text as T
+from furlong.llm import words as W
 from furlong.llm.blocks import Blocks, joined, shards, split_by, texts_of, unpacked, written
 
 HEAD = 2048
 ENDINGS = 254
 CLASSES = 64
 ROUNDS = 12
+WORD_ROUNDS = 4
 ADD = 0.1
 EXCHANGE_TASKS = 16
+_xlogx = W.xlogx
 END_WORD = np.uint64(0x6A09E667F3BCC909)
 
 
-@dataclass
-class Model:
-    """``heads`` are sorted hashes of head words; units are their places, then endings, then the end."""
-    heads: np.ndarray
-    endings: int
-    classes: np.ndarray  # class per unit
-    n_classes: int
-    emit_log: np.ndarray  # log10 of the emission denominator per class
-    transition: np.ndarray  # log10 p(class | two classes before); class n_classes is before the first token
-    total: int
-    distinct: int
-
-    def units(self, words: np.ndarray, endings: np.ndarray) -> np.ndarray:
-        return units_of(self.heads, self.endings, words, endings)
-
-
 def units_of(heads: np.ndarray, endings: int, words: np.ndarray, ending: np.ndarray) -> np.ndarray:
     """Unit of each word; the end of a text has the word ``END_WORD``."""
     out = len(heads) + ending
@@ -106,11 +94,12 @@ def _count_words(blocks: Blocks) -> tuple[DataFrame, DataFrame]:
         known = (counts > 0) & (names != END_WORD)
         best = np.flatnonzero(known)
         best = best[np.lexsort((names[best], -counts[best]))][:HEAD]
+        rare = known & (counts < W.LEAST)
         # Heads are not known yet: per ending, the sums over all of the shard's words.
         rows = {"block": [-1], "names": [names[best].tobytes()], "counts": [counts[best].astype("<i8").tobytes()],
                 "tails": [tails[best].astype("u1").tobytes()],
-                "sums": [np.concatenate([np.bincount(tails[known], counts[known], ENDINGS), np.bincount(tails[known], minlength=ENDINGS),
-                                         [counts[names == END_WORD].sum()]]).astype("<i8").tobytes()]}
+                "sums": [np.concatenate([np.bincount(tails[known], counts[known], ENDINGS), np.bincount(tails[rare], minlength=ENDINGS),
+                                         [known.sum(), counts[names == END_WORD].sum()]]).astype("<i8").tobytes()]}
         at = 0
         for mine, block in zip(lists, mail.column("block").to_pylist(), strict=True):
             rows["block"].append(block)
@@ -128,7 +117,8 @@ def _count_words(blocks: Blocks) -> tuple[DataFrame, DataFrame]:
 
 
 def _heads(summary: DataFrame, head: int) -> tuple[np.ndarray, ...]:
-    """(head words sorted, their counts, training tokens and distinct words per ending without heads, ends).
+    """(head words sorted, their counts, training tokens per ending without heads, distinct rare words per ending,
+    distinct words, ends).
 
     Each shard gives its ``head`` first words as rows; the first ``head`` of all are taken by a top-k.
     """
@@ -149,15 +139,14 @@ def _heads(summary: DataFrame, head: int) -> tuple[np.ndarray, ...]:
     best = best.orderBy(F.desc("count"), "name").limit(head).toPandas()
     totals = summary.select("sums").mapInArrow(sums, "at long, value long").groupBy("at").agg(
         F.sum("value").alias("value")).toPandas()
-    values = np.zeros(2 * ENDINGS + 1, np.int64)
+    values = np.zeros(2 * ENDINGS + 2, np.int64)
     values[totals["at"].to_numpy()] = totals["value"].to_numpy()
     names = best["name"].to_numpy(np.int64).view(np.uint64) if len(best) else np.zeros(0, np.uint64)
     order = np.argsort(names)
     counts, tails = best["count"].to_numpy(np.int64)[order], best["tail"].to_numpy(np.int64)[order]
-    tokens, distinct = values[:ENDINGS].copy(), values[ENDINGS:2 * ENDINGS].copy()
+    tokens = values[:ENDINGS].copy()
     np.subtract.at(tokens, tails, counts)
-    np.subtract.at(distinct, tails, 1)
-    return names[order], counts, tokens, distinct, int(values[-1])
+    return names[order], counts, tokens, values[ENDINGS:2 * ENDINGS], int(values[-2]), int(values[-1])
 
 
 def _unit_pairs(blocks: Blocks, heads: np.ndarray) -> DataFrame:
@@ -209,10 +198,6 @@ def _packed(pairs: np.ndarray, counts: np.ndarray, size: int, groups: int = 64)
                      "counts": pa.array([counts[c].tobytes() for _, c in cuts], pa.binary())})
 
 
-def _xlogx(x: np.ndarray) -> np.ndarray:
-    return np.where(x > 0, x * np.log(np.maximum(x, 1)), 0.0)
-
-
 def _best_classes(rows: list[tuple], classes: np.ndarray, n: int, grid: np.ndarray) -> list[tuple[int, int, float]]:
     """(unit, best class, gain) with all other units where they are."""
     out = []
@@ -272,11 +257,8 @@ def exchange(neighbours: DataFrame, sizes: np.ndarray, n_classes: int, rounds: i
         grid[rows["at"].to_numpy(np.int64)] = rows["n"].to_numpy()
         return grid.reshape(n_classes, n_classes)
 
-    def value(grid: np.ndarray) -> float:
-        return float(_xlogx(grid).sum() - _xlogx(grid.sum(0)).sum() - _xlogx(grid.sum(1)).sum())
-
     grid = grid_of(classes)
-    best = value(grid)
+    best = W.value(grid)
     for step in range(rounds):
         def offer(batches, classes=classes, grid=grid):
             for batch in batches:
@@ -295,42 +277,91 @@ def exchange(neighbours: DataFrame, sizes: np.ndarray, n_classes: int, rounds: i
         new = classes.copy()
         new[units[turn]] = to[turn]
         grown = grid_of(new)
-        if value(grown) <= best:
+        if W.value(grown) <= best:
             # Too many moves at once: the quarter with the highest gains.
             top = moves.sort_values(["gain", "unit"], ascending=[False, True]).head(max(1, len(moves) // 4))
             new = classes.copy()
             new[top["unit"].to_numpy()] = top["to"].to_numpy()
             grown = grid_of(new)
-            if value(grown) <= best:
+            if W.value(grown) <= best:
                 continue
-        classes, grid, best = new, grown, value(grown)
+        classes, grid, best = new, grown, W.value(grown)
     return classes
 
 
-def _class_trigrams(blocks: Blocks, heads: np.ndarray, classes: np.ndarray, n: int) -> np.ndarray:
+def _labels(table: pa.Table, mail: pa.Table) -> tuple[np.ndarray, ...]:
+    """(name, class, whether it is learned from) of each token by the shards' answers, offsets of texts.
+
+    A word without an answer is a rare one and has the name of its ending.
+    """
+    words, endings, per = tokens_of(table)
+    mail = mail.filter(pa.compute.is_valid(mail.column("classes")))
+    names, classes = joined(unpacked(mail.column("names"), "<u8"), "<u8"), joined(unpacked(mail.column("classes"), "u1"), "u1")
+    order = np.argsort(names)
+    names, classes = names[order], classes[order].astype(np.int64)
+    words = _named(words, endings, names)
+    return words, classes[np.searchsorted(names, words)], _training(table)[T.owners(per, np.arange(len(words)))], per
+
+
+def _named(words: np.ndarray, endings: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """The words themselves where they are in ``common`` (sorted), else the name of their ending."""
+    at = np.minimum(np.searchsorted(common, words), max(0, len(common) - 1))
+    own = (common[at] == words if len(common) else np.zeros(len(words), bool)) | (words == END_WORD)
+    return np.where(own, words, W.ending_names(ENDINGS)[endings])
+
+
+def _first_labels(heads: np.ndarray, classes: np.ndarray):
+    """Like :func:`_labels`, by the counts of words and the classes of units."""
+    def labels(table: pa.Table, mail: pa.Table) -> tuple[np.ndarray, ...]:
+        words, endings, per = tokens_of(table)
+        names, counts = joined(unpacked(mail.column("names"), "<u8"), "<u8"), joined(unpacked(mail.column("counts"), "<i8"), "<i8")
+        named = _named(words, endings, np.sort(names[counts >= W.LEAST]))
+        # A word of its own begins in its unit's class, rare words of an ending in that ending's.
+        units = np.where(named == words, units_of(heads, ENDINGS, words, endings), len(heads) + endings)
+        return named, classes[units], _training(table)[T.owners(per, np.arange(len(words)))], per
+    return labels
+
+
+def word_classes(blocks: Blocks, counts: DataFrame, heads: np.ndarray, classes: np.ndarray, n: int,
+                 rounds: int) -> tuple[DataFrame, np.ndarray]:
+    """(the shards' answers with the class of each block's words, counts of three classes in a row).
+
+    A round after which the likelihood of the class bigrams is lower is taken back and the last.
+    """
+    def unchanged(table: DataFrame) -> DataFrame:
+        return written(W.answers(table, None, 0, ENDINGS, n), "classes")
+
+    labelled, mail, kept_table, best = _first_labels(heads, classes), counts, None, -math.inf
+    for step in range(max(1, rounds)):
+        table = W.neighbours(blocks, mail, labelled, n)
+        grid = W.grid_of(table, n)
+        if kept_table is not None and W.value(grid) < best:
+            mail = unchanged(kept_table)
+            return mail, _class_trigrams(blocks, mail, n)
+        kept_table, best, labelled = table, W.value(grid), _labels
+        mail = written(W.answers(table, grid if rounds else None, step, ENDINGS, n), "classes")
+    trigrams = _class_trigrams(blocks, mail, n)
+    if W.value(trigrams[:, :n, :n].sum(0).astype(float)) < best:
+        mail = unchanged(kept_table)
+        trigrams = _class_trigrams(blocks, mail, n)
+    return mail, trigrams
+
+
+def _class_trigrams(blocks: Blocks, mail: DataFrame, n: int) -> np.ndarray:
     """Counts of three classes in a row over all training texts; class ``n`` stands before the first token."""
-    sent = blocks.spark.sparkContext.broadcast((heads, classes))
     side = n + 1
 
-    def count(block: int, table: pa.Table) -> pa.Table:
-        heads, classes = sent.value
-        c, per = _class_sequence(table, heads, classes)
-        codes = _histories(c, per, n) * side + c
-        owner = T.owners(per, np.arange(len(c)))
-        at, counts = np.unique(codes[_training(table)[owner]], return_counts=True)
+    def count(block: int, table: pa.Table, mail: pa.Table) -> pa.Table:
+        _, c, learn, per = _labels(table, mail)
+        at, counts = np.unique((_histories(c, per, n) * side + c)[learn], return_counts=True)
         return pa.table({"at": pa.array(at.astype(np.int64)), "n": pa.array(counts.astype(np.int64))})
 
-    rows = blocks.each(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
+    rows = blocks.each_with(mail.filter("block >= 0"), count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
     out = np.zeros(side**3, np.int64)
     out[rows["at"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
     return out.reshape(side, side, side)
 
 
-def _class_sequence(table: pa.Table, heads: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    words, endings, per = tokens_of(table)
-    return classes[units_of(heads, ENDINGS, words, endings)], per
-
-
 def _histories(c: np.ndarray, per: np.ndarray, n: int) -> np.ndarray:
     """Code of the two classes before each token."""
     one, two = np.full(len(c), n), np.full(len(c), n)
@@ -360,51 +391,52 @@ def transitions(counts: np.ndarray) -> np.ndarray:
 
 
 def scored(docs: DataFrame, learn: str, key: str = "doc_id", text: str = "text", head: int = HEAD,
-           n_classes: int = CLASSES, rounds: int = ROUNDS) -> DataFrame:
+           n_classes: int = CLASSES, rounds: int = ROUNDS, word_rounds: int = WORD_ROUNDS) -> DataFrame:
     """One row per document: ``key, learn, n_tokens, n_known, train_tokens, base_score, score``.
 
     Tokens are the words (runs without space and 0x09-0x0D, A-Z lower-cased) and one end per text. The model
     learns from the documents whose boolean column ``learn`` is true; null counts as false. ``score`` is its
     log10 probability of a text, ``base_score`` that of add-0.1 unigrams over the same training tokens,
-    ``n_known`` the tokens that occur in them. A null text is empty and has the end alone. Without training
+    ``n_known`` the tokens that occur in them. There are ``rounds`` of exchange of units and ``word_rounds`` of words;
+    ``n_classes`` is 255 at most. A null text is empty and has the end alone. Without training
     documents every token is unknown. Repeated rows are scored and learned each, null keys stay null, other
     columns are ignored; an empty table gives no rows.
     """
+    if not 2 <= n_classes <= 255:
+        raise ValueError("n_classes must be between 2 and 255")
     rows = docs.select(F.col(key).cast("long").alias("doc"), F.coalesce(F.col(learn), F.lit(False)).alias("learn"),
                        F.col(text).alias("__text"))
     blocks = Blocks(rows, "__text", ["doc", "learn"])
     counts, summary = _count_words(blocks)
-    heads, head_counts, tail_tokens, tail_distinct, ends = _heads(summary, head)
+    heads, head_counts, tail_tokens, rare_distinct, distinct, ends = _heads(summary, head)
     sizes = np.concatenate([head_counts, tail_tokens, [ends]])
-    distinct = np.concatenate([np.ones(len(heads), np.int64), tail_distinct, [1 if ends else 0]])
-    total, kinds = int(sizes.sum()), int(distinct.sum())
-    classes = exchange(_unit_pairs(blocks, heads), sizes, n_classes, rounds)
-    trigrams = _class_trigrams(blocks, heads, classes, n_classes)
-    tokens = np.bincount(classes, sizes, n_classes)
-    words = np.bincount(classes, distinct, n_classes)
-    model = Model(heads, ENDINGS, classes, n_classes, np.log10(tokens + ADD * (words + 1)), transitions(trigrams), total, kinds)
-    sent = blocks.spark.sparkContext.broadcast(model)
+    total, kinds = int(sizes.sum()), distinct + (1 if ends else 0)
+    units = exchange(_unit_pairs(blocks, heads), sizes, n_classes, rounds)
+    told, trigrams = word_classes(blocks, counts, heads, units, n_classes, word_rounds)
+    tokens, words = W.class_sums(told, rare_distinct, n_classes)
+    emit_log, transition = np.log10(tokens + ADD * (words + 1)), transitions(trigrams)
+    sent = blocks.spark.sparkContext.broadcast((emit_log, transition))
+    mail = told.filter("block >= 0").select("block", "names", "classes", F.lit(None).cast("binary").alias("counts"))
+    mail = mail.unionByName(counts, allowMissingColumns=True)
 
     def score(block: int, table: pa.Table, mail: pa.Table) -> pa.Table:
-        model = sent.value
+        emit_log, transition = sent.value
+        _, c, _, per = _labels(table, mail)
+        mail = mail.filter(pa.compute.is_valid(mail.column("counts")))
         names = joined(unpacked(mail.column("names"), "<u8"), "<u8")
         counts = joined(unpacked(mail.column("counts"), "<i8"), "<i8")
         order = np.argsort(names)
-        names, counts = names[order], counts[order]
-        words, endings, per = tokens_of(table)
-        count = counts[np.searchsorted(names, words)]
-        c = model.classes[model.units(words, endings)]
-        flat = model.transition.reshape(-1, model.n_classes)
-        step = flat[_histories(c, per, model.n_classes), c]
-        emit = np.log10(count + ADD) - model.emit_log[c]
-        base = np.log10(count + ADD) - math.log10(model.total + ADD * (model.distinct + 1))
-        owner, docs = T.owners(per, np.arange(len(words))), table.num_rows
+        count = counts[order][np.searchsorted(names[order], tokens_of(table)[0])]
+        step = transition.reshape(-1, n_classes)[_histories(c, per, n_classes), c]
+        emit = np.log10(count + ADD) - emit_log[c]
+        base = np.log10(count + ADD) - math.log10(total + ADD * (kinds + 1))
+        owner, docs = T.owners(per, np.arange(len(c))), table.num_rows
         return pa.table({
             "doc": table.column("doc"), "learn": table.column("learn"), "n_tokens": pa.array(np.diff(per)),
             "n_known": pa.array(np.bincount(owner, count > 0, docs).astype(np.int64)),
-            "train_tokens": pa.array(np.full(docs, model.total, np.int64)),
+            "train_tokens": pa.array(np.full(docs, total, np.int64)),
             "base_score": pa.array(np.bincount(owner, base, docs)),
             "score": pa.array(np.bincount(owner, step + emit, docs))})
 
     schema = "doc long, learn boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return blocks.each_with(counts, score, schema).withColumnsRenamed({"doc": key, "learn": learn})
+    return blocks.each_with(mail, score, schema).withColumnsRenamed({"doc": key, "learn": learn})

@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from furlong.llm import brown, crf
+from furlong.llm import brown, crf, words
 
 LANGS = {"xx": "ka ke ki ko ku sa se si so su", "yy": "bra bre bri dro dru plo ple stra", "zz": "ünd ör äch lich keit ver"}
 
@@ -93,6 +93,115 @@ def test_exchange_gain_is_the_change_of_likelihood():
         assert np.isclose(max(values) - value(grid(classes)), gain) and np.isclose(values[best], max(values))
 
 
+def test_word_exchange_gain_is_the_change_of_likelihood():
+    rng = np.random.default_rng(2)
+    n, k = 40, 5
+    pairs = rng.poisson(0.7, (n, n))
+    classes = rng.integers(0, k, n)
+
+    def value(c):
+        out = np.zeros((k, k))
+        np.add.at(out, (c[:, None].repeat(n, 1), c[None, :].repeat(n, 0)), pairs)
+        return out, words.value(out)
+
+    sizes, codes, counts = [], [], []
+    for u in range(n):
+        dense = np.zeros(2 * k + 1, np.int64)
+        for v in range(n):
+            if v == u:
+                dense[2 * k] += pairs[u, u]
+            else:
+                dense[classes[v]] += pairs[u, v]
+                dense[k + classes[v]] += pairs[v, u]
+        at = np.flatnonzero(dense)
+        sizes.append(len(at))
+        codes += at.tolist()
+        counts += dense[at].tolist()
+    grid, now = value(classes)
+    for chunk in (7, 20_000):
+        words.CHUNK, before = chunk, words.CHUNK
+        best, gain = words.best_classes(classes, np.array(sizes), np.array(codes), np.array(counts), grid)
+        words.CHUNK = before
+        for u in range(n):
+            moved = [value(np.where(np.arange(n) == u, c, classes))[1] for c in range(k - 1)]
+            assert np.isclose(max(moved) - now, gain[u]) and np.isclose(moved[best[u]], max(moved))
+
+
+def test_scores_equal_brute_force_from_the_classes_of_words(spark, monkeypatch):
+    rows = corpus(150)
+    seen = {}
+    plain = words.class_sums
+
+    def watched(told, rare_distinct, n):
+        for r in told.filter("block >= 0").collect():
+            seen.update(zip(np.frombuffer(r["names"], "<u8").tolist(), np.frombuffer(r["classes"], "u1").tolist(), strict=True))
+        return plain(told, rare_distinct, n)
+
+    monkeypatch.setattr(words, "class_sums", watched)
+    monkeypatch.setattr("furlong.llm.blocks.BLOCK_BYTES", 2000)
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn(
+        "learn", F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 10 != 0)
+    k = 6
+    got = brown.scored(df, "learn", head=20, n_classes=k, rounds=4, word_rounds=3).collect()
+
+    def named(token):
+        if token is None:
+            return int(brown.END_WORD)
+        name, ending, _ = (x[0] for x in brown.tokens_of(pa.table({"t": [token]})))
+        return int(name) if count[token] >= 2 else int(words.ending_names(brown.ENDINGS)[ending])
+
+    count = Counter(t for i, text, _ in rows if learns(i) for t in tokens(text))
+    names = {t: named(t) for _, text, _ in rows for t in tokens(text)}
+    cls = {t: seen[names[t]] for t in names}
+    assert len(set(cls.values())) == k and cls[None] == k - 1
+    # Nearly all words that occur twice are named by themselves and may differ from words of their ending.
+    assert sum(count[t] >= 2 and t is not None for t in cls) > 20
+    tri, bi, uni = Counter(), Counter(), Counter()
+    for i, text, _ in rows:
+        if learns(i):
+            h = (k, k)
+            for t in tokens(text):
+                tri[(*h, cls[t])] += 1
+                bi[(h[1], cls[t])] += 1
+                uni[cls[t]] += 1
+                h = (h[1], cls[t])
+    total = sum(uni.values())
+
+    def transition(h, c):
+        p = (uni[c] + 0.1) / (total + 0.1 * k)
+        for counts, past in ((bi, (h[1],)), (tri, h)):
+            here = [counts[(*past, x)] for x in range(k)]
+            kinds = sum(x > 0 for x in here)
+            if sum(here):
+                p = (counts[(*past, c)] + kinds * p) / (sum(here) + kinds)
+        return p
+
+    size = Counter(cls[t] for t in count)
+    want = []
+    for i, text, _ in rows:
+        h, score = (k, k), 0.0
+        for t in tokens(text):
+            c = cls[t]
+            score += math.log10(transition(h, c) * (count[t] + 0.1) / (uni[c] + 0.1 * (size[c] + 1)))
+            h = (h[1], c)
+        want.append((str(i), round(score, 6)))
+    assert sorted(want) == sorted((str(r["doc_id"]), round(r["score"], 6)) for r in got)
+
+
+def test_words_leave_the_class_of_their_ending(spark):
+    """Two kinds of words with the same endings alternate; a few are units, the others have neighbours to go by."""
+    rng = np.random.default_rng(4)
+    a, b = [f"a{i}xyz" for i in range(40)], [f"b{i}xyz" for i in range(40)]
+    text = [(i, " ".join(w for _ in range(30) for w in (rng.choice(a), rng.choice(b)))) for i in range(60)]
+    df = spark.createDataFrame(text, "doc_id long, text string").withColumn("learn", F.col("doc_id") < 50)
+
+    def gain(rounds):
+        got = brown.scored(df, "learn", head=20, n_classes=5, rounds=6, word_rounds=rounds).filter(~F.col("learn"))
+        return got.agg(F.sum(F.col("score") - F.col("base_score")) / F.sum("n_tokens")).first()[0]
+
+    assert gain(4) > gain(0) + 0.2
+
+
 def test_nothing_to_learn_and_empty_table(spark):
     df = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string").withColumn("learn", F.lit(False))
     got = {r["doc_id"]: r for r in brown.scored(df, "learn").collect()}
