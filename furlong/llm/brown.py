@@ -36,7 +36,7 @@ HEAD = 2048
 ENDINGS = 254
 CLASSES = 64
 ROUNDS = 12
-WORD_ROUNDS = 4
+WORD_ROUNDS = 2
 ADD = 0.1
 EXCHANGE_TASKS = 16
 _xlogx = W.xlogx
@@ -290,24 +290,23 @@ def exchange(neighbours: DataFrame, sizes: np.ndarray, n_classes: int, rounds: i
 
 
 def _labels(table: pa.Table, mail: pa.Table) -> tuple[np.ndarray, ...]:
-    """(name, class, whether it is learned from) of each token by the shards' answers, offsets of texts.
+    """(names, their classes, place of each token's name, whether it is learned from, offsets of texts).
 
-    A word without an answer is a rare one and has the name of its ending.
+    Names and classes are the shards' answers; a word without one is rare and has the name of its ending.
     """
-    words, endings, per = tokens_of(table)
+    return _labelled(tokens_of(table), table, mail)
+
+
+def _labelled(tokens: tuple[np.ndarray, ...], table: pa.Table, mail: pa.Table) -> tuple[np.ndarray, ...]:
+    words, endings, per = tokens
     mail = mail.filter(pa.compute.is_valid(mail.column("classes")))
     names, classes = joined(unpacked(mail.column("names"), "<u8"), "<u8"), joined(unpacked(mail.column("classes"), "u1"), "u1")
     order = np.argsort(names)
     names, classes = names[order], classes[order].astype(np.int64)
-    words = _named(words, endings, names)
-    return words, classes[np.searchsorted(names, words)], _training(table)[T.owners(per, np.arange(len(words)))], per
-
-
-def _named(words: np.ndarray, endings: np.ndarray, common: np.ndarray) -> np.ndarray:
-    """The words themselves where they are in ``common`` (sorted), else the name of their ending."""
-    at = np.minimum(np.searchsorted(common, words), max(0, len(common) - 1))
-    own = (common[at] == words if len(common) else np.zeros(len(words), bool)) | (words == END_WORD)
-    return np.where(own, words, W.ending_names(ENDINGS)[endings])
+    place = np.minimum(np.searchsorted(names, words), len(names) - 1)
+    rare = np.flatnonzero(names[place] != words)
+    place[rare] = np.searchsorted(names, W.ending_names(ENDINGS))[endings[rare]]
+    return names, classes, place, _training(table)[T.owners(per, np.arange(len(words)))], per
 
 
 def _first_labels(heads: np.ndarray, classes: np.ndarray):
@@ -315,10 +314,13 @@ def _first_labels(heads: np.ndarray, classes: np.ndarray):
     def labels(table: pa.Table, mail: pa.Table) -> tuple[np.ndarray, ...]:
         words, endings, per = tokens_of(table)
         names, counts = joined(unpacked(mail.column("names"), "<u8"), "<u8"), joined(unpacked(mail.column("counts"), "<i8"), "<i8")
-        named = _named(words, endings, np.sort(names[counts >= W.LEAST]))
+        order = np.argsort(names)
+        common = counts[order][np.searchsorted(names[order], words)] >= W.LEAST
+        named = np.where(common | (words == END_WORD), words, W.ending_names(ENDINGS)[endings])
         # A word of its own begins in its unit's class, rare words of an ending in that ending's.
         units = np.where(named == words, units_of(heads, ENDINGS, words, endings), len(heads) + endings)
-        return named, classes[units], _training(table)[T.owners(per, np.arange(len(words)))], per
+        names, first, place = np.unique(named, return_index=True, return_inverse=True)
+        return names, classes[units[first]], place, _training(table)[T.owners(per, np.arange(len(words)))], per
     return labels
 
 
@@ -352,7 +354,8 @@ def _class_trigrams(blocks: Blocks, mail: DataFrame, n: int) -> np.ndarray:
     side = n + 1
 
     def count(block: int, table: pa.Table, mail: pa.Table) -> pa.Table:
-        _, c, learn, per = _labels(table, mail)
+        _, classes, place, learn, per = _labels(table, mail)
+        c = classes[place]
         at, counts = np.unique((_histories(c, per, n) * side + c)[learn], return_counts=True)
         return pa.table({"at": pa.array(at.astype(np.int64)), "n": pa.array(counts.astype(np.int64))})
 
@@ -421,12 +424,14 @@ def scored(docs: DataFrame, learn: str, key: str = "doc_id", text: str = "text",
 
     def score(block: int, table: pa.Table, mail: pa.Table) -> pa.Table:
         emit_log, transition = sent.value
-        _, c, _, per = _labels(table, mail)
+        tokens = tokens_of(table)
+        _, classes, place, _, per = _labelled(tokens, table, mail)
+        c = classes[place]
         mail = mail.filter(pa.compute.is_valid(mail.column("counts")))
         names = joined(unpacked(mail.column("names"), "<u8"), "<u8")
         counts = joined(unpacked(mail.column("counts"), "<i8"), "<i8")
         order = np.argsort(names)
-        count = counts[order][np.searchsorted(names[order], tokens_of(table)[0])]
+        count = counts[order][np.searchsorted(names[order], tokens[0])]
         step = transition.reshape(-1, n_classes)[_histories(c, per, n_classes), c]
         emit = np.log10(count + ADD) - emit_log[c]
         base = np.log10(count + ADD) - math.log10(total + ADD * (kinds + 1))

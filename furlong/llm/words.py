@@ -39,7 +39,8 @@ def ending_names(endings: int) -> np.ndarray:
 
 
 def xlogx(x: np.ndarray) -> np.ndarray:
-    return np.where(x > 0, x * np.log(np.maximum(x, 1)), 0.0)
+    """x log x of counts."""
+    return x * np.log(np.maximum(x, 1))
 
 
 def value(grid: np.ndarray) -> float:
@@ -50,16 +51,16 @@ def value(grid: np.ndarray) -> float:
 def neighbours(blocks: Blocks, mail: DataFrame, labelled, n: int) -> DataFrame:
     """The sharded table: a row per shard with its words, their classes, and what stands beside them.
 
-    ``labelled(table, mail)`` gives (name, class, whether it is learned from) of each token and the offsets of
-    texts. Codes below ``n`` are classes after a word, then those before it, and ``2 n`` is the word itself.
+    ``labelled(table, mail)`` gives a block's distinct names, their classes, the place of each token's name,
+    whether the token is learned from, and the offsets of texts. Codes below ``n`` are classes after a word, then those before it, and ``2 n`` is the word itself.
     """
     codes = 2 * n + 1
     many = blocks.count
 
     def send(block: int, table: pa.Table, mail: pa.Table) -> pa.Table:
-        name, cls, learn, per = labelled(table, mail)
-        names, first, place = np.unique(name, return_index=True, return_inverse=True)
-        owner = T.owners(per, np.arange(len(name)))
+        names, classes, place, learn, per = labelled(table, mail)
+        cls = classes[place]
+        owner = T.owners(per, np.arange(len(place)))
         inner = np.flatnonzero((owner[1:] == owner[:-1]) & learn[1:])
         a, b = place[inner], place[inner + 1]
         same = a == b
@@ -71,7 +72,7 @@ def neighbours(blocks: Blocks, mail: DataFrame, labelled, n: int) -> DataFrame:
         starts = np.cumsum(sizes) - sizes
         moved = flat_ranges(starts[order], sizes[order])
         ends = np.concatenate([[0], np.cumsum(sizes[order])])
-        columns = {"names": names[order], "classes": cls[first][order], "totals": np.bincount(place, learn, len(names))[order],
+        columns = {"names": names[order], "classes": classes[order], "totals": np.bincount(place, learn, len(names))[order],
                    "sizes": sizes[order]}
         entries = {"codes": (met % codes)[moved], "counts": times[moved]}
         out: dict = {"shard": pa.array([s for s, _ in cuts], pa.int32()), "block": pa.array([block] * len(cuts), pa.int32())}
@@ -152,13 +153,17 @@ def _gains(mine: np.ndarray, sizes: np.ndarray, codes: np.ndarray, counts: np.nd
     out = np.zeros((w, n))
     for part, other, table in ((codes < n, precede, grid.T), ((codes >= n) & (codes < 2 * n), follow, grid)):
         # A row per entry: the counts of all classes with the entry's class, without the word.
+        logged = xlogx(table)
         who, beside, times = word[part], codes[part] % n, counts[part]
         rest = table[beside]
         own = beside == mine[who]
         rest[own] -= other[who[own]]
         rest[np.arange(len(who)), mine[who]] -= times
         rest[np.flatnonzero(own), mine[who[own]]] -= itself[who[own]]
-        change = xlogx(rest + times[:, None]) - xlogx(rest)
+        plain = logged[beside]
+        plain[own] = xlogx(rest[own])
+        plain[np.arange(len(who)), mine[who]] = xlogx(rest[np.arange(len(who)), mine[who]])
+        change = xlogx(rest + times[:, None]) - plain
         if len(who):
             heads = np.flatnonzero(np.concatenate([[True], who[1:] != who[:-1]]))
             out[who[heads]] += np.add.reduceat(change, heads, axis=0)
@@ -187,9 +192,10 @@ def answers(table: DataFrame, grid: np.ndarray | None, step: int, endings: int,
         for row in _rows(batches):
             names, classes = row["names"], row["classes"].astype(np.int64)
             if grid is not None:
-                to, gain = best_classes(classes, row["sizes"], row["codes"], row["counts"], grid)
-                turn = (T.mixed(names ^ T.STEP) & T.U64(1)) == T.U64(step & 1)
-                classes = np.where(turn & (gain > 1e-6) & (classes != n - 1), to, classes)
+                turn = ((T.mixed(names ^ T.STEP) & T.U64(1)) == T.U64(step & 1)) & (classes != n - 1)
+                offered = np.repeat(turn, row["sizes"])
+                to, gain = best_classes(classes[turn], row["sizes"][turn], row["codes"][offered], row["counts"][offered], grid)
+                classes[turn] = np.where(gain > 1e-6, to, classes[turn])
             place = np.minimum(np.searchsorted(names, rare), max(0, len(names) - 1))
             found = names[place] == rare
             common = row["totals"] > 0
