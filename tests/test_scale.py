@@ -5,10 +5,13 @@ from __future__ import annotations
 import os
 from datetime import datetime
 
-from pyspark.sql import SparkSession
+import pytest
+from pyspark.sql import DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
-from furlong.operators import ordering
+from furlong import session as S
+from furlong.catalog import queries
+from furlong.operators import ordering, selection
 from furlong.operators.ordering import dealt, hot_keys
 from furlong.sources.entries import race_entries
 
@@ -52,3 +55,60 @@ def test_hot_keys_are_counted_only_in_full_buckets(spark, monkeypatch):
             monkeypatch.setattr(ordering, "KEY_BUCKETS", buckets)
             assert {r[0] for r in hot_keys(rows, ["k"], 5).collect()} == {None, 1}
             assert hot_keys(rows, ["k"], 9) is None
+
+
+@pytest.fixture
+def limits(spark, monkeypatch):
+    """The session's method limit, first 65535 as by default, at each write."""
+    own, write, seen = spark.conf.get(S.METHOD_LIMIT), DataFrameWriter.parquet, []
+
+    def noted(writer, *args, **kwargs):
+        seen.append(spark.conf.get(S.METHOD_LIMIT))
+        return write(writer, *args, **kwargs)
+    monkeypatch.setattr(DataFrameWriter, "parquet", noted)
+    spark.conf.set(S.METHOD_LIMIT, "65535")
+    yield seen
+    spark.conf.set(S.METHOD_LIMIT, own)
+
+
+def test_wide_tables_are_written_by_compiled_methods(spark, limits):
+    wide = spark.range(5).select("id", *[(F.col("id") + i).alias(f"c{i}") for i in range(S.WIDE_COLUMNS)])
+    assert [r["c3"] for r in S.materialize(wide).orderBy("id").collect()] == [3, 4, 5, 6, 7]
+    S.materialize(wide.select("id"))
+    assert limits == ["8000", "65535"] and spark.conf.get(S.METHOD_LIMIT) == "65535"
+
+
+def test_method_limit_comes_back_with_the_last_open_block_and_lower_ones_stay(spark, limits):
+    with pytest.raises(KeyError), S.compiled_methods(spark):
+        with S.compiled_methods(spark):
+            pass
+        assert spark.conf.get(S.METHOD_LIMIT) == "8000"
+        raise KeyError
+    assert spark.conf.get(S.METHOD_LIMIT) == "65535"
+    spark.conf.set(S.METHOD_LIMIT, "4000")
+    with S.compiled_methods(spark):
+        assert spark.conf.get(S.METHOD_LIMIT) == "4000"
+    assert spark.conf.get(S.METHOD_LIMIT) == "4000"
+
+
+def test_information_and_variance_are_worked_out_once(spark, limits):
+    rows = spark.range(40).selectExpr("cast(id AS double) AS a", "cast(id % 3 AS double) AS b", "cast(id >= 20 AS int) AS flag")
+    found = selection.mutual_information(rows, ["a", "b"], "flag", bins=4)
+    spread = selection.variance_report(rows, ["a", "b"])
+    assert limits == ["8000", "8000"]
+    assert {r["feature"]: round(r["score"], 6) for r in found.collect()}["a"] == 0.693147
+    assert {r["feature"]: round(r["variance"], 2) for r in spread.collect()} == {"a": 133.25, "b": 0.67}
+
+
+def test_candidates_are_read_without_writing_the_finished_table(spark, monkeypatch):
+    given = spark.sql("""SELECT * FROM VALUES (1L, 1, TIMESTAMP_NTZ '2001-02-28 00:00:00'), (2L, 3, TIMESTAMP_NTZ '2001-03-01 00:00:00'),
+                         (3L, 999, TIMESTAMP_NTZ '2001-07-02 00:00:00'), (4L, null, TIMESTAMP_NTZ '2001-04-01 00:00:00'),
+                         (5L, 4, null) AS t(raceid, result, days)""")
+    tags = []
+    monkeypatch.setattr(queries, "features", lambda *a: given)
+    monkeypatch.setattr(queries.feature_plan, "finish_features", lambda df, config: df.withColumns(
+        {"flag": F.lit(1), **{c: F.col("raceid") / 3 for c in queries.CANDIDATES}}))
+    monkeypatch.setattr(queries, "materialize", lambda df, tag="table": tags.append(tag) or df)
+    found = queries._candidates(spark, "").orderBy("raceid").collect()
+    assert [r["raceid"] for r in found] == [2, 4] and not tags
+    assert found[0][queries.CANDIDATES[0]] == 0.666667
