@@ -47,6 +47,18 @@ def test_rows_are_dealt_by_key_only_when_they_are_many(spark):
     assert dealt(rows, ["k"], 10 * fixed, 10).rdd.getNumPartitions() == rows.rdd.getNumPartitions()
 
 
+def test_rows_are_dealt_also_if_the_session_has_more_partitions_than_cores(spark):
+    """AQE would merge the many partitions into few tasks, which grow with the table."""
+    rows, cores = spark.range(100).withColumn("k", F.col("id") % 7), spark.sparkContext.defaultParallelism
+    fixed = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(20 * cores))
+    try:
+        assert dealt(rows, ["k"], 10 * cores + 1, 10).rdd.getNumPartitions() == cores + 1
+        assert dealt(rows, ["k"], 10 * cores, 10).rdd.getNumPartitions() == rows.rdd.getNumPartitions()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", fixed)
+
+
 def test_hot_keys_are_counted_only_in_full_buckets(spark, monkeypatch):
     rows = spark.createDataFrame([(k,) for k in [None] * 9 + [1] * 9 + [2] * 3], "k long")
     for listed in (0, 1000):
