@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from furlong import session as S
 from furlong.catalog import queries
-from furlong.operators import ordering, selection
+from furlong.catalog.registry import QUERIES
+from furlong.operators import ordering, scoring, selection
 from furlong.operators.ordering import dealt, hot_keys
+from furlong.plans import experiment, predict
 from furlong.sources.entries import race_entries
 
 
@@ -124,3 +126,27 @@ def test_candidates_are_read_without_writing_the_finished_table(spark, monkeypat
     found = queries._candidates(spark, "").orderBy("raceid").collect()
     assert [r["raceid"] for r in found] == [2, 4] and not tags
     assert found[0][queries.CANDIDATES[0]] == 0.666667
+
+
+def test_model_inputs_are_written_by_compiled_methods(spark, monkeypatch):
+    """The network's input (query, both plans) and the split of the trees' rows are wide and hold no join."""
+    rows = spark.createDataFrame([(i, i % 2, float(i), 1) for i in range(20)], "raceid long, flag int, a double, result int")
+    written = []
+
+    def noted(df, tag="table", compiled=False):
+        written.append((tag, compiled))
+        return df
+    for module in (queries, predict, experiment, scoring):
+        monkeypatch.setattr(module, "materialize", noted)
+    for module in (predict, experiment):
+        monkeypatch.setattr(module, "prep_mlp", lambda df: df)
+    for name in ("score_network", "chosen_network", "scores"):
+        monkeypatch.setattr(scoring, name, lambda df, *a, **k: df)
+    monkeypatch.setattr(scoring, "smote", lambda df, *a, **k: df.withColumn("synthetic", F.lit(0)))
+    monkeypatch.setattr(queries, "finished", lambda *a: rows)
+    assert QUERIES["prep_mlp"](spark, "").count() == 20
+    monkeypatch.setattr(scoring, "network_parts", lambda df, *a, **k: df.withColumn("part", F.lit("test")))
+    predict.network_scores(rows)
+    experiment.held_out_network(rows)
+    scoring.gbt_training_set(rows, ["a"], [])
+    assert written == [("mlp", True)] * 3 + [("split", True)]
