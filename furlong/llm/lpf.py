@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from furlong.llm import text as T
-from furlong.llm.blocks import Blocks, flat_ranges, texts_of
+from furlong.llm.blocks import Blocks, flat_ranges, named, texts_of
 from furlong.llm.repeats import Parts, Rule, covered, document_keys, repeats
 
 LENGTH = 50
@@ -65,8 +65,8 @@ def earlier_match(data: np.ndarray, starts: np.ndarray, docs: np.ndarray, length
     # Equal windows share a place in the order, and one that is alone has no match: one of each set of equal
     # ones is sorted, the others are compared with it byte by byte.
     names = T.spanned(T.rolled(T.BYTE_VALUES[data]), starts, starts + length)
-    _, first, place, counts = np.unique(names, return_index=True, return_inverse=True, return_counts=True)
-    several = counts > 1
+    _, first, place = named(names)
+    several = np.bincount(place, minlength=len(first)) > 1
     rows = np.flatnonzero(several[place])
     if not len(rows):
         return out
@@ -114,18 +114,17 @@ def _finish(length: int, keep_bytes: bool):
     def finish(block: int, table: pa.Table, parts: Parts, starts_of: np.ndarray) -> pa.Table:
         raw, offsets = parts.sent, parts.offsets
         removed = covered(starts_of, length, len(raw))
-        gone = np.append(0, np.cumsum(removed))
-        n_removed = gone[offsets[1:]] - gone[offsets[:-1]]
+        gone = np.searchsorted(np.flatnonzero(removed), offsets)
         head = removed.copy()
         head[1:] &= ~removed[:-1]
         cuts = offsets[:-1][np.diff(offsets) > 0]
         head[cuts] = removed[cuts]
-        spans = np.append(0, np.cumsum(head))
-        left = np.append(0, np.cumsum(~removed))[offsets]
+        spans = np.searchsorted(np.flatnonzero(head), offsets)
+        left = offsets - gone
         kept = memoryview(raw[~removed].tobytes())
         pieces = [kept[a:b] for a, b in zip(left[:-1].tolist(), left[1:].tolist(), strict=True)]
-        out = {"doc": table.column("doc"), "n_bytes": pa.array(np.diff(offsets)), "n_removed": pa.array(n_removed),
-               "n_spans": pa.array(spans[offsets[1:]] - spans[offsets[:-1]]),
+        out = {"doc": table.column("doc"), "n_bytes": pa.array(np.diff(offsets)), "n_removed": pa.array(np.diff(gone)),
+               "n_spans": pa.array(np.diff(spans)),
                "kept_sha256": pa.array([hashlib.sha256(p).hexdigest() for p in pieces], pa.string())}
         if keep_bytes:
             out["kept"] = pa.array([bytes(p) for p in pieces], pa.binary())

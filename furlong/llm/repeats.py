@@ -15,7 +15,7 @@ of all its copies, and the shard's index tells for every window whether it is re
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,9 +23,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from furlong.llm import text as T
-from furlong.llm.blocks import Blocks, flat_ranges, joined, shards, split_by, unpacked, written
+from furlong.llm.blocks import Blocks, flat_ranges, joined, named, shards, split_by, unpacked, written
 
 HOT = 4096
+#: Windows worked on at once, so that arrays of numbers about them stay in a core's cache.
+STRETCH = 1 << 15
 ONE = np.uint64(1)
 
 
@@ -55,13 +57,18 @@ def sliding_min(x: np.ndarray, n: int) -> np.ndarray:
     return np.minimum(out[:total], out[n - have:n - have + total])
 
 
+def stretches(n: int) -> Iterator[tuple[int, int]]:
+    """Ranges that cover ``0 .. n - 1``, one after another."""
+    return ((a, min(a + STRETCH, n)) for a in range(0, n, STRETCH))
+
+
 @dataclass
 class Parts:
     """The regions of a block: anchor, first window and number of windows, and their hashes."""
     sent: np.ndarray
     offsets: np.ndarray
     more: object
-    windows: np.ndarray
+    inside: np.ndarray  # for each symbol whether a window starts there
     prefix: np.ndarray
     anchor: np.ndarray
     start: np.ndarray
@@ -71,10 +78,18 @@ class Parts:
         """Names of regions, hashes that are even; those of single windows of hot anchors are odd."""
         return T.spanned(self.prefix, start, start + count + length - 1, T.STEP_INVERSE) & ~ONE
 
-    def single_names(self, length: int) -> np.ndarray:
-        if not len(self.windows):
-            return np.zeros(0, np.uint64)
-        return T.spanned_all(self.prefix, length, T.STEP_INVERSE)[self.windows] | ONE
+    def singles(self, wanted: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """(windows whose names as single ones are known, their places in the sorted ``wanted``)."""
+        likely = np.zeros(1 << 20, bool)
+        likely[(wanted >> np.uint64(44)).astype(np.int64)] = True
+        windows, places = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for a, b in stretches(len(self.prefix) - length):
+            names = T.spanned_all(self.prefix, length, T.STEP_INVERSE, a, b)
+            near = np.flatnonzero(likely[(names >> np.uint64(44)).view(np.int64)] & self.inside[a:b])
+            known, at = _find(names[near] | ONE, wanted)
+            windows.append(near[known] + a)
+            places.append(at)
+        return np.concatenate(windows), np.concatenate(places)
 
     def documents(self, at: np.ndarray) -> np.ndarray:
         return T.owners(self.offsets, at)
@@ -82,20 +97,24 @@ class Parts:
 
 def regions(table: pa.Table, rule: Rule) -> Parts:
     hashed, sent, offsets, more = rule.symbols(table)
-    windows = T.inside(offsets, rule.length)
-    prefix = T.rolled(hashed, T.STEP)
-    if not len(windows):
-        none = np.zeros(0, np.int64)
-        return Parts(sent, offsets, more, windows, prefix, np.zeros(0, np.uint64), none, none)
-    grams = T.spanned_all(prefix, rule.gram, T.STEP_INVERSE)
-    least = sliding_min(grams, rule.length - rule.gram + 1)[windows]
-    first = np.ones(len(windows), bool)
-    first[1:] = (least[1:] != least[:-1]) | (windows[1:] != windows[:-1] + 1)
-    # A window that begins with its anchor leaves it behind: an equal anchor of the next one is another place.
-    first[1:] |= grams[windows[:-1]] == least[:-1]
-    heads = np.flatnonzero(first)
-    return Parts(sent, offsets, more, windows, prefix, T.mixed(least[heads]), windows[heads],
-                 np.diff(np.append(heads, len(windows))))
+    inside, prefix = T.within(offsets, rule.length), T.rolled(hashed, T.STEP)
+    span = rule.length - rule.gram + 1
+    starts, anchors = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    for a, b in stretches(len(hashed) - rule.length + 1):
+        before = max(a - 1, 0)
+        grams = T.spanned_all(prefix, rule.gram, T.STEP_INVERSE, before, b + span - 1)
+        least = sliding_min(grams, span)
+        first = inside[before:b].copy()
+        # A window that begins with its anchor leaves it behind: an equal anchor of the next one is another place.
+        first[1:] &= (least[1:] != least[:-1]) | (grams[:len(least) - 1] == least[:-1]) | ~inside[before:b - 1]
+        heads = np.flatnonzero(first[a - before:]) + (a - before)
+        starts.append(heads + before)
+        anchors.append(least[heads])
+    start = np.concatenate(starts)
+    # A region ends where the next one begins, or with the last window of its document.
+    last = offsets[1:][T.owners(offsets, start)] - rule.length + 1
+    count = np.minimum(np.append(start[1:], len(hashed)), last) - start
+    return Parts(sent, offsets, more, inside, prefix, T.mixed(np.concatenate(anchors)), start, count)
 
 
 def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -113,14 +132,10 @@ def _located(parts: Parts, wanted: np.ndarray, length: int) -> tuple[np.ndarray,
     start, count, single = parts.start[known], parts.count[known], np.zeros(len(known), bool)
     hot = np.flatnonzero(wanted & ONE)
     if len(hot):
-        names = parts.single_names(length)
-        likely = np.zeros(1 << 20, bool)
-        likely[(wanted[hot] >> np.uint64(44)).astype(np.int64)] = True
-        near = np.flatnonzero(likely[(names >> np.uint64(44)).astype(np.int64)])
-        known, at = _find(names[near], wanted[hot])
-        start = np.append(start, parts.windows[near[known]])
-        count = np.append(count, np.ones(len(known), np.int64))
-        place, single = np.append(place, hot[at]), np.append(single, np.ones(len(known), bool))
+        alone, at = parts.singles(wanted[hot], length)
+        start = np.append(start, alone)
+        count = np.append(count, np.ones(len(alone), np.int64))
+        place, single = np.append(place, hot[at]), np.append(single, np.ones(len(alone), bool))
     return start, count, place, single
 
 
@@ -163,7 +178,7 @@ def repeats(blocks: Blocks, rule: Rule, finish: Callable, schema: str) -> DataFr
         name = parts.names(start, count, length)
         name[len(cold):] |= ONE
         route = np.concatenate([parts.anchor[cold], name[len(cold):]])
-        names, first, place = np.unique(name, return_index=True, return_inverse=True)
+        names, first, place = named(name)
         own = rule.summarise(place, parts.documents(start), table, len(names)).astype(rule.summary)
         order, cuts = split_by(route[first] % np.uint64(n_shards))
         names, own = names[order], own[order]
@@ -177,7 +192,8 @@ def repeats(blocks: Blocks, rule: Rule, finish: Callable, schema: str) -> DataFr
         order = np.argsort(senders, kind="stable")
         everyone = joined([lists[i] for i in order], "<u8")
         sender = np.repeat(senders[order], [len(lists[i]) for i in order])
-        names, first, place, n_blocks = np.unique(everyone, return_index=True, return_inverse=True, return_counts=True)
+        names, first, place = named(everyone)
+        n_blocks = np.bincount(place, minlength=len(names))
         # A single window is all of its region: one without a copy cannot match anything, and there are many.
         summary = rule.combine(place, joined([own[i] for i in order], rule.summary), len(names))
         asked = ~(rule.lonely(summary, n_blocks) & ((names & ONE) > 0))
@@ -275,8 +291,11 @@ def document_keys(table: pa.Table) -> np.ndarray:
 
 
 def covered(starts: np.ndarray, length: int, total: int) -> np.ndarray:
-    """Symbols that lie in a window that starts at one of ``starts``."""
-    depth = np.zeros(total + 1, np.int64)
-    np.add.at(depth, starts, 1)
-    np.add.at(depth, starts + length, -1)
-    return np.cumsum(depth)[:total] > 0
+    """Symbols that lie in a window that starts at one of ``starts``, which ascend."""
+    if not len(starts):
+        return np.zeros(total, bool)
+    # Windows that overlap or touch make one run.
+    apart = np.flatnonzero(np.diff(starts) > length)
+    begins, ends = starts[np.append(0, apart + 1)], starts[np.append(apart, len(starts) - 1)] + length
+    cuts = np.column_stack([begins, ends]).ravel()
+    return np.repeat(np.append(np.tile(np.array([False, True]), len(begins)), False), np.diff(cuts, prepend=0, append=total))

@@ -52,9 +52,11 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
 
 def rolled(values: np.ndarray, base: np.uint64 = BASE) -> np.ndarray:
     """Prefix sums ``P`` with which :func:`spanned` hashes any run of ``values``."""
-    out = np.zeros(len(values) + 1, U64)
+    out = np.empty(len(values) + 1, U64)
+    out[0] = 0
     with np.errstate(over="ignore"):
-        np.cumsum(values * powers(base, len(values)), out=out[1:])
+        np.multiply(values, powers(base, len(values)), out=out[1:])
+        np.cumsum(out[1:], out=out[1:])
     return out
 
 
@@ -65,11 +67,13 @@ def spanned(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray,
         return mixed((prefix[ends] - prefix[starts]) * powers(inverse, len(prefix))[starts])
 
 
-def spanned_all(prefix: np.ndarray, n: int, inverse: np.uint64 = BASE_INVERSE) -> np.ndarray:
-    """Hashes of all runs of ``n`` values, at every position."""
+def spanned_all(prefix: np.ndarray, n: int, inverse: np.uint64 = BASE_INVERSE, start: int = 0,
+                stop: int | None = None) -> np.ndarray:
+    """Hashes of all runs of ``n`` values, at every position or at those from ``start`` up to ``stop``."""
+    stop = len(prefix) - n if stop is None else stop
     with np.errstate(over="ignore"):
-        out = prefix[n:] - prefix[:-n]
-        out *= powers(inverse, len(out))
+        out = prefix[start + n:stop + n] - prefix[start:stop]
+        out *= powers(inverse, len(prefix))[start:stop]
         return mixed(out)
 
 
@@ -135,6 +139,14 @@ def inside(word_offsets: np.ndarray, n: int) -> np.ndarray:
     return np.flatnonzero(np.cumsum(ok)[:total])
 
 
+def within(word_offsets: np.ndarray, n: int) -> np.ndarray:
+    """For each position whether a run of ``n`` words from there lies within one document."""
+    sizes = np.diff(word_offsets)
+    runs = np.maximum(sizes - n + 1, 0)
+    flags = np.tile(np.array([True, False]), len(sizes))
+    return np.repeat(flags, np.column_stack([runs, sizes - runs]).ravel())
+
+
 def owners(word_offsets: np.ndarray, at: np.ndarray) -> np.ndarray:
     """The document of each word position."""
     return np.searchsorted(word_offsets, at, side="right") - 1

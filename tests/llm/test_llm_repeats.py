@@ -2,9 +2,11 @@
 
 import hashlib
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -111,3 +113,48 @@ def test_automaton_counts_like_a_counter():
                 seen[tuple(t[j:j + n])] += i % 3 + 1
         for t in texts:
             assert a.occurrences(t, n) == [seen[tuple(t[j:j + n])] for j in range(len(t) - n + 1)]
+
+
+def block_of(sizes, letters=b"abcd"):
+    rng = np.random.default_rng(3)
+    texts = [bytes(rng.choice(list(letters), n).astype(np.uint8)).decode() for n in sizes]
+    return pa.table({"doc": pa.array(range(len(texts)), pa.int64()), "t": pa.array(texts)})
+
+
+def test_regions_are_found_in_stretches_of_bounded_size():
+    table = block_of([5000] * 200)
+    repeats.regions(table, lpf.rule())    # powers are kept from the first time on
+    tracemalloc.start()
+    parts = repeats.regions(table, lpf.rule())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # Hash and prefix of each byte stay; whole arrays of grams, minima and positions took 50 bytes a byte.
+    assert peak < 30 * len(parts.sent)
+
+
+@pytest.mark.parametrize("length, gram", [(50, 16), (16, 16), (5, 2), (1, 1)])
+def test_regions_do_not_depend_on_the_stretch(monkeypatch, length, gram):
+    table, rule = block_of([0, 3, 200, 0, 49, 50, 51, 400, 1]), lpf.rule(length, gram)
+    whole = repeats.regions(table, rule)
+    sizes = np.diff(whole.offsets)
+    assert sorted(np.concatenate([np.arange(s, s + n) for s, n in zip(whole.start, whole.count, strict=True)])) == [
+        int(o) + i for o, n in zip(whole.offsets, sizes, strict=False) for i in range(n - length + 1)]
+    monkeypatch.setattr(repeats, "STRETCH", 7)
+    cut = repeats.regions(table, rule)
+    for name in ("inside", "anchor", "start", "count"):
+        assert getattr(cut, name).tolist() == getattr(whole, name).tolist()
+    names = np.unique(whole.names(np.flatnonzero(whole.inside), np.int64(1), length) | repeats.ONE)
+    windows, places = cut.singles(names, length)
+    assert windows.tolist() == np.flatnonzero(whole.inside).tolist()
+    assert (names[places] == whole.names(windows, np.int64(1), length) | repeats.ONE).all()
+
+
+def test_covered_symbols():
+    rng = np.random.default_rng(1)
+    for length in (1, 3, 10):
+        starts = np.flatnonzero(rng.random(91) < 0.1)
+        want = np.zeros(100, bool)
+        for s in starts:
+            want[s:s + length] = True
+        assert repeats.covered(starts, length, 100).tolist() == want.tolist()
+    assert repeats.covered(np.zeros(0, np.int64), 5, 4).tolist() == [False] * 4
