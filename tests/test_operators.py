@@ -12,6 +12,7 @@ from furlong.functions.numeric import clipped, ratio, rnd
 from furlong.operators import aggregates, columns, evaluation, filters, report, values
 from furlong.plans.clean import clean_entries, with_last_race_index, with_speed_index
 from furlong.plans.features import derived, labelled
+from furlong.session import materialize
 from furlong.sources import files
 from furlong.sources.entries import entry_key
 
@@ -20,6 +21,23 @@ def col(df, name):
     return [r[name] for r in df.collect()]
 
 
+def test_complete_rows_are_filtered_again_without_a_condition_for_every_set_of_columns(spark):
+    names = [f"c{i}" for i in range(12)]
+    rows = [(i, *[None if i == j else float(i) for j in range(12)]) for i in range(14)]
+    df = materialize(spark.createDataFrame(rows, ", ".join(["id int", *[f"{c} double" for c in names]])), "rows")
+    done = filters.complete(values.filled_with_mean(df, names)).filter("id >= 2")
+    again = done.select("id", *[F.col(c).cast("double").alias(c) for c in names]).filter("id < 13")
+    assert again._jdf.queryExecution().optimizedPlan().validConstraints().size() < 500
+    assert sorted(col(again, "id")) == list(range(2, 13))
+
+
+def test_complete_rows_hold_neither_null_nor_nan(spark):
+    df = spark.createDataFrame([(1, 1.0, "a"), (2, float("nan"), "b"), (3, 2.0, None), (4, None, "c"), (None, 3.0, "d")],
+                               "id int, `x.y` double, t string")
+    assert col(filters.complete(df), "id") == [1]
+    assert col(filters.complete_in(df, ["t"]), "id") == [1, 2, 4, None]
+
+
 def test_filters_keep_or_drop_null(spark):
     df = spark.createDataFrame([(1, 0), (2, None), (3, 999), (4, 2)], "id int, result int")
     assert col(filters.not_excluded(df), "id") == [2, 3, 4]
